@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup
-from .shared import table
+from . import bpe, exact_dedup, line_dedup, packing, warc
+from .shared import prepare, table
+
+
+def tokenizer() -> str:
+    """The file of the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,12 +23,30 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_warc": op5_warc,
+    "op7_packing": op7_packing,
+    "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -41,6 +66,12 @@ ORACLE: dict[str, str] = {
     "op3_line_dedup": "WITH " + LINE_SQL.format(docs="documents") + """
 SELECT d.doc_id, CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE c.n_lines END AS n_lines, c.n_removed, length(c.text) AS n_chars, sha256(c.text) AS text_sha256
 FROM documents d JOIN cleaned c USING (doc_id)""",
+    "op5_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS response FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN n < 1000 OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM r""",
     "op10_exact_dedup": f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
