@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing, warc
+from . import bpe, exact_dedup, langid, line_dedup, media, minhash, packing, quality, warc
 from .shared import prepare, table
 
 
@@ -18,21 +18,46 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.apply(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = media.features(media.encode(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = quality.predict(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.fit(docs))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer())
@@ -43,9 +68,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op3_line_dedup": op3_line_dedup,
+    "op4_media": op4_media,
     "op5_warc": op5_warc,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
+    "op8_langid": op8_langid,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
