@@ -180,6 +180,20 @@ def fit(docs: DataFrame, most: int = SAMPLE_DOCS) -> Model | None:
     return model
 
 
+def judge(texts: list[str], m: Model | None, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, cross-entropy and acceptance of each text."""
+    known = np.array([m is not None and any(map(str.isalpha, t)) for t in texts], bool)
+    lang, score, entropy, accepted = np.full(len(texts), "und", object), np.zeros(len(texts)), np.full(len(texts), np.nan), np.zeros(len(texts), bool)
+    if known.any():
+        h, n = m.entropies([t for t, k in zip(texts, known) if k], table)
+        best = h.argmin(1)
+        low = h[np.arange(len(h)), best]
+        lang[known] = np.array(m.languages, object)[best]
+        score[known] = 1 / np.exp((low[:, None] - h) * np.minimum(n, EVIDENCE)[:, None]).sum(1)
+        entropy[known], accepted[known] = low, low <= m.limits[best]
+    return lang, score, entropy, accepted
+
+
 PREDICTED = "doc_id bigint, lang_pred string, score double, entropy double, accepted boolean"
 
 
@@ -191,16 +205,20 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         m = shared.value
         table = m.symbol_table() if m else None
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            known = np.array([m is not None and any(map(str.isalpha, t)) for t in texts], bool)
-            lang, score, entropy, accepted = np.full(len(texts), "und", object), np.zeros(len(texts)), np.full(len(texts), np.nan), np.zeros(len(texts), bool)
-            if known.any():
-                h, n = m.entropies([t for t, k in zip(texts, known) if k], table)
-                best = h.argmin(1)
-                low = h[np.arange(len(h)), best]
-                lang[known] = np.array(m.languages, object)[best]
-                score[known] = 1 / np.exp((low[:, None] - h) * np.minimum(n, EVIDENCE)[:, None]).sum(1)
-                entropy[known], accepted[known] = low, low <= m.limits[best]
+            lang, score, entropy, accepted = judge([t or "" for t in batch.column(1).to_pylist()], m, table)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(accepted)], names=["doc_id", "lang_pred", "score", "entropy", "accepted"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, PREDICTED)
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The documents that are not rejected, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        table = m.symbol_table() if m else None
+        for batch in batches:
+            yield batch.filter(pa.array(judge([t or "" for t in batch.column("text").to_pylist()], m, table)[3]))
+
+    return docs.mapInArrow(work, docs.schema)

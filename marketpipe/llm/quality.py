@@ -141,3 +141,15 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, "doc_id bigint, score double, predicted int")
+
+
+def accepted(docs: DataFrame, trees: Trees) -> DataFrame:
+    """The documents whose score reaches the threshold, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = class_table()
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.score(statistics([t or "" for t in batch.column("text").to_pylist()], table)) >= THRESHOLD))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, line_dedup, media, minhash, packing, quality, warc
+from . import bpe, exact_dedup, html_text, langid, line_dedup, media, minhash, packing, quality, warc
 from .shared import prepare, table
 
 
@@ -23,6 +23,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.apply(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
@@ -69,6 +74,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_html": op2_html,
     "op3_line_dedup": op3_line_dedup,
     "op4_media": op4_media,
     "op5_warc": op5_warc,
