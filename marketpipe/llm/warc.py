@@ -66,13 +66,11 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
     return gzip.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 
-def roles(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """page_id, url, html, refers_to of each page."""
-    base = pages.select(F.col("page_id").cast("bigint").alias("page_id"), whole("url").alias("url"), whole("html").alias("html"))
-    base = base.withColumn("key", F.when(F.octet_length("html") >= revisit_bytes, F.sha2("html", 256)))
-    same = base.filter(F.col("key").isNotNull()).groupBy("key").agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    refers = F.when(F.col("response") != F.col("page_id"), F.col("response")).alias("refers_to")
-    return base.join(same, "key", "left").select("page_id", "url", "html", refers)
+def revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """(page_id, key, refers_to) of the pages whose payload, of SHA-256 key, another page holds as the response."""
+    keys = pages.filter(F.octet_length(whole("html")) >= revisit_bytes).select(F.col("page_id").cast("bigint").alias("page_id"), F.sha2("html", 256).alias("key"))
+    same = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return keys.join(same, "key").filter("page_id <> refers_to").select("page_id", "key", "refers_to").distinct()
 
 
 def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANGE_PAGES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -95,23 +93,31 @@ def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANG
             row = (name, len(ids), len(data), hashlib.sha256(data).hexdigest(), min((i for i in ids if i is not None), default=None), max((i for i in ids if i is not None), default=None))
             return pd.DataFrame([row], columns=["file", "n_records", "n_bytes", "sha256", "first_id", "last_id"]).astype({"first_id": "Int64", "last_id": "Int64"})
 
+        known: tuple[int | None, dict[str, int]] = None, {}
         for frame in frames:
-            for rng, page_id, url, html, refers_to in zip(*(frame[c] for c in ("rng", "page_id", "url", "html", "refers_to"))):
+            for rng, page_id, url, html, key, refers_to in zip(*(frame[c] for c in ("rng", "page_id", "url", "html", "key", "refers_to"))):
+                page = None if pd.isna(page_id) else int(page_id)
+                if page != known[0]:
+                    known = page, {}
+                if html is None:  # what is known of the page stands before its rows
+                    known[1][key] = int(refers_to)
+                    continue
                 if now is not None and rng != now:
                     yield roll()
                     ids, part = [], 0
                 elif held.tell() >= roll_bytes:
                     yield roll()
                     ids, part = [], part + 1
-                now = rng
-                page = None if pd.isna(page_id) else int(page_id)
-                held.write(record(page, url, html.encode(), None if pd.isna(refers_to) else int(refers_to), date))
+                now, payload = rng, html.encode()
+                held.write(record(page, url, payload, known[1].get(hashlib.sha256(payload).hexdigest()) if known[1] else None, date))
                 ids.append(page)
         if ids:
             yield roll()
 
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), whole("url").alias("url"), whole("html").alias("html"))
+    rows = rows.unionByName(revisits(pages), allowMissingColumns=True)
     rng = F.coalesce(F.floor(F.col("page_id") / range_pages), F.lit(-1)).cast("bigint")
-    sorted_ = roles(pages).withColumn("rng", rng).repartitionByRange("rng").sortWithinPartitions("rng", "page_id", "url", "html")
+    sorted_ = rows.withColumn("rng", rng).repartitionByRange("rng").sortWithinPartitions("rng", "page_id", F.col("html").asc_nulls_first(), "url")
     sorted_.mapInPandas(work, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
 
