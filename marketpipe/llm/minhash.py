@@ -37,6 +37,8 @@ PERCENT = 85
 AGREE = 82
 #: Members of one block when a mixed bucket is finished.
 BLOCK = 64
+#: How often nodes that cannot have a link across components are left out; any number gives the same links.
+ROUNDS = 3
 #: Bytes of text that are hashed together.
 PIECE = 1 << 20
 
@@ -218,38 +220,66 @@ def centre_pairs(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").filter(near_sizes("na", "nb")).filter(agree >= AGREE).select("a", "b")
 
 
-def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def shingle_rows(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, c, s): the shingles of the given nodes (id, c)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(2).to_pylist())
+            offsets = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
+            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "c", "s"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id").select("id", "c", "text").dropDuplicates(["id"])
+    return rows.mapInArrow(work, "id bigint, c bigint, s array<bigint>").select("id", "c", F.explode("s").alias("s"))
+
+
+def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): pairs within a bucket that lie in different components, neither being the bucket's smallest node (those pairs
-    are done), where sizes and signatures allow a link. Blocks of members outside the smallest node's component meet all blocks."""
+    are done), where sizes, signatures and shared shingles allow a link.
+
+    A link across components can only rest on shingles that more than one component has; their number bounds a node's
+    intersections, which leaves out nodes that differ from all others by shingles of their own, however many share a bucket.
+    Blocks of the remaining members outside the smallest node's component then meet all blocks.
+    """
     named = buckets.join(labels, "id", "left").withColumn("c", F.coalesce("label", "id")).drop("label")
     stats = named.groupBy("band", "h").agg(F.min(F.struct("id", "c")).alias("low"), F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2"))
     stats = stats.filter("m > 2 and c1 <> c2").select("band", "h", F.col("low.id").alias("low_id"), F.col("low.c").alias("low_c"))
     members = written(named.join(stats, ["band", "h"]).filter("id <> low_id").withColumn("out", F.col("c") != F.col("low_c")).drop("low_id", "low_c"), "mixed-buckets")
+    shingles = written(shingle_rows(members.select("id", "c").distinct(), docs), "mixed-shingles")
+    for _ in range(ROUNDS):
+        shared = shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s")
+        shingles = shingles.join(shared, "s", "left_semi")
+        reach = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
+        able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * PERCENT)
+        shingles = written(shingles.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
+    members = written(members.join(able, "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
     counts = members.groupBy("band", "h").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("alls"))
-    sized = members.join(counts.filter("outs > 0"), ["band", "h"]).join(nodes, "id")
-    spread = F.xxhash64("id", "band")
-    left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), "out", "id", "c", "n", "signature")
-    right = sized.select("band", "h", F.explode(F.expr("sequence(0L, outs - 1L)")).alias("i"), F.pmod(spread, "alls").alias("j"), F.lit(False).alias("left"), "out", "id", "c", "n", "signature")
-    row = F.struct("left", "out", "id", "c", "n", "signature")
-    blocks = left.unionByName(right).groupBy("band", "h", "i", "j").agg(F.collect_list(row).alias("rows"))
+    sized = members.join(counts.filter("outs > 0"), ["band", "h"])
+    spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "x", "signature")
+    left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), *fields)
+    right = sized.select("band", "h", F.explode(F.expr("sequence(0L, outs - 1L)")).alias("i"), F.pmod(spread, "alls").alias("j"), F.lit(False).alias("left"), *fields)
+    blocks = left.unionByName(right).groupBy("band", "h", "i", "j").agg(F.collect_list(F.struct("left", *fields)).alias("rows"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0)
             flat = column.flatten()
             bounds = np.asarray(column.offsets) - column.offsets[0].as_py()
-            is_left, out, ids, c, n = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False)) for k in range(5))
-            signature = flat.field(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, HASHES)
+            is_left, out, ids, c, n, x = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False)) for k in range(6))
+            signature = flat.field(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, HASHES)
             found = []
             for lo, hi in zip(bounds[:-1], bounds[1:]):
-                x, y = lo + np.flatnonzero(is_left[lo:hi]), lo + np.flatnonzero(~is_left[lo:hi])
+                p, q = lo + np.flatnonzero(is_left[lo:hi]), lo + np.flatnonzero(~is_left[lo:hi])
+                small, large = np.minimum(n[p][:, None], n[q]), np.maximum(n[p][:, None], n[q])
                 # both outside: once, from the larger id
-                ok = (c[x][:, None] != c[y]) & (~out[y] | (ids[x][:, None] > ids[y])) & (100 * np.minimum(n[x][:, None], n[y]) >= PERCENT * np.maximum(n[x][:, None], n[y]))
-                p, q = np.nonzero(ok)
-                for at in range(0, len(p), 4096):
-                    a, b = x[p[at : at + 4096]], y[q[at : at + 4096]]
-                    hit = (signature[a] == signature[b]).sum(1) >= AGREE
-                    found.append(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], 1)[hit])
+                ok = (c[p][:, None] != c[q]) & (~out[q] | (ids[p][:, None] > ids[q])) & (100 * small >= PERCENT * large)
+                ok &= (100 + PERCENT) * np.minimum(x[p][:, None], x[q]) >= PERCENT * (small + large)
+                a, b = np.nonzero(ok)
+                for at in range(0, len(a), 4096):
+                    k, m = p[a[at : at + 4096]], q[b[at : at + 4096]]
+                    hit = (signature[k] == signature[m]).sum(1) >= AGREE
+                    found.append(np.stack([np.minimum(ids[k], ids[m]), np.maximum(ids[k], ids[m])], 1)[hit])
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -270,9 +300,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     links = written(confirmed(written(centre_pairs(buckets, nodes), "centre-pairs"), docs), "links")
     labels = components(links)
-    more = written(confirmed(written(mixed_pairs(buckets, nodes, labels), "mixed-pairs"), docs), "more-links")
+    more = written(confirmed(written(mixed_pairs(buckets, nodes, labels, docs), "mixed-pairs"), docs), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     rows = keys.join(ids, "digest", "left").join(labels, "id", "left")
     component = F.coalesce("label", "id", "doc_id")
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
