@@ -1,41 +1,16 @@
-"""Helpers that several operators use: the shared folder, written intermediate tables, null-safe text."""
+"""Helpers that several operators use: null-safe text, bounded batches, tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The only letters that lower-casing touches.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+from ..functions.workspace import fresh_path, shared_dir, ship, written
 
+__all__ = ["ascii_lower", "fresh_path", "prepare", "shared_dir", "table", "whole", "written"]
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: lineage ends there, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: The only letters that lower-casing touches.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,14 +29,6 @@ def ascii_lower(text: Column) -> Column:
 
 def prepare(spark: SparkSession) -> None:
     """For queries with Python in their tasks: gives the package to the executors, and bounds what a worker holds at once."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    sc, package = spark.sparkContext, Path(__file__).resolve().parents[1]
-    if getattr(sc, "_marketpipe_shipped", False):
-        return
-    target = Path(tempfile.mkdtemp(prefix="spark-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(target))
-    sc._marketpipe_shipped = True
