@@ -16,11 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from .bpe import Words, byte_letters, encoder
+from .bpe import PATTERN, Vocabulary
 from .shared import written
 
 CAPACITY, END_ID = 2048, 0
@@ -30,49 +30,32 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, row_key bigint, sequence_id bigint, offset bigint"
 
 
-def encode(docs: DataFrame, tokenizer: str, tail: tuple[int, ...] = ()) -> DataFrame:
-    """(doc_id, ids): the ids of each document as little-endian unsigned 32-bit numbers, then those of tail.
-
-    The tokenizer library encodes each pre-token; those in use are held in a bounded cache.
-    """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, model = encoder(tokenizer), Tokenizer.from_file(tokenizer).model
-        letters = str.maketrans({chr(b): c for c, b in byte_letters().items()})
-        packed = Words(lambda word: b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(word.decode("latin-1").translate(letters))]))
-        end = b"".join(i.to_bytes(4, "little") for i in tail)
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                parts = []
-                for kind, part in enc.split(text or ""):
-                    if kind is not None:
-                        parts.append(kind.to_bytes(4, "little"))
-                    else:
-                        parts += (b"".join(map(packed.__getitem__, words)) for words in enc.pretokens(part))
-                out.append(b"".join([*parts, end]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, "doc_id bigint, ids binary")
+def library(tokenizer: str) -> tiktoken.Encoding:
+    """The tokenizer file's vocabulary in the faster of the public libraries; ids are equal, special tokens included."""
+    v = Vocabulary(tokenizer)
+    ranks = {token: i for token, i in v.ids.items()}
+    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=v.special)
 
 
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """PIECES: each document's ids and END_ID, cut where they exceed the capacity."""
+    """PIECES: each document's ids and END_ID, cut where they exceed the capacity; ids are little-endian unsigned 32-bit numbers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding, end = library(tokenizer), END_ID.to_bytes(4, "little")
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = encoding.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 for k, start in enumerate([0, *range(first, n, capacity)]):
                     size = first if k == 0 else capacity
                     rows.append((doc, k, start, size, ids[4 * start : 4 * (start + size)]))
             cols = list(zip(*rows)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids"])
 
-    return encode(docs, tokenizer, (END_ID,)).mapInArrow(work, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, PIECES)
 
 
 def match(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
