@@ -78,7 +78,7 @@ def scrip_master(json_rows: DataFrame) -> DataFrame:
 
 def calendar_sources(spark: SparkSession, holidays: str, sessions: str) -> tuple[DataFrame, DataFrame]:
     """Holidays from a JSON map year -> dates, special sessions from {"sessions": [{"date", "label"}]}."""
-    off = spark.read.text(holidays, wholetext=True).select(F.explode(F.flatten(F.map_values(F.from_json("value", "map<string, array<string>>")))).cast("date").alias("date"))
+    off = spark.read.text(holidays, wholetext=True).select(F.explode(F.flatten(F.map_values(F.from_json("value", "map<string, array<string>>")))).alias("d")).select(F.col("d").cast("date").alias("date"))
     on = spark.read.text(sessions, wholetext=True).select(F.explode(F.from_json("value", "struct<sessions: array<struct<date: string, label: string>>>")["sessions"]).alias("s"))
     return off, on.select(F.col("s.date").cast("date").alias("date"), F.col("s.label").alias("label"))
 
