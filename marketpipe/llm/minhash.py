@@ -263,13 +263,13 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0)
+            column, band_of = batch.column(1), batch.column(0).to_pylist()
             flat = column.flatten()
             bounds = np.asarray(column.offsets) - column.offsets[0].as_py()
             is_left, out, ids, c, n, x = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False)) for k in range(6))
             signature = flat.field(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, HASHES)
             found = []
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
+            for band, lo, hi in zip(band_of, bounds[:-1], bounds[1:]):
                 p, q = lo + np.flatnonzero(is_left[lo:hi]), lo + np.flatnonzero(~is_left[lo:hi])
                 small, large = np.minimum(n[p][:, None], n[q]), np.maximum(n[p][:, None], n[q])
                 # both outside: once, from the larger id
@@ -278,12 +278,14 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
                 a, b = np.nonzero(ok)
                 for at in range(0, len(a), 4096):
                     k, m = p[a[at : at + 4096]], q[b[at : at + 4096]]
-                    hit = (signature[k] == signature[m]).sum(1) >= AGREE
+                    same = signature[k] == signature[m]
+                    # a pair that shares buckets of several bands is taken in the first of them
+                    hit = (same.sum(1) >= AGREE) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band)
                     found.append(np.stack([np.minimum(ids[k], ids[m]), np.maximum(ids[k], ids[m])], 1)[hit])
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return blocks.select("rows").mapInArrow(work, "a bigint, b bigint").distinct()
+    return blocks.select("band", "rows").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
