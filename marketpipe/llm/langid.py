@@ -4,7 +4,7 @@ Texts become symbols: the most frequent lower-case letters of the sample one eac
 non-letters one boundary. Per language a 4-symbol model is counted on a sample of at most SAMPLE_DOCS labelled documents, whole
 texts; the 4-symbol sequences seen in any language stand in one array of sorted hashes with a column of log probabilities per
 language, all others back off. The language with the lowest cross-entropy per symbol wins. A text is rejected when that lies above
-what a fifth of the sample, kept out of the counts, shows for the language, plus a margin.
+what a fifth of the sample, kept out of the counts, shows for the language, plus a margin that is wider for short texts.
 
 Null texts and texts without a letter are `und` with score 0, and rejected. Ties go to the first language in order. Repeated
 rows get equal answers; an empty table gives none. Without any labelled document every text is `und`.
@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS = 500
 #: Symbols: 0 is the boundary, 63 any letter without a symbol of its own.
 SYMBOLS, BITS = 64, 6
-#: Nats per symbol above the highest cross-entropy seen in the kept-out part.
-MARGIN = 0.35
+#: Nats per symbol above the highest cross-entropy seen in the kept-out part; texts of n symbols get SLACK / sqrt(n) on top, as a few
+#: odd letters weigh much in a short text.
+MARGIN, SLACK = 0.35, 6.0
+#: The most values of lang that are taken for languages.
+MOST_LANGUAGES = 10_000
 #: Symbols of evidence that the score counts at most.
 EVIDENCE = 40
 #: Symbols scored together.
@@ -141,9 +144,11 @@ class Model:
 def sample(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
     """(doc_id, text, lang) of at most so many labelled documents per language, those with the smallest hashes of their ids."""
     ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id", F.lit(8)).alias("h"))
-    n = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    thin = F.pmod("h", F.lit(1 << 30)) <= F.lit(float(1 << 30)) * (4 * most) / F.col("n")
-    few = ids.join(n, "lang").filter(thin)
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError("lang does not hold languages")
+    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], float(1 << 30) * 4 * most / r["n"]))) if sizes else F.create_map(F.lit(""), F.lit(0.0))
+    few = ids.filter(F.pmod("h", F.lit(1 << 30)) <= share[F.col("lang")])
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "doc_id"))
     few = few.withColumn("nth", first).filter(F.col("nth") <= most).select("doc_id", "lang").withColumnsRenamed({"doc_id": "_id", "lang": "_lang"})
     # at most SAMPLE_DOCS ids for each language: small by its definition
@@ -190,7 +195,7 @@ def judge(texts: list[str], m: Model | None, table: np.ndarray | None) -> tuple[
         low = h[np.arange(len(h)), best]
         lang[known] = np.array(m.languages, object)[best]
         score[known] = 1 / np.exp((low[:, None] - h) * np.minimum(n, EVIDENCE)[:, None]).sum(1)
-        entropy[known], accepted[known] = low, low <= m.limits[best]
+        entropy[known], accepted[known] = low, low <= m.limits[best] + SLACK / np.sqrt(np.maximum(n, 1))
     return lang, score, entropy, accepted
 
 
