@@ -26,7 +26,7 @@ SAMPLE_DOCS = 500
 SYMBOLS, BITS = 64, 6
 #: Nats per symbol above the highest cross-entropy seen in the kept-out part; texts of n symbols get SLACK / sqrt(n) on top, as a few
 #: odd letters weigh much in a short text.
-MARGIN, SLACK = 0.35, 6.0
+MARGIN, SLACK = 1.0, 6.0
 #: The most values of lang that are taken for languages.
 MOST_LANGUAGES = 10_000
 #: Symbols of evidence that the score counts at most.
