@@ -259,7 +259,8 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
     spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "x", "signature")
     left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), *fields)
     right = sized.select("band", "h", F.explode(F.expr("sequence(0L, outs - 1L)")).alias("i"), F.pmod(spread, "alls").alias("j"), F.lit(False).alias("left"), *fields)
-    blocks = left.unionByName(right).groupBy("band", "h", "i", "j").agg(F.collect_list(F.struct("left", *fields)).alias("rows"))
+    # dealt anew by block: the join's partitioning by bucket would leave all blocks of a hot bucket in one task
+    blocks = left.unionByName(right).repartition("band", "h", "i", "j").groupBy("band", "h", "i", "j").agg(F.collect_list(F.struct("left", *fields)).alias("rows"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
