@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
-from ..functions.workspace import fresh_path, ship
+from ..functions.workspace import fresh_path, ship, written
 from ..operators import fundamentals as fun
 from ..operators import gates, registry, sectors, store
+from ..operators.master import instrument_master
 from ..schemas import BARS
 from ..sources import filings as src
 from ..sources import prices, reference
@@ -48,8 +49,6 @@ def index_csv(spark, d):
 @query(f"WITH {t.BARS} SELECT date, coalesce(nullif(isin, ''), 'NSE:' || symbol) AS instrument_key, close, CASE WHEN volume % 4 = 0 THEN close ELSE open END AS open, round(value * 100000, 2) AS value, trades FROM bars")
 def full_csv(spark, d):
     """The alternate file with padded headers; ISIN by (symbol, series) from the instrument master."""
-    from ..operators.master import instrument_master
-
     b, v = t.bars(spark, d), F.col("volume")
     names = dict(zip(prices.FULL_COLUMNS, ("symbol", "series", "date", "prevclose", "open", "high", "low", "close", "volume", "value", "trades")))
     raw = b.select(*(F.concat(F.lit(" "), F.date_format(c, "dd-MMM-yyyy") if c == "date" else F.when(v % 4 == 0, "-").otherwise(F.format_string("%.2f", c)) if c == "open" else F.format_string("%.4f", c) if c in ("prevclose", "high", "low", "close", "value") else F.col(c).cast("string"), F.lit(" ")).alias(f" {n} ") for n, c in names.items()))
@@ -128,8 +127,6 @@ FROM (SELECT filing, {_FACT('RevenueFromOperations', 'OneD')} AS v FROM facts GR
 def document_facts(spark, d):
     """Documents to facts in one pass; identity, context dates and a pivoted fact of each; a broken document is one error row."""
     ship(spark)
-    from ..functions.workspace import written
-
     x = written(src.extract(_documents(spark, d)), "extracted")
     facts = x.filter("kind = 'fact'")
     out = src.identity_facts(facts).select("filing", "isin").join(src.contexts(x).select("filing", "quarter_days"), "filing", "left").join(fun.pivot_facts(facts, ["RevenueFromOperations"], ["OneD"]), "filing", "left")
@@ -163,7 +160,7 @@ def balance_sheet(spark, d):
 # ---- functions
 
 
-@query("""SELECT o_orderkey, year(d) + CASE WHEN month(d) >= 4 THEN 1 ELSE 0 END AS fiscal_year, CASE month(d) WHEN 6 THEN 'Q1' WHEN 9 THEN 'Q2' WHEN 12 THEN 'Q3' WHEN 3 THEN 'Q4' ELSE 'Q?' END AS fiscal_quarter, isodow(d) < 6 AS is_weekday, CAST(date_trunc('quarter', d) AS DATE) AS quarter_start,
+@query("""SELECT o_orderkey, CAST(year(d) + CASE WHEN month(d) >= 4 THEN 1 ELSE 0 END AS INTEGER) AS fiscal_year, CASE month(d) WHEN 6 THEN 'Q1' WHEN 9 THEN 'Q2' WHEN 12 THEN 'Q3' WHEN 3 THEN 'Q4' ELSE 'Q?' END AS fiscal_quarter, isodow(d) < 6 AS is_weekday, CAST(date_trunc('quarter', d) AS DATE) AS quarter_start,
 month(d) IN (1, 4, 7, 10) AND day(d) >= 5 AS in_season, CASE CAST(o_orderkey % 5 AS INTEGER) WHEN 1 THEN 1 WHEN 2 THEN 3 WHEN 3 THEN 7 END AS retry_days, month(d) = 12 AND 1997 <= year(d) AS calendar_due, CAST(date_diff('day', DATE '1995-01-01', d) + 1 AS INTEGER) AS days FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders)""")
 def date_functions(spark, d):
     o = t.load(spark, d, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
@@ -222,7 +219,7 @@ def filing_enrichment(spark, d):
 # ---- sinks and streams
 
 
-@query(f"""WITH {t.DIRTY}, m AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN close + 1 ELSE close END AS c2 FROM sound WHERE ok) SELECT year(date) AS year, count(*) AS n, CAST(sum(CAST(c2 AS DECIMAL(18,2))) AS DOUBLE) AS sum_close FROM m GROUP BY 1""")
+@query(f"""WITH {t.DIRTY}, m AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN close + 1 ELSE close END AS c2 FROM sound WHERE ok) SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS n, CAST(sum(CAST(c2 AS DECIMAL(18,2))) AS DOUBLE) AS sum_close FROM m GROUP BY 1""")
 def store_upsert(spark, d):
     """Day batches upserted into year partitions, a correction twice: running it again changes nothing."""
     clean, _ = gates.quarantine(t.dirty_bars(spark, d))

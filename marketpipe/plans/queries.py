@@ -106,7 +106,7 @@ def newest_day_partitions(spark, d):
     return store.newest_partitions(o, 35).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last_key"))
 
 
-@query("SELECT 'orders' AS dataset, year(o_orderdate) AS year, count(*) AS n_rows, CAST(max(o_orderdate) AS DATE) AS max_date FROM orders GROUP BY 1, 2")
+@query("SELECT 'orders' AS dataset, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows, CAST(max(o_orderdate) AS DATE) AS max_date FROM orders GROUP BY 1, 2")
 def partition_statistics(spark, d):
     return store.partition_statistics(t.load(spark, d, "orders").withColumn("date", F.col("o_orderdate").cast("date")), "orders")
 
@@ -126,7 +126,7 @@ def content_unchanged(spark, d):
     return store.unchanged(o, b)
 
 
-@query("""WITH s AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'small' ELSE 'large' END AS dataset, year(o_orderdate) AS year, CAST(o_orderdate AS DATE) AS date, o_orderkey FROM orders),
+@query("""WITH s AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'small' ELSE 'large' END AS dataset, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderdate AS DATE) AS date, o_orderkey FROM orders),
 live AS (SELECT dataset, year, count(*) AS n_rows, max(date) AS max_date FROM s GROUP BY ALL), new AS (SELECT dataset, year, count(*) AS n_rows, max(date) AS max_date FROM s WHERE NOT (dataset = 'small' AND year = 1997) AND NOT (dataset = 'large' AND year = 1998 AND o_orderkey % 7 = 0) GROUP BY ALL)
 SELECT l.dataset, l.year, l.n_rows, n.n_rows AS new_rows, CASE WHEN n.n_rows IS NULL THEN 'missing_partition' WHEN n.n_rows < l.n_rows THEN 'fewer_rows' WHEN n.max_date < l.max_date THEN 'date_regression' ELSE 'ok' END AS verdict
 FROM live l LEFT JOIN new n ON l.dataset = n.dataset AND l.year = n.year""")
@@ -242,7 +242,7 @@ def day_status(spark, d):
     return gates.day_status(days).select("date", "status")
 
 
-@query("""WITH y AS (SELECT DISTINCT year(o_orderdate) AS snapshot FROM orders), p AS (SELECT DISTINCT o_custkey AS k, year(o_orderdate) AS snapshot FROM orders), f AS (SELECT k, min(snapshot) AS first FROM p GROUP BY 1),
+@query("""WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS snapshot FROM orders), p AS (SELECT DISTINCT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS snapshot FROM orders), f AS (SELECT k, min(snapshot) AS first FROM p GROUP BY 1),
 g AS (SELECT f.k, y.snapshot, p.k IS NOT NULL AS here FROM f JOIN y ON y.snapshot >= f.first LEFT JOIN p ON p.k = f.k AND p.snapshot = y.snapshot), i AS (SELECT *, count(*) FILTER (WHERE here) OVER (PARTITION BY k ORDER BY snapshot) AS island FROM g),
 a AS (SELECT *, count(*) FILTER (WHERE NOT here) OVER (PARTITION BY k, island ORDER BY snapshot) AS absences FROM i)
 SELECT k AS o_custkey, snapshot, absences, absences >= 2 AS inactive FROM a""")

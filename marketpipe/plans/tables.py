@@ -174,7 +174,7 @@ def registry_snapshot(spark: SparkSession, d: str) -> DataFrame:
 REGISTRY = """
 state AS (SELECT 'K' || k AS isin, 'S' || k AS symbol, CASE WHEN k % 11 = 0 THEN 'inactive' WHEN k % 4 <> 0 THEN 'classified' ELSE 'pending' END AS status,
   CASE WHEN k % 4 <> 0 THEN 'M' || (c_nationkey % 5) END AS macro_sector, CASE WHEN k % 4 <> 0 THEN c_mktsegment END AS sector, CASE WHEN k % 4 <> 0 THEN 'I' || c_nationkey END AS industry, CASE WHEN k % 4 <> 0 THEN 'B' END AS basic_industry,
-  CASE WHEN k % 4 <> 0 THEN 0 ELSE k % 5 END AS attempts, CASE WHEN k % 4 = 0 AND k % 5 > 0 THEN DATE '2026-05-10' + CAST(k % 12 AS INTEGER) END AS retry_on, k % 4 = 0 AND k % 5 = 4 AS deferred, k % 4 = 0 AND k % 8 = 0 AS backlog,
+  CAST(CASE WHEN k % 4 <> 0 THEN 0 ELSE k % 5 END AS INTEGER) AS attempts, CASE WHEN k % 4 = 0 AND k % 5 > 0 THEN DATE '2026-05-10' + CAST(k % 12 AS INTEGER) END AS retry_on, k % 4 = 0 AND k % 5 = 4 AS deferred, k % 4 = 0 AND k % 8 = 0 AS backlog,
   CASE WHEN k % 3 = 0 THEN DATE '2026-01-20' WHEN k % 3 = 1 THEN DATE '2026-04-02' END AS audit_attempt_on, CASE WHEN k % 11 = 0 THEN 2 WHEN k % 7 = 0 THEN 1 ELSE 0 END AS absences
   FROM (SELECT *, c_custkey AS k FROM customer) WHERE k % 10 <> 9),
 snap AS (SELECT 'K' || c_custkey AS isin, CASE WHEN c_custkey % 37 = 0 THEN 'R' || c_custkey ELSE 'S' || c_custkey END AS symbol FROM customer WHERE c_custkey % 50 <> 7),

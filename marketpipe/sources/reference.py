@@ -18,9 +18,9 @@ BASKET_HEADERS = ("Company Name,Industry,Symbol,Series,ISIN Code", "Company Name
 def numbered_fields(spark: SparkSession, path: str) -> DataFrame:
     """(file, row, f): the data rows of CSV files as arrays of trimmed fields, quoted commas kept, the header left out."""
     lines = spark.read.csv(path, header=False, schema=", ".join(f"c{i} string" for i in range(8)), ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.array_compact(F.array(*(F.col(f"c{i}") for i in range(8)))).alias("f"))
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), F.array_compact(F.array(*(F.col(f"c{i}") for i in range(8)))).alias("f"))
     first = lines.groupBy("file").agg(F.min("row").alias("_first"))
-    return lines.join(F.broadcast(first), "file").filter("row > _first").drop("_first", "block")  # one row per file
+    return lines.join(F.broadcast(first), "file").filter("row > _first").drop("_first")  # one row per file
 
 
 def sector_list(fields: DataFrame) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.gates import quarantine
+from ..operators.gates import completeness, quarantine
 from ..operators.store import read_years, upsert
 from ..schemas import BAR_KEY, BARS
 
@@ -60,8 +60,6 @@ def windowed_counts(stream: DataFrame, time: str, width: str = "1 day", late: st
 
 def catch_up(spark: SparkSession, days: DataFrame, counts: DataFrame, means: DataFrame, share: float = 0.85) -> DataFrame:
     """(date, action): replay days that are missing or short of their trailing means; the rest need nothing."""
-    from ..operators.gates import completeness
-
     done = completeness(counts, means, share)
     out = days.join(done, "date", "left")
     return out.select("date", F.when(F.col("complete").isNull(), "fill").when(~F.col("complete"), "top_up").otherwise("skip").alias("action"))
@@ -71,6 +69,3 @@ def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-
-
-Transform = Callable[[DataFrame], DataFrame]
