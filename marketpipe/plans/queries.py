@@ -278,7 +278,7 @@ def discontinuity_flags(spark, d):
     return master.discontinuities(t.bars(spark, d)).withColumn("implied_ratio", F.round("implied_ratio", 9))
 
 
-COMPARED = "cmp AS (SELECT b.date, b.instrument_key, b.close AS close_a, s.close AS close_b, abs(s.close / b.close - 1) AS deviation FROM bars b JOIN second s ON s.date = b.date AND s.instrument_key = b.instrument_key)"
+COMPARED = "cmp AS (SELECT b.date, b.instrument_key, b.close AS close_a, s.close AS close_b, abs(s.close / nullif(b.close, 0) - 1) AS deviation FROM bars b JOIN second s ON s.date = b.date AND s.instrument_key = b.instrument_key)"
 
 
 @query(f"WITH {t.SECOND}, {COMPARED} SELECT date, instrument_key, close_a, round(close_b, 9) AS close_b, round(deviation, 9) AS deviation, coalesce(deviation > 0.001, FALSE) AS mismatch FROM cmp")
@@ -476,9 +476,9 @@ def _lines(spark, d):
     return fun.sector_lines(fun.periods(f).join(fun.sector_kind(f), "filing"))
 
 
-@query(f"WITH {t.FACTS}, {KIND}, {WIDE}, {LINES} SELECT filing, context, sector_kind, margin_kind, " + ", ".join(f"round({c}, 6) AS {c}" for c in _LINE_NUMBERS) + " FROM rows")
+@query(f"WITH {t.FACTS}, {KIND}, {WIDE}, {LINES} SELECT filing, context, sector_kind, margin_kind, " + ", ".join(f"round({c}, 9) AS {c}" for c in _LINE_NUMBERS) + " FROM rows")
 def sector_lines(spark, d):
-    return _lines(spark, d).select("filing", "context", "sector_kind", "margin_kind", *(F.round(c, 6).alias(c) for c in _LINE_NUMBERS))
+    return _lines(spark, d).select("filing", "context", "sector_kind", "margin_kind", *(F.round(c, 9).alias(c) for c in _LINE_NUMBERS))
 
 
 _N = lambda fields: " + ".join(f"CAST({f} IS NOT NULL AS INTEGER)" for f in fields)
