@@ -14,6 +14,10 @@ from marketpipe.llm.queries import tokenizer
 from marketpipe.llm.shared import prepare, table, written
 
 
+#: Similarity in percent from which two documents are near duplicates; op1's contract of 85 binds its query only.
+NEAR_PERCENT = 80
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text fits one of the languages that the labelled documents show."""
     prepare(spark)
@@ -37,7 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id."""
     prepare(spark)
-    kept = minhash.near_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept"))
+    kept = minhash.near_groups(docs, NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("_kept"))
     return docs.join(kept, F.col("doc_id").cast("bigint") == F.col("_kept"), "left_semi")
 
 

@@ -1,13 +1,14 @@
 """MinHash near-dedup: many universal hash minima, banding, signature verification, full-set confirmation, connected components.
 
 One pass gives each document its number of shingles, a digest of its shingle set and HASHES minima. Documents with equal sets are
-one node. Nodes that agree in all ROWS minima of a band meet in a bucket, where each is compared with the bucket's smallest node:
+one node. Nodes that agree in all minima of a band meet in a bucket, where each is compared with the bucket's smallest node:
 first by size and signature, then on the full sets. Verified links grow into components by alternating large-star and small-star.
 Buckets whose members are not all in one component by then are finished exactly: blocks of members are compared pair by pair on
 their signatures, across components only, and what remains is confirmed on the full sets. No bucket is capped or sampled.
 
-With 24 bands of 5 minima a pair at the threshold of 0.85 is missed with a chance below 1e-6; the signature test lets a pair
-at the threshold pass unless it is five standard deviations off.
+Linked are sets with 100 * intersection >= percent * union. The bands follow from percent, so that a pair at the threshold is
+missed with a chance below 1e-6 (24 bands of 5 minima at 85, 30 of 4 at 80); the signature test lets a pair at the threshold pass
+unless it is five standard deviations off.
 
 Words are [^ \\t-\\r]+ after lower-casing A-Z; a shingle is five words, or all words of a shorter text. Null, empty and blank texts
 have no shingles and link with nothing. Repeated rows are equal sets. An empty table gives none. Only doc_id and text are read.
@@ -16,6 +17,7 @@ have no shingles and link with nothing. Repeated rows are equal sets. An empty t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +31,11 @@ from .components import components
 from .shared import written
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
-HASHES = BANDS * ROWS
-#: Linked are sets with 100 * intersection >= PERCENT * union.
+HASHES = 120
+#: The threshold where none is given.
 PERCENT = 85
-#: Equal minima that a candidate has at least: 0.85 * 120 less five standard deviations.
-AGREE = 82
+#: Chance with which no band shows a pair at the threshold, at most.
+MISS = 1e-6
 #: Members of one block when a mixed bucket is finished.
 BLOCK = 64
 #: How often nodes that cannot have a link across components are left out; any number gives the same links.
@@ -42,6 +43,21 @@ ROUNDS = 3
 #: Bytes of text that are hashed together.
 PIECE = 1 << 20
 
+
+def rows_of(percent: int) -> int:
+    """Minima of one band: the most that divide HASHES and miss a pair at the threshold with a chance below MISS."""
+    fits = [r for r in range(1, HASHES + 1) if HASHES % r == 0 and (1 - (percent / 100) ** r) ** (HASHES // r) < MISS]
+    if not 0 < percent <= 100 or not fits:
+        raise ValueError(f"{HASHES} minima cannot find pairs at {percent} percent")
+    return max(fits)
+
+
+def agree_of(percent: int) -> int:
+    """Equal minima that a candidate has at least: the expected ones at the threshold less five standard deviations."""
+    share = percent / 100
+    return max(0, math.floor(HASHES * share - 5 * math.sqrt(HASHES * share * (1 - share))))
+
+
 U = np.uint64
 BASE, WORD_END, STEP = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -151,11 +167,11 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return (low >> U(32)).astype(np.uint32)
 
 
-def bands(signatures: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) hashes of the bands."""
-    rows = signatures.reshape(-1, BANDS, ROWS).astype(U)
-    h = np.zeros(rows.shape[:2], U) + np.arange(BANDS, dtype=U)
-    for k in range(ROWS):
+def bands(signatures: np.ndarray, width: int) -> np.ndarray:
+    """(documents, HASHES / width) hashes of the bands of width minima."""
+    rows = signatures.reshape(-1, HASHES // width, width).astype(U)
+    h = np.zeros(rows.shape[:2], U) + np.arange(HASHES // width, dtype=U)
+    for k in range(width):
         h = mix(h * STEP + rows[:, :, k])
     return h.view(np.int64)
 
@@ -163,8 +179,9 @@ def bands(signatures: np.ndarray) -> np.ndarray:
 SKETCH = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, signature array<int>"
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """SKETCH of each document; digest, bands and signature are null for sets without a shingle."""
+    band_rows = rows_of(percent)
 
     def lists(values: np.ndarray, full: np.ndarray, kind: pa.DataType) -> pa.Array:
         width = values.shape[1]
@@ -178,46 +195,50 @@ def sketch(docs: DataFrame) -> DataFrame:
             full = np.array([len(s) > 0 for s in sets], bool)
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), lists(bands(signature), full, pa.int64()), lists(signature.view(np.int32), full, pa.int32())],
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), lists(bands(signature, band_rows), full, pa.int64()), lists(signature.view(np.int32), full, pa.int32())],
                 names=["doc_id", "n_shingles", "digest", "bands", "signature"],
             )
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, SKETCH)
 
 
-@F.pandas_udf(T.BooleanType())
-def similar(left: pd.Series, right: pd.Series) -> pd.Series:
+def similar(left: str, right: str, percent: int) -> F.Column:
     """Whether the full shingle sets of two texts are linked."""
-    names = list(dict.fromkeys([*left, *right]))
-    sets = dict(zip(names, shingle_sets(names)))
 
-    def linked(a: np.ndarray, b: np.ndarray) -> bool:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    @F.pandas_udf(T.BooleanType())
+    def check(left: pd.Series, right: pd.Series) -> pd.Series:
+        names = list(dict.fromkeys([*left, *right]))
+        sets = dict(zip(names, shingle_sets(names)))
+
+        def linked(a: np.ndarray, b: np.ndarray) -> bool:
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            return 100 * both >= percent * (len(a) + len(b) - both)
+
+        return pd.Series([linked(sets[a], sets[b]) for a, b in zip(left, right)], dtype=bool)
 
-    return pd.Series([linked(sets[a], sets[b]) for a, b in zip(left, right)], dtype=bool)
+    return check(left, right)
 
 
-def near_sizes(a: str, b: str) -> F.Column:
+def near_sizes(a: str, b: str, percent: int) -> F.Column:
     """Whether two set sizes allow a link at all."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of node ids whose full sets are linked."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     ends = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "left"}), "a").join(texts.withColumnsRenamed({"id": "b", "text": "right"}), "b")
-    return ends.filter(similar("left", "right")).select("a", "b")
+    return ends.filter(similar("left", "right", percent)).select("a", "b")
 
 
-def centre_pairs(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
+def centre_pairs(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """(a, b): each member b of a bucket with the bucket's smallest node a, where sizes and signatures allow a link."""
     lows = buckets.groupBy("band", "h").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
     pairs = buckets.join(lows, ["band", "h"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct()
     left = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     right = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(right, "b").join(left, "a").filter(near_sizes("na", "nb")).filter(agree >= AGREE).select("a", "b")
+    return pairs.join(right, "b").join(left, "a").filter(near_sizes("na", "nb", percent)).filter(agree >= agree_of(percent)).select("a", "b")
 
 
 def shingle_rows(ids: DataFrame, docs: DataFrame) -> DataFrame:
@@ -234,7 +255,7 @@ def shingle_rows(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "id bigint, c bigint, s array<bigint>").select("id", "c", F.explode("s").alias("s"))
 
 
-def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs within a bucket that lie in different components, neither being the bucket's smallest node (those pairs
     are done), where sizes, signatures and shared shingles allow a link.
 
@@ -242,6 +263,7 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
     intersections, which leaves out nodes that differ from all others by shingles of their own, however many share a bucket.
     Blocks of the remaining members outside the smallest node's component then meet all blocks.
     """
+    band_rows, agree = rows_of(percent), agree_of(percent)
     named = buckets.join(labels, "id", "left").withColumn("c", F.coalesce("label", "id")).drop("label")
     stats = named.groupBy("band", "h").agg(F.min(F.struct("id", "c")).alias("low"), F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2"))
     stats = stats.filter("m > 2 and c1 <> c2").select("band", "h", F.col("low.id").alias("low_id"), F.col("low.c").alias("low_c"))
@@ -251,7 +273,7 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
         shared = shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s")
         shingles = shingles.join(shared, "s", "left_semi")
         reach = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
-        able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * PERCENT)
+        able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * percent)
         shingles = written(shingles.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
     members = written(members.join(able, "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
     counts = members.groupBy("band", "h").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("alls"))
@@ -274,14 +296,14 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
                 p, q = lo + np.flatnonzero(is_left[lo:hi]), lo + np.flatnonzero(~is_left[lo:hi])
                 small, large = np.minimum(n[p][:, None], n[q]), np.maximum(n[p][:, None], n[q])
                 # both outside: once, from the larger id
-                ok = (c[p][:, None] != c[q]) & (~out[q] | (ids[p][:, None] > ids[q])) & (100 * small >= PERCENT * large)
-                ok &= (100 + PERCENT) * np.minimum(x[p][:, None], x[q]) >= PERCENT * (small + large)
+                ok = (c[p][:, None] != c[q]) & (~out[q] | (ids[p][:, None] > ids[q])) & (100 * small >= percent * large)
+                ok &= (100 + percent) * np.minimum(x[p][:, None], x[q]) >= percent * (small + large)
                 a, b = np.nonzero(ok)
                 for at in range(0, len(a), 4096):
                     k, m = p[a[at : at + 4096]], q[b[at : at + 4096]]
                     same = signature[k] == signature[m]
                     # a pair that shares buckets of several bands is taken in the first of them
-                    hit = (same.sum(1) >= AGREE) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band)
+                    hit = (same.sum(1) >= agree) & (same.reshape(-1, HASHES // band_rows, band_rows).all(2).argmax(1) == band)
                     found.append(np.stack([np.minimum(ids[k], ids[m]), np.maximum(ids[k], ids[m])], 1)[hit])
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -289,9 +311,9 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
     return blocks.select("band", "rows").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: every document's component by its smallest doc_id."""
-    sketches = written(sketch(docs), "sketches", **{"parquet.enable.dictionary": "false"})
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: every document's component by its smallest doc_id, linked at percent or more."""
+    sketches = written(sketch(docs, percent), "sketches", **{"parquet.enable.dictionary": "false"})
     keys = sketches.select("doc_id", "n_shingles", "digest")
     ids = written(keys.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("id")), "nodes")
     nodes = sketches.join(ids.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature", "bands").dropDuplicates(["id"])
@@ -301,9 +323,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     shared = buckets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
     buckets = written(buckets.join(shared, ["band", "h"], "left_semi"), "buckets")
 
-    links = written(confirmed(written(centre_pairs(buckets, nodes), "centre-pairs"), docs), "links")
+    links = written(confirmed(written(centre_pairs(buckets, nodes, percent), "centre-pairs"), docs, percent), "links")
     labels = components(links)
-    more = written(confirmed(written(mixed_pairs(buckets, nodes, labels, docs), "mixed-pairs"), docs), "more-links")
+    more = written(confirmed(written(mixed_pairs(buckets, nodes, labels, docs, percent), "mixed-pairs"), docs, percent), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     rows = keys.join(ids, "digest", "left").join(labels, "id", "left")

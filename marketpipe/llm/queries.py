@@ -20,7 +20,7 @@ def tokenizer() -> str:
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return minhash.near_groups(table(spark, sf_dir, "documents"))
+    return minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:

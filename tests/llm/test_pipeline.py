@@ -65,6 +65,27 @@ def test_odd_documents_and_an_empty_table(spark, docs):
         assert out.count() == 0
 
 
+def test_near_stage_links_from_four_fifths_on(spark, docs):
+    """Pairs around 0.80 and 0.85 against brute force over all pairs; op1's threshold stays at 0.85."""
+    rows, n = [], 0
+    for base in range(6):
+        words = [f"b{base}w{i}" for i in range(204)]  # 200 shingles, five of them lost with each word changed
+        for edits in range(8):
+            copy = [f"x{n}y{i}" if i % 25 == 12 and i // 25 < edits else w for i, w in enumerate(words)]
+            rows.append((n, " ".join(copy)))
+            n += 1
+    sets = {i: set(zip(*(t.split()[k:] for k in range(5)))) for i, t in rows}
+    share = {(a, b): 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    assert sum(80 <= v < 85 for v in share.values()) >= 6
+    # of each group its first document and one in the band between the thresholds, or one below both
+    for a, b in [(0, 4), (0, 5)]:
+        pairs = [(8 * g + a, 8 * g + b) for g in range(6)]
+        table = docs([rows[i] for pair in pairs for i in pair])
+        for percent, kept in ((corpus_pipeline.NEAR_PERCENT, corpus_pipeline.near(spark, table, SF)), (85, minhash.near_groups(table).filter("kept"))):
+            assert {r["doc_id"] for r in kept.collect()} == {x for pair in pairs for x in pair} - {y for x, y in pairs if share[x, y] >= percent}
+    assert corpus_pipeline.NEAR_PERCENT == 80 <= share[0, 4] < 85 and share[0, 5] < 80
+
+
 def test_held_out_rows_are_never_learned_from(docs):
     """Changing the labels of held-out documents changes no answer."""
     rows = [(i, f"{'alpha beta gamma' if i % 2 else 'uno dos tres'} {i}", "aa" if i % 2 else "bb", "s") for i in range(120)]
