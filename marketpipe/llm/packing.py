@@ -20,7 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, Vocabulary
+from .bpe import PATTERN, Vocabulary, encoder
 from .shared import written
 
 CAPACITY, END_ID = 2048, 0
@@ -37,6 +37,15 @@ def library(tokenizer: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=v.special)
 
 
+def encoded(text: str, encoding: tiktoken.Encoding, tokenizer: str) -> bytes:
+    """The ids of a text. The library's regex engine gives up on about a million white-space characters in a row; such a text goes
+    through the transducer, which gives equal ids."""
+    try:
+        return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+    except ValueError:
+        return b"".join(np.array(ids, "<u4").tobytes() for ids in encoder(tokenizer).encode(text))
+
+
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """PIECES: each document's ids and END_ID, cut where they exceed the capacity; ids are little-endian unsigned 32-bit numbers."""
 
@@ -46,7 +55,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encoding.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
+                ids = encoded(text or "", encoding, tokenizer) + end
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 for k, start in enumerate([0, *range(first, n, capacity)]):

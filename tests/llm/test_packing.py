@@ -84,3 +84,17 @@ def test_pieces(docs):
     seqs = packing.sequences(docs(rows), tokenizer()).collect()
     assert len(seqs) == len(rooms) and all(len(r["ids"]) == 4 * r["n_tokens"] for r in seqs)
     assert packing.pack(docs([]), tokenizer()).count() == 0
+
+
+def test_very_long_runs_of_white_space(docs):
+    """Runs that the faster library refuses: every row comes out, with the ids of the tokenizer's own library."""
+    rows = [(1, " " * 2_000_000), (2, "a b" + "\n" * 1_100_000 + " \t" * 50_000 + "c <|endoftext|> \u00e9"), (3, "plain text")]
+    with pytest.raises(ValueError):
+        packing.library(tokenizer()).encode_to_numpy(rows[0][1], allowed_special="all")
+    lib = tokenizers.Tokenizer.from_file(tokenizer())
+    got = {}
+    for r in packing.cut(docs(rows), tokenizer()).collect():
+        got.setdefault(r["doc_id"], {})[r["start"]] = bytes(r["ids"])
+    for doc, text in rows:
+        want = np.array([*lib.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert b"".join(got[doc][k] for k in sorted(got[doc])) == want
