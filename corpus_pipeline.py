@@ -6,7 +6,7 @@ documents. Null texts and texts without a letter end in the first stage; an empt
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpipe.llm import langid, line_dedup, minhash, packing, quality
@@ -39,10 +39,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id."""
+    """One document of each near-duplicate group: the one with the smallest doc_id. Of rows that repeat its doc_id and text one stays,
+    the first by the other columns; rows of one doc_id with different texts are different documents."""
     prepare(spark)
-    kept = minhash.near_groups(docs, NEAR_PERCENT).filter("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").cast("bigint") == F.col("_kept"), "left_semi")
+    groups = minhash.near_groups(docs, NEAR_PERCENT).groupBy(F.col("doc_id").alias("_kept"))
+    kept = written(groups.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("kept").select("_kept", "n"), "near-kept")
+    same = F.col("doc_id").cast("bigint") == F.col("_kept")
+    once, more = (docs.join(kept.filter(x), same, "left_semi") for x in ("n = 1", "n > 1"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy([c for c in docs.columns if c not in ("doc_id", "text")]))
+    return once.unionByName(more.withColumn("_nth", nth).filter("_nth = 1").drop("_nth"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,6 +86,16 @@ def test_near_stage_links_from_four_fifths_on(spark, docs):
     assert corpus_pipeline.NEAR_PERCENT == 80 <= share[0, 4] < 85 and share[0, 5] < 80
 
 
+def test_near_stage_keeps_one_of_repeated_rows(spark, docs):
+    """Also of the row that holds its group's smallest doc_id; a row that repeats only the doc_id stays."""
+    rows = [(1, "one two three four five six", "en", "a"), (1, "one two three four five six", "en", "a"), (1, "one two three four five six", "en", "b")]
+    rows += [(2, "ONE two three four five six", "en", "a")] * 2 + [(3, "seven eight nine ten eleven", "en", None)] * 3 + [(4, None, "en", "a")] * 2
+    rows += [(5, "red green blue grey black", "en", "a"), (5, "north south east west up", "en", "a"), (6, "all alone here now then", "en", "a")]
+    got = sorted((r["doc_id"], r["text"] or "", r["source"]) for r in corpus_pipeline.near(spark, docs(rows), SF).collect())
+    want = [rows[0], rows[5], rows[8], rows[10], rows[11], rows[12]]
+    assert got == sorted((i, t or "", s) for i, t, _, s in want)
+
+
 def test_held_out_rows_are_never_learned_from(docs):
     """Changing the labels of held-out documents changes no answer."""
     rows = [(i, f"{'alpha beta gamma' if i % 2 else 'uno dos tres'} {i}", "aa" if i % 2 else "bb", "s") for i in range(120)]
