@@ -1,7 +1,7 @@
 """Exact dedup by a log-structured merge index of text digests.
 
 Memtables (one bounded batch of rows inside a task) are reduced to one entry per digest and flushed as sorted runs: Parquet
-files whose digest column carries Parquet's own Bloom filters, so later lookups skip runs that cannot hold a digest.
+files whose digest column carries Parquet's own Bloom filters. No step here looks a digest up through them.
 Compaction merges all runs by digest. Every digest that was hit more than once is then verified on the bytes.
 
 Null text counts as empty; texts are equal when they agree after lower-casing A-Z. Repeated rows are copies of each other.
