@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that the driver and all executors see, as spark.checkpoint.dir names it; a local session may do without."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to storage that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -31,7 +34,16 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes a table that written() returned, once nothing that is still to run reads it."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
