@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import dropped, written
 
 
 def large_star(edges: DataFrame) -> DataFrame:
-    """Links each node's larger neighbours to the smallest of its neighbours and itself."""
+    """Links each node's larger neighbours to the smallest of its neighbours and itself.
+
+    The smallest neighbours are written first, so that the join has plain shuffles on both sides and a hub's edges are split over tasks.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lows = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    return both.filter("b > a").join(lows, "a").select(F.col("low").alias("a"), "b").filter("a <> b").distinct()
+    lows = written(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "large-star")
+    out = written(both.filter("b > a").join(lows, "a").select(F.col("low").alias("a"), "b").filter("a <> b").distinct(), "edges")
+    dropped(lows)
+    return out
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Links each node's smaller neighbours, and itself, to the smallest of them. Edges have a < b."""
     lows = edges.groupBy("b").agg(F.min("a").alias("low"))
     near = edges.join(lows, "b").select(F.col("low").alias("a"), F.col("a").alias("b")).filter("a <> b")
-    return near.unionByName(lows.select(F.col("low").alias("a"), "b")).distinct()
+    return written(near.unionByName(lows.select(F.col("low").alias("a"), "b")).distinct(), "edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +32,10 @@ def components(edges: DataFrame) -> DataFrame:
     ends = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     now, state = written(ends, "edges"), None
     while True:
-        now = written(small_star(large_star(now)), "edges")
+        larger = large_star(now)
+        dropped(now)
+        now = small_star(larger)
+        dropped(larger)
         n, total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if (n, total) == state:
             break

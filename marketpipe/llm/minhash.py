@@ -6,12 +6,17 @@ first by size and signature, then on the full sets. Verified links grow into com
 Buckets whose members are not all in one component by then are finished exactly: blocks of members are compared pair by pair on
 their signatures, across components only, and what remains is confirmed on the full sets. No bucket is capped or sampled.
 
+The texts of the nodes that share a bucket are fetched once; a broadcast bit table of bounded size keeps most other texts out of that
+shuffle. A star with many members is dealt out in blocks of BLOCK members, each with its own copy of the centre, so neither a large
+group of near copies nor its centre meets in one task.
+
 Linked are sets with 100 * intersection >= percent * union. The bands follow from percent, so that a pair at the threshold is
 missed with a chance below 1e-6 (24 bands of 5 minima at 85, 30 of 4 at 80); the signature test lets a pair at the threshold pass
 unless it is five standard deviations off.
 
 Words are [^ \\t-\\r]+ after lower-casing A-Z; a shingle is five words, or all words of a shorter text. Null, empty and blank texts
-have no shingles and link with nothing. Repeated rows are equal sets. An empty table gives none. Only doc_id and text are read.
+have no shingles and link with nothing. Repeated rows are equal sets; a doc_id with several texts is one document that has the links
+of each. An empty table gives none. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import written
+from .shared import dropped, written
 
 SHINGLE = 5
 HASHES = 120
@@ -36,11 +41,13 @@ HASHES = 120
 PERCENT = 85
 #: Chance with which no band shows a pair at the threshold, at most.
 MISS = 1e-6
-#: Members of one block when a mixed bucket is finished.
+#: Members of one block, of a star that is confirmed or of a mixed bucket that is finished.
 BLOCK = 64
+#: Rows of the bit table that thins out texts, at most: 16 MB at any size of the corpus.
+FILTER_WORDS = 1 << 20
 #: How often nodes that cannot have a link across components are left out; any number gives the same links.
 ROUNDS = 3
-#: Bytes of text that are hashed together.
+#: Bytes of text that are hashed together. A word of PIECE - 1 bytes or more has a digest of its own as its hash, wherever it stands.
 PIECE = 1 << 20
 
 
@@ -90,16 +97,17 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     hashes, begins, lo = [], [], 0
     while lo < len(raw):
         hi = min(lo + PIECE - 1, len(raw))
-        if hi < len(raw):
+        if hi - lo == PIECE - 1:
             cut = np.flatnonzero(SPACE[raw[lo:hi]])
-            if not len(cut):  # one word as long as a piece: its own digest
+            if not len(cut):
                 more = np.flatnonzero(SPACE[raw[hi:]])
                 end = hi + int(more[0]) if len(more) else len(raw)
                 hashes.append(np.array([int.from_bytes(hashlib.blake2b(LOWER[raw[lo:end]].tobytes(), digest_size=8).digest(), "little")], U))
                 begins.append(np.array([lo]))
                 lo = end
                 continue
-            hi = lo + int(cut[-1]) + 1
+            if hi < len(raw):
+                hi = lo + int(cut[-1]) + 1
         part = LOWER[raw[lo:hi]]
         space = SPACE[part]
         edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
@@ -167,37 +175,26 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return (low >> U(32)).astype(np.uint32)
 
 
-def bands(signatures: np.ndarray, width: int) -> np.ndarray:
-    """(documents, HASHES / width) hashes of the bands of width minima."""
-    rows = signatures.reshape(-1, HASHES // width, width).astype(U)
-    h = np.zeros(rows.shape[:2], U) + np.arange(HASHES // width, dtype=U)
-    for k in range(width):
-        h = mix(h * STEP + rows[:, :, k])
-    return h.view(np.int64)
-
+def bands(signature: str, width: int) -> F.Column:
+    """An array of one hash for each band of width minima; the bands differ in their seeds."""
+    return F.array(*(F.xxhash64(F.lit(k), F.slice(signature, 1 + k * width, width)) for k in range(HASHES // width)))
 
-SKETCH = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, signature array<int>"
 
+SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature array<int>"
 
-def sketch(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """SKETCH of each document; digest, bands and signature are null for sets without a shingle."""
-    band_rows = rows_of(percent)
 
-    def lists(values: np.ndarray, full: np.ndarray, kind: pa.DataType) -> pa.Array:
-        width = values.shape[1]
-        offsets = np.append(0, np.cumsum(np.where(full, width, 0))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[full].ravel(), kind), mask=pa.array(~full))
+def sketch(docs: DataFrame) -> DataFrame:
+    """SKETCH of each document; digest and signature are null for sets without a shingle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist())
-            signature = np.stack([minima(s) for s in sets]) if sets else np.zeros((0, HASHES), np.uint32)
             full = np.array([len(s) > 0 for s in sets], bool)
+            low = np.stack([minima(s) for s in sets if len(s)]) if full.any() else np.zeros((0, HASHES), np.uint32)
+            offsets = np.append(0, np.cumsum(np.where(full, HASHES, 0))).astype(np.int32)
+            signature = pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.view(np.int32).ravel()), mask=pa.array(~full))
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), lists(bands(signature, band_rows), full, pa.int64()), lists(signature.view(np.int32), full, pa.int32())],
-                names=["doc_id", "n_shingles", "digest", "bands", "signature"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), signature], names=["doc_id", "n_shingles", "digest", "signature"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, SKETCH)
 
@@ -224,25 +221,56 @@ def near_sizes(a: str, b: str, percent: int) -> F.Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of node ids whose full sets are linked."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    ends = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "left"}), "a").join(texts.withColumnsRenamed({"id": "b", "text": "right"}), "b")
-    return ends.filter(similar("left", "right", percent)).select("a", "b")
+def in_blocks(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) with i: a star of more than BLOCK members b is dealt out in blocks of about BLOCK."""
+    stars = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("blocks > 1")
+    # written, so that the join has plain shuffles on both sides and a large star's rows are split over tasks
+    dealt = pairs.join(written(stars, "stars"), "a", "left")
+    return dealt.select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), "blocks"), F.lit(0)).alias("i"))
+
+
+def by_block(dealt: DataFrame, values: DataFrame, *names: str) -> DataFrame:
+    """(a, b, i) with the named values (id, ...) of both ends, as name_a and name_b. A centre's values are sent once to each block."""
+    left = dealt.select("a", "i").distinct().join(values.select(F.col("id").alias("a"), *(F.col(n).alias(f"{n}_a") for n in names)), "a")
+    right = dealt.join(values.select(F.col("id").alias("b"), *(F.col(n).alias(f"{n}_b") for n in names)), "b")
+    return right.join(left, ["a", "i"])
+
+
+def alike(dealt: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, i) whose sizes and signatures allow a link."""
+    agree = F.aggregate(F.zip_with("signature_a", "signature_b", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    rows = by_block(dealt, nodes, "n", "signature")
+    return rows.filter(near_sizes("n_a", "n_b", percent)).filter(agree >= agree_of(percent)).select("a", "b", "i").distinct()
 
 
-def centre_pairs(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each member b of a bucket with the bucket's smallest node a, where sizes and signatures allow a link."""
-    lows = buckets.groupBy("band", "h").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    pairs = buckets.join(lows, ["band", "h"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    left = nodes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    right = nodes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-    agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return pairs.join(right, "b").join(left, "a").filter(near_sizes("na", "nb", percent)).filter(agree >= agree_of(percent)).select("a", "b")
+def confirmed(dealt: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of (a, b, i) whose full sets are linked; texts: (id, text)."""
+    rows = by_block(dealt, texts, "text")
+    return written(rows.filter(similar("text_a", "text_b", percent)).select("a", "b").distinct(), "links")
 
 
-def shingle_rows(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, c, s): the shingles of the given nodes (id, c)."""
+def thinned(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (id, ...) without most of those whose id is not in ids, by a bit table of at most FILTER_WORDS rows of 64 bits."""
+    spread = F.pmod(F.xxhash64("id"), F.lit(64 * FILTER_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(spread, F.lit(64)).cast("int"))
+    word = F.floor(spread / 64).cast("bigint")
+    table = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    there = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(table), "_word")
+    return there.filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).drop("_word", "_bit", "_bits")
+
+
+def shared_buckets(nodes: DataFrame, percent: int) -> DataFrame:
+    """(band, h, id, a): the nodes of each bucket with more than one, and the smallest of them."""
+    each = nodes.select("id", F.posexplode(bands("signature", rows_of(percent))).alias("band", "h"))
+    lows = each.groupBy("band", "h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z")
+    lows = written(lows, "bucket-centres")
+    buckets = written(each.join(lows, ["band", "h"]), "buckets")
+    dropped(lows)
+    return buckets
+
+
+def shingle_rows(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, c, s): the distinct shingles of the given nodes (id, c)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,11 +279,11 @@ def shingle_rows(ids: DataFrame, docs: DataFrame) -> DataFrame:
             values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "c", "s"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(ids, "id").select("id", "c", "text").dropDuplicates(["id"])
+    rows = texts.join(ids, "id").select("id", "c", "text")
     return rows.mapInArrow(work, "id bigint, c bigint, s array<bigint>").select("id", "c", F.explode("s").alias("s"))
 
 
-def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs within a bucket that lie in different components, neither being the bucket's smallest node (those pairs
     are done), where sizes, signatures and shared shingles allow a link.
 
@@ -264,20 +292,27 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
     Blocks of the remaining members outside the smallest node's component then meet all blocks.
     """
     band_rows, agree = rows_of(percent), agree_of(percent)
-    named = buckets.join(labels, "id", "left").withColumn("c", F.coalesce("label", "id")).drop("label")
-    stats = named.groupBy("band", "h").agg(F.min(F.struct("id", "c")).alias("low"), F.count(F.lit(1)).alias("m"), F.min("c").alias("c1"), F.max("c").alias("c2"))
-    stats = stats.filter("m > 2 and c1 <> c2").select("band", "h", F.col("low.id").alias("low_id"), F.col("low.c").alias("low_c"))
-    members = written(named.join(stats, ["band", "h"]).filter("id <> low_id").withColumn("out", F.col("c") != F.col("low_c")).drop("low_id", "low_c"), "mixed-buckets")
-    shingles = written(shingle_rows(members.select("id", "c").distinct(), docs), "mixed-shingles")
+    named = written(buckets.join(labels, "id", "left").withColumn("c", F.coalesce("label", "id")).drop("label"), "named-buckets")
+    low_c = F.max(F.when(F.col("id") == F.col("a"), F.col("c"))).alias("low_c")
+    stats = named.groupBy("band", "h").agg(low_c, F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").drop("c1", "c2")
+    stats = written(stats, "mixed-centres")
+    members = named.join(stats, ["band", "h"]).filter("id <> a").withColumn("out", F.col("c") != F.col("low_c"))
+    members = written(members.drop("low_c", "a"), "mixed-buckets")
+    dropped(named), dropped(stats)
+    shingles = written(shingle_rows(members.select("id", "c").distinct(), texts), "mixed-shingles")
     for _ in range(ROUNDS):
         shared = shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s")
-        shingles = shingles.join(shared, "s", "left_semi")
-        reach = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
+        kept = shingles.join(shared, "s", "left_semi")
+        reach = kept.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
         able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * percent)
-        shingles = written(shingles.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
+        fewer = written(kept.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
+        dropped(shingles)
+        shingles = fewer
+    reach = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
+    able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * percent)
     members = written(members.join(able, "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
     counts = members.groupBy("band", "h").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("alls"))
-    sized = members.join(counts.filter("outs > 0"), ["band", "h"])
+    sized = members.join(written(counts.filter("outs > 0"), "mixed-counts"), ["band", "h"])
     spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "x", "signature")
     left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), *fields)
     right = sized.select("band", "h", F.explode(F.expr("sequence(0L, outs - 1L)")).alias("i"), F.pmod(spread, "alls").alias("j"), F.lit(False).alias("left"), *fields)
@@ -313,21 +348,28 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, docs: D
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: every document's component by its smallest doc_id, linked at percent or more."""
-    sketches = written(sketch(docs, percent), "sketches", **{"parquet.enable.dictionary": "false"})
-    keys = sketches.select("doc_id", "n_shingles", "digest")
+    plain = {"parquet.enable.dictionary": "false"}
+    sketches = written(sketch(docs), "sketches", **plain)
+    keys = written(sketches.select("doc_id", "n_shingles", "digest"), "keys")
     ids = written(keys.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("id")), "nodes")
-    nodes = sketches.join(ids.select("id"), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature", "bands").dropDuplicates(["id"])
-    nodes = written(nodes, "node-sketches", **{"parquet.enable.dictionary": "false"})
-    buckets = nodes.select("id", F.posexplode("bands").alias("band", "h"))
-    nodes = nodes.select("id", "n", "signature")
-    shared = buckets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    buckets = written(buckets.join(shared, ["band", "h"], "left_semi"), "buckets")
-
-    links = written(confirmed(written(centre_pairs(buckets, nodes, percent), "centre-pairs"), docs, percent), "links")
+    nodes = sketches.withColumnRenamed("doc_id", "id").join(ids, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"])
+    nodes = written(nodes.select("id", F.col("n_shingles").alias("n"), "signature"), "node-signatures", **plain)
+    dropped(sketches)
+
+    buckets = shared_buckets(nodes, percent)
+    needed = buckets.select("id").distinct()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = written(thinned(texts, needed).join(needed, "id", "left_semi").dropDuplicates(["id", "text"]), "bucket-texts")
+
+    pairs = in_blocks(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
+    links = confirmed(written(alike(pairs, nodes, percent), "centre-pairs"), texts, percent)
     labels = components(links)
-    more = written(confirmed(written(mixed_pairs(buckets, nodes, labels, docs, percent), "mixed-pairs"), docs, percent), "more-links")
+    more = written(mixed_pairs(buckets, nodes, labels, texts, percent), "mixed-pairs")
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
-    rows = keys.join(ids, "digest", "left").join(labels, "id", "left")
-    component = F.coalesce("label", "id", "doc_id")
+        labels = components(links.unionByName(confirmed(in_blocks(more), texts, percent)))
+    for table in (nodes, buckets, texts):
+        dropped(table)
+    named = ids.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
+    component = F.coalesce("label", "doc_id")
+    rows = keys.join(named, "digest", "left")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.workspace import fresh_path, shared_dir, ship, written
+from ..functions.workspace import dropped, fresh_path, shared_dir, ship, written
 
-__all__ = ["ascii_lower", "fresh_path", "prepare", "shared_dir", "table", "whole", "written"]
+__all__ = ["ascii_lower", "dropped", "fresh_path", "prepare", "shared_dir", "table", "whole", "written"]
 
 #: The only letters that lower-casing touches.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

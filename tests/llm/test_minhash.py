@@ -82,6 +82,28 @@ def test_shingle_hashes_follow_the_words_however_long_the_text(monkeypatch):
     assert len(small[0]) == len(shingles(text)) == len(large[0]) and [len(s) for s in small[1:]] == [0, 0, 1]
 
 
+def test_a_word_has_one_hash_wherever_it_stands():
+    for size in range(minhash.PIECE - 3, minhash.PIECE + 3):
+        word = "y" * size
+        sets = minhash.shingle_sets([word, word + " ", " " + word, "\t" + word.upper() + "\n", "one " + word, word + " two", "one " + word + " "])
+        assert len({x.tobytes() for x in sets[:4]}) == 1 and len({x.tobytes() for x in sets}) == 3
+        assert sets[4].tobytes() == sets[6].tobytes()
+
+
+def test_large_star_is_dealt_in_blocks(docs):
+    """More members than one block holds, half of them near the centre, half only near each other."""
+    base, other = [f"w{i}" for i in range(200)], [f"v{i}" for i in range(30)]
+    rows = [(i, " ".join(base[: 200 - i % 7] + [f"x{i}"])) for i in range(150)]
+    rows += [(1000 + i, " ".join(base[:190] + other + [f"z{i}"])) for i in range(150)]
+    check(docs, rows)
+
+
+def test_several_texts_of_one_id(docs):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    got = minhash.near_groups(docs([(5, one), (5, two), (7, two + " end"), (9, one + " end"), (3, "other words stand in this text")])).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(5, 5), (7, 5), (9, 5), (3, 3)}
+
+
 def test_minima_estimate_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
