@@ -13,6 +13,7 @@ and no text is capped. Repeated rows give equal texts. An empty table gives none
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,18 +31,21 @@ KINDS = [
     "body", "html", "head", "title meta link base", "dialog details summary",
 ]
 KIND = {tag: k for k, tags in enumerate(KINDS) for tag in tags.split()}
-#: Groups of words in class, id and role.
+#: Groups of words in class, id and role. The last three groups stand on parts of articles as well as on clutter.
 WORDS = [
     "content article post entry story main text prose maincontent articlebody",
     "nav navigation menu navbar breadcrumb breadcrumbs pagination pager toc tabs topbar menubar sitemap skip",
     "header masthead banner hero logo branding",
     "footer copyright legal contentinfo colophon imprint",
-    "sidebar aside widget widgets related recommended recommendations popular trending complementary teaser teasers rail more",
-    "notice cookie cookies consent gdpr alert popup modal overlay dialog newsletter subscribe subscription signup paywall disclaimer warning announcement toast",
+    "sidebar aside widget widgets recommended recommendations teaser teasers rail",
+    "cookie cookies consent gdpr popup modal overlay dialog newsletter subscribe subscription signup paywall toast",
     "ad ads adv advert adverts advertisement sponsor sponsored sponsors promo promotion promoted affiliate dfp adsense",
-    "comment comments commentlist disqus reply replies respond discussion feedback reviews responses",
-    "share sharing social follow tags meta byline author print tools toolbar",
+    "comment comments commentlist disqus respond",
+    "share sharing social follow toolbar",
     "form search login searchbox register",
+    "related more popular trending complementary notice alert disclaimer warning announcement",
+    "discussion feedback reviews responses reply replies",
+    "tags meta byline author print tools",
 ]
 WORD = {w: k for k, words in enumerate(WORDS) for w in words.split()}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,11 +53,17 @@ INLINE = set(KINDS[19].split() + ["a", "label", "img"])
 #: Open elements that a start tag ends, and where the search for them stops.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("html body table ul ol dl td th article section div main aside nav header footer form blockquote select".split())
-FEATURES = len(KINDS) + 1 + len(WORDS) + 7
+FEATURES = len(KINDS) + 1 + len(WORDS) + 10
 EDGES = len(KINDS) + 1
+#: The kinds of lists and their items, of elements that name a page's main part, and of those whose text no reader sees.
+LISTS, NAMED, UNSEEN = [KIND["ul"], KIND["li"]], [KIND["article"], KIND["main"], KIND["h1"]], [KIND["script"], KIND["meta"], KIND["head"]]
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
+def wall(tag: str) -> bool:
+    return tag not in INLINE and tag != "p"
+
+
 class Dom(HTMLParser):
     """Elements of a page: parent, tag, words, and its texts in page order with the element they stand in; None is a block's edge."""
 
@@ -62,6 +72,9 @@ class Dom(HTMLParser):
         self.parents, self.tags, self.words, self.depths, self.labels, self.hidden = [-1], ["html"], [()], [0], [None], [False]
         self.runs: list[tuple[int, str] | None] = []
         self.stack = [0]
+        # places in the stack: of each tag's open elements, and of those that no inline end tag reaches across
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.walls: list[int] = []
         self.feed(html)
         self.close()
 
@@ -93,26 +106,33 @@ class Dom(HTMLParser):
         self.labels.append(label)
         self.hidden.append(hidden)
         if tag not in VOID:
+            self.places[tag].append(len(self.stack))
+            if wall(tag):
+                self.walls.append(len(self.stack))
             self.stack.append(node)
 
+    def last(self, tags: set[str]) -> int:
+        """The place of the innermost open element of the given tags, 0 for none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def shut(self, place: int) -> None:
+        for node in self.stack[place:]:
+            self.places[self.tags[node]].pop()
+            if wall(self.tags[node]):
+                self.walls.pop()
+        del self.stack[place:]
+
     def end_open(self, tags: set[str], scope: set[str]) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.tags[self.stack[i]]
-            if tag in tags:
-                del self.stack[i:]
-                return
-            if tag in scope:
-                return
+        place = self.last(tags)
+        if place and place >= self.last(scope):
+            self.shut(place)
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.runs.append(None)
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.tags[self.stack[i]] == tag:
-                del self.stack[i:]
-                return
-            if tag in INLINE and self.tags[self.stack[i]] not in INLINE and self.tags[self.stack[i]] != "p":
-                return
+        place = self.last({tag})
+        if place and (tag not in INLINE or not self.walls or place > self.walls[-1]):
+            self.shut(place)
 
     def handle_data(self, data: str) -> None:
         self.runs.append((self.stack[-1], data))
@@ -143,22 +163,28 @@ def forest(doms: list[Dom]) -> Forest:
     at = [(int(s) + i, len(KINDS) + 1 + w) for d, s in zip(doms, starts) for i, ws in enumerate(d.words) if ws for w in ws]
     if at:
         x[tuple(np.array(at).T)] = 1
-    length, linked, stops = (np.zeros(n) for _ in range(3))
+    length, linked, stops, seen, named = (np.zeros(n) for _ in range(5))
     for d, s in zip(doms, starts):
         for run in d.runs:
             if run is not None and not run[1].isspace():
                 length[s + run[0]] += len(run[1])
                 stops[s + run[0]] += run[1].count(".") + run[1].count(",")
     linked[kind == KIND["a"]] = length[kind == KIND["a"]]
+    seen[~np.isin(kind, UNSEEN)] = length[~np.isin(kind, UNSEEN)]
+    named[np.isin(kind, NAMED)] = 1
     order = np.argsort(-depth, kind="stable")
     cuts = np.flatnonzero(np.diff(depth[order])) + 1
     for level in np.split(order, cuts):
         if depth[level[0]] > 0:
-            for v in (length, linked, stops):
+            for v in (length, linked, stops, seen, named):
                 np.add.at(v, parent[level], v[level])
     base = len(KINDS) + 1 + len(WORDS)
     x[:, base] = 1
-    x[:, base + 1] = np.minimum(linked / np.maximum(length, 1), 1)
+    share = np.minimum(linked / np.maximum(length, 1), 1)
+    x[:, base + 1] = np.where(np.isin(kind, LISTS), 0, share)
+    x[:, base + 7] = np.where(np.isin(kind, LISTS), share, 0)
+    x[:, base + 8] = seen / np.maximum(np.repeat(seen[starts], sizes), 1)
+    x[:, base + 9] = named > 0
     x[:, base + 2] = np.log1p(length) / 8
     x[:, base + 3] = np.minimum(stops * 20 / np.maximum(length, 1), 1)
     x[:, base + 4] = length == 0
@@ -291,7 +317,8 @@ def labelled_pages(n: int, seed: int) -> list[str]:
     def remarks() -> str:
         each = lambda: pick(f"<div class='comment'><p>{sentences(1, 4)}</p></div>", f"<li class='comment'><b>{words(1, 1)}</b><p>{sentences(1, 3)}</p></li>", f"<article class='comment'><p>{sentences(1, 3)}</p></article>", f"<div><span>{words(1, 1)}</span><p>{sentences(1, 3)}</p></div>")
         body = "".join(each() for _ in range(rng.integers(1, 6)))
-        return pick(f"<section class='comments'><h3>{words(1, 2)}</h3>{body}</section>", f"<div id='comments'><h2>{words(1, 3)}</h2>{body}</div>", f"<ol class='commentlist'>{body}</ol>", f"<div class='reader-comments'>{body}</div>", f"<section id='discussion'>{body}</section>")
+        marked = "".join(f"<{(t := pick('div', 'li', 'article'))} class='{pick('comment', 'comment reply')}'><p>{sentences(1, 3)}</p></{t}>" for _ in range(rng.integers(1, 4)))
+        return pick(f"<section class='comments'><h3>{words(1, 2)}</h3>{body}</section>", f"<div id='comments'><h2>{words(1, 3)}</h2>{body}</div>", f"<ol class='commentlist'>{body}</ol>", f"<div class='reader-comments'>{body}</div>", f"<section id='{pick('discussion', 'responses', 'replies', 'feedback')}'>{marked}</section>")
 
     def other() -> str:
         return pick(
@@ -299,7 +326,8 @@ def labelled_pages(n: int, seed: int) -> list[str]:
             lambda: f"<aside{pick('', ' class=sidebar', ' class=related')}><h3>{words(1, 3)}</h3>{pick(f'<ul>{links(4)}</ul>', f'<p>{sentences(1, 4)}</p>')}</aside>",
             lambda: f"<form{pick('', ' class=newsletter', ' class=search')}><label>{words(1, 3)}</label><input name=q><button>{words(1, 2)}</button>{pick('', f'<p>{sentences(1, 2)}</p>')}</form>",
             lambda: f"<div class='{pick('notice', 'cookie-notice', 'cookie-banner', 'consent', 'alert', 'newsletter', 'popup', 'site-notice', 'disclaimer')}'>{pick('', f'<h3>{words(1, 3)}</h3>')}<p>{sentences(1, 3)}</p></div>",
-            lambda: f"<div class='{pick('sidebar', 'widget', 'related-posts', 'recommended', 'side-bar')}'><h3>{words(1, 3)}</h3>{pick(f'<ul>{links(5)}</ul>', f'<p>{sentences(1, 5)}</p>', f'<div><p>{sentences(1, 5)}</p></div>')}</div>",
+            lambda: f"<div class='{pick('sidebar', 'widget', 'recommended', 'side-bar')}'><h3>{words(1, 3)}</h3>{pick(f'<ul>{links(5)}</ul>', f'<p>{sentences(1, 5)}</p>', f'<div><p>{sentences(1, 5)}</p></div>')}</div>",
+            lambda: f"<div class='{pick('related-posts', 'more-stories', 'popular', 'trending')}'><h3>{words(1, 3)}</h3><ul>{links(5)}</ul></div>",
             lambda: f"<nav{pick('', ' class=breadcrumb', ' class=menu')}>{pick(f'<ul>{links(5)}</ul>', f'<a href=x>{words(1, 2)}</a> <a href=y>{words(1, 2)}</a>')}</nav>",
             lambda: f"<ul class='{pick('menu', 'nav', 'pagination', 'tabs')}'>{links(5)}</ul>",
             lambda: f"<div class='{pick('share', 'social-share', 'share-buttons', 'follow')}'><a href=x>{words(1, 1)}</a><a href=y>{words(1, 1)}</a></div>",
@@ -313,24 +341,33 @@ def labelled_pages(n: int, seed: int) -> list[str]:
 
     def content() -> str:
         return pick(
-            lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}", lambda: f"<p>{words(1, 3)}.</p>", lambda: f"<h2>{words(1, 6)}</h2>", lambda: f"<h3>{words(1, 6)}</h3>",
+            lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}", lambda: f"<p>{words(1, 3)}.</p>", lambda: f"<p>{words(2, 6)}.</p>", lambda: f"<h2>{words(1, 6)}</h2>", lambda: f"<h3>{words(1, 6)}</h3>",
             lambda: "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(rng.integers(2, 5))) + "</ul>", lambda: "<ol>" + "".join(f"<li>{words(1, 6)}</li>" for _ in range(rng.integers(2, 5))) + "</ol>",
             lambda: f"<blockquote><p>{inline()}</p></blockquote>", lambda: f"<pre>{words(2, 20)}</pre>", lambda: f"<p><b>{words(1, 6)}.<br><p>{inline()}</p>",
             lambda: f"<figure><img src=x><figcaption>{sentences(1, 1)}</figcaption></figure>", lambda: f"<table><tr><th>{words(1, 2)}</th><td>{words(1, 3)}</td></tr></table>", lambda: f"<div><p>{inline()}</p></div>", lambda: f"<section><h2>{words(1, 4)}</h2><p>{inline()}</p></section>",
+            lambda: f"<ul>{links(int(rng.integers(2, 9)))}</ul>", lambda: f"<p>{sentences(1, 1)}</p><ol>{links(int(rng.integers(2, 6)))}</ol>", lambda: f"<p>{inline()} <a href=x>{words(1, 4)}</a> {inline()}</p>", lambda: f"<div>{inline()}</div>",
+            lambda: part(pick("section", "div", "div")), lambda: part(pick("section", "div", "blockquote")),
         )()
 
+    def part(tag: str) -> str:
+        """A part of an article with a word in its class or id that clutter has too."""
+        word = pick("related", "more", "popular", "notice", "alert", "warning", "disclaimer", "announcement", "discussion", "feedback", "reviews", "responses", "replies", "author", "tools", "print", "meta", "tags")
+        name = pick(word, f"{word}-{words(1, 1)}", f"{words(1, 1)}-{word}")
+        return f"<{tag} {pick('class', 'class', 'id')}='{name}'>{pick(f'<h2>{words(1, 3)}</h2>', '')}{''.join(f'<p>{inline()}</p>' for _ in range(rng.integers(1, 4)))}</{tag}>"
+
     out = []
     for _ in range(n):
-        body = [content() for _ in range(rng.integers(1, 9))]
+        body = [content() for _ in range(pick(1, 1, 1, 2, 3, 4, 5, 6, 8))]
         for _ in range(rng.integers(0, 4)):
             body.insert(int(rng.integers(len(body) + 1)), other())
-        tag, attr = pick(("article", ""), ("article", ""), ("article", ""), ("article", " class=post"), ("main", ""), ("div", " class=content"), ("div", " id=main-content"), ("div", " class='post entry'"), ("section", " class=article"), ("div", " class=story"))
+        tag, attr = pick(("article", ""), ("article", ""), ("article", ""), ("article", " class=post"), ("main", ""), ("div", " class=content"), ("div", " id=main-content"), ("div", " class='post entry'"), ("section", " class=article"), ("div", " class=story"), ("div", ""), ("div", ""), ("body", ""))
         inner = f"<{tag}{attr} data-label=content>{pick(f'<h1>{words(1, 9)}</h1>', f'<h1>{words(1, 9)}</h1>', '')}{''.join(body)}</{tag}>"
-        for _ in range(rng.integers(0, 3)):
-            inner = pick(f"<main>{inner}</main>", f"<div class=container>{inner}</div>", f"<div id=page>{other() if chance(0.5) else ''}{inner}</div>", f"<div>{inner}{other() if chance(0.5) else ''}</div>", f"<section>{inner}</section>")
+        for _ in range(0 if tag == "body" else pick(0, 0, 1, 1, 2, 2, 3, 4, 5, 7)):
+            inner = pick(f"<main>{inner}</main>", f"<div class=container>{inner}</div>", f"<div id=page>{other() if chance(0.3) else ''}{inner}</div>", f"<div>{inner}{other() if chance(0.3) else ''}</div>", f"<div>{inner}</div>", f"<section>{inner}</section>")
         top = pick(f"<header><a href=/>{words(1, 2)}</a><h1>{words(1, 3)}</h1></header>", f"<header class=site-header><p>{words(1, 5)}</p><nav><ul>{links(4)}</ul></nav></header>", f"<div id=header><h1>{words(1, 3)}</h1></div>", f"<nav><ul>{links(6)}</ul></nav>", "")
         end = pick(f"<footer>&copy; {words(1, 3)} &middot; {sentences(1, 1)}</footer>", f"<footer><p>{sentences(1, 2)}</p><ul>{links(3)}</ul></footer>", f"<div class=footer><p>{sentences(1, 1)}</p></div>", "")
-        before, after = "".join(other() for _ in range(rng.integers(0, 4))), "".join(other() for _ in range(rng.integers(0, 4)))
-        close = pick("</body></html>", "</body></html>", "")
-        out.append(f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{words(1, 6)}</title><style>p {{ margin: 0 }}</style><script>var t = '</p>';</script></head><body>{top}{before}{inner}{after}{end}{close}")
+        top, end = (x.replace(">", " data-label=other>", 1) for x in (top, end))
+        before, after = ("".join(other() for _ in range(rng.integers(0, 4))) for _ in range(2))
+        page = inner.replace("<body data-label=content>", f"<body data-label=content>{top}{before}").replace("</body>", f"{after}{end}") if tag == "body" else f"<body>{top}{before}{inner}{after}{end}"
+        out.append(f"<!DOCTYPE html><html><head data-label=other><meta charset=utf-8><title>{words(1, 6)}</title><style>p {{ margin: 0 }}</style><script>var t = '</p>';</script></head>{page}{pick('</body></html>', '</body></html>', '')}")
     return out

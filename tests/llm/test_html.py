@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -45,6 +47,50 @@ def test_page(model):
     assert html_text.texts([PAGE], model) == ["A & B &am\n\nFirst.\n\nSecond <tag> é and link text.\n\none\n\ntwo\n\nLast."]
 
 
+S = "This is a sentence of the article, and it goes on for a while."
+SHORT = "One short paragraph here."
+
+
+def deep(n, inner):
+    return "<div>" * n + inner + "</div>" * n
+
+
+#: Layouts that the training pages do not have: html, its blocks of main text.
+LAYOUTS = {
+    "reading list": (f"<body><nav><a href=a>Home</a></nav><article><h1>Reading list</h1><p>{S} {S}</p><ul><li><a href=1>First book on the list</a></li><li><a href=2>Second book</a></li></ul><p>{S}</p></article><footer>Foot</footer></body>", ["Reading list", f"{S} {S}", "First book on the list", "Second book", S]),
+    "study": (f"<body><header><a href=/>Site</a></header><article><h1>Study</h1><section class=methods><h2>Methods</h2><p>{S}</p></section><section class=discussion><h2>Discussion</h2><p>{S} {S}</p></section><div class='related-work'><p>{S} {S} {S}</p></div><p class=notice>{S}</p><div id=feedback-loops><p>{S}</p></div></article></body>", ["Study", "Methods", S, "Discussion", f"{S} {S}", f"{S} {S} {S}", S, S]),
+    "deep 5": (f"<body><nav><ul><li><a href=a>Home</a></li></ul></nav>{deep(5, f'<article><p>{SHORT}</p></article>')}<footer>c</footer></body>", [SHORT]),
+    "deep 6": (f"<body>{deep(6, '<article><p>Short text.</p></article>')}</body>", ["Short text."]),
+    "classless": (f"<body><div><a href=a>Home</a> <a href=b>About</a></div><div><div>{S}</div><div>{S} {S}</div></div></body>", [S, f"{S} {S}"]),
+    "two divs": ("<html><body><div><div>Short words here.</div></div></body></html>", ["Short words here."]),
+    "blog": (f"<body class=home><div id=masthead><h1>My blog</h1></div><div id=wrap><div id=primary><div class='post hentry'><h2 class=entry-title>Post title</h2><div class=entry-content><p>{S}</p><blockquote><p>{S}</p></blockquote></div><div class=share-buttons><a href=x>Share</a></div></div><div id=comments><ol class=commentlist><li class=comment><p>Nice post, thanks.</p></li></ol></div></div><div id=secondary class=widget-area><h3>Archive</h3><ul><li><a href=j>June</a></li></ul></div></div><div id=colophon>Powered by words</div></body>", ["Post title", S, S]),
+    "news": (f"<body><div class=topbar><a href=l>Log in</a></div><main><article class=news-story><h1>Big news</h1><div class=body><p>{S} {S} {S}</p><aside class=related><h3>Read also</h3><ul><li><a href=x>Other story</a></li></ul></aside><p>{S} {S}</p><div class=advert>Buy this now.</div><p>{S}</p></div></article><div class=cookie-banner><p>We use cookies.</p></div></main></body>", ["Big news", f"{S} {S} {S}", f"{S} {S}", S]),
+    "bare": (f"<p>{S}</p>", [S]),
+    "words": ("Just words.", ["Just words."]),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_layouts_that_training_has_not(model, name):
+    html, want = LAYOUTS[name]
+    assert html_text.texts([html], model)[0].split("\n\n") == want
+
+
+def test_blocks_of_other_labelled_pages(model):
+    f = html_text.forest([html_text.Dom(h) for h in html_text.labelled_pages(150, 78)])
+    p, _ = html_text.beliefs(f, model.w, model.theta)
+    own = np.array([any(r is not None and r[0] == i and r[1].strip() for r in d.runs) for d in f.doms for i in range(len(d.tags))])
+    y, kept = html_text.labels_of(f)[own] == 1, p[own] > 0.5
+    assert (y & kept).sum() / kept.sum() > 0.95 and (y & kept).sum() / y.sum() > 0.95
+
+
+def test_end_tags_cost_the_same_at_any_depth(model):
+    began = time.perf_counter()
+    html_text.Dom("<div>" * 5000 + "</b></p></i></section>" * 20_000 + "x")
+    html_text.Dom("<b><div>" + "<i>" * 5000 + "</b><li>" * 20_000)
+    assert time.perf_counter() - began < 4
+
+
 def test_odd_pages(model):
     got = html_text.texts([None, "", "   ", "<", "<article>", "</p></div>", "<article><p>" + "<b>" * 3000 + "deep", "<article><p>" + "w " * 200_000 + "</p></article>"], model)
     assert got[:6] == ["", "", "", "<", "", ""] and got[6] == "deep" and len(got[7]) == 399_999
