@@ -1,201 +1,237 @@
 """Language identification by character language models with interpolated Kneser-Ney smoothing.
 
-Texts become symbols: the most frequent lower-case letters of the sample one each, all other letters one, every run of
-non-letters one boundary. Per language a 4-symbol model is counted on a sample of at most SAMPLE_DOCS labelled documents, whole
-texts; the 4-symbol sequences seen in any language stand in one array of sorted hashes with a column of log probabilities per
-language, all others back off. The language with the lowest cross-entropy per symbol wins. A text is rejected when that lies above
-what a fifth of the sample, kept out of the counts, shows for the language, plus a margin that is wider for short texts.
-
-Null texts and texts without a letter are `und` with score 0, and rejected. Ties go to the first language in order. Repeated
-rows get equal answers; an empty table gives none. Without any labelled document every text is `und`.
+Symbols are lower-case code points: letters and marks stand for themselves, every run of other characters is one boundary. Per
+language a model of four symbols is counted on a sample of labelled documents, whole texts: on the executors, by sequence; only the
+counts reach the driver. Each order of a model is a sorted array of sequence keys (exact up to three symbols, hashed at four) with
+log probabilities, and one of contexts with back-off weights; below the single symbols lies an even distribution over all code
+points. A model takes at most 12 bytes for each sequence and context of its sample, that is 96 bytes for each sampled character.
+
+The language with the lowest cross-entropy per symbol wins. A text is rejected when that lies above what a fifth of the sample, kept
+out of the counts, shows for the language, plus a margin that is wider for short texts.
+
+The sample of a language are its documents with the smallest hashes of their ids, at most SAMPLE_DOCS rows, up to the one that
+completes SAMPLE_CHARS characters. Null texts and texts without a letter are `und` with score 0, and rejected. Ties go to the first
+language in order. Repeated rows get equal answers; an empty table gives none. Without any labelled document every text is `und`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled documents per language that are learned from, by the smallest hashes of their ids.
-SAMPLE_DOCS = 500
-#: Symbols: 0 is the boundary, 63 any letter without a symbol of its own.
-SYMBOLS, BITS = 64, 6
+from .shared import written
+
+#: Labelled rows per language that are learned from, and their characters.
+SAMPLE_DOCS, SAMPLE_CHARS = 500, 4_000_000
+ORDER = 4
+#: Bits of a code point, and how many there are for the even distribution.
+BITS, POINTS = np.uint64(21), 0x110000
 #: Nats per symbol above the highest cross-entropy seen in the kept-out part; texts of n symbols get SLACK / sqrt(n) on top, as a few
 #: odd letters weigh much in a short text.
 MARGIN, SLACK = 1.0, 6.0
-#: The most values of lang that are taken for languages.
-MOST_LANGUAGES = 10_000
-#: Symbols of evidence that the score counts at most.
-EVIDENCE = 40
+#: Weight of the evidence in the score: neighbouring symbols say much the same, so it grows with the root of their number.
+WEIGHT = 6.0
 #: Symbols scored together.
 BLOCK = 1 << 20
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+U = np.uint64
+ONE, TWO, THREE = BITS, U(2) * BITS, U(3) * BITS
+LOW, LOW2 = (U(1) << ONE) - U(1), (U(1) << TWO) - U(1)
 
 
 def held_out() -> F.Column:
+    """Whether a row is kept from all learning, by its doc_id; null for a null doc_id."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 
 
-def hashed(codes: np.ndarray) -> np.ndarray:
-    """Invertible, so different sequences have different hashes."""
-    x = codes.astype(np.uint64) * MULTIPLIER
-    return x ^ (x >> np.uint64(32))
+def four(first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """64-bit hashes of four symbols: the first, and the exact key of the other three."""
+    x = rest * U(0x9E3779B97F4A7C15) + first * U(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> U(32))) * U(0xA0761D6478BD642F)
+    return x ^ (x >> U(29))
 
 
+@lru_cache
 def letters() -> np.ndarray:
-    """Per code point: SYMBOLS - 1 for letters, else 0."""
-    return np.fromiter((SYMBOLS - 1 if chr(c).isalpha() else 0 for c in range(0x110000)), np.uint8, 0x110000)
+    """Per code point, whether it is a letter or a mark."""
+    return np.fromiter((category(chr(c))[0] in "LM" for c in range(POINTS)), bool, POINTS)
 
 
-def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+def symbols(text: str) -> np.ndarray:
+    """Lower-case letters and marks as code points, 0 for each run of anything else."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    s = np.where(letters()[points], points, 0)
+    return s[np.append(True, (s[1:] != 0) | (s[:-1] != 0))] if len(s) else s
 
 
-def windows(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of each symbol with the three before it in its text, and the number of symbols of each text."""
-    parts = [table[points(t)] for t in texts]
-    kept = [p[np.append(True, (p[1:] != 0) | (p[:-1] != 0))] if len(p) else p for p in parts]
-    sizes = np.array([len(p) for p in kept], np.int64)
-    s = np.concatenate(kept).astype(np.int64) if kept else np.zeros(0, np.int64)
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each symbol the third one before it and the key of the other three, within its text; and the symbols of each text."""
+    parts = [symbols(t) for t in texts]
+    sizes = np.array([len(p) for p in parts], np.int64)
+    s = np.concatenate(parts).astype(U) if parts else np.zeros(0, U)
     nth = np.arange(len(s)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    codes = s.copy()
-    for back in (1, 2, 3):
-        codes[back:] |= np.where(nth[back:] >= back, s[:-back], 0) << (BITS * back)
-    return codes, sizes
+    back = []
+    for k in (1, 2, 3):
+        before = np.zeros(len(s), U)
+        before[k:] = np.where(nth[k:] >= k, s[:-k], 0)
+        back.append(before)
+    return back[2], s | back[0] << ONE | back[1] << TWO, sizes
 
 
-def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences seen, their log probabilities, and for every context and 3-symbol sequence the log back-off and lower model."""
+def found(keys: np.ndarray, values: np.ndarray, want: np.ndarray, other: np.ndarray | float) -> np.ndarray:
+    """The values of the wanted keys in a sorted array, other where they are not there."""
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    return np.where(keys[at] == want, values[at], other)
 
-    def lower(counts: np.ndarray, below: np.ndarray, width: int) -> np.ndarray:
-        """Probabilities of one order from continuation counts, interpolated with the order below."""
-        by = counts.reshape(-1, width).astype(float)
-        total, kinds = by.sum(1, keepdims=True), (by > 0).sum(1, keepdims=True)
-        d = discount(counts)
-        base = np.broadcast_to(below.reshape(-1, width), (len(below.reshape(-1, width)), width))
-        base = np.tile(base, (len(by) // len(base), 1))
-        return np.where(total > 0, (np.maximum(by - d, 0) + d * kinds * base) / np.maximum(total, 1), base).ravel()
+
+@dataclass
+class Language:
+    """Log probabilities by order of sequence, and log back-off weights by length of context, each with its sorted keys."""
+
+    grams: list[tuple[np.ndarray, np.ndarray]]
+    backs: list[tuple[np.ndarray, np.ndarray]]
+    unseen: float
+
+    def log_p(self, first: np.ndarray, rest: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Log probability of the last symbol after the others; key is four(first, rest)."""
+        before = rest >> ONE
+        p = found(*self.grams[0], rest & LOW, self.unseen)
+        p = found(*self.grams[1], rest & LOW2, found(*self.backs[0], before & LOW, 0) + p)
+        p = found(*self.grams[2], rest, found(*self.backs[1], before, 0) + p)
+        return found(*self.grams[3], key, found(*self.backs[2], before | first << TWO, 0) + p)
+
+
+def language(first: np.ndarray, rest: np.ndarray, n: np.ndarray) -> Language:
+    """The model of the distinct sequences of four symbols that were seen n times each."""
 
     def discount(counts: np.ndarray) -> float:
         one, two = int((counts == 1).sum()), int((counts == 2).sum())
         return one / (one + 2 * two) if one and two else 0.5
 
-    seen, n = np.unique(codes, return_counts=True)
-    three = np.bincount(seen & (SYMBOLS**3 - 1), minlength=SYMBOLS**3)
-    two = np.bincount(np.flatnonzero(three) & (SYMBOLS**2 - 1), minlength=SYMBOLS**2)
-    one = np.bincount(np.flatnonzero(two) & (SYMBOLS - 1), minlength=SYMBOLS)
-    p1 = lower(one, np.full(SYMBOLS, 1 / SYMBOLS), SYMBOLS)
-    p2 = lower(two, p1, SYMBOLS)
-    p3 = lower(three, p2, SYMBOLS)
-    context, d = seen >> BITS, discount(n)
-    total, kinds = np.bincount(context, weights=n, minlength=SYMBOLS**3), np.bincount(context, minlength=SYMBOLS**3)
-    back = np.where(total > 0, d * kinds / np.maximum(total, 1), 1)
-    p4 = (n - d) / total[context] + back[context] * p3[seen & (SYMBOLS**3 - 1)]
-    return seen, np.log(p4), np.log(back), np.log(p3)
+    # a lower order counts in how many distinct sequences of the order above a sequence stands
+    three, c3 = np.unique(rest, return_counts=True)
+    two, c2 = np.unique(three & LOW2, return_counts=True)
+    one, c1 = np.unique(two & LOW, return_counts=True)
+    d1, total = discount(c1), c1.sum()
+    spare = d1 * len(c1) / total / POINTS
+    p = (c1 - d1) / total + spare
+    keys, grams, backs = one, [(one, np.log(p))], []
+    for seen, counts, context, lower in ((two, c2, two >> ONE, two & LOW), (three, c3, three >> ONE, three & LOW2), (None, n, rest >> ONE | first << TWO, rest)):
+        d = discount(counts)
+        contexts, at, kinds = np.unique(context, return_inverse=True, return_counts=True)
+        total = np.bincount(at, weights=counts)
+        back = d * kinds / total
+        p = (counts - d) / total[at] + back[at] * p[np.searchsorted(keys, lower)]
+        keys = four(first, rest) if seen is None else seen
+        by = np.argsort(keys)
+        grams.append((keys[by], np.log(p[by])))
+        backs.append((contexts, np.log(back)))
+    small = lambda tables: [(k, v.astype(np.float32)) for k, v in tables]
+    return Language(small(grams), small(backs), float(np.log(spare)))
 
 
 @dataclass
 class Model:
-    languages: list[str]
-    alphabet: np.ndarray  # code points of symbols 1, 2, ...
-    keys: np.ndarray  # sorted hashes of the 4-symbol sequences seen
-    values: np.ndarray  # (sequences, languages) log probabilities
-    back: np.ndarray  # (3-symbol contexts, languages)
-    lower: np.ndarray  # (3-symbol sequences, languages)
+    names: list[str]
+    languages: list[Language]
     limits: np.ndarray  # highest accepted cross-entropy per language
 
-    def symbol_table(self) -> np.ndarray:
-        table = letters()
-        table[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
-        return table
-
-    def entropies(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per symbol (texts, languages), and symbols per text."""
-        out, sizes, lo = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64), 0
+        out, sizes, lo = np.zeros((len(texts), len(self.names))), np.zeros(len(texts), np.int64), 0
         while lo < len(texts):
             hi, held = lo, 0
             while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= BLOCK):
                 held += len(texts[hi])
                 hi += 1
-            codes, n = windows(texts[lo:hi], table)
-            sums = np.zeros((hi - lo, len(self.languages)))
-            owner = np.repeat(np.arange(hi - lo), n)
-            for a in range(0, len(codes), BLOCK):
-                got, who = self.log_p(codes[a : a + BLOCK]), owner[a : a + BLOCK]
+            first, rest, n = windows(texts[lo:hi])
+            owner = np.repeat(np.arange(lo, hi), n)
+            for a in range(0, len(rest), BLOCK):
+                part = slice(a, a + BLOCK)
+                key, once, which = np.unique(four(first[part], rest[part]), return_index=True, return_inverse=True)
+                who = owner[part]
                 at = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-                sums[who[at]] += np.add.reduceat(got, at, 0, dtype=np.float64)
-            out[lo:hi], sizes[lo:hi] = -sums / np.maximum(n, 1)[:, None], n
+                for k, each in enumerate(self.languages):
+                    got = each.log_p(first[part][once], rest[part][once], key)
+                    out[who[at], k] -= np.add.reduceat(got[which], at, dtype=np.float64)
+            sizes[lo:hi] = n
             lo = hi
-        return out, sizes
-
-    def log_p(self, codes: np.ndarray) -> np.ndarray:
-        want = hashed(codes)
-        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
-        got = self.values[at]
-        miss = np.flatnonzero(self.keys[at] != want)
-        got[miss] = self.back[codes[miss] >> BITS] + self.lower[codes[miss] & (SYMBOLS**3 - 1)]
-        return got
-
-
-def sample(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
-    """(doc_id, text, lang) of at most so many labelled documents per language, those with the smallest hashes of their ids."""
-    ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id", F.lit(8)).alias("h"))
-    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError("lang does not hold languages")
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], float(1 << 30) * 4 * most / r["n"]))) if sizes else F.create_map(F.lit(""), F.lit(0.0))
-    few = ids.filter(F.pmod("h", F.lit(1 << 30)) <= share[F.col("lang")])
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "doc_id"))
-    few = few.withColumn("nth", first).filter(F.col("nth") <= most).select("doc_id", "lang").withColumnsRenamed({"doc_id": "_id", "lang": "_lang"})
+        return out / np.maximum(sizes, 1)[:, None], sizes
+
+
+def sample(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(text, lang, nth, many) of the labelled rows that are learned from: their number within the language, and how many it has."""
+    key = F.xxhash64("doc_id", F.lit(8))
+    ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", key.alias("h"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    few = ids.withColumn("nth", first).filter(F.col("nth") <= most).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     # at most SAMPLE_DOCS ids for each language: small by its definition
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
-    return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("_lang").alias("lang"))
+    rows = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(few), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "lang", "text", key.alias("h"))
+    each = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
+    rows = rows.withColumns({"nth": F.row_number().over(each), "chars": F.sum(F.char_length("text")).over(each.rowsBetween(Window.unboundedPreceding, -1))})
+    rows = rows.filter((F.col("nth") <= most) & (F.coalesce("chars", F.lit(0)) < chars))
+    return rows.select("text", "lang", "nth", F.count(F.lit(1)).over(Window.partitionBy("lang")).alias("many"))
 
 
-def fit(docs: DataFrame, most: int = SAMPLE_DOCS) -> Model | None:
-    rows = sorted(sample(docs, most).collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"]))
-    languages = sorted({r["lang"] for r in rows})
-    if not languages:
+GRAMS = "lang string, first bigint, rest bigint, n bigint"
+
+
+def grams(rows: DataFrame) -> DataFrame:
+    """GRAMS: how often each sequence of four symbols stands in the texts of each language."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lang in sorted(set(langs)):
+                first, rest, _ = windows([t for t, x in zip(texts, langs) if x == lang])
+                _, once, n = np.unique(four(first, rest), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(once), pa.string()), pa.array(first[once].astype(np.int64)), pa.array(rest[once].astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "first", "rest", "n"])
+
+    return rows.select("text", "lang").mapInArrow(work, GRAMS).groupBy("lang", "first", "rest").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model | None:
+    """The models, from documents whose crc32(doc_id as text) mod 5 is not 0; None where none of their samples has a character."""
+    rows = written(sample(docs, most, chars), "language-sample")
+    counts = grams(rows.filter("nth % 5 <> 0 or many < 5")).toPandas().sort_values(["lang", "first", "rest"])
+    by = {lang: g for lang, g in counts.groupby("lang")}
+    names = sorted(by)
+    if not names:
         return None
-    is_letter = letters()
-    seen = np.bincount(np.concatenate([points(r["text"]) for r in rows]), minlength=0x110000)
-    seen[is_letter == 0] = 0
-    order = np.argsort(-seen, kind="stable")[: SYMBOLS - 2]
-    alphabet = np.sort(order[seen[order] > 0])
-    table = is_letter.copy()
-    table[alphabet] = np.arange(1, len(alphabet) + 1)
-    texts = [[r["text"] for r in rows if r["lang"] == lang] for lang in languages]
-    learn = [[t for i, t in enumerate(ts) if i % 5 or len(ts) < 5] for ts in texts]
-    models = [counted(windows(ts, table)[0]) for ts in learn]
-    codes = np.unique(np.concatenate([m[0] for m in models]))
-    back, lower = (np.stack([m[k] for m in models], 1).astype(np.float32) for k in (2, 3))
-    values = back[codes >> BITS] + lower[codes & (SYMBOLS**3 - 1)]
-    for k, (own, p, _, _) in enumerate(models):
-        values[np.searchsorted(codes, own), k] = p
-    keys = hashed(codes)
-    by = np.argsort(keys)
-    model = Model(languages, alphabet, keys[by], values[by].astype(np.float32), back, lower, np.zeros(len(languages)))
-    for k, ts in enumerate(texts):
-        kept = [t for i, t in enumerate(ts) if i % 5 == 0 or len(ts) < 5]
-        model.limits[k] = model.entropies(kept, table)[0][:, k].max() + MARGIN
-    return model
-
-
-def judge(texts: list[str], m: Model | None, table: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    models = [language(g["first"].to_numpy().astype(U), g["rest"].to_numpy().astype(U), g["n"].to_numpy()) for g in map(by.get, names)]
+    model = Model(names, models, np.full(len(names), np.inf))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {name: k for k, name in enumerate(shared.value.names)}
+        for batch in batches:
+            h, _ = shared.value.entropies(batch.column(0).to_pylist())
+            own = [float(x[at[lang]]) if lang in at else 0.0 for x, lang in zip(h, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.float64())], names=["lang", "h"])
+
+    kept = rows.filter("nth % 5 = 0 or many < 5").select("text", "lang").mapInArrow(work, "lang string, h double")
+    highest = dict(kept.groupBy("lang").agg(F.max("h")).collect())
+    return Model(names, models, np.array([highest.get(name, np.inf) for name in names]) + MARGIN)
+
+
+def judge(texts: list[str], m: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Language, score, cross-entropy and acceptance of each text."""
     known = np.array([m is not None and any(map(str.isalpha, t)) for t in texts], bool)
     lang, score, entropy, accepted = np.full(len(texts), "und", object), np.zeros(len(texts)), np.full(len(texts), np.nan), np.zeros(len(texts), bool)
     if known.any():
-        h, n = m.entropies([t for t, k in zip(texts, known) if k], table)
+        h, n = m.entropies([t for t, k in zip(texts, known) if k])
         best = h.argmin(1)
-        low = h[np.arange(len(h)), best]
-        lang[known] = np.array(m.languages, object)[best]
-        score[known] = 1 / np.exp((low[:, None] - h) * np.minimum(n, EVIDENCE)[:, None]).sum(1)
-        entropy[known], accepted[known] = low, low <= m.limits[best] + SLACK / np.sqrt(np.maximum(n, 1))
+        low, root = h[np.arange(len(h)), best], np.sqrt(np.maximum(n, 1))
+        lang[known] = np.array(m.names, object)[best]
+        score[known] = 1 / np.exp((low[:, None] - h) * WEIGHT * root[:, None]).sum(1)
+        entropy[known], accepted[known] = low, low <= m.limits[best] + SLACK / root
     return lang, score, entropy, accepted
 
 
@@ -207,10 +243,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        table = m.symbol_table() if m else None
         for batch in batches:
-            lang, score, entropy, accepted = judge([t or "" for t in batch.column(1).to_pylist()], m, table)
+            lang, score, entropy, accepted = judge([t or "" for t in batch.column(1).to_pylist()], shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(accepted)], names=["doc_id", "lang_pred", "score", "entropy", "accepted"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(work, PREDICTED)
@@ -221,9 +255,7 @@ def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        table = m.symbol_table() if m else None
         for batch in batches:
-            yield batch.filter(pa.array(judge([t or "" for t in batch.column("text").to_pylist()], m, table)[3]))
+            yield batch.filter(pa.array(judge([t or "" for t in batch.column("text").to_pylist()], shared.value)[3]))
 
     return docs.mapInArrow(work, docs.schema)

@@ -1,5 +1,7 @@
 import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -43,19 +45,83 @@ def test_language_without_labels_and_without_rows(docs):
 def test_answers_do_not_depend_on_neighbours(docs):
     rows = [(i, text("aa" if i % 2 else "bb", 3), "aa" if i % 2 else "bb", "s") for i in range(200)]
     m = langid.fit(docs(rows))
-    table = m.symbol_table()
-    together = m.entropies([r[1] for r in rows], table)[0]
-    alone = np.concatenate([m.entropies([r[1]], table)[0] for r in rows])
+    together = m.entropies([r[1] for r in rows])[0]
+    alone = np.concatenate([m.entropies([r[1]])[0] for r in rows])
     assert np.allclose(together, alone)
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    codes = langid.windows([text("aa", 50)], np.minimum(langid.letters(), 5))[0]
-    codes = np.concatenate([codes, codes])
-    seen, p4, back, p3 = langid.counted(codes)
-    full = back[:, None] + p3.reshape(-1, langid.SYMBOLS)[np.arange(langid.SYMBOLS**3) % langid.SYMBOLS**2]
-    full[seen >> langid.BITS, seen & 63] = p4
-    assert np.allclose(np.exp(full).sum(1)[np.unique(seen >> langid.BITS)], 1)
+def kneser_ney(texts):
+    """Interpolated Kneser-Ney over dictionaries: p(symbol, context) for contexts of up to three symbols."""
+    grams = Counter()
+    for t in texts:
+        s = [0, 0, 0, *plain_symbols(t)]
+        grams.update(tuple(s[i - 3 : i + 1]) for i in range(3, len(s)))
+    orders = {4: grams}
+    for n in (3, 2, 1):
+        orders[n] = Counter(g[1:] for g in orders[n + 1])
+    discounts = {}
+    for n, counts in orders.items():
+        one, two = (sum(v == k for v in counts.values()) for k in (1, 2))
+        discounts[n] = one / (one + 2 * two) if one and two else 0.5
+
+    def p(symbol, context):
+        n = len(context) + 1
+        after = {g[-1]: v for g, v in orders[n].items() if g[:-1] == context}
+        lower = p(symbol, context[1:]) if context else 1 / 0x110000
+        if not after:
+            return lower
+        total, d = sum(after.values()), discounts[n]
+        return max(after.get(symbol, 0) - d, 0) / total + d * len(after) / total * lower
+
+    return p
+
+
+def plain_symbols(text):
+    out = []
+    for c in text.lower():
+        code = ord(c) if unicodedata.category(c)[0] in "LM" else 0
+        if code or not out or out[-1]:
+            out.append(code)
+    return out
+
+
+def test_language_model_equals_one_over_dictionaries(docs):
+    learned = [text("aa", 20), "Ka lo, mi!", "ωψξ ωψ", "हिन्दी में", "中文字 中文"]
+    counts = langid.grams(docs([(i, t) for i, t in enumerate(learned)])).toPandas()
+    m = langid.language(counts["first"].to_numpy().astype("u8"), counts["rest"].to_numpy().astype("u8"), counts["n"].to_numpy())
+    p = kneser_ney(learned)
+    for t in [*learned, "kalo mi zu ωξψ", "हिन्दीन्", "文中 字", "x"]:
+        first, rest, sizes = langid.windows([t])
+        s = [0, 0, 0, *plain_symbols(t)]
+        want = [np.log(p(s[i], tuple(s[i - 3 : i]))) for i in range(3, len(s))]
+        assert sizes[0] == len(want) and np.allclose(m.log_p(first, rest, langid.four(first, rest)), want, atol=1e-4)
+
+
+def test_probabilities_after_a_context_sum_to_one():
+    first, rest, _ = langid.windows([text("aa", 80)])
+    _, once, n = np.unique(langid.four(first, rest), return_index=True, return_counts=True)
+    m = langid.language(first[once], rest[once], n)
+    points = np.arange(langid.POINTS, dtype=np.uint64)
+    for at in once[:5]:
+        rests = (rest[at] >> langid.BITS << langid.BITS) | points
+        before = np.full(langid.POINTS, first[at])
+        assert np.isclose(np.exp(m.log_p(before, rests, langid.four(before, rests)).astype(float)).sum(), 1, atol=1e-3)
+
+
+def test_scripts_beside_a_latin_majority(docs):
+    scripts = {"el": ["και", "το", "μου", "σπίτι", "θάλασσα"], "ru": ["дом", "на", "море", "что", "они"], "sr": ["кућа", "је", "море", "што", "њих"], "hi": ["हिन्दी", "में", "की", "घर", "समुद्र"], "zh": ["我們", "學校", "海洋", "什麼", "房子"], "ja": ["私たち", "学校", "です", "海は", "家の"], "th": ["บ้าน", "ทะเล", "ที่", "เรา", "น้ำ"]}
+    make = lambda lang, n: " ".join(rng.choice(scripts[lang]) for _ in range(n))
+    rows = [(i, text("aa" if i % 2 else "bb", 60), "aa" if i % 2 else "bb", "s") for i in range(300)]
+    rows += [(1000 + 100 * k + i, make(lang, 8), lang, "s") for k, lang in enumerate(scripts) for i in range(20)]
+    got = {r["doc_id"]: r for r in langid.predict(docs(rows), langid.fit(docs(rows))).collect()}
+    assert all(got[r[0]]["lang_pred"] == r[2] and got[r[0]]["accepted"] for r in rows)
+
+
+def test_sample_is_bounded_in_rows_and_characters(docs):
+    rows = [(7, text("aa", 5), "aa", "s")] * 50 + [(i, "ka " * 1000, "bb", "s") for i in range(100)] + [(i, "lo", f"l{i}", "s") for i in range(200, 260)]
+    got = langid.sample(docs(rows), most=10, chars=9000).groupBy("lang").count().collect()
+    counts = {r["lang"]: r["count"] for r in got}
+    assert counts["aa"] == 10 and counts["bb"] == 3 and len(counts) == 2 + sum(not held(i) for i in range(200, 260))
 
 
 def test_quality(spark, docs):
