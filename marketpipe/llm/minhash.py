@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import dropped, written
+from .shared import bit_table, dropped, thinned, written
 
 SHINGLE = 5
 HASHES = 120
@@ -43,8 +43,6 @@ PERCENT = 85
 MISS = 1e-6
 #: Members of one block, of a star that is confirmed or of a mixed bucket that is finished.
 BLOCK = 64
-#: Rows of the bit table that thins out texts, at most: 16 MB at any size of the corpus.
-FILTER_WORDS = 1 << 20
 #: How often nodes that cannot have a link across components are left out; any number gives the same links.
 ROUNDS = 3
 #: Bytes of text that are hashed together. A word of PIECE - 1 bytes or more has a digest of its own as its hash, wherever it stands.
@@ -249,16 +247,6 @@ def confirmed(dealt: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return written(rows.filter(similar("text_a", "text_b", percent)).select("a", "b").distinct(), "links")
 
 
-def thinned(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows (id, ...) without most of those whose id is not in ids, by a bit table of at most FILTER_WORDS rows of 64 bits."""
-    spread = F.pmod(F.xxhash64("id"), F.lit(64 * FILTER_WORDS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(spread, F.lit(64)).cast("int"))
-    word = F.floor(spread / 64).cast("bigint")
-    table = ids.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    there = rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(table), "_word")
-    return there.filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).drop("_word", "_bit", "_bits")
-
-
 def shared_buckets(nodes: DataFrame, percent: int) -> DataFrame:
     """(band, h, id, a): the nodes of each bucket with more than one, and the smallest of them."""
     each = nodes.select("id", F.posexplode(bands("signature", rows_of(percent))).alias("band", "h"))
@@ -359,7 +347,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     buckets = shared_buckets(nodes, percent)
     needed = buckets.select("id").distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = written(thinned(texts, needed).join(needed, "id", "left_semi").dropDuplicates(["id", "text"]), "bucket-texts")
+    texts = written(thinned(texts, bit_table(needed, "id"), "id").join(needed, "id").dropDuplicates(["id", "text"]), "bucket-texts")
 
     pairs = in_blocks(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
     links = confirmed(written(alike(pairs, nodes, percent), "centre-pairs"), texts, percent)
