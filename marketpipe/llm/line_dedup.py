@@ -4,6 +4,9 @@ A line is what stands between line feeds, compared after trimming white space. P
 merge by aggregation (map side first). Lines whose estimate lies near the threshold get an exact distinct count. A line on at
 least min_sites sites goes from every document but the one with the smallest doc_id that has it, so no content leaves the corpus.
 
+Bit tables of bounded size keep lines that stay, and documents that lose none, out of the shuffles. Lines of HOT_DOCS documents or
+more are dealt over SALTS tasks each.
+
 Null text: no lines, empty result text. Blank lines are neither counted nor removed. A null source is no site. Repeated rows
 count as the same site. An empty table gives an empty result. Extra columns pass through apply() untouched.
 """
@@ -13,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import whole, written
+from .shared import bit_table, dropped, thinned, whole, written
 
 MIN_SITES = 10
 #: log2 of a sketch's buckets: a relative standard error of about 1.04 / 2^(LG_K / 2), 1.6 % at 12.
 LG_K = 12
 #: Estimates within this share of the threshold (more than five standard errors) are counted exactly.
 NEAR = 0.1
+#: Documents from which a line's rows are dealt over tasks, and over how many.
+HOT_DOCS, SALTS = 1000, 256
 
 
 def bare(line: Column) -> Column:
@@ -39,27 +44,41 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, near: float = NEAR) -> DataFrame:
-    """(a, b, first_id): the lines on at least min_sites distinct sites, and the smallest document that has each."""
+    """(a, b, first_id, n): the lines on at least min_sites distinct sites, the smallest document that has each, and how many have it."""
     most = F.col("n") >= min_sites  # fewer documents than that cannot be on that many sites
     counted = lines.filter(F.col("site").isNotNull()).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"), F.hll_sketch_agg("site", lg_k).alias("sketch"))
-    counted = written(counted.filter(most).select("a", "b", "first_id", F.hll_sketch_estimate("sketch").alias("estimate")), "line-spread")
+    counted = written(counted.filter(most).select("a", "b", "first_id", "n", F.hll_sketch_estimate("sketch").alias("estimate")), "line-spread")
     sure = counted.filter(F.col("estimate") > min_sites * (1 + near) + 1)
     unsure = counted.filter((F.col("estimate") >= min_sites * (1 - near) - 1) & (F.col("estimate") <= min_sites * (1 + near) + 1))
-    exact = lines.filter(F.col("site").isNotNull()).join(unsure.select("a", "b"), ["a", "b"], "left_semi")
-    exact = exact.groupBy("a", "b", "site").agg(F.lit(1).alias("one")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("sites"))
-    near_in = unsure.join(exact.filter(F.col("sites") >= min_sites), ["a", "b"], "left_semi")
-    return sure.unionByName(near_in).select("a", "b", "first_id")
+    # a line's sites are made distinct before the join, however many documents have it
+    exact = thinned(lines.filter(F.col("site").isNotNull()), bit_table(unsure, "a"), "a").groupBy("a", "b", "site").agg(F.lit(1).alias("one"))
+    exact = exact.groupBy("a", "b").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites)
+    return sure.unionByName(unsure.join(exact, ["a", "b"], "left_semi")).select("a", "b", "first_id", "n")
+
+
+def lost_lines(lines: DataFrame, spread: DataFrame) -> DataFrame:
+    """(doc_id, a, b): the lines that each document loses. Rows of lines that many documents have meet a copy of the line per salt."""
+    lines = thinned(lines.select("doc_id", "a", "b"), bit_table(spread, "a"), "a")
+    hot = bit_table(spread.filter(F.col("n") >= HOT_DOCS), "a")
+    salted = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    many = thinned(lines, hot, "a").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    many = many.join(thinned(spread, hot, "a").select("a", "b", "first_id", salted), ["a", "b", "salt"]).drop("salt")
+    few = thinned(lines, hot, "a", there=False).join(thinned(spread, hot, "a", there=False).drop("n"), ["a", "b"])
+    return many.unionByName(few).filter(F.col("doc_id") != F.col("first_id")).select("doc_id", "a", "b")
 
 
 def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """docs with its text cleaned, plus n_lines (lines before) and n_removed. Rows of a null doc_id stay as they are."""
     lines = written(lines_of(docs), "lines")
     spread = written(spread_lines(lines, min_sites, lg_k), "spread-lines")
-    drop = lines.join(spread, ["a", "b"]).filter(F.col("doc_id") != F.col("first_id"))
-    drop = drop.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("_drop")).withColumnRenamed("doc_id", "_id")
+    drop = lost_lines(lines, spread).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("_drop"))
+    drop = written(drop.withColumnRenamed("doc_id", "_id"), "lost-lines")
+    dropped(lines)
     parts = F.split(whole("text"), "\n", -1)
     kept = F.filter(parts, lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
-    joined = docs.join(drop, F.col("doc_id") == F.col("_id"), "left")
+    losing = bit_table(drop, "_id")
+    whole_docs = thinned(docs, losing, "doc_id", there=False).withColumns({"_id": F.lit(None).cast(drop.schema["_id"].dataType), "_drop": F.lit(None).cast(drop.schema["_drop"].dataType)})
+    joined = thinned(docs, losing, "doc_id").join(drop, F.col("doc_id") == F.col("_id"), "left").unionByName(whole_docs)
     clean = F.when(F.col("_drop").isNull(), whole("text")).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumns({"_clean": clean, "n_lines": F.when(whole("text") == "", 0).otherwise(F.size(parts)).cast("bigint")})
     left = F.when(F.col("_drop").isNull(), F.col("n_lines")).otherwise(F.size(kept))
