@@ -74,6 +74,13 @@ def outcome() -> Column:
     )
 
 
+def last_published(rows: DataFrame) -> DataFrame:
+    """(issuer, last_period_end, last_basis, n_published): the newest period of each issuer's published filings, with the first basis
+    in order of the sequence among those of that period."""
+    newest = F.max_by("basis", F.struct("period_end", -F.col("seq")))
+    return rows.filter("outcome = 'published'").groupBy("issuer").agg(F.max("period_end").alias("last_period_end"), newest.alias("last_basis"), F.count(F.lit(1)).alias("n_published"))
+
+
 def run_summary(outcomes: DataFrame) -> DataFrame:
     """Filings by outcome and sector, with the flagged among them."""
     return outcomes.groupBy("outcome", F.coalesce("sector_kind", F.lit("none")).alias("sector")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("flags") != "").alias("flagged"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,13 +48,38 @@ def pivot_facts(facts: DataFrame, elements: Sequence[str], contexts: Sequence[st
 def sector_kind(facts: DataFrame) -> DataFrame:
     """(filing, sector_kind) by the presence of facts in duration contexts: insurance, bank, nbfc, general, else null."""
     there = facts.filter(F.col("context").isin("OneD", "FourD") & (F.trim("value") != ""))
-    has = lambda e: F.max(F.col("element") == e)
+    return there.groupBy("filing").agg(kind_of(lambda e: F.max(F.col("element") == e)).alias("sector_kind"))
+
+
+#: Elements by whose presence a filing's sector is known.
+SHOWN = ("NetPremiumIncome", "NetPremiumWritten", "InterestEarned", "InterestExpended", "RevenueFromOperations", "ImpairmentOnFinancialInstruments")
+
+
+def kind_of(has: Callable[[str], Column]) -> Column:
+    """The sector of a filing, from a condition for the presence of each of SHOWN."""
     rev, earned, spent = has("RevenueFromOperations"), has("InterestEarned"), has("InterestExpended")
-    kind = (
+    return (
         F.when(has("NetPremiumIncome") | has("NetPremiumWritten"), "insurance").when(earned & spent & ~rev, "bank")
         .when(rev & (has("ImpairmentOnFinancialInstruments") | earned), "nbfc").when(rev, "general")
     )
-    return there.groupBy("filing").agg(kind.alias("sector_kind"))
+
+
+def periods_with_kind(facts: DataFrame, contexts: Sequence[str] = ("OneD", "FourD")) -> DataFrame:
+    """periods() with the sector_kind of their filing, from one pass over the facts: presence is noted per context, then folded by filing."""
+    wide = facts.filter(F.col("context").isin(list(contexts))).groupBy("filing", "context").agg(
+        *(first_fact(F.trim("value"), F.col("element") == e).alias(e) for e in (*RUPEE_FACTS, *PLAIN_FACTS)),
+        *(F.max((F.col("element") == e) & (F.trim("value") != "")).alias(f"_has_{e}") for e in SHOWN),
+    )
+    kind = kind_of(lambda e: F.max(f"_has_{e}").over(Window.partitionBy("filing")))
+    return wide.select("filing", "context", *((F.col(e) / 1e7).alias(e) for e in RUPEE_FACTS), *PLAIN_FACTS, kind.alias("sector_kind"))
+
+
+def without_usable_facts(facts: DataFrame) -> DataFrame:
+    """(filing, sector_kind, error): filings of a known sector that have its revenue in neither duration context."""
+    rows = periods_with_kind(facts)
+    lines = sector_lines(rows).select("filing").distinct()
+    missing = rows.filter("sector_kind is not null").select("filing", "sector_kind").distinct().join(lines, "filing", "left_anti")
+    return missing.withColumn("error", F.lit("no usable facts in either duration context"))
 
 
 def periods(facts: DataFrame, contexts: Sequence[str] = ("OneD", "FourD")) -> DataFrame:
@@ -185,15 +210,15 @@ def gate_flags() -> Column:
 
 def ttm_eps(rows: DataFrame) -> DataFrame:
     """rows with ttm_eps and ttm_eps_method. Quarters: the sum of four known quarters that span 260 to 300 days (sum4q), else the
-    full year's EPS of the same period end (fy_eps); full years: their own. Quarters of one period end count once."""
+    full year's EPS of the same period end (fy_eps); full years: their own. Quarters of one period end count once, by the first in order, known or not."""
     key = ("instrument_key", "basis")
-    quarters = rows.filter("fiscal_quarter <> 'FY'").groupBy(*key, "period_end").agg(F.first("eps", True).alias("q_eps"))
+    quarters = rows.filter("fiscal_quarter <> 'FY'").groupBy(*key, "period_end").agg(F.min_by("eps", "fiscal_quarter").alias("q_eps"))
     w = Window.partitionBy(*key).orderBy("period_end")
     last4 = w.rowsBetween(-3, 0)
     span = inclusive_days(F.lag("period_end", 3).over(w), F.col("period_end"))
     whole_year = (F.count("q_eps").over(last4) == 4) & span.between(260, 300)
     quarters = quarters.select(*key, "period_end", F.when(whole_year, F.sum("q_eps").over(last4)).alias("sum4"))
-    annual = rows.filter("fiscal_quarter = 'FY'").groupBy(*key, "period_end").agg(F.first("eps", True).alias("fy_eps"))
+    annual = rows.filter("fiscal_quarter = 'FY'").groupBy(*key, "period_end").agg(F.min_by("eps", "fiscal_quarter").alias("fy_eps"))
     both = rows.join(quarters, [*key, "period_end"], "left").join(annual, [*key, "period_end"], "left")
     fy = F.col("fiscal_quarter") == "FY"
     value = F.when(fy, F.col("eps")).otherwise(F.coalesce("sum4", "fy_eps"))

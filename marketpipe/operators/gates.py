@@ -27,9 +27,14 @@ def sound() -> F.Column:
     return holds(prices & (F.col("volume") >= 0) & (F.col("high") >= F.col("low")) & (F.col("low") <= F.col("close")) & (F.col("close") <= F.col("high")) & (F.col("instrument_key") != ""))
 
 
+def tagged(bars: DataFrame, name: str = "ok") -> DataFrame:
+    """bars with a column that says whether each is sound."""
+    return bars.withColumn(name, sound())
+
+
 def quarantine(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, bad): exact complements."""
-    marked = bars.withColumn("_ok", sound())
+    """(clean, bad): exact complements. Each reads bars anew; where both are needed, persist tagged() and filter it."""
+    marked = tagged(bars, "_ok")
     return marked.filter("_ok").drop("_ok"), marked.filter("not _ok").drop("_ok")
 
 
@@ -104,10 +109,12 @@ def completeness(counts: DataFrame, means: DataFrame, share: float = 0.85) -> Da
     return out.select("date", F.coalesce("stored", F.lit(0)).alias("stored"), F.coalesce("expected", F.lit(0.0)).alias("expected"), F.coalesce(F.col("stored") >= share * F.col("expected"), F.lit(True)).alias("complete"))
 
 
-def day_status(days: DataFrame) -> DataFrame:
-    """Status of each day of (date, is_trading, present, complete, rows, failed_gate): what a daily run ends with."""
+def day_status(days: DataFrame, target: str | None = None) -> DataFrame:
+    """Status of each day of (date, is_trading, present, complete, rows, failed_gate): what a daily run ends with. Without rows a day
+    is not yet there; with a target day given, only that one is, and all others have failed."""
+    late = F.lit(True) if target is None else F.col("date") == F.lit(target).cast("date")
     status = (
-        F.when(~F.col("is_trading"), "holiday").when(F.col("present") & F.col("complete"), "idempotent").when(F.col("rows") == 0, "not_yet")
+        F.when(~F.col("is_trading"), "holiday").when(F.col("present") & F.col("complete"), "idempotent").when(F.col("rows") == 0, F.when(late, "not_yet").otherwise("failed"))
         .when(F.col("failed_gate"), "failed").when(F.col("present"), "success_topped_up").otherwise("success")
     )
     return days.withColumn("status", status)
@@ -123,11 +130,6 @@ def systemic_failure(selected: str = "selected", failures: str = "failures") ->
     return (F.col(selected) > 0) & (F.col(failures) >= F.col(selected))
 
 
-def window_failures(statuses: DataFrame, target: str) -> DataFrame:
-    """Failed days other than the target day."""
-    return statuses.filter((F.col("status") == "failed") & (F.col("date") != F.lit(target).cast("date")))
-
-
 def absences(presence: DataFrame, snapshots: DataFrame, key: str, inactive_at: int = 2) -> DataFrame:
     """(key, snapshot, absences, inactive) over a history of valid snapshots (snapshot is its ordinal): absences in a row since the
     key was last present; before its first presence a key has none."""

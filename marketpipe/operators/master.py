@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import deviation, index_key
 from .calendar import session_ordinals
-from .store import keep_first, keep_last
+from .store import keep_first, keep_last, numbered
 
 
 def instrument_master(bars: DataFrame, recent: int = 10) -> DataFrame:
@@ -23,6 +23,17 @@ def instrument_master(bars: DataFrame, recent: int = 10) -> DataFrame:
     return rows.select("instrument_key", "isin", "symbol", F.col("symbol").alias("name"), "series", "first_seen", "last_seen", F.when(F.col("_new"), "active").otherwise("inactive").alias("status"), F.col("first_seen").alias("valid_from"), F.col("last_seen").alias("valid_to"), "date")
 
 
+def master_order(master: DataFrame) -> DataFrame:
+    """The master numbered by key, then first seen, then all that breaks ties."""
+    return numbered(master, "instrument_key", "first_seen", "symbol", "series")
+
+
+def index_count(members: DataFrame, key: str = "index_key") -> DataFrame:
+    """(n_rows, n_indices, message) of a table of basket members."""
+    counted = members.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_indices"))
+    return counted.withColumn("message", F.concat_ws(" ", "n_indices", F.lit("indices")))
+
+
 def rebuild_universe(master: DataFrame) -> DataFrame:
     """Active rows that are no index, the latest of each symbol."""
     return keep_last(master.filter("status = 'active' and series <> 'INDEX'"), ["symbol"], ["last_seen", "instrument_key", "series"])
@@ -59,14 +70,10 @@ def worst(compared: DataFrame, n: int = 5, ties: Sequence[str] = ("date", "instr
 def stride_sample(keys: DataFrame, key: str, sample: int, seeds: Sequence = ()) -> DataFrame:
     """Every k-th key in order, k = max(1, n div sample), and the seed keys. Ranks come from per-range counts, not one global window."""
     distinct = keys.select(key).distinct()
-    parts = distinct.repartitionByRange(key).sortWithinPartitions(key).withColumn("_p", F.spark_partition_id())
-    parts = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
-    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_p")
-    # one row for each range partition
-    sizes = sizes.select("_p", (F.sum("_c").over(w) - F.col("_c")).alias("_before"), F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    rows = numbered(distinct, key, name="_n")
+    size = rows.agg(F.count(F.lit(1)).alias("_all"))
     k = F.greatest(F.lit(1), F.floor(F.col("_all") / sample))
-    picked = parts.join(F.broadcast(sizes), "_p").filter((F.col("_i") - 1 + F.col("_before")) % k == 0).select(key)
+    picked = rows.crossJoin(F.broadcast(size)).filter((F.col("_n") - 1) % k == 0).select(key)  # one row
     if seeds:
         picked = picked.unionByName(distinct.sparkSession.createDataFrame([(s,) for s in seeds], distinct.schema))
     return picked.distinct()

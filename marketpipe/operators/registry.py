@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import flags, holds, quarter_start, retry_delay
+from .master import carry_forward
+from .store import keep_last, write_snapshot
 
 TIERS = ("macro_sector", "sector", "industry", "basic_industry")
 
@@ -27,12 +29,14 @@ def reconcile(state: DataFrame, snapshot: DataFrame, today: str, *, force_pendin
     """The state after a valid snapshot, with reasons (why a key is a candidate, joined by ';', empty if it is none).
 
     state: isin, symbol, status (pending, classified, inactive), tiers, attempts, retry_on, deferred, backlog, audit_attempt_on, absences.
+    A snapshot with an ordinal, the place of each key in its file, passes it on.
     """
+    place = ["ordinal"] if "ordinal" in snapshot.columns else []
     t = F.lit(today).cast("date")
     if manual:
         untouched = (F.col("status") == "pending") & F.col("sector").isNull() & (F.col("attempts") == 0) & F.col("retry_on").isNull()
         state = state.withColumn("backlog", F.col("backlog") | untouched)
-    s, n = state.alias("s"), snapshot.select(F.col("isin").alias("_isin"), F.col("symbol").alias("_symbol")).alias("n")
+    s, n = state.alias("s"), snapshot.select(F.col("isin").alias("_isin"), F.col("symbol").alias("_symbol"), *place).alias("n")
     both = s.join(n, F.col("s.isin") == F.col("n._isin"), "full_outer")
     old, new = F.col("isin").isNotNull(), F.col("_isin").isNotNull()
     seen = old & new
@@ -48,13 +52,13 @@ def reconcile(state: DataFrame, snapshot: DataFrame, today: str, *, force_pendin
     return both.select(
         F.coalesce("_isin", "isin").alias("isin"), F.coalesce("_symbol", "symbol").alias("symbol"), status.alias("status"), *TIERS,
         F.coalesce("attempts", F.lit(0)).alias("attempts"), "retry_on", F.coalesce("deferred", F.lit(False)).alias("deferred"), F.coalesce("backlog", F.lit(manual)).alias("backlog"),
-        "audit_attempt_on", F.coalesce(gone, F.lit(0)).alias("absences"), reasons.alias("reasons"),
+        "audit_attempt_on", F.coalesce(gone, F.lit(0)).alias("absences"), reasons.alias("reasons"), *place,
     )
 
 
 def candidates(reconciled: DataFrame, limit: int | None = None) -> DataFrame:
-    """Candidates in order of their ISIN, numbered from 1; at most limit of them."""
-    picked = reconciled.filter("reasons <> ''").orderBy("isin")
+    """Candidates in the snapshot's order, or of their ISIN where it has none; at most limit of them."""
+    picked = reconciled.filter("reasons <> ''").orderBy(*(["ordinal"] if "ordinal" in reconciled.columns else []), "isin")
     return picked if limit is None else picked.limit(limit)
 
 
@@ -83,6 +87,39 @@ def active_view(state: DataFrame) -> DataFrame:
     return state.filter((F.col("status") != "inactive") & F.col("sector").isNotNull()).select("isin", "symbol", *TIERS)
 
 
+def observed_keys(observations: DataFrame, state: DataFrame) -> DataFrame:
+    """Observations (symbol, ...) with the isin that has their symbol now, the largest one of several; those of unknown symbols go."""
+    return observations.join(keep_last(state.select("symbol", "isin"), ["symbol"], ["isin"]), "symbol")
+
+
+def flat_state(state: DataFrame, provenance: DataFrame, updated_on: str) -> DataFrame:
+    """What is stored of each key, one row: labels and where they come from (isin, observed_at, source_url, extractor_version,
+    fragment_hash) only where they are known, days as ISO text, counters, and the day of the update."""
+    known, day = F.col("sector").isNotNull(), lambda c: F.col(c).cast("string").alias(c)
+    origin = keep_last(provenance, ["isin"], ["observed_at", "source_url", "extractor_version", "fragment_hash"])
+    rows = state.join(origin, "isin", "left")
+    return rows.select(
+        "isin", "symbol", "status", *(F.when(known, F.col(c)).alias(c) for c in TIERS), "observed_at", "source_url", "extractor_version", "fragment_hash", "backlog", day("audit_attempt_on"),
+        "absences", day("retry_on"), "attempts", "deferred", F.lit(updated_on).cast("date").alias("date"),
+    )
+
+
+def write_state(state: DataFrame, provenance: DataFrame, path: str, version: str, updated_on: str) -> str:
+    """The flat state in order of its keys as a new snapshot."""
+    return write_snapshot(flat_state(state, provenance, updated_on).orderBy("isin"), path, version)
+
+
+def widened(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Current keys, and those of the previous, wider artifact that current has not."""
+    return carry_forward(current, previous, ["isin"])
+
+
+def widened_verdict(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """(n, n_prior, accepted): whether the widened registry has at least as many keys as the one before."""
+    n = widened(current, previous).agg(F.count(F.lit(1)).alias("n"))
+    return n.crossJoin(previous.agg(F.count(F.lit(1)).alias("n_prior"))).withColumn("accepted", F.col("n") >= F.col("n_prior"))  # one row each
+
+
 def from_seed(seed: DataFrame, today: str, name: str = "seed") -> DataFrame:
     """A first state from seed labels."""
     have = F.col("sector").isNotNull()

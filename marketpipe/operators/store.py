@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.workspace import written
 from ..schemas import BAR_KEY
 
 
@@ -34,13 +35,24 @@ def merged(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], ties:
     return keep_last(both, keys, ["_batch", *ties]).drop("_batch")
 
 
+def numbered(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame:
+    """df with its rows numbered from 1 in the given order. Numbers come from range partitions and their sizes; rows never meet in one task."""
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+    parts = written(parts.withColumn("_i", F.monotonically_increasing_id()), "ranges")  # within a partition in row order, from its least
+    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_least"))
+    # one row for each range partition
+    sizes = sizes.select("_p", "_least", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))
+    return parts.join(F.broadcast(sizes), "_p").withColumn(name, F.col("_i") - F.col("_least") + F.col("_before") + 1).drop("_p", "_i", "_least", "_before")
+
+
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: Sequence[str] = BAR_KEY, ties: Sequence[str] = (), date: str = "date") -> None:
-    """Rewrites only the year partitions that incoming touches, sorted by key. Running it twice equals running it once."""
-    incoming = incoming.withColumn("year", F.year(date))
+    """Rewrites only the year partitions that incoming touches, in ranges of the key. Running it twice equals running it once."""
+    incoming = incoming.withColumn("year", F.year(date)).persist()
     years = [r["year"] for r in incoming.select("year").distinct().collect()]  # a handful at most
     existing = read_years(spark, path, incoming.schema, years)
-    out = merged(existing, incoming, keys, ties).repartition("year").sortWithinPartitions("year", *keys)
+    out = merged(existing, incoming, keys, ties).repartitionByRange("year", *keys).sortWithinPartitions("year", *keys)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(path)
+    incoming.unpersist()
 
 
 def read_years(spark: SparkSession, path: str, schema: T.StructType, years: Sequence[int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -87,17 +99,32 @@ def write_day_delta(df: DataFrame, path: str, keep: int = 35, date: str = "date"
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _pointers(spark: SparkSession, path: str):
+    """The file system, the folder of a snapshot's pointers, and their names in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, folder, sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The version that the newest pointer names; None without any."""
+    names = _pointers(spark, path)[2]
+    return names[-1].partition(".")[2] if names else None
+
+
 def write_snapshot(df: DataFrame, path: str, version: str) -> str:
-    """A full table under a new version folder; the pointer file moves last."""
+    """A full table under a new version folder. Its pointer, an empty file that is made in one step, comes last: until then the version
+    before is current."""
     spark, target = df.sparkSession, f"{path}/version={version}"
     df.write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_current")
+    fs, folder, names = _pointers(spark, path)
+    if not fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{len(names):08d}.{version}")):
+        raise RuntimeError(f"another snapshot of {path} was written meanwhile")
     return target
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.json(f"{path}/_current").first()["version"]
-    return spark.read.parquet(f"{path}/version={version}")
+    return spark.read.parquet(f"{path}/version={current_version(spark, path)}")
 
 
 def unchanged(a: DataFrame, b: DataFrame, ignore: Sequence[str] = ("date",)) -> DataFrame:
@@ -111,8 +138,7 @@ def unchanged(a: DataFrame, b: DataFrame, ignore: Sequence[str] = ("date",)) ->
 def write_if_changed(df: DataFrame, path: str, version: str, sort: Sequence[Column]) -> bool:
     """A sorted snapshot, written only where its content differs from the current one."""
     spark = df.sparkSession
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
-    if pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer) and unchanged(df, read_snapshot(spark, path), ()).first()["unchanged"]:
+    if current_version(spark, path) is not None and unchanged(df, read_snapshot(spark, path), ()).first()["unchanged"]:
         return False
     write_snapshot(df.orderBy(*sort), path, version)
     return True
@@ -124,6 +150,18 @@ def append_ledger(ledger: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     return keep_first(both, keys, ["_batch", *[c for c in ledger.columns if c not in keys]]).drop("_batch")
 
 
+def append_status(status: DataFrame, path: str) -> None:
+    """Appends the rows of a run's status or report, as JSON."""
+    status.write.mode("append").json(path)
+
+
+def write_failures(statuses: DataFrame, target: str, path: str) -> DataFrame:
+    """The side table of a run's failed days other than the target day; it replaces that of the run before, also with no rows."""
+    failures = statuses.filter((F.col("status") == "failed") & (F.col("date") != F.lit(target).cast("date")))
+    failures.write.mode("overwrite").parquet(path)
+    return failures.sparkSession.read.schema(failures.schema).parquet(path)
+
+
 def day_present(df: DataFrame, day: Column, date: str = "date") -> DataFrame:
     return df.filter(F.col(date) == day).limit(1).agg((F.count(F.lit(1)) > 0).alias("present"))
 

@@ -15,7 +15,7 @@ from ..sources import filings as src
 from ..sources import prices, reference
 from ..streaming import ingest
 from . import tables as t
-from .queries import BAR_COLUMNS, KIND, query
+from .queries import BAR_COLUMNS, CALENDAR, KIND, _calendar, query
 
 # ---- readers
 
@@ -238,7 +238,7 @@ def snapshot_write(spark, d):
     store.write_snapshot(c.filter("c_custkey % 2 = 0"), path, "v1")
     first = store.write_if_changed(c, path, "v2", ["c_custkey"])
     second = store.write_if_changed(c.repartition(5), path, "v3", ["c_custkey"])
-    version = spark.read.json(f"{path}/_current").first()["version"]
+    version = store.current_version(spark, path)
     return store.read_snapshot(spark, path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(version).alias("version"), F.lit(first).alias("first_write"), F.lit(second).alias("second_write"), "n")
 
 
@@ -277,9 +277,9 @@ def pending_filings(spark, d):
 def documents_once(spark, d):
     """Each (issuer, document) once over a stream with repeats."""
     files, out = fresh_path(spark, "docs"), fresh_path(spark, "once")
-    f = t.filings(spark, d).filter("locator is not null").select(S.joined_key("issuer", "locator").alias("dedup_key"))
+    f = t.filings(spark, d).filter("locator is not null").select(S.joined_key("issuer", "locator").alias("dedup_key"), F.col("broadcast").cast("timestamp").alias("seen"))
     f.unionByName(f).repartition(4).write.parquet(files)
-    s = ingest.once_per_document(spark.readStream.schema("dedup_key string").option("maxFilesPerTrigger", 2).parquet(files))
+    s = ingest.once_per_document(spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 2).parquet(files), "seen", late="4000 days").select("dedup_key")
     ingest.run_to_end(s.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).start())
     return spark.read.parquet(out)
 
@@ -296,15 +296,83 @@ def event_windows(spark, d):
     return spark.read.parquet(out).crossJoin(F.broadcast(end)).filter("day < _end").drop("_end")  # one row
 
 
-@query(f"""WITH {t.BARS}, c AS (SELECT date, count(*) AS n FROM bars GROUP BY 1) SELECT d.date, CASE WHEN day(d.date) % 7 = 0 THEN 'fill' WHEN day(d.date) % 5 = 0 THEN 'top_up' ELSE 'skip' END AS action FROM (SELECT DISTINCT date FROM bars) d""")
+_SHORT = """have AS (SELECT date, series, count(*) AS n FROM bars WHERE day(date) % 7 <> 0 AND (day(date) % 5 <> 0 OR user_id % 2 = 0) GROUP BY 1, 2)"""
+_MEANS = """tr AS (SELECT * FROM cal WHERE is_trading), seen AS (SELECT c.series, c.n, t.ordinal FROM {0} c JOIN tr t ON c.date = t.date), means AS (SELECT t.date, s.series, avg(s.n) AS mean FROM seen s JOIN tr t ON s.ordinal BETWEEN t.ordinal - 10 AND t.ordinal - 1 GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {t.BARS}, {CALENDAR}, {_SHORT}, {_MEANS.format('have')}, s AS (SELECT h.date, sum(h.n) >= 0.85 * sum(m.mean) AS complete FROM have h JOIN means m ON m.date = h.date AND m.series = h.series GROUP BY 1)
+SELECT d.date, CASE WHEN d.date NOT IN (SELECT date FROM have) THEN 'fill' WHEN NOT coalesce(s.complete, TRUE) THEN 'top_up' ELSE 'skip' END AS action FROM (SELECT DISTINCT date FROM bars) d LEFT JOIN s ON s.date = d.date""")
 def catch_up(spark, d):
-    """Days to replay: missing ones are filled, short ones topped up. Every day's expectation is its own full count here."""
-    b = t.bars(spark, d)
-    full = gates.series_counts(b)
-    means = full.select("date", "series", F.col("n").cast("double").alias("mean"))
-    day = F.dayofmonth("date")
-    have = full.filter(day % 7 != 0).withColumn("n", F.when(day % 5 == 0, F.floor(F.col("n") / 2)).otherwise(F.col("n")))
-    return ingest.catch_up(spark, b.select("date").distinct(), have, means)
+    """Days to replay: missing ones are filled, those short of their trailing means topped up."""
+    b, day = t.bars(spark, d), F.dayofmonth("date")
+    have = gates.series_counts(b.filter((day % 7 != 0) & ((day % 5 != 0) | (t.user() % 2 == 0))))
+    return ingest.catch_up(spark, b.select("date").distinct(), have, gates.trailing_means(have, _calendar(spark)))
+
+
+def _backfill_sql(n, target):
+    return f"""WITH {t.DIRTY}, {CALENDAR}, days AS (SELECT date, ordinal FROM cal WHERE is_trading AND date <= DATE '{target}' ORDER BY date DESC LIMIT {n}), old AS (SELECT date, series, instrument_key FROM sound WHERE ok AND (day(date) % 4 = 1 OR day(date) % 4 = 2 AND user_id % 2 = 0)),
+hist AS (SELECT o.* FROM old o JOIN cal c ON c.date = o.date WHERE c.is_trading AND c.ordinal > (SELECT max(ordinal) FROM days) - {n} - 10 AND c.date <= DATE '{target}'), raw AS (SELECT s.* FROM sound s JOIN days d ON d.date = s.date WHERE day(s.date) % 6 <> 0),
+have AS (SELECT date, series, count(*) AS n FROM hist GROUP BY 1, 2), now AS (SELECT date, instrument_key, series FROM raw WHERE ok UNION SELECT date, instrument_key, series FROM hist), mc AS (SELECT date, series, count(*) AS n FROM now GROUP BY 1, 2), {_MEANS.format('mc')},
+s AS (SELECT h.date, sum(h.n) >= 0.85 * sum(m.mean) AS complete FROM have h JOIN means m ON m.date = h.date AND m.series = h.series GROUP BY 1), r AS (SELECT date, count(*) AS n_rows, count(*) FILTER (WHERE NOT ok) AS bad FROM raw GROUP BY 1),
+st AS (SELECT d.date, coalesce(r.n_rows, 0) AS n_rows, coalesce(r.bad, 0) AS n_quarantined, CASE WHEN d.date IN (SELECT date FROM have) AND coalesce(s.complete, TRUE) THEN 'idempotent' WHEN r.n_rows IS NULL THEN CASE WHEN d.date = DATE '{target}' THEN 'not_yet' ELSE 'failed' END WHEN r.n_rows NOT BETWEEN 1 AND 5000 OR r.bad = r.n_rows THEN 'failed'
+WHEN d.date IN (SELECT date FROM have) THEN 'success_topped_up' ELSE 'success' END AS status FROM days d LEFT JOIN r ON r.date = d.date LEFT JOIN s ON s.date = d.date),
+kept AS (SELECT date, instrument_key FROM old UNION SELECT raw.date, raw.instrument_key FROM raw JOIN st ON st.date = raw.date WHERE raw.ok AND st.status IN ('success', 'success_topped_up'))"""
+
+
+def _prepared(spark, d, n, target):
+    """A store with some full days and some short ones, then the backfill of the last n trading days from a source with holes."""
+    path, day = fresh_path(spark, "backfill-store"), F.dayofmonth("date")
+    raw = t.dirty_bars(spark, d)
+    clean, _ = gates.quarantine(raw)
+    store.upsert(spark, clean.filter((day % 4 == 1) | ((day % 4 == 2) & (t.user() % 2 == 0))), path)
+    run = lambda: ingest.backfill(raw.filter(day % 6 != 0), path, _calendar(spark), target, n, 1, 5000)
+    return path, run
+
+
+@query(_backfill_sql(20, "2024-01-30") + " SELECT st.date, st.status, st.n_rows, st.n_quarantined, count(kept.date) AS stored FROM st LEFT JOIN kept ON kept.date = st.date GROUP BY ALL")
+def backfill(spark, d):
+    """Twenty trading days in one job, with what the store holds of each afterwards."""
+    path, run = _prepared(spark, d, 20, "2024-01-30")
+    statuses = run()
+    held = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
+    return statuses.join(held, "date", "left").withColumn("stored", F.coalesce("stored", F.lit(0)))
+
+
+@query(_backfill_sql(20, "2024-01-30") + " SELECT st.date, count(kept.date) AS stored, CASE WHEN st.n_rows = 0 AND count(kept.date) = 0 THEN CASE WHEN st.date = DATE '2024-01-30' THEN 'not_yet' ELSE 'failed' END ELSE 'held' END AS state FROM st LEFT JOIN kept ON kept.date = st.date GROUP BY st.date, st.n_rows")
+def backfill_resumed(spark, d):
+    """A second run over the same days leaves the store as the first one did, and repeats its failures."""
+    path, run = _prepared(spark, d, 20, "2024-01-30")
+    run()
+    statuses = run()
+    held = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
+    state = F.when(F.coalesce("stored", F.lit(0)) > 0, "held").otherwise(F.col("status"))
+    return statuses.join(held, "date", "left").select("date", F.coalesce("stored", F.lit(0)).alias("stored"), state.alias("state"))
+
+
+@query(_backfill_sql(7, "2024-01-31") + " SELECT date, status FROM st")
+def catch_up_replay(spark, d):
+    """The catch-up window of seven trading days, replayed: past days are strict, the target day may be late."""
+    _, run = _prepared(spark, d, 7, "2024-01-31")
+    return run().select("date", "status")
+
+
+@query(_backfill_sql(7, "2024-01-31") + " SELECT date, n_rows FROM st WHERE status = 'failed' AND date <> DATE '2024-01-31'")
+def window_failures(spark, d):
+    """The side table of failed past days; a later run replaces it."""
+    side = fresh_path(spark, "window-failures")
+    for target in ("2024-01-30", "2024-01-31"):
+        _, run = _prepared(spark, d, 7, target)
+        failures = store.write_failures(run(), target, side)
+    return failures.select("date", "n_rows")
+
+
+@query(f"""WITH {t.BARS}, x AS (SELECT unnest(['first', 'second']) AS run) SELECT run, 'success' AS status, count(*) AS symbol_count, count(*) FILTER (WHERE close < 20) AS quarantined_count FROM bars, x GROUP BY run""")
+def status_log(spark, d):
+    """One status row for each run, appended as JSON and read back."""
+    path, b = fresh_path(spark, "status"), t.bars(spark, d)
+    for run in ("first", "second"):
+        store.append_status(b.agg(F.lit(run).alias("run"), F.lit("success").alias("status"), F.count(F.lit(1)).alias("symbol_count"), F.count_if(F.col("close") < 20).alias("quarantined_count")), path)
+    return spark.read.schema("run string, status string, symbol_count bigint, quarantined_count bigint").json(path)
 
 
 @query(f"WITH {t.QUARTERS} SELECT instrument_key, period_end, fiscal_quarter, basis FROM quarters")

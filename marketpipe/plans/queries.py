@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..functions.workspace import fresh_path
 from ..operators import calendar as cal
 from ..operators import filings as fil
 from ..operators import fundamentals as fun
@@ -53,16 +54,18 @@ def trailing_window(spark, d):
 
 @query(f"WITH {t.DIRTY} SELECT series, ok, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM sound GROUP BY series, ok")
 def quarantine_split(spark, d):
-    clean, bad = gates.quarantine(t.dirty_bars(spark, d))
-    both = clean.withColumn("ok", F.lit(True)).unionByName(bad.withColumn("ok", F.lit(False)))
-    return both.groupBy("series", "ok").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
+    return gates.tagged(t.dirty_bars(spark, d)).groupBy("series", "ok").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
 
 
-@query(f"""WITH {t.DIRTY} SELECT * FROM (VALUES ('extra:extra', 1), ('null:close', 0), ('null:date', 0), ('null:high', 0), ('null:instrument_key', 0), ('null:low', 0), ('null:open', 0), ('null:prevclose', 0), ('null:series', 0), ('null:source', 0), ('null:symbol', 0),
-('null:trades', 0), ('null:value', 0), ('null:volume', 0), ('negative:high', 0), ('negative:low', 0), ('negative:open', 0), ('negative:prevclose', 0), ('negative:trades', 0), ('negative:value', 0), ('negative:volume', 0)) v(rule, violations)
-UNION ALL SELECT 'negative:close', count(*) FILTER (WHERE close < 0) FROM dirty""")
+_REQUIRED = "date instrument_key symbol series open high low close prevclose volume value trades source".split()
+_CONTRACT = [f"SELECT 'null:{c}' AS rule, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM broken" for c in _REQUIRED]
+_CONTRACT += [f"SELECT 'negative:{c}', count(*) FILTER (WHERE {c} < 0 AND NOT isnan(CAST({c} AS DOUBLE))) FROM broken" for c in "open high low close prevclose volume value trades".split()]
+
+
+@query(f"WITH {t.DIRTY}, broken AS (SELECT * REPLACE (CASE WHEN user_id % 8 = 0 THEN NULL ELSE series END AS series, CASE WHEN day(date) % 9 = 0 THEN -volume ELSE volume END AS volume) FROM dirty) SELECT 'extra:extra' AS rule, 1 AS violations UNION ALL " + " UNION ALL ".join(_CONTRACT))
 def contract_check(spark, d):
-    return gates.contract(t.dirty_bars(spark, d).withColumn("extra", F.lit(1)))
+    broken = t.dirty_bars(spark, d).withColumns({"series": F.when(t.user() % 8 != 0, F.col("series")), "volume": F.when(F.dayofmonth("date") % 9 == 0, -F.col("volume")).otherwise(F.col("volume"))})
+    return gates.contract(broken.withColumn("extra", F.lit(1)))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -84,20 +87,20 @@ def duplicate_keys(spark, d):
     return store.duplicate_keys(t.load(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("""WITH e AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_suppkey, 0 AS b FROM lineitem WHERE l_suppkey % 2 = 0), i AS (SELECT l_orderkey, l_linenumber, l_quantity + 100, l_extendedprice, l_suppkey, 1 FROM lineitem WHERE l_suppkey % 3 = 0),
+@query("""WITH e AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_suppkey, 0 AS b FROM lineitem WHERE l_suppkey % 3 <> 1), i AS (SELECT l_orderkey, l_linenumber, l_quantity + 100, l_extendedprice, l_suppkey, 1 FROM lineitem WHERE l_suppkey % 3 <> 0),
 u AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY b DESC, l_extendedprice DESC, l_suppkey DESC, l_quantity DESC) AS n FROM (SELECT * FROM e UNION ALL SELECT * FROM i))
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_suppkey FROM u WHERE n = 1""")
 def upsert_by_key(spark, d):
     li = t.load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_suppkey")
-    new = li.filter("l_suppkey % 3 = 0").withColumn("l_quantity", F.col("l_quantity") + 100)
-    return store.merged(li.filter("l_suppkey % 2 = 0"), new, ["l_orderkey", "l_linenumber"], ["l_extendedprice", "l_suppkey", "l_quantity"])
+    new = li.filter("l_suppkey % 3 <> 0").withColumn("l_quantity", F.col("l_quantity") + 100)
+    return store.merged(li.filter("l_suppkey % 3 <> 1"), new, ["l_orderkey", "l_linenumber"], ["l_extendedprice", "l_suppkey", "l_quantity"])
 
 
-@query("""WITH l AS (SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderkey, 0 AS b FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderkey, 1 FROM orders WHERE o_orderkey % 3 = 0)
+@query("""WITH l AS (SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderkey, 0 AS b FROM orders WHERE o_orderkey % 3 <> 1 UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderkey, 1 FROM orders WHERE o_orderkey % 3 <> 0)
 SELECT o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus, o_orderpriority ORDER BY b, o_totalprice, o_orderkey) AS n FROM l) WHERE n = 1""")
 def append_ledger(spark, d):
     o = t.load(spark, d, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderkey")
-    return store.append_ledger(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 3 = 0"), ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    return store.append_ledger(o.filter("o_orderkey % 3 <> 1"), o.filter("o_orderkey % 3 <> 0"), ["o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
 @query("WITH o AS (SELECT *, CAST(o_orderdate AS DATE) AS date FROM orders), k AS (SELECT DISTINCT date FROM o ORDER BY date DESC LIMIT 35) SELECT date, count(*) AS n, max(o_orderkey) AS last_key FROM o WHERE date IN (SELECT date FROM k) GROUP BY date")
@@ -369,6 +372,11 @@ def candle_rebuild(spark, d):
     return built.unionByName(failures.withColumn("sum_prevclose", F.lit(None).cast("double")))
 
 
+@query(f"WITH {t.BARS}, {MASTER} SELECT instrument_key, symbol, series, first_seen, row_number() OVER (ORDER BY instrument_key, first_seen, symbol, series) AS ordinal FROM master")
+def master_order(spark, d):
+    return master.master_order(master.instrument_master(t.bars(spark, d))).select("instrument_key", "symbol", "series", "first_seen", "ordinal")
+
+
 # ---- filings
 
 
@@ -410,6 +418,15 @@ def filing_outcomes(spark, d):
     return fil.run_summary(x.withColumn("outcome", fil.outcome()))
 
 
+@query(f"""WITH {t.FILINGS}, x AS (SELECT *, CASE WHEN locator IS NULL THEN 'unavailable' WHEN seq % 23 = 0 THEN 'parse_error' WHEN contains(locator, 'GOVERNANCE') THEN 'unclassified' WHEN seq % 13 = 0 THEN 'gate_blocked' ELSE 'published' END AS outcome FROM filings), p AS (SELECT * FROM x WHERE outcome = 'published')
+SELECT issuer, period_end AS last_period_end, basis AS last_basis, n_published FROM (SELECT *, row_number() OVER (PARTITION BY issuer ORDER BY period_end DESC, seq) AS n, count(*) OVER (PARTITION BY issuer) AS n_published FROM p) WHERE n = 1""")
+def last_published(spark, d):
+    """The newest published period of each issuer."""
+    s = F.col("seq")
+    x = t.filings(spark, d).withColumns({"sector_kind": fil.sector_of_file(), "parse_error": s % 23 == 0, "identity": F.lit("clean"), "blocks": F.when(s % 13 == 0, "negative_revenue").otherwise("")})
+    return fil.last_published(x.withColumn("outcome", fil.outcome()))
+
+
 @query("""WITH f AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS scrip_code FROM orders), l AS (SELECT CAST(s_suppkey AS VARCHAR) AS scrip_code, 'INE' || s_suppkey AS instrument_key FROM supplier) SELECT f.o_orderkey, l.instrument_key FROM f LEFT JOIN l ON l.scrip_code = f.scrip_code""")
 def resolve_codes(spark, d):
     refs = t.load(spark, d, "orders").select("o_orderkey", S.scrip_code("o_custkey").alias("scrip_code"))
@@ -472,8 +489,7 @@ _LINE_NUMBERS = ("revenue", "operating_profit", "opm_pct", "other_income", "inte
 
 
 def _lines(spark, d):
-    f = t.facts(spark, d)
-    return fun.sector_lines(fun.periods(f).join(fun.sector_kind(f), "filing"))
+    return fun.sector_lines(fun.periods_with_kind(t.facts(spark, d)))
 
 
 @query(f"WITH {t.FACTS}, {KIND}, {WIDE}, {LINES} SELECT filing, context, sector_kind, margin_kind, " + ", ".join(f"round({c}, 9) AS {c}" for c in _LINE_NUMBERS) + " FROM rows")
@@ -490,6 +506,25 @@ def resolved_fields(spark, d):
     return fun.resolved_share(_lines(spark, d)).select("filing", "context", "sector_kind", F.round("fields_resolved_pct", 6).alias("fields_resolved_pct"))
 
 
+@query(f"WITH {t.FACTS}, {KIND}, {WIDE}, {LINES} SELECT filing, sector_kind, 'no usable facts in either duration context' AS error FROM kinds WHERE sector_kind IS NOT NULL AND filing NOT IN (SELECT filing FROM rows)")
+def period_presence(spark, d):
+    """Filings of a known sector whose revenue cannot be read in either context."""
+    return fun.without_usable_facts(t.facts(spark, d))
+
+
+_VALUES = "vals AS (SELECT CAST(o_orderkey AS VARCHAR) AS filing, o_totalprice / 1e3 AS equity, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS DOUBLE) END AS total_debt, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey * 1000 + 7 AS DOUBLE) END AS shares_outstanding, CAST(o_custkey AS DOUBLE) AS ebitda FROM orders WHERE o_orderkey % 4 <> 0)"
+
+
+@query(f"""WITH {t.FACTS}, {KIND}, {WIDE}, {LINES}, {_VALUES} SELECT r.filing, r.context, round(v.equity + coalesce(v.total_debt, 0), 6) AS capital_employed, round(v.equity * 1e7 / v.shares_outstanding, 6) AS book_value_per_share, CASE WHEN r.context = 'FourD' THEN v.ebitda END AS ebitda_annual, round({RESOLVED}, 6) AS fields_resolved_pct
+FROM rows r LEFT JOIN vals v ON v.filing = r.filing""")
+def fundamentals_rows(spark, d):
+    """Lines with the balance sheet of their filing."""
+    k = F.col("o_orderkey")
+    values = t.load(spark, d, "orders").filter(k % 4 != 0).select(k.cast("string").alias("filing"), (F.col("o_totalprice") / 1e3).alias("equity"), F.when(k % 3 != 0, F.col("o_custkey").cast("double")).alias("total_debt"), F.when(k % 5 != 0, (F.col("o_custkey") * 1000 + 7).cast("double")).alias("shares_outstanding"), F.col("o_custkey").cast("double").alias("ebitda"))
+    out = fun.fundamentals_rows(_lines(spark, d), values)
+    return out.select("filing", "context", *(F.round(c, 6).alias(c) for c in ("capital_employed", "book_value_per_share")), "ebitda_annual", F.round("fields_resolved_pct", 6).alias("fields_resolved_pct"))
+
+
 GATE = f"""g AS (SELECT *, {RESOLVED} AS share, CASE WHEN context = 'FourD' THEN 'FY' ELSE 'Q1' END AS fiscal_quarter, CAST(filing AS BIGINT) AS k FROM rows), x AS (SELECT *, 80 + k % 20 + CASE WHEN fiscal_quarter = 'FY' THEN 270 ELSE 0 END AS days,
 CASE WHEN k % 4 = 0 THEN 0.0001::DOUBLE WHEN k % 4 = 1 THEN 10.0::DOUBLE END AS mktcap_cr, 1000000.0::DOUBLE AS shares FROM g), y AS (SELECT *, CASE WHEN fiscal_quarter = 'FY' THEN revenue ELSE revenue * 4 END AS yearly, revenue > 0 AND mktcap_cr > 0 AS sized, net_profit * 1e7 / shares AS implied FROM x)"""
 
@@ -578,16 +613,16 @@ def sector_frame(spark, d):
 
 
 def _members(spark, d):
-    li = t.load(spark, d, "lineitem").filter("l_quantity > 45")
+    li = t.load(spark, d, "lineitem")
     return li.select(F.concat(F.lit("f"), F.col("l_suppkey")).alias("source_file"), F.concat(F.lit("INE"), F.lpad(F.col("l_partkey").cast("string"), 9, "0")).alias("isin"), F.when(F.col("l_partkey") % 10 == 0, "").otherwise(F.concat(F.lit("P"), "l_partkey")).alias("symbol"))
 
 
-@query("""WITH m AS (SELECT DISTINCT 'f' || l_suppkey AS source_file, 'INE' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS isin, 'P' || l_partkey AS symbol FROM lineitem WHERE l_quantity > 45 AND l_partkey % 10 <> 0), c AS (SELECT source_file FROM m GROUP BY 1 HAVING count(*) >= 45) SELECT * FROM m WHERE source_file IN (SELECT source_file FROM c)""")
+@query("""WITH m AS (SELECT DISTINCT 'f' || l_suppkey AS source_file, 'INE' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS isin, 'P' || l_partkey AS symbol FROM lineitem WHERE l_partkey % 10 <> 0), c AS (SELECT source_file FROM m GROUP BY 1 HAVING count(*) >= 400) SELECT * FROM m WHERE source_file IN (SELECT source_file FROM c)""")
 def basket_floor(spark, d):
-    return sectors.baskets(_members(spark, d), least=45)
+    return sectors.baskets(_members(spark, d), least=400)
 
 
-@query("""WITH m AS (SELECT DISTINCT 'f' || l_suppkey AS index_key, 'P' || l_partkey AS symbol FROM lineitem WHERE l_quantity > 45 AND l_partkey % 10 <> 0), cur AS (SELECT * FROM m WHERE CAST(substr(index_key, 2) AS BIGINT) % 3 <> 0), pri AS (SELECT * FROM m WHERE CAST(substr(index_key, 2) AS BIGINT) % 2 = 0)
+@query("""WITH m AS (SELECT DISTINCT 'f' || l_suppkey AS index_key, 'P' || l_partkey AS symbol FROM lineitem WHERE l_partkey % 10 <> 0), cur AS (SELECT * FROM m WHERE CAST(substr(index_key, 2) AS BIGINT) % 3 <> 0), pri AS (SELECT * FROM m WHERE CAST(substr(index_key, 2) AS BIGINT) % 2 = 0)
 SELECT index_key, symbol, FALSE AS carried FROM cur UNION ALL SELECT index_key, symbol, TRUE FROM pri WHERE index_key NOT IN (SELECT index_key FROM cur)""")
 def basket_carry_forward(spark, d):
     m = _members(spark, d).filter("symbol <> ''").select(F.col("source_file").alias("index_key"), "symbol").distinct()
@@ -614,9 +649,10 @@ def page_anchor_labels(spark, d):
     return reference.anchor_labels(t.load(spark, d, "pages"))
 
 
-@query(None)
+@query(r"""SELECT page_id, nfc_normalize(trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '\s+', ' ', 'g'))) AS title FROM pages""")
 def canonical_labels(spark, d):
-    """Unicode compatibility forms have no SQL twin here; tests hold it against the standard library."""
+    """The given titles have no characters with a compatibility form, so canonical composition is their twin; tests hold the rest against
+    the standard library."""
     return t.load(spark, d, "pages").select("page_id", S.canonical_label(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)).alias("title"))
 
 
@@ -644,7 +680,7 @@ CASE WHEN d.outcome = 'failed' THEN r.attempts + 1 > 3 ELSE r.deferred END AS de
 
 def _folded(spark, d):
     state = registry.reconcile(t.registry_state(spark, d), t.registry_snapshot(spark, d), t.TODAY, audit=True)
-    picked = registry.candidates(state).withColumn("ordinal", F.row_number().over(Window.orderBy("isin")))
+    picked = store.numbered(registry.candidates(state), "isin")
     o = F.col("ordinal")
     attempts = picked.select("isin", "ordinal", F.when(o % 400 == 399, "deferred").when(o % 3 == 0, "failed").otherwise("observed").alias("outcome"), F.lit("MM").alias("macro_sector"), F.concat(F.lit("SS"), o % 6).alias("sector"), F.lit("II").alias("industry"), F.lit("BB").alias("basic_industry"))
     return registry.fold(state, attempts, t.TODAY, audit=True), attempts
@@ -677,3 +713,38 @@ SELECT *, CASE WHEN n_changed = 0 THEN 'unchanged' WHEN n = 0 THEN 'empty' WHEN
 def publication_decision(spark, d):
     folded, attempts = _folded(spark, d)
     return registry.decide_publication(registry.active_view(folded), registry.active_view(t.registry_state(spark, d)), attempts)
+
+
+@query(f"""WITH {t.REGISTRY}, o AS (SELECT isin, CAST(substr(isin, 2) AS BIGINT) * 7919 % 100003 AS ordinal FROM snap) SELECT r.isin, o.ordinal, r.reasons FROM rec r JOIN o ON o.isin = r.isin WHERE reasons <> '' ORDER BY ordinal, r.isin LIMIT 50""")
+def candidate_batch(spark, d):
+    """A batch limit: the first 50 candidates in the order of the snapshot's file."""
+    place = (F.substring("isin", 2, 20).cast("bigint") * 7919 % 100003).alias("ordinal")
+    snapshot = t.registry_snapshot(spark, d).select("*", place)
+    return registry.candidates(registry.reconcile(t.registry_state(spark, d), snapshot, t.TODAY, audit=True), 50).select("isin", "ordinal", "reasons")
+
+
+@query(f"""WITH {t.REGISTRY}, s AS (SELECT symbol, max(isin) AS isin FROM (SELECT CASE WHEN CAST(substr(isin, 2) AS BIGINT) % 50 = 1 THEN 'S1' ELSE symbol END AS symbol, isin FROM state) GROUP BY 1) SELECT n.symbol, n.isin AS observed_as, s.isin FROM snap n JOIN s ON s.symbol = n.symbol""")
+def observed_keys(spark, d):
+    """Observations by symbol, joined to the keys of the registry."""
+    state = t.registry_state(spark, d).select("isin", F.when(F.substring("isin", 2, 20).cast("bigint") % 50 == 1, "S1").otherwise(F.col("symbol")).alias("symbol"))
+    return registry.observed_keys(t.registry_snapshot(spark, d).withColumnRenamed("isin", "observed_as"), state)
+
+
+_PROVENANCE = "prov AS (SELECT 'K' || c_custkey AS isin, '2026-05-0' || (c_custkey % 9 + 1) AS observed_at, 'u' || c_custkey AS source_url, 'v' || (c_custkey % 3) AS extractor_version, sha256(c_name) AS fragment_hash FROM customer WHERE c_custkey % 6 <> 0)"
+
+
+@query(f"""WITH {t.REGISTRY}, {_PROVENANCE} SELECT s.isin, symbol, status, macro_sector, sector, observed_at, source_url, extractor_version, fragment_hash, backlog, CAST(audit_attempt_on AS VARCHAR) AS audit_attempt_on, absences, CAST(retry_on AS VARCHAR) AS retry_on, attempts, deferred, DATE '2026-05-15' AS date FROM state s LEFT JOIN prov p ON p.isin = s.isin""")
+def registry_state_write(spark, d):
+    """The registry's state with flat provenance, written as a snapshot and read back."""
+    c, path = t.load(spark, d, "customer").filter("c_custkey % 6 <> 0"), fresh_path(spark, "registry-state")
+    k = F.col("c_custkey")
+    provenance = c.select(F.concat(F.lit("K"), k).alias("isin"), F.concat(F.lit("2026-05-0"), k % 9 + 1).alias("observed_at"), F.concat(F.lit("u"), k).alias("source_url"), F.concat(F.lit("v"), k % 3).alias("extractor_version"), F.sha2("c_name", 256).alias("fragment_hash"))
+    registry.write_state(t.registry_state(spark, d), provenance.unionByName(provenance.withColumn("observed_at", F.lit("2026-05-00"))), path, "v1", t.TODAY)
+    return store.read_snapshot(spark, path).drop("industry", "basic_industry")
+
+
+@query(f"""WITH {t.REGISTRY}, p AS (SELECT isin, symbol, FALSE AS carried FROM snap), x AS (SELECT * FROM p UNION ALL SELECT isin, symbol, TRUE FROM state WHERE isin NOT IN (SELECT isin FROM snap)) SELECT *, (SELECT count(*) FROM x) >= (SELECT count(*) FROM state) AS accepted FROM x""")
+def widened_registry(spark, d):
+    """Keys of a wider artifact before stay beside the current ones, if the whole does not shrink."""
+    current, previous = t.registry_snapshot(spark, d).select("isin", "symbol"), t.registry_state(spark, d).select("isin", "symbol")
+    return registry.widened(current, previous).crossJoin(registry.widened_verdict(current, previous).select("accepted"))  # one row

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.gates import completeness, quarantine
-from ..operators.store import read_years, upsert
+from ..operators.gates import completeness, day_status, series_counts, tagged, trailing_means
+from ..operators.store import merged, read_years, upsert
+from ..functions.workspace import written
 from ..schemas import BAR_KEY, BARS
 
 
@@ -23,18 +24,17 @@ def ingest(stream: DataFrame, store: str, checkpoint: str, quarantine_path: str
     overwrites itself. Runs over what is there, then stops."""
 
     def batch(df: DataFrame, epoch: int) -> None:
-        clean, bad = quarantine(df)
-        upsert(df.sparkSession, clean, store, keys)
+        marked = tagged(df, "_ok").persist()
+        upsert(df.sparkSession, marked.filter("_ok").drop("_ok"), store, keys)
         if quarantine_path:
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch}")
+            marked.filter("not _ok").drop("_ok").write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch}")
+        marked.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def once_per_document(stream: DataFrame, key: str = "dedup_key", time: str | None = None, late: str = "30 days") -> DataFrame:
-    """Each document once; with an event time the state of documents older than the allowed lateness is dropped."""
-    if time is None:
-        return stream.dropDuplicates([key])
+def once_per_document(stream: DataFrame, time: str, key: str = "dedup_key", late: str = "30 days") -> DataFrame:
+    """Each document once, of those whose event times lie within the allowed lateness of each other; older state is dropped."""
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
@@ -48,6 +48,9 @@ def track_pending(stream: DataFrame, state_path: str, checkpoint: str, schema: T
         has = F.max(F.col("locator").isNotNull())
         now = both.groupBy("filing_key").agg(has.alias("_has"), F.min("seen").alias("seen")).filter("not _has")
         now.select("filing_key", F.lit(None).cast("string").alias("locator"), "seen").write.mode("overwrite").parquet(f"{state_path}/v{epoch}")
+        # a replayed batch reads the version before it; older ones are not needed
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v{epoch - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -65,6 +68,37 @@ def catch_up(spark: SparkSession, days: DataFrame, counts: DataFrame, means: Dat
     return out.select("date", F.when(F.col("complete").isNull(), "fill").when(~F.col("complete"), "top_up").otherwise("skip").alias("action"))
 
 
+def backfill(raw: DataFrame, store: str, calendar: DataFrame, end: str, n: int, least: int, most: int, share: float = 0.85, history: int = 10) -> DataFrame:
+    """(date, status, n_rows, n_quarantined) of the last n trading days up to end, after bringing all of them into the store in one job.
+
+    raw: bars of any days. A day that the store has in full is left as it is, so a second run does nothing. A short day is topped up.
+    A day without raw rows is not there yet if it is end, else failed; so is one whose rows are out of bounds or all unsound. Expected
+    counts are means over the history trading days before, over what the store holds and what comes now.
+    """
+    spark = raw.sparkSession
+    trading = calendar.filter(F.col("is_trading") & (F.col("date") <= F.lit(end).cast("date"))).select("date", "ordinal")
+    last = trading.agg(F.max("ordinal").alias("_last"))  # one row; the calendar has one row a day
+    ranked = trading.crossJoin(last)
+    days = ranked.filter(F.col("ordinal") > F.col("_last") - n).select("date")
+    before = ranked.filter(F.col("ordinal") > F.col("_last") - n - history).select("date")
+    marked = tagged(raw.join(F.broadcast(days), "date", "left_semi"), "_ok").persist()
+    clean = marked.filter("_ok").drop("_ok")
+    there = marked.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("_ok")).alias("n_quarantined"))
+    years = [r[0] for r in before.select(F.year("date")).distinct().collect()]  # of n days
+    stored = read_years(spark, store, clean.withColumn("year", F.year("date")).schema, years).drop("year").join(F.broadcast(before), "date", "left_semi")
+    have = series_counts(stored)
+    done = completeness(have, trailing_means(series_counts(merged(stored, clean, BAR_KEY)), calendar, history), share)
+    rows = days.join(there, "date", "left").join(done.select("date", "complete"), "date", "left")
+    rows = rows.withColumns({"is_trading": F.lit(True), "present": F.col("complete").isNotNull(), "complete": F.coalesce("complete", F.lit(False)), "rows": F.coalesce("n_rows", F.lit(0)), "n_quarantined": F.coalesce("n_quarantined", F.lit(0))})
+    gate = ~F.col("rows").between(least, most) | (F.col("n_quarantined") == F.col("rows"))
+    statuses = day_status(rows.withColumn("failed_gate", gate), end).select("date", "status", F.col("rows").alias("n_rows"), "n_quarantined")
+    statuses = written(statuses, "backfill-status")  # as the store was before
+    good = statuses.filter(F.col("status").isin("success", "success_topped_up")).select("date")
+    upsert(spark, clean.join(F.broadcast(good), "date", "left_semi"), store)
+    marked.unpersist()
+    return statuses
+
+
 def run_to_end(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:

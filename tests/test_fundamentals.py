@@ -28,6 +28,34 @@ def test_trailing_eps(spark):
     assert missing["Q4", "2026-03-31"] == (13.54, "fy_eps")
 
 
+def test_of_quarters_with_one_period_end_the_first_counts(spark):
+    q = [("Q1", E(2025, 6), 0.0, 0.0, 1.0), ("Q2", E(2025, 9), 0.0, 0.0, 2.0), ("Q3", E(2025, 12), 0.0, 0.0, 3.0), ("Q4", E(2026, 3), 0.0, 0.0, None), ("Q5", E(2026, 3), 0.0, 0.0, 4.0)]
+    for order in (q, q[::-1]):
+        assert by(fun.ttm_eps(rows(spark, *order)), "ttm_eps")["Q5", "2026-03-31"] == (None,)
+
+
+def test_filings_without_usable_facts(spark):
+    facts = [("good", "RevenueFromOperations", "OneD", "5"), ("bad", "RevenueFromOperations", "OneD", "n/a"), ("odd", "OtherIncome", "OneD", "5"), ("half", "InterestEarned", "FourD", "5"), ("half", "InterestExpended", "OneD", "5")]
+    df = spark.createDataFrame([(*f, i) for i, f in enumerate(facts)], "filing string, element string, context string, value string, ordinal bigint")
+    assert [(r["filing"], r["sector_kind"]) for r in fun.without_usable_facts(df).collect()] == [("bad", "general")]
+    kinds = {r["filing"]: r["sector_kind"] for r in fun.sector_kind(df).collect()}
+    assert {r["filing"]: r["sector_kind"] for r in fun.periods_with_kind(df).collect()} == kinds
+    # an insurer's life branch and a general insurer's combined ratio, and a bank's bad loans
+    more = [("life", "NetPremiumIncome", "1e7"), ("life", "ProfitLossBeforeTax", "2e7"), ("life", "BenefitsPaidNet", "3e7"), ("gen", "NetPremiumWritten", "1e9"), ("gen", "IncurredClaims", "6e8"), ("gen", "OperatingExpenses", "3e8"), ("gen", "ProvisionForTax", "1e7")]
+    more += [("bank", "InterestEarned", "9e7"), ("bank", "InterestExpended", "4e7"), ("bank", "PercentageOfGrossNpa", "0.025"), ("bank", "PercentageOfNpa", "0.77"), ("bank", "ProvisionsOtherThanTaxAndContingencies", "1e7")]
+    df = spark.createDataFrame([(f, e, "OneD", v, i) for i, (f, e, v) in enumerate(more)], df.schema)
+    got = {r["filing"]: r for r in fun.sector_lines(fun.periods_with_kind(df)).collect()}
+    assert (got["life"]["revenue"], got["life"]["pbt"], got["life"]["benefits_paid"], got["life"]["combined_ratio_pct"], got["life"]["tax"]) == (1.0, 2.0, 3.0, None, None)
+    assert (got["gen"]["combined_ratio_pct"], got["gen"]["benefits_paid"], got["gen"]["tax"]) == (pytest.approx(90.0), 60.0, 1.0)
+    assert (got["bank"]["gross_npa_pct"], got["bank"]["net_npa_pct"], got["bank"]["provisions_and_contingencies"], got["bank"]["net_interest_income"]) == (2.5, None, 1.0, 5.0)
+
+
+def test_last_published_period(spark):
+    f = [("I", E(2026, 3), "standalone", 4, "published"), ("I", E(2026, 3), "consolidated", 3, "published"), ("I", E(2026, 6), "standalone", 9, "gate_blocked"), ("J", E(2026, 3), "standalone", 1, "parse_error")]
+    got = filings.last_published(spark.createDataFrame(f, "issuer string, period_end date, basis string, seq bigint, outcome string")).collect()
+    assert [tuple(r) for r in got] == [("I", E(2026, 3), "consolidated", 2)]
+
+
 def test_growth(spark):
     q = [("Q", d, r, p, None) for d, r, p in ((E(2025, 6), 100.0, -5.0), (E(2025, 9), 110.0, 10.0), (E(2025, 12), 120.0, -2.0), (E(2026, 3), 130.0, 1.0), (E(2026, 6), 125.0, 1.0))]
     got = by(fun.growth(rows(spark, *q)), "revenue_growth_yoy_pct", "revenue_growth_qoq_pct", "net_profit_growth_qoq_pct")

@@ -106,3 +106,30 @@ def test_no_shrink(spark):
     got = {(r["dataset"], r["year"]): r["verdict"] for r in quality.no_shrink(live, new, ["a", "b"]).collect()}
     assert got == {("a", 2024): "fewer_rows", ("a", 2025): "missing_partition", ("a", 2026): "date_regression", ("b", 2026): "missing_dataset"}
     assert {r["verdict"] for r in quality.no_shrink(live, new, ["a"], True).filter("year = 2024").collect()} == {"ok"}
+
+
+def test_candidates_follow_the_order_of_the_snapshot(spark):
+    ordered = snap(spark, "C", "A", "B").withColumn("ordinal", F.expr("case isin when 'C' then 1 when 'A' then 2 else 3 end"))
+    out = registry.reconcile(state(spark), ordered, TODAY)
+    assert [r["isin"] for r in registry.candidates(out, 2).collect()] == ["C", "A"]
+    plain = registry.reconcile(state(spark), snap(spark, "C", "A", "B"), TODAY)
+    assert [r["isin"] for r in registry.candidates(plain, 2).collect()] == ["A", "B"]
+
+
+def test_observations_find_their_key_by_symbol(spark):
+    seen = spark.createDataFrame([("a", "x"), ("zz", "y")], "symbol string, label string")
+    got = registry.observed_keys(seen, state(spark, entry("A1", symbol="a"), entry("A2", symbol="a"), entry("B"))).collect()
+    assert [(r["isin"], r["label"]) for r in got] == [("A2", "x")]
+
+
+def test_flat_state_has_one_row_per_key_and_no_labels_where_unknown(spark):
+    origin = spark.createDataFrame([("A", "2026-01-01", "u", "v1", "h"), ("A", "2026-02-01", "u", "v2", "h2")], "isin string, observed_at string, source_url string, extractor_version string, fragment_hash string")
+    got = {r["isin"]: r for r in registry.flat_state(state(spark, entry("A", audit=date(2026, 3, 1)), entry("B", "pending", sector=None)), origin, TODAY).collect()}
+    assert (got["A"]["extractor_version"], got["A"]["audit_attempt_on"], got["A"]["sector"]) == ("v2", "2026-03-01", "S")
+    assert got["B"]["sector"] is None and got["B"]["source_url"] is None and str(got["B"]["date"]) == TODAY
+
+
+def test_a_wider_artifact_keeps_its_keys(spark):
+    got = registry.widened(snap(spark, "A", "B"), snap(spark, ("B", "old"), "C"))
+    assert sorted(map(tuple, got.collect())) == [("A", "a", False), ("B", "b", False), ("C", "c", True)]
+    assert registry.widened_verdict(snap(spark, "A"), snap(spark, "A", "B")).first()["accepted"]

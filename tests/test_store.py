@@ -48,6 +48,70 @@ def test_snapshots_and_ledger(spark, tmp_path):
     assert sorted(map(tuple, store.append_ledger(led, spark.createDataFrame([("a", 2), ("c", 3)], "k string, v int"), ["k"]).collect())) == [("a", 1), ("b", 1), ("c", 3)]
 
 
+def test_the_pointer_of_a_snapshot_moves_in_one_step(spark, tmp_path):
+    path, df = f"file://{tmp_path}/snap", bars(spark, bar("A"), bar("B"))
+    assert store.current_version(spark, path) is None
+    for k in range(12):
+        store.write_snapshot(df.limit(1 + k % 2), path, f"v.{k}")
+    assert store.current_version(spark, path) == "v.11" and store.read_snapshot(spark, path).count() == 2
+    df.write.parquet(f"{path}/version=torn")  # a writer that stopped before its pointer
+    assert store.current_version(spark, path) == "v.11"
+
+
+def test_rows_are_numbered_in_order_over_range_partitions(spark):
+    df = spark.range(1000).repartition(7).selectExpr("(id * 37) % 1000 as k", "id % 3 as g")
+    got = store.numbered(df, "g", "k").collect()
+    want = sorted(((r["g"], r["k"]) for r in got))
+    assert [(r["g"], r["k"]) for r in sorted(got, key=lambda r: r["ordinal"])] == want and {r["ordinal"] for r in got} == set(range(1, 1001))
+    assert store.numbered(df.limit(0), "k").count() == 0
+
+
+def test_upsert_deals_a_year_over_ranges_of_its_keys(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("date'2026-01-05' as date", "concat('K', id) as instrument_key", "cast(id as double) as close")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these rows are few
+    store.upsert(spark, rows.repartition(4), path := f"file://{tmp_path}/s")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(path).groupBy("_metadata.file_path").count().collect()
+    assert len(files) > 1 and sum(r["count"] for r in files) == 4000
+
+
+def test_failures_of_a_run_replace_those_before(spark, tmp_path):
+    path = f"file://{tmp_path}/f"
+    make = lambda *rows: spark.createDataFrame([(date(2026, 1, d), s) for d, s in rows], "date date, status string")
+    first = store.write_failures(make((1, "failed"), (2, "failed"), (3, "success")), "2026-01-02", path)
+    assert [r["date"].day for r in first.collect()] == [1]
+    assert store.write_failures(make((1, "success"), (2, "failed")), "2026-01-02", path).count() == 0
+    for k in range(2):
+        store.append_status(spark.createDataFrame([("success", k)], "status string, n int"), f"{path}-log")
+    assert spark.read.json(f"{path}-log").count() == 2
+
+
+def test_backfill(spark, tmp_path):
+    days = [date(2026, 1, d) for d in (5, 6, 7, 8, 9)]
+    calendar = spark.createDataFrame([(d, True, k + 1) for k, d in enumerate(days)] + [(date(2026, 1, 10), False, None)], "date date, is_trading boolean, ordinal bigint")
+    keys = [f"K{i}" for i in range(10)]
+    full = lambda d, ks=keys, **over: [bar(k, d, **over) for k in ks]
+    path = f"file://{tmp_path}/s"
+    store.upsert(spark, bars(spark, *full(days[0]), *full(days[1], keys[:3])), path)
+    source = bars(spark, *full(days[1]), *full(days[2], volume=-1), *full(days[0], close=11.5))
+    run = lambda target: {r["date"].day: (r["status"], r["n_rows"], r["n_quarantined"]) for r in ingest.backfill(source, path, calendar, target, 5, 1, 100).collect()}
+    assert run("2026-01-09") == {5: ("idempotent", 10, 0), 6: ("success_topped_up", 10, 0), 7: ("failed", 10, 10), 8: ("failed", 0, 0), 9: ("not_yet", 0, 0)}
+    held = content(spark, path)
+    assert len(held) == 20 and {c for _, _, c in held} == {11.0}
+    assert run("2026-01-09")[6][0] == "idempotent" and content(spark, path) == held
+    assert run("2026-01-08")[8][0] == "not_yet"
+
+
+def test_pending_versions_that_no_replay_needs_are_deleted(spark, tmp_path):
+    schema = spark.createDataFrame([], "filing_key string, locator string, seen date").schema
+    for k in range(4):
+        spark.createDataFrame([(f"f{k}", None, date(2026, 1, 1))], schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/in")
+    ingest.run_to_end(ingest.track_pending(stream, f"file://{tmp_path}/state", f"file://{tmp_path}/cp", schema))
+    left = sorted(p.name for p in (tmp_path / "state").iterdir())
+    assert len(left) == 2 and spark.read.parquet(f"file://{tmp_path}/state/{left[-1]}").count() >= 4
+
+
 def test_deltas_keep_the_newest_days(spark, tmp_path):
     path = f"file://{tmp_path}/d"
     store.write_day_delta(bars(spark, *(bar("A", date(2026, 1, d)) for d in range(1, 6))), path, keep=3)
