@@ -167,10 +167,13 @@ class Model:
 
 def sample(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """(text, lang, nth, many) of the labelled rows that are learned from: their number within the language, and how many it has."""
-    key = F.xxhash64("doc_id", F.lit(8))
+    key = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
     ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", key.alias("h"))
+    # one row for each language, as in the model; a few times as many ids as are wanted go on to be ranked
+    sizes = F.broadcast(ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    thin = ids.join(sizes, "lang").filter(F.col("h") <= F.lit(4.0 * most * (1 << 30)) / F.col("n"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    few = ids.withColumn("nth", first).filter(F.col("nth") <= most).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    few = thin.withColumn("nth", first).filter(F.col("nth") <= most).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     # at most SAMPLE_DOCS ids for each language: small by its definition
     rows = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(few), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "lang", "text", key.alias("h"))
