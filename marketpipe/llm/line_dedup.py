@@ -78,7 +78,8 @@ def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> Data
     kept = F.filter(parts, lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
     losing = bit_table(drop, "_id")
     whole_docs = thinned(docs, losing, "doc_id", there=False).withColumns({"_id": F.lit(None).cast(drop.schema["_id"].dataType), "_drop": F.lit(None).cast(drop.schema["_drop"].dataType)})
-    joined = thinned(docs, losing, "doc_id").join(drop, F.col("doc_id") == F.col("_id"), "left").unionByName(whole_docs)
+    # merged at every size: lists of lines are far larger in memory than in the file that an automatic broadcast goes by
+    joined = thinned(docs, losing, "doc_id").join(drop.hint("merge"), F.col("doc_id") == F.col("_id"), "left").unionByName(whole_docs)
     clean = F.when(F.col("_drop").isNull(), whole("text")).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumns({"_clean": clean, "n_lines": F.when(whole("text") == "", 0).otherwise(F.size(parts)).cast("bigint")})
     left = F.when(F.col("_drop").isNull(), F.col("n_lines")).otherwise(F.size(kept))
