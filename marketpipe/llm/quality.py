@@ -1,6 +1,7 @@
 """Quality scores by histogram gradient-boosted trees over document statistics.
 
-The trees are fitted on a sample of at most SAMPLE_DOCS labelled documents (the smallest hashes of their ids). Each is a full
+The trees are fitted on a sample of at most SAMPLE_DOCS labelled documents (the smallest hashes of their ids; of several texts of one
+id the smallest counts). Each is a full
 binary tree in flat arrays of features, bin limits and leaf values, walked for a whole batch at once in numpy.
 
 Null text counts as empty and gets the score of its (all zero) statistics. Only the text is an input of a score. Labels that are
@@ -51,7 +52,7 @@ def statistics(texts: list[str], table: np.ndarray) -> np.ndarray:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         full = [x for x in lines if x]
         row[13:] = (
-            np.log1p(n), np.log1p(len(words)), sizes.mean(), sizes.std(), min(sizes.max(), 1000), len(set(words)) / len(words), len(set(full)) / max(len(full), 1),
+            np.log1p(n), np.log1p(len(words)), sizes.mean(), sizes.std(), np.log1p(sizes.max()), len(set(words)) / len(words), len(set(full)) / max(len(full), 1),
             len(words) / (1 + share[5]), np.log1p(len(full)), (sizes <= 3).mean(), share[1] / (1 + share[0] + share[1]), sum(x[-1] in ".!?" for x in full) / max(len(full), 1),
         )
     return out
@@ -117,7 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Trees:
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("_y"))
     few = known.orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(most).withColumnRenamed("doc_id", "_id")
     # at most SAMPLE_DOCS ids: small by its definition
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "_y").agg(F.min("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()

@@ -155,6 +155,50 @@ def test_trees_split_where_the_labels_change():
     assert ((t.score(x) > 0.5) == y).mean() > 0.97
 
 
+def test_flat_trees_equal_a_walk_from_node_to_node():
+    gen = np.random.default_rng(5)
+    x = gen.normal(size=(900, quality.FEATURES)).astype(np.float32)
+    x[:, 4] = np.round(x[:, 4])  # many ties
+    t = quality.fit_trees(x, ((x[:, 4] + x[:, 9]) > 0).astype(float))
+    probe = np.concatenate([x[:80], gen.normal(size=(40, quality.FEATURES)).astype(np.float32) * 5, np.zeros((1, quality.FEATURES), np.float32)])
+
+    def walk(row):
+        total = t.base
+        for feature, cut, leaf in zip(t.feature, t.cut, t.leaf):
+            node = 0
+            while node < len(feature):
+                f = feature[node]
+                place = sum(bool(limit < row[f]) for limit in t.limits[f])
+                node = 2 * node + (2 if place > cut[node] else 1)
+            total += leaf[node - len(feature)]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(t.score(probe), [walk(r) for r in probe])
+
+
+def test_first_split_is_the_best_of_all():
+    gen = np.random.default_rng(6)
+    x = gen.normal(size=(700, quality.FEATURES)).astype(np.float32)
+    y = (x[:, 11] + 0.5 * gen.normal(size=700) > 0.2).astype(float)
+    t = quality.fit_trees(x, y)
+    p = y.mean()
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    gains = {}
+    for f in range(quality.FEATURES):
+        for cut, limit in enumerate(t.limits[f]):
+            left = x[:, f] <= limit
+            if min(h[left].sum(), h[~left].sum()) >= quality.LEAST / 10:
+                gains[f, cut] = g[left].sum() ** 2 / (h[left].sum() + 1) + g[~left].sum() ** 2 / (h[~left].sum() + 1) - g.sum() ** 2 / (h.sum() + 1)
+    assert np.isclose(gains[t.feature[0][0], t.cut[0][0]], max(gains.values()))
+
+
+def test_quality_sample_is_one_row_for_each_id(spark, docs):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    once = [(i, "good text. " * 9 if i % 2 else "BAD!! $$", "aa", "s") for i in range(60)]
+    one, two = (quality.fit(docs(rows), labels) for rows in (once, once * 3))
+    assert np.allclose(one.leaf, two.leaf) and one.base == two.base
+
+
 def test_held_out_is_the_crc(spark):
     ids = spark.range(50).select(F.col("id").alias("doc_id"))
     got = ids.select("doc_id", langid.held_out().alias("out")).collect()
