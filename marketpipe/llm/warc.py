@@ -25,9 +25,11 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, whole
+from .shared import fresh_path, whole, written
 
 RANGE_PAGES, ROLL_BYTES, REVISIT_BYTES = 512, 16 << 20, 1000
+#: Ranges over which pages without an id are dealt.
+NAMELESS = 4096
 #: The archive's date is a parameter, as the pages carry none.
 DATE = "2000-01-01T00:00:00Z"
 #: Fixed values of the WARC format.
@@ -70,7 +72,8 @@ def revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """(page_id, key, refers_to) of the pages whose payload, of SHA-256 key, another page holds as the response."""
     keys = pages.filter(F.octet_length(whole("html")) >= revisit_bytes).select(F.col("page_id").cast("bigint").alias("page_id"), F.sha2("html", 256).alias("key"))
     same = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return keys.join(same, "key").filter("page_id <> refers_to").select("page_id", "key", "refers_to").distinct()
+    # written, so that the join has plain shuffles on both sides and a payload of very many pages is split over tasks
+    return keys.join(written(same, "same-payloads"), "key").filter("page_id <> refers_to").select("page_id", "key", "refers_to").distinct()
 
 
 def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANGE_PAGES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -116,7 +119,9 @@ def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANG
 
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), whole("url").alias("url"), whole("html").alias("html"))
     rows = rows.unionByName(revisits(pages), allowMissingColumns=True)
-    rng = F.coalesce(F.floor(F.col("page_id") / range_pages), F.lit(-1)).cast("bigint")
+    # pages without an id are dealt over ranges of their own by their content
+    nameless = -1 - F.pmod(F.xxhash64("html", "url"), F.lit(NAMELESS))
+    rng = F.coalesce(F.floor(F.col("page_id") / range_pages), nameless).cast("bigint")
     sorted_ = rows.withColumn("rng", rng).repartitionByRange("rng").sortWithinPartitions("rng", "page_id", F.col("html").asc_nulls_first(), "url")
     sorted_.mapInPandas(work, MANIFEST).write.parquet(f"{path}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{path}/manifest")

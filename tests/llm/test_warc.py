@@ -33,6 +33,18 @@ def test_files_do_not_depend_on_partitions_and_roll(spark):
     assert sum(r["n_records"] for r in one) == 1200
 
 
+def test_very_long_payloads_and_many_pages_without_id(spark):
+    prepare(spark)
+    long = "".join(hashlib.sha256(b"%d" % i).hexdigest() for i in range(80_000))
+    data = [(1, "u", long, ""), (2, "u", long, ""), (3, "u", "z" * 30_000_000, "")] + [(None, f"n{i}", f"text {i % 20}", "") for i in range(200)]
+    got = warc.archive(rows(spark, data)).collect()
+    assert len(got) == len(data)
+    by = {r["page_id"]: r for r in got if r["page_id"]}
+    assert (by[1]["refers_to"], by[2]["record_type"], by[3]["payload_bytes"]) == (2, "response", 30_000_000)
+    assert all(by[i]["payload_digest"] == hashlib.sha1(data[i - 1][2].encode()).hexdigest() for i in (1, 2, 3))
+    assert sorted(r["payload_digest"] for r in got if r["page_id"] is None) == sorted(hashlib.sha1(f"text {i % 20}".encode()).hexdigest() for i in range(200))
+
+
 def test_empty(spark):
     prepare(spark)
     assert warc.archive(rows(spark, [])).count() == 0
