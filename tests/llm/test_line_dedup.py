@@ -41,6 +41,13 @@ def test_nulls_empty_repeated_and_long(docs):
     assert line_dedup.apply(docs([]), 2).count() == 0
 
 
+def test_lines_of_very_many_documents_are_salted(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_DOCS", 20)
+    monkeypatch.setattr(line_dedup, "SALTS", 4)
+    rows = [(i, f"hot\nwarm {i % 9}\nown {i}\nhot", "en", f"s{i % 12}") for i in range(150)]
+    check(docs, rows, 5)
+
+
 def test_extra_columns_pass(docs):
     row = line_dedup.apply(docs([(1, "a", "en", "s")])).first()
     assert (row["id"], row["n"], row["c"], row["label"]) == ("x", "y", "z", "w")

@@ -86,6 +86,13 @@ def test_pieces(docs):
     assert packing.pack(docs([]), tokenizer()).count() == 0
 
 
+@pytest.mark.parametrize("text", [" ", "\n", "a"])
+def test_five_million_of_one_character(docs, text):
+    ids = tokenizers.Tokenizer.from_file(tokenizer()).encode(text * 5_000_000, add_special_tokens=False).ids
+    got = {r["start"]: bytes(r["ids"]) for r in packing.cut(docs([(1, text * 5_000_000)]), tokenizer()).collect()}
+    assert b"".join(got[k] for k in sorted(got)) == np.array([*ids, 0], "<u4").tobytes()
+
+
 def test_very_long_runs_of_white_space(docs):
     """Runs that the faster library refuses: every row comes out, with the ids of the tokenizer's own library."""
     rows = [(1, " " * 2_000_000), (2, "a b" + "\n" * 1_100_000 + " \t" * 50_000 + "c <|endoftext|> \u00e9"), (3, "plain text")]
