@@ -33,7 +33,7 @@ def test_each_stage_on_what_the_one_before_kept(spark):
             clean = {r["doc_id"]: r["text"] for r in line_dedup.apply(docs).collect()}
             assert all(after[i]["text"] == clean[i] and after[i]["n_chars"] == (len(clean[i]) if clean[i] != before[i]["text"] else before[i]["n_chars"]) for i in after)
         else:
-            want = {r["doc_id"] for r in minhash.near_groups(docs).filter("kept").collect()}
+            want = {r["doc_id"] for r in minhash.near_groups(docs, corpus_pipeline.NEAR_PERCENT).filter("kept").collect()}
         assert set(after) == want
         if name != "lines":
             assert all(after[i] == before[i] for i in after)
