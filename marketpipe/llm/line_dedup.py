@@ -25,6 +25,8 @@ LG_K = 12
 NEAR = 0.1
 #: Documents from which a line's rows are dealt over tasks, and over how many.
 HOT_DOCS, SALTS = 1000, 256
+#: Lost lines from which a document's lines meet them in a join instead of one by one in a list.
+MANY = 256
 
 
 def bare(line: Column) -> Column:
@@ -67,6 +69,21 @@ def lost_lines(lines: DataFrame, spread: DataFrame) -> DataFrame:
     return many.unionByName(few).filter(F.col("doc_id") != F.col("first_id")).select("doc_id", "a", "b")
 
 
+def by_list(docs: DataFrame) -> DataFrame:
+    """docs (text, _drop) with _kept: the lines whose keys are not in _drop, in order."""
+    kept = F.filter(F.split(whole("text"), "\n", -1), lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
+    return docs.withColumn("_kept", kept)
+
+
+def by_join(docs: DataFrame) -> DataFrame:
+    """The same for documents that lose very many lines: their lines meet _drop in a join."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "long-documents")
+    lines = rows.select("_row", F.posexplode(F.split(whole("text"), "\n", -1)).alias("_at", "_line")).withColumn("_key", line_key(bare(F.col("_line"))))
+    stay = lines.join(rows.select("_row", F.explode("_drop").alias("_key")), ["_row", "_key"], "left_anti")
+    stay = stay.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_line")))["_line"].alias("_kept"))
+    return rows.join(stay, "_row", "left").withColumn("_kept", F.coalesce("_kept", F.array().cast("array<string>"))).drop("_row")
+
+
 def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """docs with its text cleaned, plus n_lines (lines before) and n_removed. Rows of a null doc_id stay as they are."""
     lines = written(lines_of(docs), "lines")
@@ -74,13 +91,15 @@ def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> Data
     drop = lost_lines(lines, spread).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("_drop"))
     drop = written(drop.withColumnRenamed("doc_id", "_id"), "lost-lines")
     dropped(lines)
-    parts = F.split(whole("text"), "\n", -1)
-    kept = F.filter(parts, lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
-    losing = bit_table(drop, "_id")
-    whole_docs = thinned(docs, losing, "doc_id", there=False).withColumns({"_id": F.lit(None).cast(drop.schema["_id"].dataType), "_drop": F.lit(None).cast(drop.schema["_drop"].dataType)})
+    losing, long = bit_table(drop, "_id"), bit_table(drop.filter(F.size("_drop") > MANY), "_id")
+    none = {"_id": F.lit(None).cast(drop.schema["_id"].dataType), "_drop": F.lit(None).cast(drop.schema["_drop"].dataType), "_kept": F.lit(None).cast("array<string>")}
+    rest, same = thinned(docs, losing, "doc_id"), F.col("doc_id") == F.col("_id")
     # merged at every size: lists of lines are far larger in memory than in the file that an automatic broadcast goes by
-    joined = thinned(docs, losing, "doc_id").join(drop.hint("merge"), F.col("doc_id") == F.col("_id"), "left").unionByName(whole_docs)
-    clean = F.when(F.col("_drop").isNull(), whole("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumns({"_clean": clean, "n_lines": F.when(whole("text") == "", 0).otherwise(F.size(parts)).cast("bigint")})
-    left = F.when(F.col("_drop").isNull(), F.col("n_lines")).otherwise(F.size(kept))
-    return out.withColumns({"n_removed": (F.col("n_lines") - left).cast("bigint"), "text": F.col("_clean")}).drop("_id", "_drop", "_clean")
+    few = by_list(thinned(rest, long, "doc_id", there=False).join(drop.hint("merge"), same, "left"))
+    many = by_join(thinned(rest, long, "doc_id").join(drop.hint("merge"), same, "left"))
+    joined = few.unionByName(many).unionByName(thinned(docs, losing, "doc_id", there=False).withColumns(none))
+    n_lines = F.when(whole("text") == "", 0).otherwise(F.size(F.split(whole("text"), "\n", -1)))
+    whole_text = F.col("_drop").isNull() | (whole("text") == "")
+    clean = F.when(whole_text, whole("text")).otherwise(F.array_join("_kept", "\n"))
+    n_removed = F.when(whole_text, 0).otherwise(n_lines - F.size("_kept"))
+    return joined.withColumns({"n_lines": n_lines.cast("bigint"), "n_removed": n_removed.cast("bigint"), "text": clean}).drop("_id", "_drop", "_kept")

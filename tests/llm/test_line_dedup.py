@@ -48,6 +48,16 @@ def test_lines_of_very_many_documents_are_salted(docs, monkeypatch):
     check(docs, rows, 5)
 
 
+def test_documents_that_lose_very_many_lines(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MANY", 5)
+    shared = [f"shared {i}" for i in range(40)]
+    rows = [(i, "\n".join([*shared[: i % 40], f"own {i}", "", *shared[: i % 7], shared[0]]), "en", f"s{i % 6}") for i in range(60)] + [(90 + i, "\n".join(shared), "en", f"s{i}") for i in range(6)]
+    check(docs, rows, 4)
+    odd = line_dedup.apply(docs([*rows, (7, None, "en", "s1"), (7, "", "en", "s1")]), 2).filter("doc_id = 7").collect()
+    assert sorted((r["n_lines"], r["n_removed"]) for r in odd)[:2] == [(0, 0)] * 2 and len(odd) == 3
+    check(docs, [(300, None, "en", "a"), *rows, (200, "\n".join(shared) + "\n", "en", "s1")], 2)
+
+
 def test_extra_columns_pass(docs):
     row = line_dedup.apply(docs([(1, "a", "en", "s")])).first()
     assert (row["id"], row["n"], row["c"], row["label"]) == ("x", "y", "z", "w")
