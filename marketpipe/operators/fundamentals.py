@@ -183,7 +183,7 @@ def full_years_only(rows: DataFrame, start: str = "start", end: str = "end") ->
 
 
 def gate_blocks() -> Column:
-    """Reasons that block a row (columns as in rows, days of its context, mktcap_cr), joined by ';'."""
+    """Fixed values, as published with each row: the names of the reasons. Reasons that block a row (columns as in rows, days of its context, mktcap_cr), joined by ';'."""
     c = F.col
     yearly = F.when(c("fiscal_quarter") == "FY", c("revenue")).otherwise(c("revenue") * 4)
     sized = (c("revenue") > 0) & (c("mktcap_cr") > 0)
@@ -196,7 +196,7 @@ def gate_blocks() -> Column:
 
 
 def gate_flags() -> Column:
-    """Doubts that do not block a row, sorted, joined by ';'."""
+    """Fixed values, as published with each row: the names of the doubts. Doubts that do not block a row, sorted, joined by ';'."""
     c = F.col
     implied = c("net_profit") * 1e7 / F.when(c("shares_outstanding") > 0, c("shares_outstanding"))
     apart = lambda a, b, share, least: (F.greatest(F.abs(a), F.abs(b)) > least) & (F.abs(a - b) > share * F.greatest(F.abs(a), F.abs(b)))

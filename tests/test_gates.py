@@ -32,11 +32,11 @@ def counts(spark, today, trailing):
 
 
 def test_deviation_gate(spark):
-    history = {"EQ": [2384, 2380, 2390], "BE": [266] * 3, "GS": [51] * 3, "ST": [143] * 3, "GB": [51] * 3}
-    assert set(counts(spark, {"EQ": 2384, "BE": 164, "GS": 36, "ST": 119, "GB": 42}, history).values()) == {"ok"}
-    assert counts(spark, {"EQ": 1200}, {"EQ": [2384, 2380, 2390]}) == {"EQ": "deviates"}
-    assert counts(spark, {"EQ": 2000}, {"EQ": [2384, 2380, 2390]}) == {"EQ": "deviates"}
-    assert counts(spark, {"BE": 100}, {"BE": [266] * 3}) == {"BE": "deviates"}
+    history = {"EQ": [2100, 2090, 2110], "BE": [300] * 3, "GS": [60] * 3, "ST": [150] * 3, "GB": [60] * 3}
+    assert set(counts(spark, {"EQ": 2100, "BE": 180, "GS": 40, "ST": 120, "GB": 45}, history).values()) == {"ok"}
+    assert counts(spark, {"EQ": 1000}, {"EQ": [2100, 2090, 2110]}) == {"EQ": "deviates"}
+    assert counts(spark, {"EQ": 1700}, {"EQ": [2100, 2090, 2110]}) == {"EQ": "deviates"}
+    assert counts(spark, {"BE": 120}, {"BE": [300] * 3}) == {"BE": "deviates"}
 
 
 def test_deviation_gate_boundaries(spark):

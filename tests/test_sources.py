@@ -10,9 +10,10 @@ from marketpipe.functions import scalar as S
 from marketpipe.functions.workspace import ship
 from marketpipe.sources import filings, prices, reference
 
+#: The column names of the files in this module. The rows are invented.
 PRIMARY = """TradDt,FinInstrmTp,ISIN,TckrSymb,SctySrs,SsnId,OpnPric,HghPric,LwPric,ClsPric,PrvsClsgPric,TtlTradgVol,TtlTrfVal,TtlNbOfTxsExctd,Rsvd
-2026-07-03,STK,INE002A01018,RELIANCE,EQ,F1,2990,3010,2985,3000,2980,1000,30000,50,
-2026-07-03,STK,INE002A01018,RELIANCE,EQ,I1,2990,3010,2985,2999,2980,10,300,5,
+2026-07-03,STK,INE00ALPHA01,ALPHA,EQ,F1,190,210,185,200,180,1000,30000,50,
+2026-07-03,STK,INE00ALPHA01,ALPHA,EQ,I1,190,210,185,199,180,10,300,5,
 2026-07-03,STK,,NOISIN,BE,F2,1,1,1,1,1,1,1,1,
 2026-07-03,FUT,INE1,X,EQ,F1,1,1,1,1,1,1,1,1,
 """
@@ -25,7 +26,7 @@ def put(tmp_path, name, text):
 
 def test_primary(spark, tmp_path):
     got = {r["instrument_key"]: r for r in prices.normalize_primary(prices.read_primary(spark, put(tmp_path, "p.csv", PRIMARY))).collect()}
-    assert set(got) == {"INE002A01018", "NSE:NOISIN"} and got["INE002A01018"]["close"] == 3000.0 and got["NSE:NOISIN"]["isin"] == ""
+    assert set(got) == {"INE00ALPHA01", "NSE:NOISIN"} and got["INE00ALPHA01"]["close"] == 200.0 and got["NSE:NOISIN"]["isin"] == ""
     with pytest.raises(ValueError, match="missing columns: ISIN, SsnId"):
         prices.normalize_primary(spark.createDataFrame([(1,)], "TradDt int").select(*(F.lit(None).alias(c) for c in PRIMARY.split("\n")[0].split(",") if c not in ("ISIN", "SsnId"))))
 
@@ -41,10 +42,10 @@ def test_zip_members(spark, tmp_path):
 
 
 def test_full_and_legacy(spark, tmp_path):
-    full = prices.read_text_csv(spark, put(tmp_path, "f.csv", " SYMBOL , SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, CLOSE_PRICE, TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES\n RELIANCE , EQ , 03-Jul-2026 , 2980, 2990, 3010, 2985, 3000, 1000000, 30000, 50000\nX,EQ,03-Jul-2026,-,-,-,-,5,1,-,-\n"))
+    full = prices.read_text_csv(spark, put(tmp_path, "f.csv", " SYMBOL , SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, CLOSE_PRICE, TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES\n ALPHA , EQ , 03-Jul-2026 , 180, 190, 210, 185, 200, 1000000, 30000, 50000\nX,EQ,03-Jul-2026,-,-,-,-,5,1,-,-\n"))
     master = spark.createDataFrame([("X", "EQ", "INEX", date(2026, 1, 1))], "symbol string, series string, isin string, last_seen date")
     got = {r["symbol"]: r for r in prices.normalize_primary(prices.adapt_full(full, master)).collect()}
-    assert got["RELIANCE"]["value"] == 3e9 and got["RELIANCE"]["instrument_key"] == "NSE:RELIANCE"
+    assert got["ALPHA"]["value"] == 3e9 and got["ALPHA"]["instrument_key"] == "NSE:ALPHA"
     x = got["X"]
     assert x["instrument_key"] == "INEX" and (x["open"], x["high"], x["low"], x["prevclose"], x["value"], x["trades"]) == (5.0, 5.0, 5.0, 5.0, 0.0, 0)
     old = prices.read_text_csv(spark, put(tmp_path, "l.csv", "SYMBOL,SERIES,OPEN,HIGH,LOW,CLOSE,PREVCLOSE,TOTTRDQTY,TOTTRDVAL,TIMESTAMP,TOTALTRADES,ISIN\nA,EQ,1,2,1,2,1,5,10,05-JUL-2022,3,INEA\n"))
@@ -64,8 +65,8 @@ def test_indices(spark, tmp_path):
 
 
 def test_sector_and_seed_lists(spark, tmp_path):
-    rows = reference.sector_list(reference.numbered_fields(spark, put(tmp_path, "s.csv", '﻿Company Name,Industry,Symbol,Series,ISIN Code\n"Rel, Ltd",Oil,RELIANCE,EQ,INE1\nshort,row\nOther,Steel,DUP,EQ,INE1\n'))).collect()
-    assert [(r["instrument_key"], r["symbol"], r["sector"], r["company"]) for r in rows] == [("INE1", "RELIANCE", "Oil", "Rel, Ltd")]
+    rows = reference.sector_list(reference.numbered_fields(spark, put(tmp_path, "s.csv", '﻿Company Name,Industry,Symbol,Series,ISIN Code\n"Rel, Ltd",Oil,ALPHA,EQ,INE1\nshort,row\nOther,Steel,DUP,EQ,INE1\n'))).collect()
+    assert [(r["instrument_key"], r["symbol"], r["sector"], r["company"]) for r in rows] == [("INE1", "ALPHA", "Oil", "Rel, Ltd")]
     six = reference.seed_list(reference.numbered_fields(spark, put(tmp_path, "6.csv", 'instrument_key,symbol,macro_sector,sector,industry,basic_industry\nK,S,M,"Oil, Gas",I,B\n'))).first()
     five = reference.seed_list(reference.numbered_fields(spark, put(tmp_path, "5.csv", "instrument_key,symbol,sector,industry,basic_industry\nK,S,X,I,B\n"))).first()
     assert (six["macro_sector"], six["sector"], six["basic_industry"]) == ("M", "Oil, Gas", "B") and (five["macro_sector"], five["sector"], five["basic_industry"]) == (None, "X", "B")
