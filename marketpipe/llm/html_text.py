@@ -31,7 +31,7 @@ KINDS = [
     "body", "html", "head", "title meta link base", "dialog details summary",
 ]
 KIND = {tag: k for k, tags in enumerate(KINDS) for tag in tags.split()}
-#: Groups of words in class, id and role. The last three groups stand on parts of articles as well as on clutter.
+#: Groups of words in class, id and role. The last four groups stand on parts of articles as well as on clutter.
 WORDS = [
     "content article post entry story main text prose maincontent articlebody",
     "nav navigation menu navbar breadcrumb breadcrumbs pagination pager toc tabs topbar menubar sitemap skip",
@@ -43,17 +43,20 @@ WORDS = [
     "comment comments commentlist disqus respond",
     "share sharing social follow toolbar",
     "form search login searchbox register",
-    "related more popular trending complementary notice alert disclaimer warning announcement",
+    "related more popular trending complementary",
+    "notice alert disclaimer warning announcement",
     "discussion feedback reviews responses reply replies",
     "tags meta byline author print tools",
 ]
+#: The groups that stand on clutter only.
+CLUTTER = range(1, 10)
 WORD = {w: k for k, words in enumerate(WORDS) for w in words.split()}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(KINDS[19].split() + ["a", "label", "img"])
 #: Open elements that a start tag ends, and where the search for them stops.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("html body table ul ol dl td th article section div main aside nav header footer form blockquote select".split())
-FEATURES = len(KINDS) + 1 + len(WORDS) + 10
+FEATURES = len(KINDS) + 1 + len(WORDS) + 12
 EDGES = len(KINDS) + 1
 #: The kinds of lists and their items, of elements that name a page's main part, and of those whose text no reader sees.
 LISTS, NAMED, UNSEEN = [KIND["ul"], KIND["li"]], [KIND["article"], KIND["main"], KIND["h1"]], [KIND["script"], KIND["meta"], KIND["head"]]
@@ -163,7 +166,7 @@ def forest(doms: list[Dom]) -> Forest:
     at = [(int(s) + i, len(KINDS) + 1 + w) for d, s in zip(doms, starts) for i, ws in enumerate(d.words) if ws for w in ws]
     if at:
         x[tuple(np.array(at).T)] = 1
-    length, linked, stops, seen, named = (np.zeros(n) for _ in range(5))
+    length, linked, stops, seen, named, around, clutter = (np.zeros(n) for _ in range(7))
     for d, s in zip(doms, starts):
         for run in d.runs:
             if run is not None and not run[1].isspace():
@@ -172,11 +175,18 @@ def forest(doms: list[Dom]) -> Forest:
     linked[kind == KIND["a"]] = length[kind == KIND["a"]]
     seen[~np.isin(kind, UNSEEN)] = length[~np.isin(kind, UNSEEN)]
     named[np.isin(kind, NAMED)] = 1
+    around[np.isin(kind, NAMED[:2])] = 1
     order = np.argsort(-depth, kind="stable")
-    cuts = np.flatnonzero(np.diff(depth[order])) + 1
-    for level in np.split(order, cuts):
+    levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
+    within = x[:, len(KINDS) + 1 + CLUTTER.start : len(KINDS) + 1 + CLUTTER.stop].any(1)
+    inside = around > 0
+    for level in levels[-2::-1]:
+        within[level] |= within[parent[level]]
+        inside[level] |= inside[parent[level]]
+    clutter[within] = length[within]
+    for level in levels:
         if depth[level[0]] > 0:
-            for v in (length, linked, stops, seen, named):
+            for v in (length, linked, stops, seen, named, around, clutter):
                 np.add.at(v, parent[level], v[level])
     base = len(KINDS) + 1 + len(WORDS)
     x[:, base] = 1
@@ -185,6 +195,9 @@ def forest(doms: list[Dom]) -> Forest:
     x[:, base + 7] = np.where(np.isin(kind, LISTS), share, 0)
     x[:, base + 8] = seen / np.maximum(np.repeat(seen[starts], sizes), 1)
     x[:, base + 9] = named > 0
+    x[:, base + 10] = clutter / np.maximum(length, 1)
+    # beside the page's article or main part, if it has one
+    x[:, base + 11] = (np.repeat(around[starts], sizes) > 0) & (around == 0) & ~inside
     x[:, base + 2] = np.log1p(length) / 8
     x[:, base + 3] = np.minimum(stops * 20 / np.maximum(length, 1), 1)
     x[:, base + 4] = length == 0
@@ -328,6 +341,8 @@ def labelled_pages(n: int, seed: int) -> list[str]:
             lambda: f"<div class='{pick('notice', 'cookie-notice', 'cookie-banner', 'consent', 'alert', 'newsletter', 'popup', 'site-notice', 'disclaimer')}'>{pick('', f'<h3>{words(1, 3)}</h3>')}<p>{sentences(1, 3)}</p></div>",
             lambda: f"<div class='{pick('sidebar', 'widget', 'recommended', 'side-bar')}'><h3>{words(1, 3)}</h3>{pick(f'<ul>{links(5)}</ul>', f'<p>{sentences(1, 5)}</p>', f'<div><p>{sentences(1, 5)}</p></div>')}</div>",
             lambda: f"<div class='{pick('related-posts', 'more-stories', 'popular', 'trending')}'><h3>{words(1, 3)}</h3><ul>{links(5)}</ul></div>",
+            lambda: f"<section class='{pick('related', 'more-stories', 'popular', 'trending', 'related-posts')}'><h3>{words(1, 3)}</h3><ul>{links(int(rng.integers(1, 6)))}</ul></section>",
+            lambda: f"<section class='{pick('notice', 'alert', 'site-notice', 'disclaimer', 'warning')}'><p>{sentences(1, 3)}</p></section>",
             lambda: f"<nav{pick('', ' class=breadcrumb', ' class=menu')}>{pick(f'<ul>{links(5)}</ul>', f'<a href=x>{words(1, 2)}</a> <a href=y>{words(1, 2)}</a>')}</nav>",
             lambda: f"<ul class='{pick('menu', 'nav', 'pagination', 'tabs')}'>{links(5)}</ul>",
             lambda: f"<div class='{pick('share', 'social-share', 'share-buttons', 'follow')}'><a href=x>{words(1, 1)}</a><a href=y>{words(1, 1)}</a></div>",
@@ -337,8 +352,14 @@ def labelled_pages(n: int, seed: int) -> list[str]:
             lambda: f"<div style='display: none'><p>{sentences(1, 2)}</p></div>",
             lambda: f"<dialog><p>{sentences(1, 2)}</p><button>{words(1, 1)}</button></dialog>",
             remarks,
+            remarks,
         )().replace(">", " data-label='other'>", 1)
 
+    def outside() -> str:
+        """What stands beside an article, not in it."""
+        box = f"<div class='{pick('related', 'popular', 'more', 'trending', 'related-posts', 'feedback', 'author')}' data-label='other'>{pick(f'<h3>{words(1, 3)}</h3>', '')}<p>{sentences(1, 4)}</p></div>"
+        return pick(other(), other(), other(), box)
+
     def content() -> str:
         return pick(
             lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}", lambda: f"<p>{words(1, 3)}.</p>", lambda: f"<p>{words(2, 6)}.</p>", lambda: f"<h2>{words(1, 6)}</h2>", lambda: f"<h3>{words(1, 6)}</h3>",
@@ -353,7 +374,9 @@ def labelled_pages(n: int, seed: int) -> list[str]:
         """A part of an article with a word in its class or id that clutter has too."""
         word = pick("related", "more", "popular", "notice", "alert", "warning", "disclaimer", "announcement", "discussion", "feedback", "reviews", "responses", "replies", "author", "tools", "print", "meta", "tags")
         name = pick(word, f"{word}-{words(1, 1)}", f"{words(1, 1)}-{word}")
-        return f"<{tag} {pick('class', 'class', 'id')}='{name}'>{pick(f'<h2>{words(1, 3)}</h2>', '')}{''.join(f'<p>{inline()}</p>' for _ in range(rng.integers(1, 4)))}</{tag}>"
+        long = word in ("notice", "alert", "warning", "disclaimer", "announcement")  # a notice is short
+        head = f"<h2>{words(1, 3)}</h2>" if long or chance(0.5) else ""
+        return f"<{tag} {pick('class', 'class', 'id')}='{name}'>{head}{''.join(f'<p>{inline()}</p>' for _ in range(rng.integers(2 if long else 1, 5)))}</{tag}>"
 
     out = []
     for _ in range(n):
@@ -367,7 +390,7 @@ def labelled_pages(n: int, seed: int) -> list[str]:
         top = pick(f"<header><a href=/>{words(1, 2)}</a><h1>{words(1, 3)}</h1></header>", f"<header class=site-header><p>{words(1, 5)}</p><nav><ul>{links(4)}</ul></nav></header>", f"<div id=header><h1>{words(1, 3)}</h1></div>", f"<nav><ul>{links(6)}</ul></nav>", "")
         end = pick(f"<footer>&copy; {words(1, 3)} &middot; {sentences(1, 1)}</footer>", f"<footer><p>{sentences(1, 2)}</p><ul>{links(3)}</ul></footer>", f"<div class=footer><p>{sentences(1, 1)}</p></div>", "")
         top, end = (x.replace(">", " data-label=other>", 1) for x in (top, end))
-        before, after = ("".join(other() for _ in range(rng.integers(0, 4))) for _ in range(2))
+        before, after = ("".join(outside() if tag in ("article", "main") else other() for _ in range(rng.integers(0, 4))) for _ in range(2))
         page = inner.replace("<body data-label=content>", f"<body data-label=content>{top}{before}").replace("</body>", f"{after}{end}") if tag == "body" else f"<body>{top}{before}{inner}{after}{end}"
         out.append(f"<!DOCTYPE html><html><head data-label=other><meta charset=utf-8><title>{words(1, 6)}</title><style>p {{ margin: 0 }}</style><script>var t = '</p>';</script></head>{page}{pick('</body></html>', '</body></html>', '')}")
     return out

@@ -76,6 +76,25 @@ def test_layouts_that_training_has_not(model, name):
     assert html_text.texts([html], model)[0].split("\n\n") == want
 
 
+BOX = "Words of clutter stand here, not of the article."
+CLUTTER = {
+    "related list": f"<section class=related><h3>{BOX}</h3><ul><li><a href=x>{BOX}</a></li></ul></section>",
+    "short notice": f"<section class=notice><p>{BOX}</p></section>",
+    "discussion of readers": f"<section id=discussion><h3>{BOX}</h3><div class=comment><p>{BOX}</p></div></section>",
+    "menu": f"<div class=menu><p>{BOX}</p></div>",
+    "share": f"<div class=share><p>{BOX}</p></div>",
+    "advert": f"<div class=promo>{BOX}</div>",
+    "aside": f"<aside><p>{BOX}</p></aside>",
+}
+
+
+@pytest.mark.parametrize("name", CLUTTER)
+def test_clutter_goes_wherever_it_stands(model, name):
+    box = CLUTTER[name]
+    pages = [f"<body><nav><ul><li><a href=a>Home</a></li></ul></nav>{a}<article><h1>Title of it</h1><p>{S} {S}</p>{b}<p>{S}</p>{c}</article>{d}<footer>x</footer></body>" for a, b, c, d in ((box, "", "", ""), ("", box, "", ""), ("", "", box, ""), ("", "", "", box))]
+    assert html_text.texts(pages, model) == [f"Title of it\n\n{S} {S}\n\n{S}"] * 4
+
+
 def test_blocks_of_other_labelled_pages(model):
     f = html_text.forest([html_text.Dom(h) for h in html_text.labelled_pages(150, 78)])
     p, _ = html_text.beliefs(f, model.w, model.theta)
