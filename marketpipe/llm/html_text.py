@@ -56,7 +56,7 @@ INLINE = set(KINDS[19].split() + ["a", "label", "img"])
 #: Open elements that a start tag ends, and where the search for them stops.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("html body table ul ol dl td th article section div main aside nav header footer form blockquote select".split())
-FEATURES = len(KINDS) + 1 + len(WORDS) + 12
+FEATURES = len(KINDS) + 1 + len(WORDS) + 14
 EDGES = len(KINDS) + 1
 #: The kinds of lists and their items, of elements that name a page's main part, and of those whose text no reader sees.
 LISTS, NAMED, UNSEEN = [KIND["ul"], KIND["li"]], [KIND["article"], KIND["main"], KIND["h1"]], [KIND["script"], KIND["meta"], KIND["head"]]
@@ -196,6 +196,10 @@ def forest(doms: list[Dom]) -> Forest:
     x[:, base + 8] = seen / np.maximum(np.repeat(seen[starts], sizes), 1)
     x[:, base + 9] = named > 0
     x[:, base + 10] = clutter / np.maximum(length, 1)
+    # a word that stands on clutter as well as on parts of an article, within one; and how much of the text there is links
+    either = x[:, len(KINDS) + 1 + CLUTTER.stop : base].any(1) & inside
+    x[:, base + 12] = either
+    x[:, base + 13] = either * share
     # beside the page's article or main part, if it has one
     x[:, base + 11] = (np.repeat(around[starts], sizes) > 0) & (around == 0) & ~inside
     x[:, base + 2] = np.log1p(length) / 8
@@ -358,7 +362,7 @@ def labelled_pages(n: int, seed: int) -> list[str]:
     def outside() -> str:
         """What stands beside an article, not in it."""
         box = f"<div class='{pick('related', 'popular', 'more', 'trending', 'related-posts', 'feedback', 'author')}' data-label='other'>{pick(f'<h3>{words(1, 3)}</h3>', '')}<p>{sentences(1, 4)}</p></div>"
-        return pick(other(), other(), other(), box)
+        return box if chance(0.15) else other()
 
     def content() -> str:
         return pick(
@@ -367,7 +371,8 @@ def labelled_pages(n: int, seed: int) -> list[str]:
             lambda: f"<blockquote><p>{inline()}</p></blockquote>", lambda: f"<pre>{words(2, 20)}</pre>", lambda: f"<p><b>{words(1, 6)}.<br><p>{inline()}</p>",
             lambda: f"<figure><img src=x><figcaption>{sentences(1, 1)}</figcaption></figure>", lambda: f"<table><tr><th>{words(1, 2)}</th><td>{words(1, 3)}</td></tr></table>", lambda: f"<div><p>{inline()}</p></div>", lambda: f"<section><h2>{words(1, 4)}</h2><p>{inline()}</p></section>",
             lambda: f"<ul>{links(int(rng.integers(2, 9)))}</ul>", lambda: f"<p>{sentences(1, 1)}</p><ol>{links(int(rng.integers(2, 6)))}</ol>", lambda: f"<p>{inline()} <a href=x>{words(1, 4)}</a> {inline()}</p>", lambda: f"<div>{inline()}</div>",
-            lambda: part(pick("section", "div", "div")), lambda: part(pick("section", "div", "blockquote")),
+            lambda: part("section"), lambda: part("div"), lambda: part("div"), lambda: part(pick("section", "div", "blockquote")),
+            lambda: f"<p class='{pick('notice', 'alert', 'note', 'related', 'more', 'feedback', 'author', 'meta')}'>{inline()}</p>",
         )()
 
     def part(tag: str) -> str:
