@@ -3,8 +3,8 @@
 One pass gives each document its number of shingles, a digest of its shingle set and HASHES minima. Documents with equal sets are
 one node. Nodes that agree in all minima of a band meet in a bucket, where each is compared with the bucket's smallest node:
 first by size and signature, then on the full sets. Verified links grow into components by alternating large-star and small-star.
-Buckets whose members are not all in one component by then are finished exactly: blocks of members are compared pair by pair on
-their signatures, across components only, and what remains is confirmed on the full sets. No bucket is capped or sampled.
+Buckets whose members are not all in one component by then are finished exactly: blocks of members are compared with each other on
+all shingles that any two components share, and each block gives just the links that join its components. No bucket is capped or sampled.
 
 The texts of the nodes that share a bucket are fetched once; a broadcast bit table of bounded size keeps most other texts out of that
 shuffle. A star with many members is dealt out in blocks of BLOCK members, each with its own copy of the centre, so neither a large
@@ -258,28 +258,71 @@ def shared_buckets(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def shingle_rows(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, c, s): the distinct shingles of the given nodes (id, c)."""
+    """(id, c, n, t, s): the distinct shingles of each text of the given nodes (id, c), their number and a hash of them all."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(2).to_pylist())
             offsets = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
             values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "c", "s"])
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            own = pa.array([int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, own, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "c", "n", "t", "s"])
 
     rows = texts.join(ids, "id").select("id", "c", "text")
-    return rows.mapInArrow(work, "id bigint, c bigint, s array<bigint>").select("id", "c", F.explode("s").alias("s"))
+    return rows.mapInArrow(work, "id bigint, c bigint, n bigint, t bigint, s array<bigint>").select("id", "c", "n", "t", F.explode("s").alias("s"))
 
 
-def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs within a bucket that lie in different components, neither being the bucket's smallest node (those pairs
-    are done), where sizes, signatures and shared shingles allow a link.
+def joining(ok: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Of the linked (row, column) pairs of ok those that join components not yet joined; left, right: component of each row and column."""
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            root[c] = c = root.get(up, up)
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(ok)):
+        one, two = find(int(left[i])), find(int(right[j]))
+        if one != two:
+            root[max(one, two)] = min(one, two)
+            out.append((i, j))
+    return out
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 16384) -> np.ndarray:
+    """(left, right) sizes of the intersections of sets of numbers; width columns of the sets' matrices at a time."""
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+    both = np.intersect1d(flat[0], flat[1])
+    cells = []
+    for x, values in zip((left, right), flat):
+        row = np.repeat(np.arange(len(x)), [len(v) for v in x])
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        there = both[at] == values if len(both) else np.zeros(len(values), bool)
+        by = np.argsort(at[there], kind="stable")
+        cells.append((at[there][by], row[there][by]))
+    out = np.zeros((len(left), len(right)), np.int64)
+    for lo in range(0, len(both), width):
+        parts = []
+        for x, (at, row) in zip((left, right), cells):
+            a, b = np.searchsorted(at, (lo, lo + width))
+            m = np.zeros((len(x), width), np.float32)
+            m[row[a:b], at[a:b] - lo] = 1
+            parts.append(m)
+        out += (parts[0] @ parts[1].T).astype(np.int64)  # sums of at most width ones are exact
+    return out
+
+
+def mixed_links(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of a bucket that lie in different components, enough to join these; pairs with the bucket's
+    smallest node are done already.
 
     A link across components can only rest on shingles that more than one component has; their number bounds a node's
     intersections, which leaves out nodes that differ from all others by shingles of their own, however many share a bucket.
-    Blocks of the remaining members outside the smallest node's component then meet all blocks.
+    Blocks of the remaining members outside the smallest node's component then meet all blocks, with those shingles of theirs: they
+    and the sizes of the full sets give each pair's exact similarity.
     """
-    band_rows, agree = rows_of(percent), agree_of(percent)
     named = written(buckets.join(labels, "id", "left").withColumn("c", F.coalesce("label", "id")).drop("label"), "named-buckets")
     low_c = F.max(F.when(F.col("id") == F.col("a"), F.col("c"))).alias("low_c")
     stats = named.groupBy("band", "h").agg(low_c, F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").drop("c1", "c2")
@@ -287,21 +330,21 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
     members = named.join(stats, ["band", "h"]).filter("id <> a").withColumn("out", F.col("c") != F.col("low_c"))
     members = written(members.drop("low_c", "a"), "mixed-buckets")
     dropped(named), dropped(stats)
+    sizes = nodes.groupBy("id").agg(F.min("n").alias("least"))  # of an id with several texts the smallest, as a bound
     shingles = written(shingle_rows(members.select("id", "c").distinct(), texts), "mixed-shingles")
     for _ in range(ROUNDS):
         shared = shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s")
         kept = shingles.join(shared, "s", "left_semi")
-        reach = kept.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
-        able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * percent)
+        able = kept.groupBy("id").agg(F.count(F.lit(1)).alias("x")).join(sizes, "id").filter(F.col("x") * 100 >= F.col("least") * percent)
         fewer = written(kept.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
         dropped(shingles)
         shingles = fewer
-    reach = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("x"))
-    able = nodes.join(reach, "id").filter(F.col("x") * 100 >= F.col("n") * percent)
-    members = written(members.join(able, "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
+    sets = shingles.groupBy("id", "n", "t").agg(F.collect_list("s").alias("s"))
+    members = written(members.drop("c").join(sets, "id").join(shingles.select("id", "c").distinct(), "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
+    dropped(shingles)
     counts = members.groupBy("band", "h").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("alls"))
     sized = members.join(written(counts.filter("outs > 0"), "mixed-counts"), ["band", "h"])
-    spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "x", "signature")
+    spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "s")
     left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), *fields)
     right = sized.select("band", "h", F.explode(F.expr("sequence(0L, outs - 1L)")).alias("i"), F.pmod(spread, "alls").alias("j"), F.lit(False).alias("left"), *fields)
     # dealt anew by block: the join's partitioning by bucket would leave all blocks of a hot bucket in one task
@@ -309,29 +352,29 @@ def mixed_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column, band_of = batch.column(1), batch.column(0).to_pylist()
+            column = batch.column(0)
             flat = column.flatten()
             bounds = np.asarray(column.offsets) - column.offsets[0].as_py()
-            is_left, out, ids, c, n, x = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False)) for k in range(6))
-            signature = flat.field(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, HASHES)
+            is_left, out, ids, c, n = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False)) for k in range(5))
+            held = flat.field(5)
+            values = held.flatten().to_numpy(zero_copy_only=False)
+            ends = np.asarray(held.offsets) - held.offsets[0].as_py()
             found = []
-            for band, lo, hi in zip(band_of, bounds[:-1], bounds[1:]):
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
                 p, q = lo + np.flatnonzero(is_left[lo:hi]), lo + np.flatnonzero(~is_left[lo:hi])
-                small, large = np.minimum(n[p][:, None], n[q]), np.maximum(n[p][:, None], n[q])
                 # both outside: once, from the larger id
-                ok = (c[p][:, None] != c[q]) & (~out[q] | (ids[p][:, None] > ids[q])) & (100 * small >= percent * large)
-                ok &= (100 + percent) * np.minimum(x[p][:, None], x[q]) >= percent * (small + large)
-                a, b = np.nonzero(ok)
-                for at in range(0, len(a), 4096):
-                    k, m = p[a[at : at + 4096]], q[b[at : at + 4096]]
-                    same = signature[k] == signature[m]
-                    # a pair that shares buckets of several bands is taken in the first of them
-                    hit = (same.sum(1) >= agree) & (same.reshape(-1, HASHES // band_rows, band_rows).all(2).argmax(1) == band)
-                    found.append(np.stack([np.minimum(ids[k], ids[m]), np.maximum(ids[k], ids[m])], 1)[hit])
-            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+                ok = (c[p][:, None] != c[q]) & (~out[q] | (ids[p][:, None] > ids[q]))
+                ok &= 100 * np.minimum(n[p][:, None], n[q]) >= percent * np.maximum(n[p][:, None], n[q])
+                if not ok.any():
+                    continue
+                p, q, ok = p[ok.any(1)], q[ok.any(0)], ok[ok.any(1)][:, ok.any(0)]
+                both = shared_counts([values[ends[k] : ends[k + 1]] for k in p], [values[ends[k] : ends[k + 1]] for k in q])
+                ok &= 100 * both >= percent * (n[p][:, None] + n[q] - both)
+                found += [(min(ids[p[i]], ids[q[j]]), max(ids[p[i]], ids[q[j]])) for i, j in joining(ok, c[p], c[q])]
+            pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return blocks.select("band", "rows").mapInArrow(work, "a bigint, b bigint").distinct()
+    return blocks.select("rows").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -352,9 +395,9 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = in_blocks(buckets.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
     links = confirmed(written(alike(pairs, nodes, percent), "centre-pairs"), texts, percent)
     labels = components(links)
-    more = written(mixed_pairs(buckets, nodes, labels, texts, percent), "mixed-pairs")
+    more = written(mixed_links(buckets, nodes, labels, texts, percent), "mixed-links")
     if not more.isEmpty():
-        labels = components(links.unionByName(confirmed(in_blocks(more), texts, percent)))
+        labels = components(links.unionByName(more))
     for table in (nodes, buckets, texts):
         dropped(table)
     named = ids.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
