@@ -112,6 +112,44 @@ def test_minima_estimate_similarity():
     assert abs(share - 850 / 1150) < 0.15
 
 
+def test_sizes_of_intersections():
+    rng = np.random.default_rng(3)
+    make = lambda n: [np.unique(rng.integers(-40, 40, rng.integers(0, 60))) for _ in range(n)]
+    for left, right in ((make(9), make(7)), (make(1), []), ([np.zeros(0, np.int64)], make(3)), ([np.arange(-5, 5)], [np.arange(100, 110)])):
+        want = [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+        for width in (3, 16384):
+            assert minhash.shared_counts(left, right, width).tolist() == want
+
+
+def test_links_of_a_block_join_its_components_once():
+    ok = np.ones((3, 4), bool)
+    pairs = minhash.joining(ok, np.array([1, 1, 2]), np.array([3, 3, 4, 1]))
+    assert len(pairs) == 3
+    assert minhash.joining(np.zeros((2, 2), bool), np.array([1, 2]), np.array([3, 4])) == []
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        left, right, ok = rng.integers(0, 9, 8), rng.integers(0, 9, 8), rng.random((8, 8)) < 0.2
+
+        def groups(edges):
+            name = {int(c): int(c) for c in [*left, *right]}
+            for _ in name:
+                for a, b in edges:
+                    name[a] = name[b] = min(name[a], name[b])
+            return name
+
+        every = [(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(ok))]
+        some = [(int(left[i]), int(right[j])) for i, j in minhash.joining(ok, left, right)]
+        assert groups(every) == groups(some) and len(some) <= len(groups(every))
+
+
+def test_several_texts_of_one_size_are_compared_one_by_one(docs):
+    """Two texts of an id share half each with a third one, together all of it: no link."""
+    one, two = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (7, " ".join(one[:50] + two[:50])), (8, " ".join(one[:50] + two[:49] + ["z"])), (2, " ".join(one[:58])), (3, " ".join(two[:58]))]
+    got = {(r["doc_id"], r["component_id"]) for r in minhash.near_groups(docs(rows)).collect()}
+    assert got == {(5, 2), (2, 2), (3, 2), (7, 7), (8, 7)}
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(139, 200), (7, 7)]
     random.Random(2).shuffle(edges)
