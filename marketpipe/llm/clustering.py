@@ -32,9 +32,9 @@ LARGEST = 1 << 27
 #: The first centroids are the first pivots; after each of the first REFRESH rounds its centroids join them, as later ones lie close by.
 REFRESH = 2
 #: The least altitude of a pivot over the simplex of those before it, as a share of its distance.
-FLAT = 1e-3
+FLAT = 1e-2
 #: Relative room for rounding in the bounds.
-ROOM = 1e-6
+ROOM = 1e-5
 
 
 def quantised(embeddings: DataFrame, components: int = COMPONENTS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, clustering, exact_dedup, html_text, importance, langid, line_dedup, media, minhash, packing, quality, warc
+from . import bpe, clustering, exact_dedup, html_text, importance, langid, line_dedup, media, minhash, packing, quality, toxicity, warc
 from .shared import prepare, table
 
 
@@ -82,6 +82,13 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_html": op2_html,
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_clustering": op11_clustering,
     "op12_importance": op12_importance,
+    "op13_toxicity": op13_toxicity,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

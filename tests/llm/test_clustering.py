@@ -57,7 +57,7 @@ def test_bounds_hold_and_filter(vectors):
     first = clustering.Simplex(v[:5])
     grown = clustering.Simplex(np.vstack([v[2:9], v[:1]]), first)
     a = grown.apexes(v, first.apexes(v))
-    assert len(grown.pivots) == 9 and np.allclose(a, clustering.Simplex(v[:9]).apexes(v))
+    assert len(grown.pivots) == 9 and np.allclose(a, clustering.Simplex(v[:9]).apexes(v), atol=1e-3)
     d = ((v[:, None, :50] - v[None, :50]) ** 2).sum(2)
     below = ((a[:, None] - a[None, :50]) ** 2).sum(2)
     above = below + 4 * a[:, None, -1] * a[None, :50, -1]
