@@ -62,6 +62,17 @@ def contract(df: DataFrame, schema: T.StructType = BARS) -> DataFrame:
     return counted.select(pairs.alias("p")).select("p.*")
 
 
+def breaks_contract(schema: T.StructType = BARS) -> F.Column:
+    """Whether a row of the schema's columns has a null where none may be, or a negative number."""
+    bad = F.lit(False)
+    for f in schema:
+        if not f.nullable:
+            bad = bad | F.col(f.name).isNull()
+        if isinstance(f.dataType, (T.DoubleType, T.LongType, T.IntegerType)):
+            bad = bad | holds(F.col(f.name) < 0)
+    return bad
+
+
 def wrong_dates(df: DataFrame, target: str, show: int = 3, day: str = "date") -> DataFrame:
     """(wrong_rows, sample, rejected): any row of another day rejects the whole batch; an empty batch passes."""
     odd = ~F.col(day).eqNullSafe(F.lit(target).cast("date"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.workspace import written
-from ..schemas import BAR_KEY
+from ..schemas import BAR_KEY, BARS
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Column:
@@ -45,28 +48,138 @@ def numbered(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame:
     return parts.join(F.broadcast(sizes), "_p").withColumn(name, F.col("_i") - F.col("_least") + F.col("_before") + 1).drop("_p", "_i", "_least", "_before")
 
 
-def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: Sequence[str] = BAR_KEY, ties: Sequence[str] = (), date: str = "date") -> None:
-    """Rewrites only the year partitions that incoming touches, in ranges of the key. Running it twice equals running it once."""
+#: Commits whose files stay readable after newer ones, and how often a writer starts again when another one was faster.
+KEPT_COMMITS, ATTEMPTS = 5, 5
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def commits(spark: SparkSession, path: str) -> list[str]:
+    """Names of a table's manifests, oldest first."""
+    fs, folder = _hadoop(spark, f"{path}/_commits")
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().endswith(".json")) if fs.exists(folder) else []
+
+
+def manifest(spark: SparkSession, path: str, name: str | None = None) -> tuple[int, dict[int, str]]:
+    """(number, year -> batch folder) of a commit, by default of the newest. Without any commit the number is 0, and the years are those
+    of a plain year-partitioned table ('' for the table's own folder)."""
+    names = commits(spark, path)
+    if not names:
+        fs, folder = _hadoop(spark, path)
+        found = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return 0, {int(n[5:]): "" for n in found if n.startswith("year=")}
+    fs, file = _hadoop(spark, f"{path}/_commits/{name or names[-1]}")
+    stream = fs.open(file)
+    try:
+        years = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return int((name or names[-1])[:8]), {int(y): batch for y, batch in years.items()}
+
+
+def commit(spark: SparkSession, path: str, number: int, years: dict[int, str]) -> bool:
+    """Makes a manifest the newest in one step, a rename that never replaces; False where another writer has taken the number."""
+    fs, draft = _hadoop(spark, f"{path}/_commits/.{uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(json.dumps({str(y): b for y, b in sorted(years.items())}).encode())
+    stream.close()
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_commits/{number:08d}.json")
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, target, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        fs.delete(draft, False)
+        return False
+    return True
+
+
+def expire(spark: SparkSession, path: str, keep: int = KEPT_COMMITS) -> None:
+    """Deletes manifests older than the newest keep ones, and the batch folders that only they name."""
+    names = commits(spark, path)
+    old, new = ([set(manifest(spark, path, n)[1].values()) for n in part] for part in (names[:-keep], names[-keep:]))
+    for batch in set().union(*old) - set().union(*new) - {""}:
+        for folder in (f"{path}/batch={batch}", f"{path}/_counts/batch={batch}"):
+            fs, p = _hadoop(spark, folder)
+            fs.delete(p, True)
+    for name in names[:-keep]:
+        fs, p = _hadoop(spark, f"{path}/_commits/{name}")
+        fs.delete(p, False)
+
+
+def day_counts(df: DataFrame, date: str = "date") -> DataFrame:
+    """(date, series, n) of all rows; series is null where it is null or absent."""
+    series = F.col("series") if "series" in df.columns else F.lit(None).cast("string")
+    return df.groupBy(F.col(date).alias("date"), series.alias("series")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: Sequence[str] = BAR_KEY, ties: Sequence[str] | None = None, date: str = "date") -> None:
+    """Brings rows into a year-partitioned table; running it twice equals running it once.
+
+    Only the years that incoming touches are written, in ranges of the key, to a new batch folder, with their counts per day and series.
+    A manifest that names the batch of every year then becomes current in one step: a reader sees the table before or after, never
+    a part, and what a stopped writer leaves is not read. A writer whose number another one has taken starts again from that one's table.
+    Rows of a batch that share a key: the last by ties (by default all other columns) stays.
+    """
+    ties = [c for c in incoming.columns if c not in keys] if ties is None else ties
     incoming = incoming.withColumn("year", F.year(date)).persist()
-    years = [r["year"] for r in incoming.select("year").distinct().collect()]  # a handful at most
-    existing = read_years(spark, path, incoming.schema, years)
-    out = merged(existing, incoming, keys, ties).repartitionByRange("year", *keys).sortWithinPartitions("year", *keys)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("year").parquet(path)
-    incoming.unpersist()
+    try:
+        years = [r["year"] for r in incoming.select("year").distinct().collect()]  # a handful at most
+        for _ in range(ATTEMPTS if years else 0):
+            number, base = manifest(spark, path)
+            existing = _of_years(spark, path, incoming.schema, {y: base[y] for y in years if y in base})
+            out = merged(existing, incoming, keys, ties).repartitionByRange("year", *keys).sortWithinPartitions("year", *keys)
+            batch = uuid4().hex
+            out.write.option("compression", "zstd").partitionBy("year").parquet(f"{path}/batch={batch}")
+            now = spark.read.schema(incoming.schema).parquet(f"{path}/batch={batch}")
+            day_counts(now, date).withColumn("year", F.year("date")).coalesce(1).write.partitionBy("year").parquet(f"{path}/_counts/batch={batch}")  # a row a day and series
+            if commit(spark, path, number + 1, base | dict.fromkeys(years, batch)):
+                return expire(spark, path)
+        if years:
+            raise RuntimeError(f"{ATTEMPTS} other writers were faster at {path}")
+    finally:
+        incoming.unpersist()
+
+
+def _of_years(spark: SparkSession, path: str, schema: T.StructType, batches: dict[int, str], root: str = "") -> DataFrame:
+    """The files of the given years, of the batch of each."""
+    if not batches:
+        return spark.createDataFrame([], schema if "year" in schema.names else T.StructType([*schema.fields, T.StructField("year", T.IntegerType())]))
+    paths = [f"{path}{root}/batch={b}/year={y}" if b else f"{path}/year={y}" for y, b in sorted(batches.items())]
+    old, new = [p for p in paths if "/batch=" not in p], [p for p in paths if "/batch=" in p]
+    frames = [spark.read.schema(schema).option("basePath", f"{path}{root}" if some is new else path).parquet(*some).drop("batch") for some in (old, new) if some]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def read_years(spark: SparkSession, path: str, schema: T.StructType, years: Sequence[int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """The year partitions of a table, pruned; empty where the table is absent."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        out = spark.createDataFrame([], schema)
-    else:
-        out = spark.read.schema(schema).parquet(path)
-    if years is not None:
-        out = out.filter(F.col("year").isin([int(y) for y in years]))
+    """The year partitions of a table's newest commit, pruned; empty where the table is absent."""
+    batches = manifest(spark, path)[1]
+    out = _of_years(spark, path, schema, {y: b for y, b in batches.items() if years is None or y in {int(x) for x in years}})
     return out.select(*columns) if columns else out
 
 
+COUNTS = "date date, series string, n bigint"
+
+
+def read_counts(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:
+    """COUNTS of the newest commit, as written with it: no stored row is read. Years that were never upserted are counted."""
+    batches = {y: b for y, b in manifest(spark, path)[1].items() if years is None or y in {int(x) for x in years}}
+    kept = _of_years(spark, path, T.StructType.fromDDL(COUNTS), {y: b for y, b in batches.items() if b}, "/_counts").drop("year")
+    plain = {y: b for y, b in batches.items() if not b}
+    return kept.unionByName(day_counts(_of_years(spark, path, BARS, plain))) if plain else kept
+
+
+def stored_statistics(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """(dataset, year, n_rows, max_date) of each year of a table, from its counts."""
+    return read_counts(spark, path).groupBy(F.lit(dataset).alias("dataset"), F.year("date").alias("year")).agg(F.sum("n").alias("n_rows"), F.max("date").alias("max_date"))
+
+
 def with_absent(df: DataFrame, schema: T.StructType, defaults: dict[str, object] | None = None) -> DataFrame:
     """df in the schema's columns: absent ones filled with their default or null, extra ones left out."""
     have, defaults = set(df.columns), defaults or {}
@@ -88,21 +201,20 @@ def newest_partitions(df: DataFrame, keep: int, date: str = "date") -> DataFrame
     return df.join(ranked, date, "left_semi")
 
 
-def write_day_delta(df: DataFrame, path: str, keep: int = 35, date: str = "date") -> None:
-    """One partition per day; only the newest keep days stay."""
+def write_day_delta(df: DataFrame, path: str, keep: int = 35, date: str = "date", by: Sequence[str] = ()) -> None:
+    """One partition per day, or per day and the columns in by, such as the batch of a stream; only the newest keep days stay. A partition
+    that is written again replaces itself."""
     spark = df.sparkSession
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
-    days = sorted(r[0] for r in spark.read.parquet(path).select(date).distinct().collect())
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date, *by).parquet(path)
+    fs, folder = _hadoop(spark, path)
+    days = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith(f"{date}=")) if fs.exists(folder) else []
     for day in days[:-keep]:
-        p = fs_path(f"{path}/{date}={day}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, day), True)
 
 
 def _pointers(spark: SparkSession, path: str):
     """The file system, the folder of a snapshot's pointers, and their names in order."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, folder = _hadoop(spark, f"{path}/_current")
     return fs, folder, sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
 
 

@@ -9,6 +9,7 @@ from ..functions import scalar as S
 from ..functions.workspace import fresh_path, ship, written
 from ..operators import fundamentals as fun
 from ..operators import gates, registry, sectors, store
+from ..operators.admission import Limits
 from ..operators.master import instrument_master
 from ..schemas import BARS
 from ..sources import filings as src
@@ -309,44 +310,67 @@ def catch_up(spark, d):
     return ingest.catch_up(spark, b.select("date").distinct(), have, gates.trailing_means(have, _calendar(spark)))
 
 
+#: Thresholds scaled to the small tables; the defaults are those for a full exchange.
+LIMITS = Limits(least=1, most=5000, floor=2, band=0.6)
+
+
 def _backfill_sql(n, target):
-    return f"""WITH {t.DIRTY}, {CALENDAR}, days AS (SELECT date, ordinal FROM cal WHERE is_trading AND date <= DATE '{target}' ORDER BY date DESC LIMIT {n}), old AS (SELECT date, series, instrument_key FROM sound WHERE ok AND (day(date) % 4 = 1 OR day(date) % 4 = 2 AND user_id % 2 = 0)),
-hist AS (SELECT o.* FROM old o JOIN cal c ON c.date = o.date WHERE c.is_trading AND c.ordinal > (SELECT max(ordinal) FROM days) - {n} - 10 AND c.date <= DATE '{target}'), raw AS (SELECT s.* FROM sound s JOIN days d ON d.date = s.date WHERE day(s.date) % 6 <> 0),
-have AS (SELECT date, series, count(*) AS n FROM hist GROUP BY 1, 2), now AS (SELECT date, instrument_key, series FROM raw WHERE ok UNION SELECT date, instrument_key, series FROM hist), mc AS (SELECT date, series, count(*) AS n FROM now GROUP BY 1, 2), {_MEANS.format('mc')},
-s AS (SELECT h.date, sum(h.n) >= 0.85 * sum(m.mean) AS complete FROM have h JOIN means m ON m.date = h.date AND m.series = h.series GROUP BY 1), r AS (SELECT date, count(*) AS n_rows, count(*) FILTER (WHERE NOT ok) AS bad FROM raw GROUP BY 1),
-st AS (SELECT d.date, coalesce(r.n_rows, 0) AS n_rows, coalesce(r.bad, 0) AS n_quarantined, CASE WHEN d.date IN (SELECT date FROM have) AND coalesce(s.complete, TRUE) THEN 'idempotent' WHEN r.n_rows IS NULL THEN CASE WHEN d.date = DATE '{target}' THEN 'not_yet' ELSE 'failed' END WHEN r.n_rows NOT BETWEEN 1 AND 5000 OR r.bad = r.n_rows THEN 'failed'
-WHEN d.date IN (SELECT date FROM have) THEN 'success_topped_up' ELSE 'success' END AS status FROM days d LEFT JOIN r ON r.date = d.date LEFT JOIN s ON s.date = d.date),
-kept AS (SELECT date, instrument_key FROM old UNION SELECT raw.date, raw.instrument_key FROM raw JOIN st ON st.date = raw.date WHERE raw.ok AND st.status IN ('success', 'success_topped_up'))"""
-
-
-def _prepared(spark, d, n, target):
-    """A store with some full days and some short ones, then the backfill of the last n trading days from a source with holes."""
-    path, day = fresh_path(spark, "backfill-store"), F.dayofmonth("date")
+    """The days one after the other, in a chain of tables: h holds the counts of the store after each day, so that a refused day is not in
+    the means (m) of later ones."""
+    steps = f"""WITH {t.DIRTY}, {CALENDAR}, days AS (SELECT date, ordinal FROM cal WHERE is_trading AND date <= DATE '{target}' ORDER BY date DESC LIMIT {n}), old AS (SELECT date, series, instrument_key FROM sound WHERE ok AND (day(date) % 4 = 1 OR day(date) % 4 = 2 AND user_id % 2 = 0)),
+raw AS (SELECT r.* FROM (SELECT *, CASE WHEN day(date) = 22 AND user_id % 50 = 7 THEN CAST(date + 1 AS DATE) ELSE date END AS asked, day(date) = 25 AND user_id % 10 = 3 AS broken FROM sound WHERE day(date) % 6 <> 0 AND NOT (day(date) = 17 AND series = 'view')) r JOIN days d ON d.date = r.asked),
+whole AS (SELECT asked AS date, count(*) AS n_rows, count(*) FILTER (WHERE NOT ok) AS bad, count(*) FILTER (WHERE asked <> date) AS wrong, count(*) FILTER (WHERE ok AND broken) AS broken FROM raw GROUP BY 1),
+rawc AS (SELECT asked AS date, series, count(*) AS n FROM raw GROUP BY 1, 2), clean AS (SELECT date, instrument_key, series FROM raw WHERE ok AND asked = date),
+after AS (SELECT c.ordinal, x.series, count(*) AS n FROM (SELECT date, instrument_key, series FROM clean UNION SELECT date, instrument_key, series FROM old WHERE date IN (SELECT date FROM clean)) x JOIN cal c ON c.date = x.date GROUP BY 1, 2),
+h0 AS (SELECT c.ordinal, o.series, count(*) AS n FROM old o JOIN cal c ON c.date = o.date WHERE c.is_trading GROUP BY 1, 2)"""
+    for k in range(1, n + 1):
+        h, m = f"h{k - 1}", f"m{k}"
+        steps += f""",
+d{k} AS (SELECT date, ordinal FROM days WHERE ordinal = (SELECT max(ordinal) FROM days) - {n - k}), m{k} AS (SELECT h.series, avg(h.n) AS mean FROM {h} h, d{k} d WHERE h.ordinal BETWEEN d.ordinal - 10 AND d.ordinal - 1 GROUP BY 1),
+q{k} AS (SELECT d.date, d.ordinal, w.*EXCLUDE (date), EXISTS (FROM {h} WHERE ordinal = d.ordinal) AS present, (SELECT coalesce(sum(h.n) >= 0.85 * sum(m.mean), TRUE) FROM {h} h JOIN {m} m ON m.series = h.series, d{k} x WHERE h.ordinal = x.ordinal) AS complete,
+  (SELECT count(*) FROM {m} m LEFT JOIN (SELECT r.* FROM rawc r JOIN d{k} x ON x.date = r.date) r ON r.series = m.series WHERE m.mean >= {LIMITS.floor} AND (r.n IS NULL OR abs(r.n - m.mean) / m.mean > CASE WHEN m.mean >= {LIMITS.large} THEN {LIMITS.tight} ELSE {LIMITS.band} END)) AS off FROM d{k} d LEFT JOIN whole w ON w.date = d.date),
+v{k} AS MATERIALIZED (SELECT *, CASE WHEN present AND complete THEN 'idempotent' WHEN n_rows IS NULL THEN CASE WHEN date = DATE '{target}' THEN 'not_yet' ELSE 'failed' END WHEN wrong > 0 OR n_rows NOT BETWEEN 1 AND 5000 OR off > 0 OR bad = n_rows OR broken > 0 THEN 'failed' WHEN present THEN 'success_topped_up' ELSE 'success' END AS status,
+  n_rows IS NOT NULL AND NOT (present AND complete) AND wrong = 0 AND off = 0 AS evidence FROM q{k}),
+h{k} AS MATERIALIZED (SELECT h.* FROM {h} h, v{k} v WHERE NOT (h.ordinal = v.ordinal AND v.status LIKE 'success%') UNION ALL SELECT a.* FROM after a JOIN v{k} v ON a.ordinal = v.ordinal AND v.status LIKE 'success%')"""
+    every = " UNION ALL ".join(f"SELECT date, status, coalesce(n_rows, 0) AS n_rows, coalesce(bad, 0) AS n_quarantined, evidence FROM v{k}" for k in range(1, n + 1))
+    return f"""{steps}, st AS ({every}),
+kept AS (SELECT date, instrument_key FROM old UNION SELECT clean.date, clean.instrument_key FROM clean JOIN st ON st.date = clean.date WHERE st.status LIKE 'success%')"""
+
+
+def _prepared(spark, d, n, target, side=None):
+    """A store with some full days and some short ones, then the backfill of the last n trading days from a source with holes: a day that
+    lacks a series, a day with rows of another date, a day with a broken contract."""
+    ship(spark)
+    path, day, u = fresh_path(spark, "backfill-store"), F.dayofmonth("date"), t.user()
     raw = t.dirty_bars(spark, d)
     clean, _ = gates.quarantine(raw)
-    store.upsert(spark, clean.filter((day % 4 == 1) | ((day % 4 == 2) & (t.user() % 2 == 0))), path)
-    run = lambda: ingest.backfill(raw.filter(day % 6 != 0), path, _calendar(spark), target, n, 1, 5000)
+    store.upsert(spark, clean.filter((day % 4 == 1) | ((day % 4 == 2) & (u % 2 == 0))), path)
+    raw = raw.filter((day % 6 != 0) & ~((day == 17) & (F.col("series") == "view")))
+    raw = raw.withColumns({"asked": F.when((day == 22) & (u % 50 == 7), F.date_add("date", 1)).otherwise(F.col("date")), "trades": F.when((day == 25) & (u % 10 == 3), -1).otherwise(F.col("trades"))})
+    run = lambda: ingest.backfill(raw, path, _calendar(spark), target, n, LIMITS, "asked", evidence=side and f"{side}-evidence", deltas=side and f"{side}-deltas")
     return path, run
 
 
-@query(_backfill_sql(20, "2024-01-30") + " SELECT st.date, st.status, st.n_rows, st.n_quarantined, count(kept.date) AS stored FROM st LEFT JOIN kept ON kept.date = st.date GROUP BY ALL")
+@query(_backfill_sql(20, "2024-01-30") + """, bad AS (SELECT raw.asked AS date, count(*) AS n FROM raw JOIN st ON st.date = raw.asked WHERE NOT raw.ok AND st.evidence GROUP BY 1), good AS (SELECT clean.date, count(*) AS n FROM clean JOIN st ON st.date = clean.date WHERE st.status LIKE 'success%' GROUP BY 1)
+SELECT st.date, st.status, st.n_rows, st.n_quarantined, count(kept.date) AS stored, coalesce(any_value(bad.n), 0) AS evidence, coalesce(any_value(good.n), 0) AS delta FROM st LEFT JOIN kept ON kept.date = st.date LEFT JOIN bad ON bad.date = st.date LEFT JOIN good ON good.date = st.date GROUP BY 1, 2, 3, 4""")
 def backfill(spark, d):
-    """Twenty trading days in one job, with what the store holds of each afterwards."""
-    path, run = _prepared(spark, d, 20, "2024-01-30")
-    statuses = run()
-    held = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
-    return statuses.join(held, "date", "left").withColumn("stored", F.coalesce("stored", F.lit(0)))
+    """Twenty trading days in one job, each held against the days admitted before it; what the store, the evidence and the deltas hold."""
+    side = fresh_path(spark, "backfill")
+    path, run = _prepared(spark, d, 20, "2024-01-30", side)
+    out = run().drop("dataset", "reason")
+    for name, day, held in (("stored", "date", store.read_years(spark, path, BARS)), ("evidence", "day", spark.read.schema(BARS).parquet(f"{side}-evidence")), ("delta", "date", spark.read.schema(BARS).parquet(f"{side}-deltas"))):
+        out = out.join(held.groupBy(F.col(day).alias("date")).agg(F.count(F.lit(1)).alias(name)), "date", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
 
 
-@query(_backfill_sql(20, "2024-01-30") + " SELECT st.date, count(kept.date) AS stored, CASE WHEN st.n_rows = 0 AND count(kept.date) = 0 THEN CASE WHEN st.date = DATE '2024-01-30' THEN 'not_yet' ELSE 'failed' END ELSE 'held' END AS state FROM st LEFT JOIN kept ON kept.date = st.date GROUP BY st.date, st.n_rows")
+@query(_backfill_sql(20, "2024-01-30") + " SELECT st.date, count(kept.date) AS stored FROM st LEFT JOIN kept ON kept.date = st.date GROUP BY st.date")
 def backfill_resumed(spark, d):
-    """A second run over the same days leaves the store as the first one did, and repeats its failures."""
+    """A second run over the same days leaves the store as the first one did."""
     path, run = _prepared(spark, d, 20, "2024-01-30")
     run()
     statuses = run()
     held = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
-    state = F.when(F.coalesce("stored", F.lit(0)) > 0, "held").otherwise(F.col("status"))
-    return statuses.join(held, "date", "left").select("date", F.coalesce("stored", F.lit(0)).alias("stored"), state.alias("state"))
+    return statuses.join(held, "date", "left").select("date", F.coalesce("stored", F.lit(0)).alias("stored"))
 
 
 @query(_backfill_sql(7, "2024-01-31") + " SELECT date, status FROM st")
@@ -366,6 +390,16 @@ def window_failures(spark, d):
     return failures.select("date", "n_rows")
 
 
+@query(f"WITH {t.DIRTY} SELECT 'bars' AS dataset, CAST(year(date) AS INTEGER) AS year, count(*) AS n_rows, max(date) AS max_date FROM sound WHERE ok GROUP BY 2")
+def stored_statistics(spark, d):
+    """Rows and newest day of each year, from the counts that each upsert commits with its rows."""
+    clean, _ = gates.quarantine(t.dirty_bars(spark, d))
+    path, day = fresh_path(spark, "counted-store"), F.dayofmonth("date")
+    for part in (clean.filter(day % 3 < 2), clean.filter(day % 3 > 0)):
+        store.upsert(spark, part, path)
+    return store.stored_statistics(spark, path, "bars")
+
+
 @query(f"""WITH {t.BARS}, x AS (SELECT unnest(['first', 'second']) AS run) SELECT run, 'success' AS status, count(*) AS symbol_count, count(*) FILTER (WHERE close < 20) AS quarantined_count FROM bars, x GROUP BY run""")
 def status_log(spark, d):
     """One status row for each run, appended as JSON and read back."""
@@ -384,5 +418,3 @@ def fundamentals_order(spark, d):
 def filing_calendar(spark, d):
     f = t.filings(spark, d)
     return f.agg(F.count_distinct("filing_key").alias("filings"), F.count_if(F.weekday("broadcast") == 5).alias("saturdays"))
-
-

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.gates import completeness, day_status, series_counts, tagged, trailing_means
-from ..operators.store import merged, read_years, upsert
+from ..operators.admission import Limits, admissions
+from ..operators.gates import breaks_contract, completeness, tagged
+from ..operators.store import day_counts, keep_last, merged, read_counts, read_years, upsert, write_day_delta
 from ..functions.workspace import written
 from ..schemas import BAR_KEY, BARS
 
@@ -68,35 +69,58 @@ def catch_up(spark: SparkSession, days: DataFrame, counts: DataFrame, means: Dat
     return out.select("date", F.when(F.col("complete").isNull(), "fill").when(~F.col("complete"), "top_up").otherwise("skip").alias("action"))
 
 
-def backfill(raw: DataFrame, store: str, calendar: DataFrame, end: str, n: int, least: int, most: int, share: float = 0.85, history: int = 10) -> DataFrame:
-    """(date, status, n_rows, n_quarantined) of the last n trading days up to end, after bringing all of them into the store in one job.
-
-    raw: bars of any days. A day that the store has in full is left as it is, so a second run does nothing. A short day is topped up.
-    A day without raw rows is not there yet if it is end, else failed; so is one whose rows are out of bounds or all unsound. Expected
-    counts are means over the history trading days before, over what the store holds and what comes now.
+def tallies(marked: DataFrame, clean: DataFrame, store: str, calendar: DataFrame, first: int, last: int, history: int, dataset: str, asked: str = "date") -> DataFrame:
+    """TALLIES of the days whose ordinals lie from first to last, and of the history before them.
+
+    Counts of stored days come from the store's own counts. Stored keys are read only of days that are both there and in what came, for
+    what the store would have of them."""
+    spark, trading = marked.sparkSession, F.broadcast(calendar.filter("is_trading").select("date", "ordinal"))  # a row a day
+    years = [r[0] for r in calendar.filter(F.col("ordinal").between(first - history, last)).select(F.year("date")).distinct().collect()]
+    stored = read_counts(spark, store, years).join(trading, "date").filter(F.col("ordinal").between(first - history, last))
+    there = [r[0] for r in stored.filter(F.col("ordinal") >= first).select("date").distinct().collect()]  # days of the window
+    held = read_years(spark, store, BARS, years, [*BAR_KEY, "series"]).filter(F.col("date").isin(there)) if there else None
+    rows = clean.select(*BAR_KEY, "series")
+    after = day_counts(merged(held.join(rows.select("date").distinct(), "date", "left_semi"), rows, BAR_KEY) if held else rows)
+    come = marked.withColumn("date", F.col(asked))
+    whole = come.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_ok")).alias("bad"), F.count_if("_wrong").alias("wrong_date"), F.count_if("_broken").alias("broken"))
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("rows", "bad", "wrong_date", "broken"))))
+    whole = whole.select("date", F.lit(None).cast("string").alias("series"), kinds.alias("x")).select("date", "series", "x.kind", "x.n")
+    parts = whole
+    for kind, counts in (("stored", stored), ("raw", day_counts(come)), ("merged", after)):
+        parts = parts.unionByName(counts.select("date", "series", F.lit(kind).alias("kind"), "n"))
+    return parts.join(trading, "date").select(F.lit(dataset).alias("dataset"), "date", "ordinal", "series", "kind", "n")
+
+
+def backfill(raw: DataFrame, store: str, calendar: DataFrame, end: str, n: int, limits: Limits = Limits(), asked: str = "date", evidence: str | None = None, deltas: str | None = None, keep: int = 35, dataset: str = "bars") -> DataFrame:
+    """ADMITTED without evidence: each of the last n trading days up to end, after bringing them into the store in one job.
+
+    raw: bars of any days; asked names its column with the day that was asked for, where that may differ from the bars' own. A day that
+    the store has in full is left as it is, so a second run does nothing; a short day is topped up. Without rows end is not there yet, any
+    other day has failed. A day must pass, in this order: all rows of its date, the bounds on rows, the gate on each series, one sound row
+    at least, the contract. A refused day changes nothing: days after it are held against what the store has without it. Bad rows of days
+    that came as far as the sound ones go to evidence, a partition a day; admitted days go to deltas, of which the newest keep days stay.
+    The store moves last, in one step.
     """
-    spark = raw.sparkSession
     trading = calendar.filter(F.col("is_trading") & (F.col("date") <= F.lit(end).cast("date"))).select("date", "ordinal")
-    last = trading.agg(F.max("ordinal").alias("_last"))  # one row; the calendar has one row a day
-    ranked = trading.crossJoin(last)
-    days = ranked.filter(F.col("ordinal") > F.col("_last") - n).select("date")
-    before = ranked.filter(F.col("ordinal") > F.col("_last") - n - history).select("date")
-    marked = tagged(raw.join(F.broadcast(days), "date", "left_semi"), "_ok").persist()
-    clean = marked.filter("_ok").drop("_ok")
-    there = marked.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("_ok")).alias("n_quarantined"))
-    years = [r[0] for r in before.select(F.year("date")).distinct().collect()]  # of n days
-    stored = read_years(spark, store, clean.withColumn("year", F.year("date")).schema, years).drop("year").join(F.broadcast(before), "date", "left_semi")
-    have = series_counts(stored)
-    done = completeness(have, trailing_means(series_counts(merged(stored, clean, BAR_KEY)), calendar, history), share)
-    rows = days.join(there, "date", "left").join(done.select("date", "complete"), "date", "left")
-    rows = rows.withColumns({"is_trading": F.lit(True), "present": F.col("complete").isNotNull(), "complete": F.coalesce("complete", F.lit(False)), "rows": F.coalesce("n_rows", F.lit(0)), "n_quarantined": F.coalesce("n_quarantined", F.lit(0))})
-    gate = ~F.col("rows").between(least, most) | (F.col("n_quarantined") == F.col("rows"))
-    statuses = day_status(rows.withColumn("failed_gate", gate), end).select("date", "status", F.col("rows").alias("n_rows"), "n_quarantined")
-    statuses = written(statuses, "backfill-status")  # as the store was before
-    good = statuses.filter(F.col("status").isin("success", "success_topped_up")).select("date")
-    upsert(spark, clean.join(F.broadcast(good), "date", "left_semi"), store)
+    last = trading.agg(F.max("ordinal")).first()[0] or 0
+    days = trading.filter(F.col("ordinal") > last - n)
+    mine = raw.join(F.broadcast(days.select(F.col("date").alias("_asked"))), F.col(asked) == F.col("_asked"))
+    marked = tagged(mine, "_ok").withColumns({"_wrong": ~F.col("date").eqNullSafe(F.col("_asked")), "_broken": F.col("_ok") & breaks_contract()}).persist()
+    clean = keep_last(marked.filter("_ok and not _wrong").select(*BARS.names), BAR_KEY, [c for c in BARS.names if c not in BAR_KEY])
+    counted = tallies(marked, clean, store, calendar, last - n + 1, last, limits.history, dataset, "_asked")
+    # as the store was before; a dataset without any count has days all the same
+    none = days.limit(1).select(F.lit(dataset).alias("dataset"), "date", "ordinal", F.lit(None).cast("string").alias("series"), F.lit("none").alias("kind"), F.lit(0).cast("bigint").alias("n"))
+    judgement = written(admissions(counted.unionByName(none), days, end, limits), "admissions")
+    if evidence:
+        shown = F.broadcast(judgement.filter("evidence").select(F.col("date").alias("_asked")))  # at most n days
+        bad = marked.filter("not _ok").join(shown, "_asked", "left_semi").withColumn("day", F.col("_asked"))
+        bad.select(*BARS.names, "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(evidence)
+    good = clean.join(F.broadcast(judgement.filter(F.col("status").isin("success", "success_topped_up")).select("date")), "date", "left_semi")
+    if deltas:
+        write_day_delta(good, deltas, keep)
+    upsert(raw.sparkSession, good, store)
     marked.unpersist()
-    return statuses
+    return judgement.drop("evidence")
 
 
 def run_to_end(query: StreamingQuery) -> None:

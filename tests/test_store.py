@@ -1,6 +1,10 @@
 from datetime import date
 
-from marketpipe.operators import store
+import pytest
+from pyspark.sql import functions as F
+
+from marketpipe.operators import gates, store
+from marketpipe.operators.admission import Limits
 from marketpipe.plans.registry import default_registry
 from marketpipe.schemas import BARS
 from marketpipe.streaming import ingest
@@ -86,15 +90,29 @@ def test_failures_of_a_run_replace_those_before(spark, tmp_path):
     assert spark.read.json(f"{path}-log").count() == 2
 
 
+DAYS = [date(2026, 1, d) for d in (5, 6, 7, 8, 9)]
+KEYS = [f"K{i}" for i in range(10)]
+SMALL = Limits(least=1, most=100, floor=5, band=0.5)
+
+
+def trading(spark):
+    return spark.createDataFrame([(d, True, k + 1) for k, d in enumerate(DAYS)] + [(date(2026, 1, 10), False, None)], "date date, is_trading boolean, ordinal bigint")
+
+
+def full(day, keys=KEYS, **over):
+    return [bar(k, day, **over) for k in keys]
+
+
+def filled(spark, source, path, target, limits=SMALL, **more):
+    rows = ingest.backfill(source, path, trading(spark), target, 5, limits, **more).collect()
+    return {r["date"].day: (r["status"], r["n_rows"], r["n_quarantined"]) for r in rows}, {r["date"].day: r["reason"] for r in rows}
+
+
 def test_backfill(spark, tmp_path):
-    days = [date(2026, 1, d) for d in (5, 6, 7, 8, 9)]
-    calendar = spark.createDataFrame([(d, True, k + 1) for k, d in enumerate(days)] + [(date(2026, 1, 10), False, None)], "date date, is_trading boolean, ordinal bigint")
-    keys = [f"K{i}" for i in range(10)]
-    full = lambda d, ks=keys, **over: [bar(k, d, **over) for k in ks]
     path = f"file://{tmp_path}/s"
-    store.upsert(spark, bars(spark, *full(days[0]), *full(days[1], keys[:3])), path)
-    source = bars(spark, *full(days[1]), *full(days[2], volume=-1), *full(days[0], close=11.5))
-    run = lambda target: {r["date"].day: (r["status"], r["n_rows"], r["n_quarantined"]) for r in ingest.backfill(source, path, calendar, target, 5, 1, 100).collect()}
+    store.upsert(spark, bars(spark, *full(DAYS[0]), *full(DAYS[1], KEYS[:3])), path)
+    source = bars(spark, *full(DAYS[1]), *full(DAYS[2], volume=-1), *full(DAYS[0], close=11.5))
+    run = lambda target: filled(spark, source, path, target)[0]
     assert run("2026-01-09") == {5: ("idempotent", 10, 0), 6: ("success_topped_up", 10, 0), 7: ("failed", 10, 10), 8: ("failed", 0, 0), 9: ("not_yet", 0, 0)}
     held = content(spark, path)
     assert len(held) == 20 and {c for _, _, c in held} == {11.0}
@@ -102,6 +120,86 @@ def test_backfill(spark, tmp_path):
     assert run("2026-01-08")[8][0] == "not_yet"
 
 
+def test_a_refused_day_never_enters_a_later_mean(spark, tmp_path):
+    # 10, then 4 (refused: off by more than half), then 6: within half of 10, not of the mean of 10 and 4 had that been let in at 15 %
+    source = bars(spark, *full(DAYS[0]), *full(DAYS[1], KEYS[:4]), *full(DAYS[2], KEYS[:6]), *full(DAYS[3], KEYS[:3]), *full(DAYS[4], [f"J{i}" for i in range(15)]))
+    got, reasons = filled(spark, source, path := f"file://{tmp_path}/s", "2026-01-09")
+    # means before: -, 10, 10, 8, 8
+    assert {d: s for d, (s, _, _) in got.items()} == {5: "success", 6: "failed", 7: "success", 8: "failed", 9: "failed"}
+    assert reasons[6] == reasons[8] == reasons[9] == "series EQ deviates"
+    assert sorted((r["date"].day, r["n"]) for r in store.read_counts(spark, path).collect()) == [(5, 10), (7, 6)]
+
+
+def test_gates_in_their_order(spark, tmp_path):
+    rows = full(DAYS[0]) + full(DAYS[1], series="BE") + full(DAYS[2]) + full(DAYS[3], trades=-1) + full(DAYS[4], KEYS[:9]) + [bar("", DAYS[4])]
+    asked = F.when((F.col("date") == F.lit(DAYS[1])) & (F.col("instrument_key") == "K1"), F.lit(DAYS[2])).otherwise(F.col("date"))
+    side = f"file://{tmp_path}/side"
+    got, reasons = filled(spark, bars(spark, *rows).withColumn("asked", asked), path := f"file://{tmp_path}/s", "2026-01-09", asked="asked", evidence=f"{side}-e", deltas=f"{side}-d")
+    assert reasons == {5: None, 6: "series EQ absent", 7: "rows of another date", 8: "contract broken", 9: None}
+    assert got[9] == ("success", 10, 1) and got[7] == ("failed", 11, 0)
+    assert spark.read.parquet(f"{side}-e").count() == 1
+    assert sorted((r["date"].day, r["count"]) for r in spark.read.parquet(f"{side}-d").groupBy("date").count().collect()) == [(5, 10), (9, 9)]
+    assert len(content(spark, path)) == 19
+
+
+def test_a_backfill_reads_no_stored_bars_for_its_means(spark, tmp_path):
+    store.upsert(spark, bars(spark, *full(DAYS[0]), *full(DAYS[1])), path := f"file://{tmp_path}/s")
+    marked = gates.tagged(bars(spark, *full(DAYS[2])), "_ok").withColumns({"_wrong": F.lit(False), "_broken": F.lit(False)})
+    files = ingest.tallies(marked, marked.drop("_ok", "_wrong", "_broken"), path, trading(spark), 3, 5, 10, "bars").inputFiles()
+    assert files and all("/_counts/batch=" in f for f in files)
+
+
+def test_a_backfill_of_nothing(spark, tmp_path):
+    got, _ = filled(spark, bars(spark), f"file://{tmp_path}/s", "2026-01-09")
+    assert got == {5: ("failed", 0, 0), 6: ("failed", 0, 0), 7: ("failed", 0, 0), 8: ("failed", 0, 0), 9: ("not_yet", 0, 0)}
+    assert store.read_years(spark, f"file://{tmp_path}/s", BARS).count() == 0
+
+
+def test_a_writer_that_stops_leaves_the_table_whole(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/s"
+    store.upsert(spark, bars(spark, bar("A", date(2025, 1, 1)), bar("A", date(2026, 1, 1))), path)
+    before = content(spark, path)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    fix = bars(spark, bar("A", date(2025, 1, 1), close=11.5), bar("A", date(2026, 1, 1), close=11.5))
+    with monkeypatch.context() as m:
+        m.setattr(store, "commit", stop)
+        with pytest.raises(KeyboardInterrupt):
+            store.upsert(spark, fix, path)
+    assert content(spark, path) == before and len(list(tmp_path.glob("s/batch=*"))) == 2
+    store.upsert(spark, fix, path)
+    assert {c for _, _, c in content(spark, path)} == {11.5}
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    path, real, done = f"file://{tmp_path}/s", store.commit, []
+
+    def slow(*args):
+        if not done:
+            done.append(1)
+            store.upsert(spark, bars(spark, bar("B", date(2026, 1, 1)), bar("A", date(2026, 1, 1), close=12.0)), path)  # another writer is faster
+        return real(*args)
+
+    monkeypatch.setattr(store, "commit", slow)
+    store.upsert(spark, bars(spark, bar("A", date(2026, 1, 1)), bar("C", date(2025, 1, 1))), path)
+    assert content(spark, path) == [("2025-01-01", "C", 11.0), ("2026-01-01", "A", 11.0), ("2026-01-01", "B", 11.0)]
+    assert not real(spark, path, 2, {}) and len(store.commits(spark, path)) == 2
+
+
+def test_old_commits_go_and_plain_tables_are_taken_over(spark, tmp_path):
+    path = f"file://{tmp_path}/s"
+    rows = bars(spark, bar("A", date(2024, 1, 1)), bar("A", date(2025, 1, 1)))
+    rows.withColumn("year", F.year("date")).write.partitionBy("year").parquet(path)
+    for k in range(8):
+        store.upsert(spark, bars(spark, bar("B", date(2025, 1, 1), trades=k)), path)
+    assert content(spark, path) == [("2024-01-01", "A", 11.0), ("2025-01-01", "A", 11.0), ("2025-01-01", "B", 11.0)]
+    assert len(store.commits(spark, path)) == store.KEPT_COMMITS == len(list(tmp_path.glob("s/batch=*")))
+    assert sorted((r["date"].year, r["n"]) for r in store.read_counts(spark, path).collect()) == [(2024, 1), (2025, 2)]
+    assert sorted(map(tuple, store.stored_statistics(spark, path, "b").select("year", "n_rows").collect())) == [(2024, 1), (2025, 2)]
+
+
 def test_pending_versions_that_no_replay_needs_are_deleted(spark, tmp_path):
     schema = spark.createDataFrame([], "filing_key string, locator string, seen date").schema
     for k in range(4):
