@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import is_weekday
 
@@ -37,15 +38,26 @@ def session_ordinals(df: DataFrame, day: str = "date") -> DataFrame:
     return df.select(day).distinct().withColumn("session", F.dense_rank().over(Window.orderBy(day)).cast("bigint"))
 
 
+#: Days in one word of a bit mask.
+WORD = 60
+
+
 def holes(present: DataFrame, expected_days: DataFrame, key: str, window: int | None = None, day: str = "date") -> DataFrame:
-    """(key, date): expected days without a row of the key, never before the key's own first day; of the last so many days only."""
-    if window is not None:
-        ranked = expected_days.withColumn("_n", F.row_number().over(Window.orderBy(F.col(day).desc())))
-        expected_days = ranked.filter(F.col("_n") <= window).drop("_n")
-    first = present.groupBy(key).agg(F.min(day).alias("_first"))
-    # the few expected days against the keys: a range join by its meaning, over a table of days
-    grid = first.join(F.broadcast(expected_days.select(day)), F.col(day) >= F.col("_first")).select(key, day)
-    return grid.join(present.select(key, day).distinct(), [key, day], "left_anti")
+    """(key, date): expected days without a row of the key, never before the key's own first day; of the last so many days only.
+
+    A key's days are bit masks over the expected ones, one or-ed word per WORD days, combined within tasks: one shuffle, of a row per key
+    and task. The holes are read off the complement. Expected days are calendar days: few enough for the plan."""
+    days = sorted((r[0] for r in expected_days.select(day).distinct().collect()), reverse=True)[:window][::-1]
+    if not days:
+        return present.select(key, day).limit(0)
+    places = present.sparkSession.createDataFrame([(d, k) for k, d in enumerate(days)], T.StructType([T.StructField(day, expected_days.schema[day].dataType), T.StructField("_place", T.IntegerType())]))
+    words = range(-(-len(days) // WORD))
+    bit = lambda w: F.when(F.floor(F.col("_place") / WORD) == w, F.expr(f"shiftleft(1L, _place - {w * WORD})"))
+    masks = present.select(key, day).join(F.broadcast(places), day, "left").groupBy(key).agg(F.min(day).alias("_first"), *(F.coalesce(F.bit_or(bit(w)), F.lit(0).cast("bigint")).alias(f"_w{w}") for w in words))
+    open_days = [F.expr(f"CASE WHEN (_w{k // WORD} & shiftleft(1L, {k % WORD})) = 0 THEN {k} END") for k in range(len(days))]
+    listed = F.array(*(F.lit(d) for d in days))
+    left = masks.select(key, "_first", F.explode(F.array_compact(F.array(*open_days))).alias("_place"))
+    return left.select(key, "_first", F.element_at(listed, F.col("_place") + 1).alias(day)).filter(F.col(day) >= F.col("_first")).drop("_first")
 
 
 def freshness(latest: DataFrame, previous_day: str, key: str = "dataset", day: str = "max_date") -> DataFrame:

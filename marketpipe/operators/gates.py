@@ -141,13 +141,28 @@ def systemic_failure(selected: str = "selected", failures: str = "failures") ->
     return (F.col(selected) > 0) & (F.col(failures) >= F.col(selected))
 
 
+def absence_intervals(presence: DataFrame, snapshots: DataFrame, key: str) -> DataFrame:
+    """(key, place, until): from each presence of a key to its next one or to the end of the history, by the places of the valid snapshots
+    in their order. At place p of an interval the key has been absent p - place times. Only presences are sorted and compared."""
+    # a row per valid snapshot
+    order = snapshots.select("snapshot").distinct().withColumn("place", F.row_number().over(Window.orderBy("snapshot")))
+    end = order.agg((F.coalesce(F.max("place"), F.lit(0)) + 1).alias("_end"))
+    seen = presence.select(key, "snapshot").distinct().join(F.broadcast(order), "snapshot").crossJoin(F.broadcast(end))  # one row
+    until = F.coalesce(F.lead("place").over(Window.partitionBy(key).orderBy("place")), F.col("_end"))
+    return seen.select(key, "place", until.alias("until"))
+
+
 def absences(presence: DataFrame, snapshots: DataFrame, key: str, inactive_at: int = 2) -> DataFrame:
     """(key, snapshot, absences, inactive) over a history of valid snapshots (snapshot is its ordinal): absences in a row since the
-    key was last present; before its first presence a key has none."""
-    first = presence.groupBy(key).agg(F.min("snapshot").alias("_first"))
-    grid = first.join(F.broadcast(snapshots.select("snapshot")), F.col("snapshot") >= F.col("_first")).select(key, "snapshot")
-    seen = grid.join(presence.select(key, "snapshot", F.lit(True).alias("_here")).distinct(), [key, "snapshot"], "left")
-    w = Window.partitionBy(key).orderBy("snapshot")
-    islands = seen.withColumn("_island", F.count_if(F.coalesce("_here", F.lit(False))).over(w))
-    n = F.count_if(~F.coalesce("_here", F.lit(False))).over(Window.partitionBy(key, "_island").orderBy("snapshot"))
-    return islands.select(key, "snapshot", n.alias("absences"), (n >= inactive_at).alias("inactive"))
+    key was last present; before its first presence a key has none. The intervals, spread over their snapshots."""
+    order = snapshots.select("snapshot").distinct().withColumn("p", F.row_number().over(Window.orderBy("snapshot")))
+    spread = absence_intervals(presence, snapshots, key).select(key, "place", F.explode(F.sequence("place", F.col("until") - 1)).alias("p"))
+    n = (F.col("p") - F.col("place")).cast("bigint")
+    return spread.join(F.broadcast(order), "p").select(key, "snapshot", n.alias("absences"), (n >= inactive_at).alias("inactive"))
+
+
+def absent_now(presence: DataFrame, snapshots: DataFrame, key: str, inactive_at: int = 2) -> DataFrame:
+    """(key, absences, inactive) after the last valid snapshot: one row per key, nothing spread."""
+    last = absence_intervals(presence, snapshots, key).groupBy(key).agg(F.max("place").alias("place"), F.max("until").alias("until"))
+    n = (F.col("until") - 1 - F.col("place")).cast("bigint")
+    return last.select(key, n.alias("absences"), (n >= inactive_at).alias("inactive"))

@@ -250,39 +250,41 @@ def day_deltas(spark, d):
     return spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {t.DIRTY} SELECT date, count(*) FILTER (WHERE ok) AS stored, count(*) FILTER (WHERE NOT ok) AS quarantined FROM sound GROUP BY date")
+@query(f"WITH {t.DIRTY}, newest AS (SELECT DISTINCT date FROM sound WHERE ok ORDER BY date DESC LIMIT 9) SELECT date, count(*) FILTER (WHERE ok) AS stored, count(*) FILTER (WHERE NOT ok) AS quarantined, count(*) FILTER (WHERE ok AND date IN (FROM newest)) AS delta FROM sound GROUP BY date")
 def stream_replay(spark, d):
-    """Day files as a stream into the keyed store, then the same files as a second stream: the store stays as it was."""
+    """Day files as a stream into the keyed store and its deltas, then the same files as a second stream: both stay as they were."""
     files, path, side = fresh_path(spark, "day-files"), fresh_path(spark, "stream-store"), fresh_path(spark, "side")
     t.dirty_bars(spark, d).repartition(4, "date").write.parquet(files)
-    for _ in range(2):
-        ingest.run_to_end(ingest.ingest(ingest.day_files(spark, files), path, fresh_path(spark, "cp"), f"{side}-{_}"))
-    kept = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
-    bad = spark.read.schema(BARS).parquet(f"{side}-1").groupBy("date").agg(F.count(F.lit(1)).alias("quarantined"))
-    return kept.join(bad, "date", "left").select("date", "stored", F.coalesce("quarantined", F.lit(0)).alias("quarantined"))
+    for k in range(2):
+        ingest.run_to_end(ingest.ingest(ingest.day_files(spark, files), path, fresh_path(spark, "cp"), f"{side}-{k}", deltas=f"{side}-deltas", keep=9))
+    out = store.read_years(spark, path, BARS).groupBy("date").agg(F.count(F.lit(1)).alias("stored"))
+    for name, rows in (("quarantined", spark.read.schema(BARS).parquet(f"{side}-1")), ("delta", ingest.read_deltas(spark, f"{side}-deltas"))):
+        out = out.join(rows.groupBy("date").agg(F.count(F.lit(1)).alias(name)), "date", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
 
 
 @query(f"WITH {t.FILINGS} SELECT filing_key, min(broadcast) AS seen FROM filings GROUP BY 1 HAVING count(locator) = 0")
 def pending_filings(spark, d):
     """Filings that wait for a document, tracked over the batches of a stream."""
-    files, state = fresh_path(spark, "refs"), fresh_path(spark, "pending")
-    t.filings(spark, d).select("filing_key", "locator", F.col("broadcast").alias("seen")).repartition(6, "filing_key").write.parquet(files)
-    schema = T.StructType([T.StructField("filing_key", T.StringType()), T.StructField("locator", T.StringType()), T.StructField("seen", T.DateType())])
-    q = ingest.track_pending(spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(files), state, fresh_path(spark, "cp"), schema)
-    ingest.run_to_end(q)
-    last = q.lastProgress["batchId"]
-    return store.read_years(spark, f"{state}/v{last}", schema).select("filing_key", "seen")
+    ship(spark)
+    files, changes = fresh_path(spark, "refs"), fresh_path(spark, "pending")
+    refs = t.filings(spark, d).select("filing_key", "locator", F.col("broadcast").alias("seen"))
+    refs.repartition(6).write.parquet(files)
+    ingest.run_to_end(ingest.track_pending(spark.readStream.schema(refs.schema).option("maxFilesPerTrigger", 2).parquet(files), changes, fresh_path(spark, "cp")))
+    return ingest.pending(spark, changes)
 
 
-@query(f"WITH {t.FILINGS} SELECT DISTINCT issuer || '|' || locator AS dedup_key FROM filings WHERE locator IS NOT NULL")
+@query(f"WITH {t.FILINGS} SELECT issuer || '|' || locator AS dedup_key, min(CAST(broadcast AS TIMESTAMP)) AS seen FROM filings WHERE locator IS NOT NULL GROUP BY 1")
 def documents_once(spark, d):
-    """Each (issuer, document) once over a stream with repeats."""
-    files, out = fresh_path(spark, "docs"), fresh_path(spark, "once")
-    f = t.filings(spark, d).filter("locator is not null").select(S.joined_key("issuer", "locator").alias("dedup_key"), F.col("broadcast").cast("timestamp").alias("seen"))
-    f.unionByName(f).repartition(4).write.parquet(files)
-    s = ingest.once_per_document(spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 2).parquet(files), "seen", late="4000 days").select("dedup_key")
-    ingest.run_to_end(s.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).start())
-    return spark.read.parquet(out)
+    """Each (issuer, document) once over a stream that brings all of them again, years later."""
+    files, out, ledger = fresh_path(spark, "docs"), fresh_path(spark, "once"), fresh_path(spark, "ledger")
+    f = t.filings(spark, d).filter("locator is not null").groupBy(S.joined_key("issuer", "locator").alias("dedup_key")).agg(F.min("broadcast").cast("timestamp").alias("seen"))
+    again = f.withColumn("seen", F.col("seen") + F.expr("interval 4000 days"))
+    for rows in (f, again):  # a stream takes older files first
+        rows.repartition(3).write.mode("append").parquet(files)
+    s = spark.readStream.schema(f.schema).option("maxFilesPerTrigger", 2).parquet(files)
+    ingest.run_to_end(ingest.once_per_document(s, "seen", out, ledger, fresh_path(spark, "cp")))
+    return spark.read.schema(f.schema).parquet(out).select("dedup_key", "seen")
 
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) - 1 FROM events) GROUP BY 1, 2")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from ..operators.admission import Limits, admissions
 from ..operators.gates import breaks_contract, completeness, tagged
-from ..operators.store import day_counts, keep_last, merged, read_counts, read_years, upsert, write_day_delta
+from ..operators.store import day_counts, keep_first, keep_last, merged, read_counts, read_years, upsert, write_day_delta
+from ..functions.filters import bit_table, thinned
 from ..functions.workspace import written
 from ..schemas import BAR_KEY, BARS
 
@@ -20,42 +23,101 @@ def day_files(spark: SparkSession, path: str, schema: T.StructType = BARS, per_b
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
-def ingest(stream: DataFrame, store: str, checkpoint: str, quarantine_path: str | None = None, keys: Sequence[str] = BAR_KEY) -> StreamingQuery:
-    """Upserts every batch's sound rows into the store; bad rows go to the side table under their batch, so a replayed batch
-    overwrites itself. Runs over what is there, then stops."""
+def ingest(stream: DataFrame, store: str, checkpoint: str, quarantine_path: str | None = None, keys: Sequence[str] = BAR_KEY, deltas: str | None = None, keep: int = 35) -> StreamingQuery:
+    """Upserts every batch's sound rows into the store; they go to deltas, a partition per day and batch, and bad rows to the side table
+    under their batch. A replayed batch replaces its own partitions and repeats its upsert, so it changes nothing; the store moves last. Of
+    the deltas the newest keep days stay. Runs over what is there, then stops."""
 
     def batch(df: DataFrame, epoch: int) -> None:
         marked = tagged(df, "_ok").persist()
-        upsert(df.sparkSession, marked.filter("_ok").drop("_ok"), store, keys)
+        good = marked.filter("_ok").drop("_ok")
         if quarantine_path:
             marked.filter("not _ok").drop("_ok").write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch}")
+        if deltas:
+            write_day_delta(good.withColumn("batch", F.lit(epoch)), deltas, keep, by=["batch"])
+        upsert(df.sparkSession, good, store, keys)
         marked.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def once_per_document(stream: DataFrame, time: str, key: str = "dedup_key", late: str = "30 days") -> DataFrame:
-    """Each document once, of those whose event times lie within the allowed lateness of each other; older state is dropped."""
+def read_deltas(spark: SparkSession, path: str, keys: Sequence[str] = BAR_KEY) -> DataFrame:
+    """The rows of a stream's deltas: of each key that of its last batch."""
+    return keep_last(spark.read.schema(T.StructType([*BARS.fields, T.StructField("batch", T.LongType())])).parquet(path), keys, ["batch"]).drop("batch")
+
+
+def once_within(stream: DataFrame, time: str, key: str = "dedup_key", late: str = "30 days") -> DataFrame:
+    """Each document once, of those whose event times lie within the allowed lateness of each other; older state and late rows are
+    dropped."""
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def track_pending(stream: DataFrame, state_path: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
-    """Keeps a pending table of (filing_key, locator, seen): filings without a locator wait, and leave when one arrives."""
+def once_per_document(stream: DataFrame, time: str, out: str, ledger: str, checkpoint: str, key: str = "dedup_key") -> StreamingQuery:
+    """Writes each document of a stream once to out, however late it comes or comes again: of a batch its first row by time.
+
+    The ledger of processed keys decides: a batch leaves out what an earlier batch has in it. The ledger is thinned by a filter of the
+    batch's keys before the join, so what is shuffled follows the batch and not the ledger; the stream holds no state. Rows and keys are
+    written under the batch's number, and only earlier numbers are looked up, so a replayed batch replaces its own. Rows without a key are
+    not documents."""
+    names = stream.columns
 
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        before = read_years(spark, f"{state_path}/v{epoch - 1}", schema)
-        both = before.unionByName(df.select(*schema.names))
-        has = F.max(F.col("locator").isNotNull())
-        now = both.groupBy("filing_key").agg(has.alias("_has"), F.min("seen").alias("seen")).filter("not _has")
-        now.select("filing_key", F.lit(None).cast("string").alias("locator"), "seen").write.mode("overwrite").parquet(f"{state_path}/v{epoch}")
-        # a replayed batch reads the version before it; older ones are not needed
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/v{epoch - 2}")
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        rows = df.filter(F.col(key).isNotNull()).persist()
+        fresh = keep_first(rows, [key], [time, *(c for c in names if c not in (key, time))])
+        if _exists(spark, ledger):
+            done = spark.read.schema(T.StructType([rows.schema[key], T.StructField("batch", T.LongType())])).parquet(ledger).filter(F.col("batch") < epoch)
+            fresh = fresh.join(thinned(done.select(key), bit_table(rows, key), key), key, "left_anti").select(*names)
+        fresh = fresh.persist()
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+        fresh.select(key).write.mode("overwrite").parquet(f"{ledger}/batch={epoch}")
+        fresh.unpersist()
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+#: A filing's state: when it was first seen, and whether it has its locator.
+PENDING_STATE, PENDING_CHANGE = "seen date, done boolean", "filing_key string, seen date, waiting boolean"
+
+
+def track_pending(stream: DataFrame, changes: str, checkpoint: str) -> StreamingQuery:
+    """Follows filings (filing_key, locator, seen) that wait for a locator, one value per filing in the stream's state store.
+
+    A batch writes only what changes: filings that begin to wait, that are seen to have begun earlier, or that stop waiting, under the
+    batch's number. What one writes follows the batch, and not how many wait. pending() reads the present state."""
+
+    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        before = state.get if state.exists else None
+        seen, done = before or (None, False)
+        for frame in frames:
+            days = [d for d in frame["seen"] if not pd.isna(d)]
+            seen = min([seen, *days] if seen else days, default=None)
+            done = done or bool(frame["locator"].notna().any())
+        if before != (seen, done):
+            state.update((seen, done))
+            if not (done and (before is None or before[1])):  # one that never waited, or waits no longer, is no news
+                yield pd.DataFrame({"filing_key": [key[0]], "seen": [seen], "waiting": [not done]})
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{changes}/batch={epoch}")
+
+    rows = stream.filter("filing_key is not null").select("filing_key", "locator", "seen").groupBy("filing_key")
+    now = rows.applyInPandasWithState(step, PENDING_CHANGE, PENDING_STATE, "update", "NoTimeout")
+    return now.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def pending(spark: SparkSession, changes: str) -> DataFrame:
+    """(filing_key, seen) of the filings that wait: the last change of each."""
+    rows = spark.read.schema(PENDING_CHANGE + ", batch bigint").parquet(changes)
+    return keep_last(rows, ["filing_key"], ["batch"]).filter("waiting").select("filing_key", "seen")
+
+
 def windowed_counts(stream: DataFrame, time: str, width: str = "1 day", late: str = "1 day", by: Sequence[str] = ()) -> DataFrame:
     """Event counts per tumbling window, final once the watermark has passed it. The time column may be without a zone."""
     t = F.col(time).cast("timestamp")

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -86,3 +86,27 @@ def test_absences(spark):
     got = {(r["k"], r["snapshot"]): (r["absences"], r["inactive"]) for r in gates.absences(p, s, "k").collect()}
     assert [got["a", i] for i in range(1, 6)] == [(0, False), (1, False), (2, True), (0, False), (1, False)]
     assert ("b", 1) not in got and got["b", 5] == (3, True)
+
+
+def test_absences_come_from_presences_alone(spark):
+    p = spark.createDataFrame([("a", 1), ("a", 1), ("a", 4), ("b", 9), ("c", 99), ("d", 4), ("d", 9), ("e", 7)], "k string, snapshot int")
+    s = spark.createDataFrame([(n,) for n in (1, 4, 7, 9, 12)], "snapshot int")  # 99 was no valid snapshot
+    got = {(r["k"], r["snapshot"]): r["absences"] for r in gates.absences(p, s, "k").collect()}
+    want = {("a", 1): 0, ("a", 4): 0, ("a", 7): 1, ("a", 9): 2, ("a", 12): 3, ("b", 9): 0, ("b", 12): 1, ("d", 4): 0, ("d", 7): 1, ("d", 9): 0, ("d", 12): 1, ("e", 7): 0, ("e", 9): 1, ("e", 12): 2}
+    assert got == want
+    assert {r["k"]: (r["absences"], r["inactive"]) for r in gates.absent_now(p, s, "k").collect()} == {"a": (3, True), "b": (1, False), "d": (1, False), "e": (2, True)}
+    assert "NestedLoop" not in gates.absences(p, s, "k")._jdf.queryExecution().toString().replace("BroadcastNestedLoopJoin BuildRight, Cross", "")
+    assert gates.absences(p.limit(0), s, "k").count() == gates.absences(p, s.limit(0), "k").count() == 0
+
+
+def test_holes_over_many_words(spark):
+    days = [date(2026, 1, 1) + timedelta(days=n) for n in range(200)]
+    rows = [(k, d) for k, step in (("a", 2), ("b", 3), ("c", 1)) for n, d in enumerate(days) if n % step == 0 and n >= 10] + [("a", days[12]), ("z", date(2020, 1, 1)), ("late", date(2027, 1, 1))]
+    present, expected = spark.createDataFrame(rows, "k string, date date"), spark.createDataFrame([(d,) for d in days], "date date")
+    have = set(rows)
+    for window in (None, 61, 5):
+        want = sorted((k, d) for k in ("a", "b", "c", "z") for d in days[-(window or 200) :] if d >= min(x for j, x in rows if j == k) and (k, d) not in have)
+        found = cal.holes(present, expected, "k", window)
+        assert sorted(map(tuple, found.collect())) == want
+    assert cal.holes(present, expected, "k", 70)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert cal.holes(present, expected.limit(0), "k").count() == cal.holes(present.limit(0), expected, "k").count() == 0

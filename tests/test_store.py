@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,14 +200,27 @@ def test_old_commits_go_and_plain_tables_are_taken_over(spark, tmp_path):
     assert sorted(map(tuple, store.stored_statistics(spark, path, "b").select("year", "n_rows").collect())) == [(2024, 1), (2025, 2)]
 
 
-def test_pending_versions_that_no_replay_needs_are_deleted(spark, tmp_path):
-    schema = spark.createDataFrame([], "filing_key string, locator string, seen date").schema
-    for k in range(4):
-        spark.createDataFrame([(f"f{k}", None, date(2026, 1, 1))], schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/in")
-    ingest.run_to_end(ingest.track_pending(stream, f"file://{tmp_path}/state", f"file://{tmp_path}/cp", schema))
-    left = sorted(p.name for p in (tmp_path / "state").iterdir())
-    assert len(left) == 2 and spark.read.parquet(f"file://{tmp_path}/state/{left[-1]}").count() >= 4
+def test_pending_filings_write_their_changes_only(spark, tmp_path):
+    schema = "filing_key string, locator string, seen date"
+    batches = [[("a", None, 3), ("b", None, 2), ("c", "x", 1), (None, None, 1)], [("a", None, 2), ("d", None, None)], [("b", "y", 9), ("c", None, 1)], [("b", None, 1), ("a", None, 5)]]
+    for k, rows in enumerate(batches):
+        rows = [(f, u, s and date(2026, 1, s)) for f, u, s in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"file://{tmp_path}/in/{k}")
+        stream = spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in/*")
+        ingest.run_to_end(ingest.track_pending(stream, f"file://{tmp_path}/out", f"file://{tmp_path}/cp"))
+    changes = spark.read.parquet(f"file://{tmp_path}/out").groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in changes} == {0: 2, 1: 2, 2: 1}
+    assert sorted(map(tuple, ingest.pending(spark, f"file://{tmp_path}/out").collect())) == [("a", date(2026, 1, 2)), ("d", None)]
+
+
+def test_documents_come_once_however_late(spark, tmp_path):
+    schema, paths = "dedup_key string, seen timestamp, extra int", [f"file://{tmp_path}/{x}" for x in ("out", "ledger", "cp")]
+    day = lambda n: datetime(2026, 1, 1) + timedelta(days=n)
+    for k, rows in enumerate([[("a", 0), ("a", 1), (None, 0)], [("b", 100)], [("c", 300), ("a", 290)], [("a", 400), ("b", 101), ("d", 400), ("e", 5)]]):
+        spark.createDataFrame([(key, day(n), n) for key, n in rows], schema).coalesce(1).write.parquet(f"file://{tmp_path}/in/{k}")
+        for _ in range(2):  # the second run finds nothing new
+            ingest.run_to_end(ingest.once_per_document(spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in/*"), "seen", *paths))
+    assert sorted(r["dedup_key"] for r in spark.read.parquet(paths[0]).collect()) == ["a", "b", "c", "d", "e"]
 
 
 def test_deltas_keep_the_newest_days(spark, tmp_path):
@@ -223,11 +236,12 @@ def test_absent_columns(spark):
 
 
 def test_stream_replay_changes_nothing(spark, tmp_path):
-    files, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    files, out, deltas = (f"file://{tmp_path}/{x}" for x in ("in", "out", "deltas"))
     bars(spark, bar("A", date(2026, 1, 1)), bar("A", date(2026, 1, 2)), bar("", date(2026, 1, 2))).write.parquet(files)
     for i in range(2):
-        ingest.run_to_end(ingest.ingest(ingest.day_files(spark, files), out, f"file://{tmp_path}/cp{i}", f"file://{tmp_path}/side"))
+        ingest.run_to_end(ingest.ingest(ingest.day_files(spark, files), out, f"file://{tmp_path}/cp{i}", f"file://{tmp_path}/side", deltas=deltas, keep=1))
     assert len(content(spark, out)) == 2 and spark.read.parquet(f"file://{tmp_path}/side").count() == 1
+    assert [(str(r["date"]), r["instrument_key"]) for r in ingest.read_deltas(spark, deltas).collect()] == [("2026-01-02", "A")]
 
 
 def test_registry_builds_derived_tables(spark):
