@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.workspace import fresh_path
+from ..functions.workspace import fresh_path, ship
 from ..operators import gates, master, store
 from ..sources import prices, reference
 from . import tables as t
@@ -15,28 +15,38 @@ from .registry import default_registry
 # ---- sector lists, seeds, baskets, listings
 
 
-@query("""WITH x AS (SELECT c_custkey AS k, 'INE' || (c_custkey // 2) AS instrument_key, 'S' || c_custkey AS symbol, c_mktsegment AS sector, c_name || ', Ltd' AS company FROM customer WHERE c_custkey % 9 <> 0)
-SELECT instrument_key, symbol, sector, company FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY k) AS n FROM x) WHERE n = 1""")
+@query("""WITH x AS (SELECT c_custkey AS k, 'INE' || (c_custkey // 2) AS instrument_key, 'S' || c_custkey AS symbol, c_mktsegment AS sector, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name || ', Ltd' END AS company, c_mktsegment IN ('BUILDING', 'MACHINERY') AS is_cyclical FROM customer WHERE c_custkey % 9 <> 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0)
+SELECT instrument_key, symbol, sector, company, is_cyclical FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY k) AS n FROM x) WHERE n = 1""")
 def sector_csv(spark, d):
-    """A sector list with quoted commas, two rows for each ISIN and short rows."""
+    """A sector list with quoted commas and line breaks, two rows for each ISIN, short rows, and blanks in every column."""
+    ship(spark)
     k = F.col("c_custkey")
-    isin = F.concat(F.lit("INE"), F.floor(k / 2))
-    rows = t.load(spark, d, "customer").repartition(4, isin).sortWithinPartitions("c_custkey")
+    isin = F.concat(F.lit(" ine"), F.floor(k / 2))
+    quoted = F.concat(F.lit('"'), "c_name", F.lit(', Ltd"'))
+    blank = lambda n, c: F.when(k % n == 0, " ").otherwise(c)
+    fields = [blank(5, quoted), blank(11, F.col("c_mktsegment")), blank(13, F.concat(F.lit("s"), k)), F.when(k % 3 == 0, "").when(k % 3 == 1, '"E\nQ"').otherwise("EQ"), blank(17, isin)]
+    line = F.when(k % 9 == 0, "short,row").otherwise(F.concat_ws(",", *fields))
+    rows = t.load(spark, d, "customer").select(F.floor(k / 2).alias("pair"), F.struct(k.alias("k"), line.alias("line")).alias("x")).groupBy((F.col("pair") % 4).alias("file")).agg(F.array_sort(F.collect_list("x")).alias("x"))
     path = fresh_path(spark, "sector-csv")
-    rows.select(F.concat("c_name", F.lit(", Ltd")).alias("Company Name"), F.col("c_mktsegment").alias("Industry"), F.concat(F.lit("S"), k).alias("Symbol"), F.lit("EQ").alias("Series"), F.when(k % 9 != 0, isin).alias("ISIN Code")).write.csv(path, header=True)
-    return reference.sector_list(reference.numbered_fields(spark, path)).select("instrument_key", "symbol", "sector", "company")
+    text = F.concat(F.lit("\ufeffCompany Name,Industry,Symbol,Series,ISIN Code\n"), F.array_join("x.line", "\n"))
+    rows.select(text.alias("value"), "file").repartition(4, "file").write.partitionBy("file").text(path)
+    return reference.sector_list(reference.numbered_fields(spark, path), ["BUILDING", "MACHINERY"]).select("instrument_key", "symbol", "sector", "company", "is_cyclical")
 
 
-@query("""SELECT 'K' || c_custkey AS instrument_key, 'S' || c_custkey AS symbol, CASE WHEN c_custkey % 2 = 0 THEN 'M' || (c_nationkey % 3) END AS macro_sector, c_mktsegment AS sector, 'I, ' || c_nationkey AS industry, 'B' AS basic_industry FROM customer""")
+@query("""SELECT 'K' || c_custkey AS instrument_key, 'S' || c_custkey AS symbol, CASE WHEN c_custkey % 2 = 0 AND c_custkey % 5 <> 0 THEN 'M' || (c_nationkey % 3) END AS macro_sector, c_mktsegment AS sector, CASE WHEN c_custkey % 7 <> 0 THEN 'I, ' || c_nationkey END AS industry, CASE WHEN c_custkey % 3 <> 0 THEN 'Basic x' END AS basic_industry, c_mktsegment = 'BUILDING' AS is_cyclical FROM customer WHERE c_custkey % 11 <> 0""")
 def seed_csv(spark, d):
-    """Seeds of six fields, and of the older five without the macro tier."""
+    """Seeds of six fields, and of the older five without the macro tier, with blanks in every tier; lines dealt over tasks."""
+    ship(spark)
     c, k = t.load(spark, d, "customer"), F.col("c_custkey")
-    cols = {"instrument_key": F.concat(F.lit("K"), k), "symbol": F.concat(F.lit("S"), k), "macro_sector": F.concat(F.lit("M"), F.col("c_nationkey") % 3), "sector": F.col("c_mktsegment"), "industry": F.concat(F.lit("I, "), "c_nationkey"), "basic_industry": F.lit("B")}
+    blank = lambda n, x: F.when(k % n == 0, "").otherwise(x)
+    cols = {"instrument_key": F.concat(F.lit("k"), k), "symbol": F.concat(F.lit(" s"), k), "macro_sector": blank(5, F.concat(F.lit("M"), F.col("c_nationkey") % 3)), "sector": blank(11, F.concat(F.lit("  "), "c_mktsegment")), "industry": blank(7, F.concat(F.lit('"I,  '), "c_nationkey", F.lit('"'))), "basic_industry": blank(3, F.lit("\uff22asic  x"))}
     paths = []
     for odd, names in ((0, list(cols)), (1, [n for n in cols if n != "macro_sector"])):
         paths.append(fresh_path(spark, "seed-csv"))
-        c.filter(k % 2 == odd).select(*(cols[n].alias(n) for n in names)).write.csv(paths[-1], header=True)
-    one, two = (reference.seed_list(reference.numbered_fields(spark, p)) for p in paths)
+        head = spark.createDataFrame([(",".join(names),)], "value string")
+        lines = c.filter(k % 2 == odd).select(F.concat_ws(",", *(cols[n] for n in names)).alias("value"))
+        head.union(lines).coalesce(1).write.text(paths[-1])
+    one, two = (reference.seed_list(reference.numbered_fields(spark, p, whole=False), ["building"]) for p in paths)
     return one.unionByName(two)
 
 
@@ -97,10 +107,26 @@ w AS (SELECT page_id, max(label) FILTER (WHERE name = '/the') AS a, max(label) F
 SELECT page_id, CASE WHEN b IS NOT NULL THEN a END AS "/the", CASE WHEN a IS NOT NULL THEN b END AS "/and" FROM w""")
 def page_tiers(spark, d):
     """Anchors named by an attribute as label columns: conflicting texts are null, and all are null where one is missing."""
+    ship(spark)
     pages = t.load(spark, d, "pages").select("page_id", F.regexp_replace(F.regexp_replace("html", '(?i)href="/the"', 'href="/the"'), '(?i)href="/and"', 'href="/and"').alias("html"))
     return reference.page_labels(pages, _TIERS[:2], "href")
 
 
+@query("""SELECT c_custkey AS page_id, CASE WHEN ok THEN 'Goods & ' || c_nationkey END AS "Sector", CASE WHEN ok THEN c_name || ' <x>' END AS "Industry" FROM (SELECT *, c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AS ok FROM customer) WHERE c_custkey % 11 <> 0""")
+def label_pages(spark, d):
+    """Pages with labels in either quote or none, in nested tags, with character references, among comments and scripts; some lack a label,
+    some have two texts for one, some have none."""
+    ship(spark)
+    k = F.col("c_custkey")
+    html = F.concat(
+        F.lit("<html><!-- <a title='Sector'>No</a> --><script>'<a title=\"Industry\">No</a>'</script>"),
+        F.when(k % 11 == 0, "<p>none").otherwise(F.concat(F.element_at(F.array(F.lit("<A href=x\n TITLE='Sector'>"), F.lit("<a title=Sector >"), F.lit('<a data-x=">" title = "Sector">')), (k % 3 + 1).cast("int")), F.lit(" <b>Goods</b>\n&amp; "), "c_nationkey", F.lit("</a>"))),
+        F.when((k % 5 == 0) | (k % 11 == 0), "").otherwise(F.concat(F.lit("<a title='Industry'>"), "c_name", F.lit(" &lt;x&#62;</A>"))),
+        F.when((k % 7 == 0) & (k % 11 != 0), "<a title='Sector'>Other</a>").otherwise("<a title='Sectors'>Other</a><a>x</a>"),
+    )
+    return reference.page_labels(t.load(spark, d, "customer").select(k.alias("page_id"), html.alias("html")), ["Sector", "Industry"])
+
+
 # ---- tables
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+import unicodedata
+from collections.abc import Iterable, Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import last_segment, or_default, positive, scrip_code
+from ..functions.scalar import canonical_label, last_segment, or_default, positive, scrip_code
+from ..operators.sectors import cyclical, cyclical_plain
 from ..operators.store import duplicate_keys, keep_first
 from .prices import read_text_csv
 
@@ -15,26 +21,60 @@ from .prices import read_text_csv
 BASKET_HEADERS = ("Company Name,Industry,Symbol,Series,ISIN Code", "Company Name,Industry,Symbol,Series,ISIN")
 
 
-def numbered_fields(spark: SparkSession, path: str) -> DataFrame:
-    """(file, row, f): the data rows of CSV files as arrays of trimmed fields, quoted commas kept, the header left out."""
-    lines = spark.read.csv(path, header=False, schema=", ".join(f"c{i} string" for i in range(8)), ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), F.array_compact(F.array(*(F.col(f"c{i}") for i in range(8)))).alias("f"))
-    first = lines.groupBy("file").agg(F.min("row").alias("_first"))
-    return lines.join(F.broadcast(first), "file").filter("row > _first").drop("_first")  # one row per file
+#: Rows of a CSV file handed on at once.
+CHUNK = 10_000
+FIELDS = "file string, row struct<part: bigint, nth: bigint>, f array<string>"
+
+
+def numbered_fields(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """FIELDS: the data rows of CSV files as arrays of trimmed fields, the header left out; row gives their order.
+
+    Every field keeps its place: a blank one is an empty text, and a row has as many fields as its line. whole reads each file in one
+    piece, so that quoted fields may hold line breaks; without it lines are dealt over tasks, for files that are too large for one."""
+
+    def records(text: str) -> Iterator[list[str]]:
+        return ([x.strip() for x in r] for r in csv.reader(io.StringIO(text, newline="")))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.struct([("part", pa.int64()), ("nth", pa.int64())]), pa.list_(pa.string()))
+        for batch in batches:
+            out: list[tuple] = []
+            for file, part, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for nth, f in enumerate(records((text or "").removeprefix("\ufeff"))):
+                    out.append((file, {"part": part, "nth": nth}, f))
+                    if len(out) == CHUNK:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["file", "row", "f"])
+                        out = []
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 3, kinds)], names=["file", "row", "f"])
 
-def sector_list(fields: DataFrame) -> DataFrame:
-    """Five fields by position (company, industry, symbol, series, ISIN); short rows and blank keys go, the first ISIN wins."""
-    rows = fields.filter(F.size("f") >= 5).select("row", F.col("f")[4].alias("instrument_key"), F.col("f")[2].alias("symbol"), F.col("f")[1].alias("sector"), F.col("f")[0].alias("company"))
-    return keep_first(rows.filter("instrument_key <> ''"), ["instrument_key"], ["row"]).drop("row")
+    texts = spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("part"), "value")
+    rows = texts.mapInArrow(work, FIELDS)
+    if whole:
+        return rows.filter("row.nth > 0")
+    return rows.join(F.broadcast(rows.groupBy("file").agg(F.min("row").alias("_first"))), "file").filter("row > _first").drop("_first")  # one row per file
 
 
-def seed_list(fields: DataFrame) -> DataFrame:
-    """Four-tier seed rows; rows of five fields are of the older layout without the macro tier."""
+def _upper(i: int) -> Column:
+    return F.upper(F.get("f", F.lit(i)))
+
+
+def sector_list(fields: DataFrame, cyclical_names: Iterable[str] = ()) -> DataFrame:
+    """Five fields by position (company, industry, symbol, series, ISIN). Short rows go, and rows without an ISIN, symbol or industry; a
+    blank company or series is no reason. Keys and symbols are upper-case; the first row of an ISIN wins."""
+    rows = fields.filter(F.size("f") >= 5).select("row", _upper(4).alias("instrument_key"), _upper(2).alias("symbol"), F.col("f")[1].alias("sector"), F.col("f")[0].alias("company"))
+    rows = rows.filter("instrument_key <> '' and symbol <> '' and sector <> ''").withColumn("is_cyclical", cyclical("sector", cyclical_names))
+    return keep_first(rows, ["instrument_key"], ["row"]).drop("row")
+
+
+def seed_list(fields: DataFrame, cyclical_names: Iterable[str] = ()) -> DataFrame:
+    """Seed rows of four tiers; rows of five fields are of the older layout without the macro tier. Labels are canonical, keys and symbols
+    upper-case. Rows without key, symbol or sector go, other blank tiers are null; the first row of a key wins. cyclical_names: plain."""
     wide = F.size("f") >= 6
-    at = lambda i: F.when(wide, F.get("f", F.lit(i))).otherwise(F.get("f", F.lit(i - 1)))
-    rows = fields.filter(F.size("f") >= 5).select("row", F.col("f")[0].alias("instrument_key"), F.col("f")[1].alias("symbol"), F.when(wide, F.get("f", F.lit(2))).alias("macro_sector"), at(3).alias("sector"), at(4).alias("industry"), at(5).alias("basic_industry"))
-    return keep_first(rows.filter("instrument_key <> ''"), ["instrument_key"], ["row"]).drop("row")
+    at = lambda i: F.nullif(canonical_label(F.when(wide, F.get("f", F.lit(i))).otherwise(F.get("f", F.lit(i - 1)))), F.lit(""))
+    macro = F.nullif(canonical_label(F.when(wide, F.get("f", F.lit(2)))), F.lit(""))
+    rows = fields.filter(F.size("f") >= 5).select("row", _upper(0).alias("instrument_key"), _upper(1).alias("symbol"), macro.alias("macro_sector"), at(3).alias("sector"), at(4).alias("industry"), at(5).alias("basic_industry"))
+    rows = rows.filter("instrument_key <> '' and symbol <> '' and sector is not null").withColumn("is_cyclical", cyclical_plain("sector", cyclical_names))
+    return keep_first(rows, ["instrument_key"], ["row"]).drop("row")
 
 
 def basket_members(texts: DataFrame, catalog: DataFrame, least: int = 5) -> DataFrame:
@@ -88,16 +128,56 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
     return read_text_csv(spark, path).filter(F.coalesce(F.trim("csv_path"), F.lit("")) != "")
 
 
+class Anchors(HTMLParser):
+    """The texts of a page's anchors whose attribute has one of some names. Comments, scripts and styles hold none; an anchor within an
+    open one belongs to its text; one that never closes has none."""
+
+    def __init__(self, names: frozenset[str], attribute: str):
+        super().__init__(convert_charrefs=True)
+        self.names, self.attribute = names, attribute
+        self.found: list[tuple[str, str]] = []
+        self.name: str | None = None
+        self.text: list[str] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        name = dict(attrs).get(self.attribute) if tag == "a" and self.name is None else None
+        if name in self.names:
+            self.name, self.text = name, []
+
+    def handle_data(self, data: str) -> None:
+        if self.name is not None:
+            self.text.append(data)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "a" and self.name is not None:
+            self.found.append((self.name, " ".join(unicodedata.normalize("NFKC", "".join(self.text)).split())))
+            self.name = None
+
+
+def named_anchors(pages: DataFrame, names: Iterable[str], attribute: str = "title") -> DataFrame:
+    """(page_id, name, label) of each anchor with one of the names and a text, by an event parser in one Arrow pass."""
+    wanted = frozenset(names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for page, html in zip(batch.column(0), batch.column(1).to_pylist()):
+                parser = Anchors(wanted, attribute)
+                parser.feed(html or "")
+                parser.close()
+                out += [(page, name, label) for name, label in parser.found if label]
+            cols = list(zip(*out)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array([p.as_py() for p in cols[0]], batch.schema.field(0).type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], names=["page_id", "name", "label"])
+
+    return pages.select("page_id", "html").mapInArrow(work, f"page_id {pages.schema['page_id'].dataType.simpleString()}, name string, label string")
+
+
 def page_labels(pages: DataFrame, names: Iterable[str], attribute: str = "title") -> DataFrame:
-    """(page_id, one column per label name): the text of the anchors whose attribute has that name. A name with conflicting texts is
-    null; if any is missing all are. One pass over the pages, then one row per anchor."""
+    """(page_id, one column per label name) of the pages with any of them: the text of the anchors whose attribute has that name. If the
+    texts of a name conflict or any name is missing all are null."""
     names = list(names)
-    anchors = F.regexp_extract_all("html", F.lit(rf'(?is)<a\b[^>]*\b{attribute}\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'), F.lit(1))
-    texts = F.regexp_extract_all("html", F.lit(rf'(?is)<a\b[^>]*\b{attribute}\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'), F.lit(2))
-    rows = pages.select("page_id", F.explode(F.arrays_zip(anchors.alias("name"), texts.alias("label"))).alias("x"))
-    clean = F.trim(F.regexp_replace(F.regexp_replace("x.label", "<[^>]*>", " "), r"\s+", " "))
-    rows = rows.select("page_id", F.col("x.name").alias("name"), clean.alias("label")).filter((F.col("label") != "") & F.col("name").isin(names))
-    one = rows.groupBy("page_id", "name").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).select("page_id", "name", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("label"))
+    one = named_anchors(pages, names, attribute).groupBy("page_id", "name").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    one = one.select("page_id", "name", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("label"))
     wide = one.groupBy("page_id").agg(*(F.max(F.when(F.col("name") == n, F.col("label"))).alias(n) for n in names))
     whole = F.lit(True)
     for n in names:

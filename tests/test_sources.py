@@ -1,7 +1,10 @@
 import io
 import json
+import random
+import unicodedata
 import zipfile
 from datetime import date
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +67,64 @@ def test_indices(spark, tmp_path):
         prices.normalize_indices(prices.read_text_csv(spark, put(tmp_path, "j.csv", bad))).collect()
 
 
+def test_blank_fields_keep_their_places(spark, tmp_path):
+    ship(spark)
+    seed = "instrument_key,symbol,macro_sector,sector,industry,basic_industry\nine1,aa,Mac,Sec,Ind,\nINE2,BB,, Sec  two ,,Bas\nINE3,,M,S,I,B\nINE4,DD,M,,I,B\nINE1,ZZ,M,S,I,B\n\nINE5,EE,M,S\nINE6,FF,S,,\n"
+    for whole in (True, False):
+        got = {r["instrument_key"]: tuple(r)[1:] for r in reference.seed_list(reference.numbered_fields(spark, put(tmp_path, "seed.csv", seed), whole), ["sec two"]).collect()}
+        assert got == {"INE1": ("AA", "Mac", "Sec", "Ind", None, False), "INE2": ("BB", None, "Sec two", None, "Bas", True), "INE6": ("FF", None, "S", None, None, False)}
+    rows = 'Company Name,Industry,Symbol,Series,ISIN Code\nA,Oil,a,,ine1\n,Steel,b,EQ,INE2\nC,,c,EQ,INE3\nD,Oil,,EQ,INE4\n"E\nF, G",Oil,e,EQ,INE5\nH,Oil,h,EQ\nI,Oil,i,EQ,INE6,more\nJ,Oil,j,EQ,INE1\n'
+    got = {r["instrument_key"]: (r["symbol"], r["company"], r["is_cyclical"]) for r in reference.sector_list(reference.numbered_fields(spark, put(tmp_path, "list.csv", rows)), ["Steel"]).collect()}
+    assert got == {"INE1": ("A", "A", False), "INE2": ("B", "", True), "INE5": ("E", "E\nF, G", False), "INE6": ("I", "I", False)}
+    assert reference.numbered_fields(spark, put(tmp_path, "empty.csv", "")).count() == 0
+
+
+class Plain(HTMLParser):
+    """All anchors by the standard parser's own events, written down and read again."""
+
+    def __init__(self):
+        super().__init__()
+        self.events = []
+
+    def handle_starttag(self, tag, attrs):
+        self.events.append(("open", tag, dict(attrs).get("title")))
+
+    def handle_endtag(self, tag):
+        self.events.append(("close", tag, None))
+
+    def handle_data(self, data):
+        self.events.append(("text", data, None))
+
+
+def test_anchors_of_any_legal_markup(spark):
+    ship(spark)
+    rng = random.Random(3)
+    bits = ["<a title='Sector'>", '<A\nTITLE="Sector" x>', "<a title=Sector>", "<a title=Other>", "<a>", "</a>", "</A >", "Steel", "  Pipes &amp; &#84;ubes\n", "<b>", "</b>", "<!-- <a title=Sector>no</a> -->", "<script>'<a title=Sector>no</a>'</script>", "<br/>", "<a title='Sector'/>", "</p>", "&nbsp;", "<a title='Sec", "'>"]
+    pages = ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(400)]
+
+    def want(html):
+        parser, out, text = Plain(), [], None
+        parser.feed(html)
+        parser.close()
+        for kind, what, title in parser.events:
+            if kind == "open" and what == "a" and text is None and title == "Sector":
+                text = ""
+            elif kind == "text" and text is not None:
+                text += what
+            elif kind == "close" and what == "a" and text is not None:
+                out += [" ".join(unicodedata.normalize("NFKC", text).split())]
+                text = None
+        return sorted(x for x in out if x)
+
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)] + [(1000, None), (1001, "")], "page_id bigint, html string")
+    got = {}
+    for r in reference.named_anchors(df, ["Sector"]).collect():
+        got.setdefault(r["page_id"], []).append(r["label"])
+    assert {i: sorted(v) for i, v in got.items()} == {i: w for i, h in enumerate(pages) if (w := want(h))}
+
+
 def test_sector_and_seed_lists(spark, tmp_path):
+    ship(spark)
     rows = reference.sector_list(reference.numbered_fields(spark, put(tmp_path, "s.csv", '﻿Company Name,Industry,Symbol,Series,ISIN Code\n"Rel, Ltd",Oil,ALPHA,EQ,INE1\nshort,row\nOther,Steel,DUP,EQ,INE1\n'))).collect()
     assert [(r["instrument_key"], r["symbol"], r["sector"], r["company"]) for r in rows] == [("INE1", "ALPHA", "Oil", "Rel, Ltd")]
     six = reference.seed_list(reference.numbered_fields(spark, put(tmp_path, "6.csv", 'instrument_key,symbol,macro_sector,sector,industry,basic_industry\nK,S,M,"Oil, Gas",I,B\n'))).first()
@@ -91,11 +151,14 @@ def test_listings_and_calendars(spark, tmp_path):
 
 @pytest.mark.parametrize("html, want", [
     ("".join(f'<a href=x title="{n}"> {n[0]}  1 </a>' for n in ("Broad Sector", "Sector", "Broad Industry", "Industry")), ("B 1", "S 1", "B 1", "I 1")),
+    ("".join(f"<a title='{n}'>{n[0]} <b>|</b> &amp;</a>" for n in ("Broad Sector", "Sector", "Broad Industry", "Industry")), ("B | &", "S | &", "B | &", "I | &")),
+    ("".join(f"<a title={n.replace(' ', '&#32;')}>{n[0]}</a><!--<a title='{n}'>x</a>-->" for n in ("Broad Sector", "Sector", "Broad Industry", "Industry")), ("B", "S", "B", "I")),
     ("".join(f'<a title="{n}">{n[0]}</a>' for n in ("Broad Sector", "Sector", "Industry")), (None,) * 4),
     ("".join(f'<a title="{n}">{n[0]}</a>' for n in ("Broad Sector", "Sector", "Broad Industry", "Industry")) + '<a title="Sector">other</a>', (None,) * 4),
     ("".join(f'<a title="{n}">{n[0]}</a>' for n in ("Broad Sector", "Sector", "Broad Industry", "Industry")) + '<a title="Sector">S</a>', ("B", "S", "B", "I")),
 ])
 def test_label_pages(spark, html, want):
+    ship(spark)
     pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
     assert tuple(reference.page_labels(pages, ["Broad Sector", "Sector", "Broad Industry", "Industry"]).first())[1:] == want
 
