@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: lineage ends there, and lost executors lose nothing."""
+def written(df: DataFrame, name: str, by: Sequence[str] = (), **options: str) -> DataFrame:
+    """df written as Parquet to the shared folder, in partitions of the columns in by, and read back: lineage ends there, and lost executors
+    lose nothing."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
