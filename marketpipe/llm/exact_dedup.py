@@ -1,11 +1,13 @@
 """Exact dedup by a log-structured merge index of text digests.
 
 Memtables (one bounded batch of rows inside a task) are reduced to one entry per digest and flushed as sorted runs, each with a filter:
-a bit table of bounded size. When a level holds FANOUT runs they are merged, with the run of the level below, into one: sorted by range
-and folded as a stream, keeping the smallest and the largest identifier of each digest. A lookup reads a run only if its filter lets a
-digest through. Hits, digests that more than one row has, are verified on the bytes.
+a bit table of bounded size. The rows come in FLUSHES parts, a run each. When a level holds FANOUT runs they are merged, with the run of
+the level below, into one: sorted by range and folded as a stream, keeping the smallest and the largest identifier of each digest. What
+may be a hit, a digest that a run has twice or that passes another run's filter, is looked up in all runs that its filters let it into.
+Hits, digests that more than one row has, are verified on the bytes.
 
-Null text counts as empty; texts are equal when they agree after lower-casing A-Z. Repeated rows are copies of each other.
+Null text counts as empty; texts are equal when they agree after lower-casing A-Z. Repeated rows are copies of each other. Rows without an
+id are copies like others; keep_id is the largest (smallest) id of the copies that have one, so such a row is kept only where no copy has.
 An empty table gives an empty result. Only doc_id and text are read, so extra columns cannot clash.
 """
 
@@ -23,8 +25,8 @@ from .shared import ascii_lower, bit_table, dropped, fresh_path, thinned, whole,
 
 #: Rows in one memtable; a full one is flushed.
 MEMTABLE_ROWS = 200_000
-#: Runs of a level that are merged into the next.
-FANOUT = 4
+#: Runs of a level that are merged into the next, and the parts in which the rows of a table are flushed.
+FANOUT, FLUSHES = 4, 6
 #: Pieces into which the copies of one text are dealt while their bytes are compared.
 SALTS = 32
 RUN = "digest binary, min_id bigint, max_id bigint, n bigint"
@@ -107,6 +109,24 @@ class DigestIndex:
             dropped(run.entries), dropped(run.filter)
         return new
 
+    def candidates(self) -> DataFrame:
+        """(digest) of all that more than one row may have: those that a run has twice, and those that pass another run's filter. Only the
+        entries of all runs but the largest are held against filters: of two runs that share a digest one is not the largest."""
+        runs = [r for level in self.levels for r in level]
+        found = self.spark.createDataFrame([], "digest binary")
+        for k, run in enumerate(runs):
+            found = found.unionByName(run.entries.filter("n > 1").select("digest"))
+            if k + 1 < len(runs):  # the last one is of the deepest level
+                for other in runs[:k] + runs[k + 1 :]:
+                    found = found.unionByName(thinned(run.entries.select("digest"), other.filter, "digest"))
+        return found.distinct()
+
+    def drop(self) -> None:
+        """Deletes the runs and their filters."""
+        for run in (r for level in self.levels for r in level):
+            dropped(run.entries), dropped(run.filter)
+        self.levels = [[]]
+
     def lookup(self, digests: DataFrame) -> DataFrame:
         """RUN of those of the rows (digest) that are in the index. Runs whose filter lets none of them through are not read."""
         found = self.spark.createDataFrame([], RUN)
@@ -128,12 +148,13 @@ def exact_groups(docs: DataFrame, keep: str = "max") -> DataFrame:
         raise ValueError("keep is 'max' or 'min'")
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), ascii_lower(whole("text")).alias("norm"))
     base = base.withColumn("digest", F.unhex(F.sha2("norm", 256)))
-    keys = written(base.select("doc_id", "digest"), "digests", **{"parquet.enable.dictionary": "false"})
+    part = F.pmod(F.spark_partition_id(), F.lit(FLUSHES)).alias("part")
+    keys = written(base.select("doc_id", "digest", part), "digests", by=["part"], **{"parquet.enable.dictionary": "false"})
     index = DigestIndex(docs.sparkSession)
-    index.flush(keys)
-    merged = index.merge(0)
-    hits = index.run(merged.entries.filter("n > 1"))
-    dropped(merged.entries), dropped(merged.filter)
+    for k in range(FLUSHES):
+        index.flush(keys.filter(F.col("part") == k))
+    hits = index.run(index.lookup(index.candidates()).filter("n > 1"))
+    index.drop()
 
     ends = thinned(base, hits.filter, "digest").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     for by in (["digest", "salt"], ["digest"]):

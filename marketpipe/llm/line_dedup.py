@@ -8,7 +8,8 @@ Bit tables of bounded size keep lines that stay, and documents that lose none, o
 more are dealt over SALTS tasks each.
 
 Null text: no lines, empty result text. Blank lines are neither counted nor removed. A null source is no site. Repeated rows
-count as the same site. An empty table gives an empty result. Extra columns pass through apply() untouched.
+count as the same site. An empty table gives an empty result. Extra columns pass through apply() untouched, whatever their names; where the
+table has a column n_lines or n_removed, the operator's own get underscores after their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_table, dropped, thinned, whole, written
+from .shared import bit_table, dropped, free, hidden, thinned, whole, written
 
 MIN_SITES = 10
 #: log2 of a sketch's buckets: a relative standard error of about 1.04 / 2^(LG_K / 2), 1.6 % at 12.
@@ -38,9 +39,14 @@ def line_key(line: Column) -> Column:
     return F.when(line != "", F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")))
 
 
+def split(docs: DataFrame) -> DataFrame:
+    """docs with _lines: the lines of each text. Lists of lines are never shuffled or written, they are made from the text."""
+    return docs.withColumn("_lines", F.split(whole("text"), "\n", -1))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, site, a, b): each distinct line of each document once."""
-    keys = F.array_distinct(F.array_compact(F.transform(F.split(whole("text"), "\n", -1), lambda x: line_key(bare(x)))))
+    keys = F.array_distinct(F.array_compact(F.transform("_lines", lambda x: line_key(bare(x)))))
     rows = docs.select("doc_id", F.col("source").alias("site"), F.explode(keys).alias("k"))
     return rows.select("doc_id", "site", "k.a", "k.b")
 
@@ -70,23 +76,25 @@ def lost_lines(lines: DataFrame, spread: DataFrame) -> DataFrame:
 
 
 def by_list(docs: DataFrame) -> DataFrame:
-    """docs (text, _drop) with _kept: the lines whose keys are not in _drop, in order."""
-    kept = F.filter(F.split(whole("text"), "\n", -1), lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
-    return docs.withColumn("_kept", kept)
+    """docs (text, _drop) with _lines and _kept: the lines whose keys are not in _drop, in order."""
+    kept = F.filter("_lines", lambda x: ~F.coalesce(F.array_contains("_drop", line_key(bare(x))), F.lit(False)))
+    return split(docs).withColumn("_kept", kept)
 
 
 def by_join(docs: DataFrame) -> DataFrame:
     """The same for documents that lose very many lines: their lines meet _drop in a join."""
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "long-documents")
-    lines = rows.select("_row", F.posexplode(F.split(whole("text"), "\n", -1)).alias("_at", "_line")).withColumn("_key", line_key(bare(F.col("_line"))))
+    lines = split(rows).select("_row", F.posexplode("_lines").alias("_at", "_line")).withColumn("_key", line_key(bare(F.col("_line"))))
     stay = lines.join(rows.select("_row", F.explode("_drop").alias("_key")), ["_row", "_key"], "left_anti")
     stay = stay.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_line")))["_line"].alias("_kept"))
-    return rows.join(stay, "_row", "left").withColumn("_kept", F.coalesce("_kept", F.array().cast("array<string>"))).drop("_row")
+    return split(rows.join(stay, "_row", "left")).withColumn("_kept", F.coalesce("_kept", F.array().cast("array<string>"))).drop("_row")
 
 
 def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """docs with its text cleaned, plus n_lines (lines before) and n_removed. Rows of a null doc_id stay as they are."""
-    lines = written(lines_of(docs), "lines")
+    """docs with its text cleaned, plus n_lines (lines before) and n_removed, in this order. Rows of a null doc_id stay as they are."""
+    outs = [free(c, docs.columns) for c in ("n_lines", "n_removed")]
+    docs, own = hidden(docs, "doc_id", "text", "source")
+    lines = written(lines_of(split(docs)), "lines")
     spread = written(spread_lines(lines, min_sites, lg_k), "spread-lines")
     drop = lost_lines(lines, spread).groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("_drop"))
     drop = written(drop.withColumnRenamed("doc_id", "_id"), "lost-lines")
@@ -97,9 +105,10 @@ def apply(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> Data
     # merged at every size: lists of lines are far larger in memory than in the file that an automatic broadcast goes by
     few = by_list(thinned(rest, long, "doc_id", there=False).join(drop.hint("merge"), same, "left"))
     many = by_join(thinned(rest, long, "doc_id").join(drop.hint("merge"), same, "left"))
-    joined = few.unionByName(many).unionByName(thinned(docs, losing, "doc_id", there=False).withColumns(none))
-    n_lines = F.when(whole("text") == "", 0).otherwise(F.size(F.split(whole("text"), "\n", -1)))
+    joined = few.unionByName(many).unionByName(split(thinned(docs, losing, "doc_id", there=False)).withColumns(none))
+    n_lines = F.when(whole("text") == "", 0).otherwise(F.size("_lines"))
     whole_text = F.col("_drop").isNull() | (whole("text") == "")
     clean = F.when(whole_text, whole("text")).otherwise(F.array_join("_kept", "\n"))
     n_removed = F.when(whole_text, 0).otherwise(n_lines - F.size("_kept"))
-    return joined.withColumns({"n_lines": n_lines.cast("bigint"), "n_removed": n_removed.cast("bigint"), "text": clean}).drop("_id", "_drop", "_kept")
+    counted = joined.withColumns({"_n_lines": n_lines.cast("bigint"), "_n_removed": n_removed.cast("bigint"), "text": clean})
+    return counted.select(*own, F.col("_n_lines").alias(outs[0]), F.col("_n_removed").alias(outs[1]))

@@ -166,13 +166,13 @@ FROM documents d JOIN cleaned c USING (doc_id)""",
     "op5_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS response FROM p)
-SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN n < 1000 OR page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN n >= 1000 AND page_id <> response THEN response END AS refers_to
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN n < 1000 OR page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM response THEN response END AS refers_to
 FROM r""",
     "op11_clustering": cluster_sql(),
     "op12_importance": IMPORTANCE_SQL,
     "op10_exact_dedup": f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS norm FROM documents)
-SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)""",
 }

@@ -1,22 +1,21 @@
-"""Helpers that several operators use: null-safe text, bounded batches, tables."""
+"""Helpers that several operators use: null-safe text, bounded batches, tables, names that cannot clash."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.filters import FILTER_WORDS, bit_table, thinned
 from ..functions.workspace import dropped, fresh_path, shared_dir, ship, written
 
-__all__ = ["ascii_lower", "bit_table", "dropped", "fresh_path", "prepare", "shared_dir", "table", "thinned", "whole", "written"]
+__all__ = ["FILTER_WORDS", "ascii_lower", "bit_table", "dropped", "free", "fresh_path", "hidden", "prepare", "shared_dir", "table", "thinned", "whole", "written"]
 
 #: The only letters that lower-casing touches.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-#: Rows of a bit table, at most: 16 MB at any size of the corpus.
-FILTER_WORDS = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,23 +30,20 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def bit_table(rows: DataFrame, key: str) -> DataFrame:
-    """(word, bits): a filter of the keys, with one of 64 * FILTER_WORDS bits set for each."""
-    place = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
-    return rows.select(F.shiftrightunsigned(place, 6).alias("word"), _bit(place).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-
-
-def thinned(rows: DataFrame, filter_: DataFrame, key: str, there: bool = True) -> DataFrame:
-    """The rows whose key may be in a bit table, or those whose key is not. The table is broadcast: it is bounded."""
-    place = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_WORDS))
-    named = F.broadcast(filter_.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
-    joined = rows.join(named, F.shiftrightunsigned(place, 6) == F.col("_word"), "inner" if there else "left")
-    hit = F.coalesce(F.col("_bits").bitwiseAND(_bit(place)) != 0, F.lit(False))
-    return joined.filter(hit if there else ~hit).drop("_word", "_bits")
+def free(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores after it as it takes to differ from all others."""
+    names = {c.lower() for c in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
 
 
-def _bit(place: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+def hidden(docs: DataFrame, *read: str) -> tuple[DataFrame, list[Column]]:
+    """docs with all columns but the given ones under names that no operator uses, and the columns that bring back the table's own names
+    and order."""
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    inner = {c: c if c in read else f"extra column {k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*(quoted(c).alias(inner[c]) for c in docs.columns)), [quoted(inner[c]).alias(c) for c in docs.columns]
 
 
 def prepare(spark: SparkSession) -> None:

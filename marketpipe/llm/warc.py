@@ -6,8 +6,8 @@ partitions or on retries. Each file is written under a hidden temporary name and
 written last, lists the files with their sizes and digests, and is what readers go by.
 
 Headers and digests are made anew: record ids from the page id, payload and block digests from the bytes. Of equal payloads of
-at least REVISIT_BYTES the one with the largest page_id is a response and the others revisit it (all repeated rows of that
-page_id are responses). Null html is an empty payload, a null url an empty target. An empty table gives an empty archive.
+at least REVISIT_BYTES the one with the largest page_id is a response and the others revisit it, pages without an id too (all repeated
+rows of that page_id are responses; where no page of a payload has an id, all are). Null html is an empty payload, a null url an empty target. An empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .shared import fresh_path, whole, written
 
 RANGE_PAGES, ROLL_BYTES, REVISIT_BYTES = 512, 16 << 20, 1000
-#: Ranges over which pages without an id are dealt.
-NAMELESS = 4096
+#: Ranges over which pages without an id are dealt: by payload, and those of one payload by their targets.
+NAMELESS, NAMELESS_PARTS = 4096, 64
 #: The archive's date is a parameter, as the pages carry none.
 DATE = "2000-01-01T00:00:00Z"
 #: Fixed values of the WARC format.
@@ -69,11 +69,16 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None,
 
 
 def revisits(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, key, refers_to) of the pages whose payload, of SHA-256 key, another page holds as the response."""
+    """(page_id, key, refers_to, part) of the pages whose payload, of SHA-256 key, another page holds as the response. Of pages without an
+    id a row for each payload and part of its ranges; part is null for the others."""
     keys = pages.filter(F.octet_length(whole("html")) >= revisit_bytes).select(F.col("page_id").cast("bigint").alias("page_id"), F.sha2("html", 256).alias("key"))
-    same = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    same = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1 and refers_to is not null").drop("n")
     # written, so that the join has plain shuffles on both sides and a payload of very many pages is split over tasks
-    return keys.join(written(same, "same-payloads"), "key").filter("page_id <> refers_to").select("page_id", "key", "refers_to").distinct()
+    same = written(same, "same-payloads")
+    named = keys.join(same, "key").filter("page_id <> refers_to").select("page_id", "key", "refers_to", F.lit(None).cast("bigint").alias("part")).distinct()
+    nameless = keys.filter("page_id is null").select("key").distinct().join(same, "key")
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(NAMELESS_PARTS - 1).cast("bigint"))).alias("part")
+    return named.unionByName(nameless.select(F.lit(None).cast("bigint").alias("page_id"), "key", "refers_to", parts))
 
 
 def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANGE_PAGES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -96,12 +101,12 @@ def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANG
             row = (name, len(ids), len(data), hashlib.sha256(data).hexdigest(), min((i for i in ids if i is not None), default=None), max((i for i in ids if i is not None), default=None))
             return pd.DataFrame([row], columns=["file", "n_records", "n_bytes", "sha256", "first_id", "last_id"]).astype({"first_id": "Int64", "last_id": "Int64"})
 
-        known: tuple[int | None, dict[str, int]] = None, {}
+        known: tuple[tuple | None, dict[str, int]] = None, {}
         for frame in frames:
             for rng, page_id, url, html, key, refers_to in zip(*(frame[c] for c in ("rng", "page_id", "url", "html", "key", "refers_to"))):
                 page = None if pd.isna(page_id) else int(page_id)
-                if page != known[0]:
-                    known = page, {}
+                if (rng, page) != known[0]:
+                    known = (rng, page), {}
                 if html is None:  # what is known of the page stands before its rows
                     known[1][key] = int(refers_to)
                     continue
@@ -119,8 +124,10 @@ def write(pages: DataFrame, path: str, date: str = DATE, range_pages: int = RANG
 
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), whole("url").alias("url"), whole("html").alias("html"))
     rows = rows.unionByName(revisits(pages), allowMissingColumns=True)
-    # pages without an id are dealt over ranges of their own by their content
-    nameless = -1 - F.pmod(F.xxhash64("html", "url"), F.lit(NAMELESS))
+    # pages without an id are dealt over ranges of their own
+    key = F.coalesce("key", F.when(F.col("page_id").isNull(), F.sha2("html", 256)))
+    part = F.coalesce("part", F.pmod(F.xxhash64("url"), F.lit(NAMELESS_PARTS)))
+    nameless = -1 - (F.pmod(F.xxhash64(key), F.lit(NAMELESS // NAMELESS_PARTS)) * NAMELESS_PARTS + part)
     rng = F.coalesce(F.floor(F.col("page_id") / range_pages), nameless).cast("bigint")
     sorted_ = rows.withColumn("rng", rng).repartitionByRange("rng").sortWithinPartitions("rng", "page_id", F.col("html").asc_nulls_first(), "url")
     sorted_.mapInPandas(work, MANIFEST).write.parquet(f"{path}/manifest")

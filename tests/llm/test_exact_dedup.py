@@ -92,3 +92,23 @@ def test_memtables_flush_sorted_runs(monkeypatch):
     assert [r.column("digest").to_pylist() for r in runs] == [[b"a", b"b"]] * 2
     assert [r.column("n").to_pylist() for r in runs] == [[2, 4], [1, 2]]
     assert runs[0].column("min_id").to_pylist() == [1, 2] and runs[0].column("max_id").to_pylist() == [1, 3]
+
+
+def test_the_index_has_levels_and_skips_runs(docs, monkeypatch):
+    """Rows come in several flushes; what is looked up goes to the runs whose filters let it in."""
+    seen = []
+    lookup = exact_dedup.DigestIndex.lookup
+    monkeypatch.setattr(exact_dedup.DigestIndex, "lookup", lambda self, digests: seen.append(([len(level) for level in self.levels], digests.count())) or lookup(self, digests))
+    rows = [(i, f"text {i if i < 180 else i - 150}") for i in range(200)]
+    table = docs(rows).repartition(12)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_groups(table).collect()}
+    assert got == {i: (i + 150, 2) if 30 <= i < 50 else (i, 2 if i >= 180 else 1) for i in range(200)}
+    assert seen[0][0] == [2, 1] and 20 <= seen[0][1] < 40  # four runs were merged, two are at level 0; few digests are looked up
+
+
+def test_rows_without_an_id(docs):
+    rows = [(None, "a"), (None, "A"), (3, "a"), (None, "b"), (None, "b"), (7, "c")]
+    got = sorted((r["doc_id"] is None, r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(docs(rows)).filter("keep_id is not null").collect())
+    assert got == [(False, 3, 3, True), (False, 7, 1, True), (True, 3, 3, False), (True, 3, 3, False)]
+    rest = exact_dedup.exact_groups(docs(rows)).filter("keep_id is null").collect()
+    assert [(r["doc_id"], r["group_size"], r["kept"]) for r in rest] == [(None, 2, True)] * 2

@@ -68,3 +68,15 @@ def test_near_threshold_sketches_are_counted_exactly(docs):
     rows = [(i, "edge" if i < 300 else "below", "en", f"s{i if i < 300 else i % 299}") for i in range(900)]
     got = line_dedup.apply(docs(rows), 300, 8).filter("n_removed > 0").count()
     assert got == 299
+
+
+def test_columns_with_inner_names_pass(docs):
+    rows = [(i, f"common\nown {i}", "en", f"s{i}") for i in range(4)]
+    names = ["_id", "_drop", "_kept", "_lines", "_row", "_word", "n_lines", "N_REMOVED", "a`b", "word", "site"]
+    table = docs(rows)
+    for k, name in enumerate(names):
+        table = table.withColumn(name, line_dedup.F.lit(k))
+    got = line_dedup.apply(table, 2)
+    assert got.columns == [*table.columns, "n_lines_", "n_removed_"]
+    for r in got.collect():
+        assert [r[n] for n in names] == list(range(len(names))) and r["n_lines_"] == 2 and r["n_removed_"] == (r["doc_id"] > 0)

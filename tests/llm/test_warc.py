@@ -1,6 +1,9 @@
 import hashlib
 
+import pytest
+
 from marketpipe.llm import warc
+from marketpipe.llm.queries import ORACLE
 from marketpipe.llm.shared import fresh_path, prepare
 
 
@@ -45,6 +48,20 @@ def test_very_long_payloads_and_many_pages_without_id(spark):
     assert sorted(r["payload_digest"] for r in got if r["page_id"] is None) == sorted(hashlib.sha1(f"text {i % 20}".encode()).hexdigest() for i in range(200))
 
 
+def test_pages_without_an_id_revisit_too(spark):
+    prepare(spark)
+    one, two, short = "x" * 1000, "y" * 2000, "z" * 999
+    data = [(5, "u", one, ""), (3, "v", one, ""), (5, "w", short, "")] + [(None, f"n{i}", one, "") for i in range(150)] + [(None, f"m{i}", two, "") for i in range(3)] + [(None, "s", short, ""), (None, None, None, None)]
+    got = [(r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.archive(rows(spark, data)).collect()]
+    want = [(5, 1000, "response", None), (3, 1000, "revisit", 5), (5, 999, "response", None)] + [(None, 1000, "revisit", 5)] * 150 + [(None, 2000, "response", None)] * 3 + [(None, 999, "response", None), (None, 0, "response", None)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR, extra VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?, ?)", data)
+    assert sorted(((r[0], r[1], r[3], r[4]) for r in con.execute(ORACLE["op5_warc"]).fetchall()), key=repr) == sorted(want, key=repr)
+
+
 def test_empty(spark):
     prepare(spark)
     assert warc.archive(rows(spark, [])).count() == 0
