@@ -153,7 +153,8 @@ def exact_groups(docs: DataFrame, keep: str = "max") -> DataFrame:
     index = DigestIndex(docs.sparkSession)
     for k in range(FLUSHES):
         index.flush(keys.filter(F.col("part") == k))
-    hits = index.run(index.lookup(index.candidates()).filter("n > 1"))
+    keys = keys.drop("part")
+    hits = index.run(index.lookup(written(index.candidates(), "candidates")).filter("n > 1"))
     index.drop()
 
     ends = thinned(base, hits.filter, "digest").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
