@@ -75,6 +75,7 @@ def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Run:
     entries: DataFrame
     filter: DataFrame
+    merged: bool  # one entry per digest; a flushed run has one per digest and memtable
 
 
 class DigestIndex:
@@ -83,13 +84,13 @@ class DigestIndex:
     def __init__(self, spark: SparkSession):
         self.spark, self.levels = spark, [[]]
 
-    def run(self, entries: DataFrame) -> Run:
+    def run(self, entries: DataFrame, merged: bool = True) -> Run:
         entries = written(entries, "digest-run", **{"parquet.enable.dictionary": "false"})
-        return Run(entries, written(bit_table(entries, "digest"), "digest-filter"))
+        return Run(entries, written(bit_table(entries, "digest"), "digest-filter"), merged)
 
     def flush(self, keys: DataFrame) -> None:
         """Adds a run for the rows (digest, doc_id); merges levels that are full."""
-        self.levels[0].append(self.run(keys.select("digest", F.col("doc_id").cast("bigint").alias("doc_id")).mapInArrow(flush, RUN)))
+        self.levels[0].append(self.run(keys.select("digest", F.col("doc_id").cast("bigint").alias("doc_id")).mapInArrow(flush, RUN), merged=False))
         level = 0
         while len(self.levels[level]) >= FANOUT:
             self.merge(level)
@@ -115,7 +116,8 @@ class DigestIndex:
         runs = [r for level in self.levels for r in level]
         found = self.spark.createDataFrame([], "digest binary")
         for k, run in enumerate(runs):
-            found = found.unionByName(run.entries.filter("n > 1").select("digest"))
+            once = run.entries if run.merged else run.entries.groupBy("digest").agg(F.sum("n").alias("n"))
+            found = found.unionByName(once.filter("n > 1").select("digest"))
             if k + 1 < len(runs):  # the last one is of the deepest level
                 for other in runs[:k] + runs[k + 1 :]:
                     found = found.unionByName(thinned(run.entries.select("digest"), other.filter, "digest"))
