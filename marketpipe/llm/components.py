@@ -21,10 +21,12 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    """Links each node's smaller neighbours, and itself, to the smallest of them. Edges have a < b."""
-    lows = edges.groupBy("b").agg(F.min("a").alias("low"))
+    """Links each node's smaller neighbours, and itself, to the smallest of them, written first as above. Edges have a < b."""
+    lows = written(edges.groupBy("b").agg(F.min("a").alias("low")), "small-star")
     near = edges.join(lows, "b").select(F.col("low").alias("a"), F.col("a").alias("b")).filter("a <> b")
-    return written(near.unionByName(lows.select(F.col("low").alias("a"), "b")).distinct(), "edges")
+    out = written(near.unionByName(lows.select(F.col("low").alias("a"), "b")).distinct(), "edges")
+    dropped(lows)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,27 +1,32 @@
 """Language identification by character language models with interpolated Kneser-Ney smoothing.
 
 Symbols are lower-case code points: letters and marks stand for themselves, every run of other characters is one boundary. Per
-language a model of four symbols is counted on a sample of labelled documents, whole texts: on the executors, by sequence; only the
-counts reach the driver. Each order of a model is a sorted array of sequence keys (exact up to three symbols, hashed at four) with
+language a model of four symbols is counted on a sample of labelled documents, whole texts, and built from the counts on the executors;
+only finished models reach the driver. Each order of a model is a sorted array of sequence keys (exact up to three symbols, hashed at four) with
 log probabilities, and one of contexts with back-off weights; below the single symbols lies an even distribution over all code
-points. A model takes at most 12 bytes for each sequence and context of its sample, that is 96 bytes for each sampled character.
+points.
+
+All models together take at most MODEL_BYTES, however many languages there are: each has an equal share, and one with more distinct
+sequences of four than fit it keeps those seen most often (ties by the symbols), before anything else is derived from them.
 
 The language with the lowest cross-entropy per symbol wins. A text is rejected when that lies above what a fifth of the sample, kept
 out of the counts, shows for the language, plus a margin that is wider for short texts.
 
 The sample of a language are its documents with the smallest hashes of their ids, at most SAMPLE_DOCS rows, up to the one that
-completes SAMPLE_CHARS characters. Null texts and texts without a letter are `und` with score 0, and rejected. Ties go to the first
+completes SAMPLE_CHARS characters; it is chosen by lengths and hashes, before any text is fetched. Null texts and texts without a letter are `und` with score 0, and rejected. Ties go to the first
 language in order. Repeated rows get equal answers; an empty table gives none. Without any labelled document every text is `und`.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from unicodedata import category
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +36,8 @@ from .shared import written
 #: Labelled rows per language that are learned from, and their characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 500, 4_000_000
 ORDER = 4
+#: Bytes of all models, and what a distinct sequence of four takes at most: 12 bytes in each of four orders of sequences and contexts.
+MODEL_BYTES, GRAM_BYTES = 128 << 20, 96
 #: Bits of a code point, and how many there are for the even distribution.
 BITS, POINTS = np.uint64(21), 0x110000
 #: Nats per symbol above the highest cross-entropy seen in the kept-out part; texts of n symbols get SLACK / sqrt(n) on top, as a few
@@ -175,12 +182,17 @@ def sample(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
     few = thin.withColumn("nth", first).filter(F.col("nth") <= most).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     # at most SAMPLE_DOCS ids for each language: small by its definition
-    rows = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(few), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("doc_id", "lang", "text", key.alias("h"))
-    each = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
-    rows = rows.withColumns({"nth": F.row_number().over(each), "chars": F.sum(F.char_length("text")).over(each.rowsBetween(Window.unboundedPreceding, -1))})
-    rows = rows.filter((F.col("nth") <= most) & (F.coalesce("chars", F.lit(0)) < chars))
-    return rows.select("text", "lang", "nth", F.count(F.lit(1)).over(Window.partitionBy("lang")).alias("many"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "lang", text.alias("text"), F.xxhash64(text).alias("t")).join(F.broadcast(few), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+    sizes = rows.groupBy("doc_id", "lang", "t").agg(F.max(F.char_length("text")).alias("size"), F.min(key).alias("h"), F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(most)))))  # repeated rows count
+    each = Window.partitionBy("lang").orderBy("h", "doc_id", "t", "copy")
+    sizes = sizes.withColumns({"nth": F.row_number().over(each), "chars": F.sum("size").over(each.rowsBetween(Window.unboundedPreceding, -1))})
+    sizes = sizes.filter((F.col("nth") <= most) & (F.coalesce("chars", F.lit(0)) < chars))
+    chosen = sizes.select("doc_id", "lang", "t", "nth", F.count(F.lit(1)).over(Window.partitionBy("lang")).alias("many"))
+    texts = rows.select("doc_id", "lang", "t", "text").join(F.broadcast(chosen.select("doc_id", "lang", "t").distinct()), ["doc_id", "lang", "t"], "left_semi")
+    texts = texts.groupBy("doc_id", "lang", "t").agg(F.min("text").alias("text"))
+    return texts.join(F.broadcast(chosen), ["doc_id", "lang", "t"]).select("text", "lang", "nth", "many")
 
 
 GRAMS = "lang string, first bigint, rest bigint, n bigint"
@@ -200,15 +212,34 @@ def grams(rows: DataFrame) -> DataFrame:
     return rows.select("text", "lang").mapInArrow(work, GRAMS).groupBy("lang", "first", "rest").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Model | None:
+def largest(counts: DataFrame, model_bytes: int = MODEL_BYTES) -> DataFrame:
+    """GRAMS of the sequences that each language keeps: the most frequent ones that fit its share of model_bytes, one at least."""
+    languages = F.broadcast(counts.agg(F.count_distinct("lang").alias("langs")))  # one row
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "first", "rest"))
+    ranked = counts.withColumn("nth", nth).crossJoin(languages)
+    return ranked.filter(F.col("nth") <= F.greatest(F.lit(1), F.floor(F.lit(model_bytes / GRAM_BYTES) / F.col("langs")))).drop("nth", "langs")
+
+
+def build(counts: DataFrame) -> dict[str, Language]:
+    """Each language's model, made from its counts (GRAMS) in a task of its own: at most SAMPLE_CHARS of them, and as many as fit the model."""
+
+    def work(key: tuple[str], g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["first", "rest"])
+        made = language(g["first"].to_numpy().astype(U), g["rest"].to_numpy().astype(U), g["n"].to_numpy())
+        return pd.DataFrame({"lang": [key[0]], "model": [pickle.dumps(made)]})
+
+    # MODEL_BYTES at most
+    return {r["lang"]: pickle.loads(r["model"]) for r in counts.groupBy("lang").applyInPandas(work, "lang string, model binary").toLocalIterator()}
+
+
+def fit(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, model_bytes: int = MODEL_BYTES) -> Model | None:
     """The models, from documents whose crc32(doc_id as text) mod 5 is not 0; None where none of their samples has a character."""
     rows = written(sample(docs, most, chars), "language-sample")
-    counts = grams(rows.filter("nth % 5 <> 0 or many < 5")).toPandas().sort_values(["lang", "first", "rest"])
-    by = {lang: g for lang, g in counts.groupby("lang")}
+    by = build(written(largest(grams(rows.filter("nth % 5 <> 0 or many < 5")), model_bytes), "language-counts"))
     names = sorted(by)
     if not names:
         return None
-    models = [language(g["first"].to_numpy().astype(U), g["rest"].to_numpy().astype(U), g["n"].to_numpy()) for g in map(by.get, names)]
+    models = [by[name] for name in names]
     model = Model(names, models, np.full(len(names), np.inf))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

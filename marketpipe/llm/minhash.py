@@ -16,7 +16,8 @@ unless it is five standard deviations off.
 
 Words are [^ \\t-\\r]+ after lower-casing A-Z; a shingle is five words, or all words of a shorter text. Null, empty and blank texts
 have no shingles and link with nothing. Repeated rows are equal sets; a doc_id with several texts is one document that has the links
-of each. An empty table gives none. Only doc_id and text are read.
+of each. Links go by ids: a document without one is a row with its shingles, in the component of the documents with an equal set, if any
+has an id, else in none; it is not kept. An empty table gives none. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -333,11 +334,12 @@ def mixed_links(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
     sizes = nodes.groupBy("id").agg(F.min("n").alias("least"))  # of an id with several texts the smallest, as a bound
     shingles = written(shingle_rows(members.select("id", "c").distinct(), texts), "mixed-shingles")
     for _ in range(ROUNDS):
-        shared = shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s")
+        # written, so that the join has plain shuffles on both sides and a shingle that very many members have is split over tasks
+        shared = written(shingles.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("s"), "shared-shingles")
         kept = shingles.join(shared, "s", "left_semi")
         able = kept.groupBy("id").agg(F.count(F.lit(1)).alias("x")).join(sizes, "id").filter(F.col("x") * 100 >= F.col("least") * percent)
         fewer = written(kept.join(able.select("id"), "id", "left_semi"), "mixed-shingles")
-        dropped(shingles)
+        dropped(shingles), dropped(shared)
         shingles = fewer
     sets = shingles.groupBy("id", "n", "t").agg(F.collect_list("s").alias("s"))
     members = written(members.drop("c").join(sets, "id").join(shingles.select("id", "c").distinct(), "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
@@ -403,4 +405,4 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = ids.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
     component = F.coalesce("label", "doc_id")
     rows = keys.join(named, "digest", "left")
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -155,3 +155,10 @@ def test_components_of_long_paths_and_stars(spark):
     random.Random(2).shuffle(edges)
     got = dict(components(spark.createDataFrame([(b, a) for a, b in edges], "a bigint, b bigint")).collect())
     assert got == {i: 0 for i in range(41)} | {k: 100 for k in [*range(100, 140), 200]}
+
+
+def test_documents_without_an_id(docs):
+    same = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, same), (4, same), (2, same + " x"), (None, "quite another text with words of its own"), (None, None)]
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["component_id"], r["kept"]) for r in minhash.near_groups(docs(rows)).collect()), key=repr)
+    assert got == sorted([(False, 2, 2, True), (False, 4, 2, False), (True, 0, 2, False), (True, 0, None, False), (True, 0, None, False)], key=repr)

@@ -203,3 +203,22 @@ def test_held_out_is_the_crc(spark):
     ids = spark.range(50).select(F.col("id").alias("doc_id"))
     got = ids.select("doc_id", langid.held_out().alias("out")).collect()
     assert all(r["out"] == held(r["doc_id"]) for r in got)
+
+
+def test_three_hundred_languages_under_a_bound(docs):
+    """However many languages there are, the models stay within the stated bytes; what is kept are the most frequent sequences."""
+    rows = [(i, " ".join(chr(0x4E00 + 7 * (i % 300) + rng.randrange(5)) + chr(0x4E00 + 7 * (i % 300) + rng.randrange(5)) for _ in range(40)), f"l{i % 300:03d}", "s") for i in range(1800)]
+    table = docs(rows)
+    counts = lambda m: sum(v.nbytes + k.nbytes for lang in m.languages for k, v in (*lang.grams, *lang.backs))
+    whole, small = langid.fit(table), langid.fit(table, model_bytes=600_000)
+    assert len(whole.names) == len(small.names) == 300 and counts(small) <= 600_000 < counts(whole)
+    for m, least in ((whole, 0.95), (small, 0.6)):  # twenty sequences for each language in the small one
+        got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(table, m).collect()}
+        assert np.mean([got[i] == lang for i, _, lang, _ in rows if held(i)]) > least
+
+
+def test_sample_is_chosen_before_texts_are_fetched(docs):
+    rows = [(i % 40, f"text {i % 45}", "aa", "s") for i in range(200)] + [(100 + i, "b" * 1000, "bb", "s") for i in range(30)]
+    got = langid.sample(docs(rows), 10, 5000).collect()
+    assert sorted(r["nth"] for r in got if r["lang"] == "aa") == list(range(1, 11)) and {r["many"] for r in got if r["lang"] == "aa"} == {10}
+    assert sum(len(r["text"]) for r in got if r["lang"] == "bb") == 5000

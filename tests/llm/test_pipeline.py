@@ -3,6 +3,8 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from marketpipe.llm import langid, line_dedup, minhash, quality
 from marketpipe.llm.shared import prepare, written
@@ -102,3 +104,18 @@ def test_held_out_rows_are_never_learned_from(docs):
     other = [(i, t, "bb" if zlib.crc32(str(i).encode()) % 5 == 0 else lang, s) for i, t, lang, s in rows]
     one, two = (sorted(map(tuple, langid.predict(docs(rows), langid.fit(docs(x))).collect())) for x in (rows, other))
     assert one == two
+
+
+def test_stages_with_clashing_columns(spark, docs):
+    """Names that the operators use inside, a map column, and rows without an id."""
+    rows = [(i, f"common line\none two three four five six seven {i // 2}", "en", f"s{i}") for i in range(24)] + [(None, "a row without an id", "en", "a"), (2, "common line\none two three four five six seven 1", "en", "s2")]
+    table = docs(rows)
+    names = ["_id", "_kept", "_nth", "_drop", "n_lines", "n_removed", "kept", "n", "label"]
+    for k, name in enumerate(names):
+        table = table.withColumn(name, F.lit(k))
+    table = table.withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    out = corpus_pipeline.lines(spark, table, SF)
+    assert out.columns == table.columns and all([r[n] for n in names] == list(range(len(names))) for r in out.collect())
+    assert {r["doc_id"] for r in out.filter("text like 'common%'").collect()} == {0, None} - {None} and out.filter("doc_id is null").count() == 1
+    kept = corpus_pipeline.near(spark, table, SF)
+    assert kept.columns == table.columns and sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == [-1, *range(0, 24, 2)]
