@@ -6,6 +6,10 @@ upward and from the root downward (sum-product), for all pages of a batch at onc
 whose content marginal is above one half is kept. The weights are trained by gradient ascent on the likelihood of labelled pages,
 whose expectations come from the same message passing; the labelled pages are laid out by rule in labelled_pages().
 
+An article's own header, its headline and byline, and its details, open or not, belong to it; hidden elements do not, wherever they stand,
+nor do notes that are as short as notices under a notice's name. A form that holds the whole page is only its wrapper. A menu that is a bare list of links
+in a cell of a layout table may be taken for content.
+
 Null and empty html, and pages without content, give an empty text. Broken markup is read as far as it goes; no page is dropped
 and no text is capped. Repeated rows give equal texts. An empty table gives none. Only page_id, url and html are read.
 """
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 KINDS = [
     "article", "main", "section", "div center", "p", "h1", "h2 h3 h4 h5 h6", "ul ol dl menu", "li dt dd", "a", "nav", "header", "footer", "aside", "form fieldset input button select option textarea label",
     "script style noscript template iframe svg object canvas", "table tbody thead tr td th caption", "figure figcaption picture img video audio", "blockquote pre", "b i em strong span u small sup sub code q cite mark abbr time font s del ins kbd var br wbr",
-    "body", "html", "head", "title meta link base", "dialog details summary",
+    "body", "html", "head", "title meta link base", "dialog", "details summary",
 ]
 KIND = {tag: k for k, tags in enumerate(KINDS) for tag in tags.split()}
 #: Groups of words in class, id and role. The last four groups stand on parts of articles as well as on clutter.
@@ -56,10 +60,12 @@ INLINE = set(KINDS[19].split() + ["a", "label", "img"])
 #: Open elements that a start tag ends, and where the search for them stops.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("html body table ul ol dl td th article section div main aside nav header footer form blockquote select".split())
-FEATURES = len(KINDS) + 1 + len(WORDS) + 14
+FEATURES = len(KINDS) + 1 + len(WORDS) + 17
 EDGES = len(KINDS) + 1
 #: The kinds of lists and their items, of elements that name a page's main part, and of those whose text no reader sees.
 LISTS, NAMED, UNSEEN = [KIND["ul"], KIND["li"]], [KIND["article"], KIND["main"], KIND["h1"]], [KIND["script"], KIND["meta"], KIND["head"]]
+#: Full stops and commas from which a part is longer than clutter mostly is.
+LONG_STOPS = 6
 SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -200,6 +206,11 @@ def forest(doms: list[Dom]) -> Forest:
     either = x[:, len(KINDS) + 1 + CLUTTER.stop : base].any(1) & inside
     x[:, base + 12] = either
     x[:, base + 13] = either * share
+    # a word of clutter on a part of an article that is as long as clutter seldom is, or that has a heading; and on what holds most of a page
+    lone = x[:, len(KINDS) + 1 + CLUTTER.start : len(KINDS) + 1 + CLUTTER.stop].any(1)
+    x[:, base + 14] = lone * inside * (stops >= LONG_STOPS) * (1 - share)
+    x[:, base + 15] = (lone | (kind == KIND["form"])) * (x[:, base + 8] > 0.6)
+    x[:, base + 16] = np.isin(kind, [KIND["details"], KIND["header"]]) * inside
     # beside the page's article or main part, if it has one
     x[:, base + 11] = (np.repeat(around[starts], sizes) > 0) & (around == 0) & ~inside
     x[:, base + 2] = np.log1p(length) / 8
@@ -253,9 +264,9 @@ def labels_of(f: Forest) -> np.ndarray:
 
 
 @lru_cache
-def train(pages: int = 240, steps: int = 160, seed: int = 11) -> Model:
-    """Weights of highest penalised likelihood on labelled pages (adaptive gradient ascent)."""
-    f = forest([Dom(h) for h in labelled_pages(pages, seed)])
+def train(pages: int = 300, steps: int = 300, seed: int = 11) -> Model:
+    """Weights of highest penalised likelihood on labelled pages, and half as many odd ones (adaptive gradient ascent)."""
+    f = forest([Dom(h) for h in labelled_pages(pages, seed) + labelled_pages(pages // 2, seed + 1, True)])
     f.x = f.x.astype(float)
     y = labels_of(f)
     child = f.depth > 0
@@ -313,8 +324,9 @@ def extract(pages: DataFrame, model: Model | None = None, batch_pages: int = 100
     return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html").mapInArrow(work, TEXT)
 
 
-def labelled_pages(n: int, seed: int) -> list[str]:
-    """Pages of varied layout whose data-label attributes mark content and what is not content within it."""
+def labelled_pages(n: int, seed: int, odd: bool = False) -> list[str]:
+    """Pages of varied layout whose data-label attributes mark content and what is not content within it. odd: also with parts and boxes
+    that have any word of clutter, details, hidden parts, headlines in headers, layouts by tables, and forms around a whole page."""
     rng = np.random.default_rng(seed)
     pick = lambda *options: options[rng.integers(len(options))]
     chance = lambda p: rng.random() < p
@@ -337,7 +349,17 @@ def labelled_pages(n: int, seed: int) -> list[str]:
         marked = "".join(f"<{(t := pick('div', 'li', 'article'))} class='{pick('comment', 'comment reply')}'><p>{sentences(1, 3)}</p></{t}>" for _ in range(rng.integers(1, 4)))
         return pick(f"<section class='comments'><h3>{words(1, 2)}</h3>{body}</section>", f"<div id='comments'><h2>{words(1, 3)}</h2>{body}</div>", f"<ol class='commentlist'>{body}</ol>", f"<div class='reader-comments'>{body}</div>", f"<section id='{pick('discussion', 'responses', 'replies', 'feedback')}'>{marked}</section>")
 
+    def box() -> str:
+        """A short box with any word of clutter."""
+        word = pick(*(w for k in CLUTTER for w in WORDS[k].split()))
+        return f"<{(t := pick('div', 'div', 'section'))} {pick('class', 'class', 'id')}='{word}'>{pick('', f'<h3>{words(1, 4)}</h3>')}{pick(f'<p>{sentences(1, 2)}</p>', f'<p>{sentences(1, 1)}</p>', sentences(1, 1))}</{t}>"
+
+    def unseen() -> str:
+        return pick(f"<p hidden>{sentences(1, 3)}</p>", f"<p style='display:none'>{sentences(1, 3)}</p>", f"<div hidden><p>{sentences(1, 4)}</p></div>", f"<span aria-hidden='true'>{words(1, 6)}</span>", f"<section hidden id=x><h2>{words(1, 3)}</h2><p>{sentences(2, 5)}</p></section>")
+
     def other() -> str:
+        if odd and chance(0.25):
+            return (unseen() if chance(0.2) else box()).replace(">", " data-label='other'>", 1)
         return pick(
             lambda: f"<div class='{pick('ad', 'ads', 'advert', 'advertisement', 'ad-slot', 'sponsored', 'promo')}'>{pick(sentences(1, 3), f'<p>{sentences(1, 2)}</p>', f'<a href=x>{words(2, 6)}</a>')}</div>",
             lambda: f"<aside{pick('', ' class=sidebar', ' class=related')}><h3>{words(1, 3)}</h3>{pick(f'<ul>{links(4)}</ul>', f'<p>{sentences(1, 4)}</p>')}</aside>",
@@ -362,9 +384,12 @@ def labelled_pages(n: int, seed: int) -> list[str]:
     def outside() -> str:
         """What stands beside an article, not in it."""
         box = f"<div class='{pick('related', 'popular', 'more', 'trending', 'related-posts', 'feedback', 'author')}' data-label='other'>{pick(f'<h3>{words(1, 3)}</h3>', '')}<p>{sentences(1, 4)}</p></div>"
-        return box if chance(0.15) else other()
+        long = f"<{(t := pick('div', 'section', 'aside'))} class='{pick('sidebar', 'widget', 'promo', 'newsletter', 'site-notice', 'discussion', 'sidebar-box')}' data-label='other'>{pick(f'<h3>{words(1, 3)}</h3>', '')}{''.join(f'<p>{sentences(2, 6)}</p>' for _ in range(rng.integers(1, 5)))}</{t}>"
+        return box if chance(0.15) else long if odd and chance(0.2) else other()
 
     def content() -> str:
+        if odd and chance(0.1):
+            return pick(chapter, lambda: f"<details{pick('', ' open', ' class=faq', ' class=note')}><summary>{words(1, 6)}</summary>{pick(f'<p>{inline()}</p>', inline())}</details>")()
         return pick(
             lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}</p>", lambda: f"<p>{inline()}", lambda: f"<p>{words(1, 3)}.</p>", lambda: f"<p>{words(2, 6)}.</p>", lambda: f"<h2>{words(1, 6)}</h2>", lambda: f"<h3>{words(1, 6)}</h3>",
             lambda: "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(rng.integers(2, 5))) + "</ul>", lambda: "<ol>" + "".join(f"<li>{words(1, 6)}</li>" for _ in range(rng.integers(2, 5))) + "</ol>",
@@ -375,6 +400,12 @@ def labelled_pages(n: int, seed: int) -> list[str]:
             lambda: f"<p class='{pick('notice', 'alert', 'note', 'related', 'more', 'feedback', 'author', 'meta')}'>{inline()}</p>",
         )()
 
+    def chapter() -> str:
+        """A long part of an article, with a heading, whose name holds a word of clutter."""
+        word, second = (pick(*(w for k in CLUTTER for w in WORDS[k].split())) for _ in range(2))
+        name = pick(word, f"{word}-{words(1, 1)}", f"{words(1, 1)}-{word}", f"{word}-{second}")
+        return f"<{(t := pick('section', 'section', 'div'))} {pick('id', 'id', 'class')}='{name}'><{(h := pick('h2', 'h3'))}>{words(1, 4)}</{h}>{''.join(f'<p>{sentences(3, 7)}</p>' for _ in range(rng.integers(2, 5)))}</{t}>"
+
     def part(tag: str) -> str:
         """A part of an article with a word in its class or id that clutter has too."""
         word = pick("related", "more", "popular", "notice", "alert", "warning", "disclaimer", "announcement", "discussion", "feedback", "reviews", "responses", "replies", "author", "tools", "print", "meta", "tags")
@@ -389,13 +420,24 @@ def labelled_pages(n: int, seed: int) -> list[str]:
         for _ in range(rng.integers(0, 4)):
             body.insert(int(rng.integers(len(body) + 1)), other())
         tag, attr = pick(("article", ""), ("article", ""), ("article", ""), ("article", " class=post"), ("main", ""), ("div", " class=content"), ("div", " id=main-content"), ("div", " class='post entry'"), ("section", " class=article"), ("div", " class=story"), ("div", ""), ("div", ""), ("body", ""))
-        inner = f"<{tag}{attr} data-label=content>{pick(f'<h1>{words(1, 9)}</h1>', f'<h1>{words(1, 9)}</h1>', '')}{''.join(body)}</{tag}>"
+        head = f"<h1>{words(1, 9)}</h1>"
+        if odd and tag == "article" and chance(0.3):
+            head = f"<header{pick('', ' class=entry-header')}><h1>{words(1, 9)}</h1>{pick('', f'<p>{words(2, 6)}</p>')}</header>"
+        inner = f"<{tag}{attr} data-label=content>{pick(head, head, '')}{''.join(body)}</{tag}>"
         for _ in range(0 if tag == "body" else pick(0, 0, 1, 1, 2, 2, 3, 4, 5, 7)):
             inner = pick(f"<main>{inner}</main>", f"<div class=container>{inner}</div>", f"<div id=page>{other() if chance(0.3) else ''}{inner}</div>", f"<div>{inner}{other() if chance(0.3) else ''}</div>", f"<div>{inner}</div>", f"<section>{inner}</section>")
+        if odd and tag != "body" and chance(0.1):
+            inner = f"<div id={pick('header-wrapper', 'sidebar-layout', 'share-page', 'modal-root', 'widget-container')}>{inner}</div>"
+        table = odd and tag != "body" and chance(0.25)
+        if table:  # a layout by tables, without a menu of its own tag
+            bar = pick("", " | ", " ").join(f"<a href={i}.html>{words(1, 2)}</a>" for i in range(rng.integers(2, 7)))
+            inner = pick(f"<table><tr><td data-label=other>{bar}</td><td>{inner}</td></tr></table>", f"<table><tr><td colspan=2 data-label=other>{bar}</td></tr><tr><td>{inner}</td></tr></table>", f"<center data-label=other>{bar}</center><table><tr><td>{inner}</td></tr></table>")
         top = pick(f"<header><a href=/>{words(1, 2)}</a><h1>{words(1, 3)}</h1></header>", f"<header class=site-header><p>{words(1, 5)}</p><nav><ul>{links(4)}</ul></nav></header>", f"<div id=header><h1>{words(1, 3)}</h1></div>", f"<nav><ul>{links(6)}</ul></nav>", "")
         end = pick(f"<footer>&copy; {words(1, 3)} &middot; {sentences(1, 1)}</footer>", f"<footer><p>{sentences(1, 2)}</p><ul>{links(3)}</ul></footer>", f"<div class=footer><p>{sentences(1, 1)}</p></div>", "")
         top, end = (x.replace(">", " data-label=other>", 1) for x in (top, end))
         before, after = ("".join(outside() if tag in ("article", "main") else other() for _ in range(rng.integers(0, 4))) for _ in range(2))
+        if odd and tag != "body" and chance(0.12):  # all of a page in one form
+            top, before, inner, after, end = f"<form id={pick('aspnetForm', 'form1', 'mainform')} method=post action=x><input type=hidden name=v>{top}", before, inner, after, f"{end}{pick('', f'<button data-label=other>{words(1, 1)}</button>')}</form>"
         page = inner.replace("<body data-label=content>", f"<body data-label=content>{top}{before}").replace("</body>", f"{after}{end}") if tag == "body" else f"<body>{top}{before}{inner}{after}{end}"
         out.append(f"<!DOCTYPE html><html><head data-label=other><meta charset=utf-8><title>{words(1, 6)}</title><style>p {{ margin: 0 }}</style><script>var t = '</p>';</script></head>{page}{pick('</body></html>', '</body></html>', '')}")
     return out

@@ -76,6 +76,36 @@ def test_layouts_that_training_has_not(model, name):
     assert html_text.texts([html], model)[0].split("\n\n") == want
 
 
+LONG = f"{S} {S} {S}"
+
+
+def around(part):
+    return f"<body><nav><a href=a>Home</a></nav><article><h1>Title here</h1><p>{LONG}</p>{part}<p>{LONG}</p></article><footer>c</footer></body>"
+
+
+#: Pages that training has not: what stands in them, and the blocks of their main text.
+KEPT = {
+    **{name: (around(f"<section id={name}><h2>Part</h2><p>{LONG}</p><p>{LONG}</p></section>"), ["Title here", LONG, "Part", LONG, LONG, LONG]) for name in ("cookies", "follow-up", "social-policy", "share-prices", "legal-form", "subscribe-model", "search-methods", "footer-notes")},
+    "details": (around(f"<details><summary>More on it</summary><p>{LONG}</p></details>"), ["Title here", LONG, "More on it", LONG, LONG]),
+    "details of a class": (around(f"<details class=note><summary>More on it</summary><p>{S}</p></details>"), ["Title here", LONG, "More on it", S, LONG]),
+    "form around all": (f"<body><form id=aspnetForm method=post><input type=hidden name=v value=1><div class=menu><ul><li><a href=a>Home</a></li><li><a href=b>B</a></li></ul></div><div id=content><h1>Title here</h1><p>{LONG}</p><p>{LONG}</p></div><div class=footer>c</div></form></body>", ["Title here", LONG, LONG]),
+    "form alone": (f"<body><form id=aspnetForm><h1>Title here</h1><p>{LONG}</p></form></body>", ["Title here", LONG]),
+    "header wrapper": (f"<body><div id=header-wrapper><article><h1>Title here</h1><p>{LONG}</p></article></div></body>", ["Title here", LONG]),
+    "headline": (f"<body><header><a href=/>Site</a></header><article><header><h1>Title here</h1><p>By A. Name</p></header><p>{LONG}</p><p>{LONG}</p></article></body>", ["Title here", "By A. Name", LONG, LONG]),
+    "hidden": (around("<p hidden>Not seen by anyone here.</p>"), ["Title here", LONG, LONG]),
+    "hidden by style": (around(f"<div style='display:none'><p>{LONG}</p></div>"), ["Title here", LONG, LONG]),
+    "links above": (f"<body><center><a href=a>Home</a> | <a href=b>News</a></center><h1>Title here</h1><p>{LONG}</p></body>", ["Title here", LONG]),
+    "newsletter in an article": (around("<form class=newsletter><label>Mail</label><input><button>Go</button><p>Sign up now.</p></form>"), ["Title here", LONG, LONG]),
+    "long sidebar": (f"<body><article><h1>Title here</h1><p>{LONG}</p></article><div class=sidebar><h3>Also</h3><p>{LONG}</p><p>{LONG}</p></div></body>", ["Title here", LONG]),
+}
+
+
+@pytest.mark.parametrize("name", KEPT)
+def test_parts_that_look_like_clutter_and_wrappers(model, name):
+    html, want = KEPT[name]
+    assert html_text.texts([html], model)[0].split("\n\n") == want
+
+
 BOX = "Words of clutter stand here, not of the article."
 CLUTTER = {
     "related list": f"<section class=related><h3>{BOX}</h3><ul><li><a href=x>{BOX}</a></li></ul></section>",
