@@ -42,8 +42,10 @@ HASHES = 120
 PERCENT = 85
 #: Chance with which no band shows a pair at the threshold, at most.
 MISS = 1e-6
-#: Members of one block, of a star that is confirmed or of a mixed bucket that is finished.
+#: Members of one block of a star that is confirmed.
 BLOCK = 64
+#: Members of one block of a mixed bucket that is finished, and their shingles, about.
+MIXED, MIXED_SHINGLES = 512, 1 << 20
 #: How often nodes that cannot have a link across components are left out; any number gives the same links.
 ROUNDS = 3
 #: Bytes of text that are hashed together. A word of PIECE - 1 bytes or more has a digest of its own as its hash, wherever it stands.
@@ -344,7 +346,8 @@ def mixed_links(buckets: DataFrame, nodes: DataFrame, labels: DataFrame, texts:
     sets = shingles.groupBy("id", "n", "t").agg(F.collect_list("s").alias("s"))
     members = written(members.drop("c").join(sets, "id").join(shingles.select("id", "c").distinct(), "id"), "mixed-members", **{"parquet.enable.dictionary": "false"})
     dropped(shingles)
-    counts = members.groupBy("band", "h").agg(F.ceil(F.count_if("out") / BLOCK).cast("int").alias("outs"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("alls"))
+    blocks_of = lambda rows: F.ceil(F.greatest(F.count(F.when(rows, 1)) / MIXED, F.coalesce(F.sum(F.when(rows, F.size("s"))), F.lit(0)) / MIXED_SHINGLES)).cast("int")
+    counts = members.groupBy("band", "h").agg(blocks_of(F.col("out")).alias("outs"), blocks_of(F.lit(True)).alias("alls"))
     sized = members.join(written(counts.filter("outs > 0"), "mixed-counts"), ["band", "h"])
     spread, fields = F.xxhash64("id", "band"), ("out", "id", "c", "n", "s")
     left = sized.filter("out").select("band", "h", F.pmod(spread, "outs").alias("i"), F.explode(F.expr("sequence(0L, alls - 1L)")).alias("j"), F.lit(True).alias("left"), *fields)
