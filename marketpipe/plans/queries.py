@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..functions.workspace import fresh_path
+from ..functions.workspace import fresh_path, written
 from ..operators import calendar as cal
 from ..operators import filings as fil
 from ..operators import fundamentals as fun
@@ -679,11 +679,12 @@ CASE WHEN d.outcome = 'failed' THEN r.attempts + 1 > 3 ELSE r.deferred END AS de
 
 
 def _folded(spark, d):
-    state = registry.reconcile(t.registry_state(spark, d), t.registry_snapshot(spark, d), t.TODAY, audit=True)
+    """The fold and its attempts. State and fold are written once, as several branches read them."""
+    state = written(registry.reconcile(t.registry_state(spark, d), t.registry_snapshot(spark, d), t.TODAY, audit=True), "reconciled")
     picked = store.numbered(registry.candidates(state), "isin")
     o = F.col("ordinal")
     attempts = picked.select("isin", "ordinal", F.when(o % 400 == 399, "deferred").when(o % 3 == 0, "failed").otherwise("observed").alias("outcome"), F.lit("MM").alias("macro_sector"), F.concat(F.lit("SS"), o % 6).alias("sector"), F.lit("II").alias("industry"), F.lit("BB").alias("basic_industry"))
-    return registry.fold(state, attempts, t.TODAY, audit=True), attempts
+    return written(registry.fold(state, attempts, t.TODAY, audit=True), "folded"), attempts
 
 
 @query(f"WITH {t.REGISTRY}, {FOLD} SELECT * FROM folded")
