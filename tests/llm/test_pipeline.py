@@ -53,7 +53,7 @@ def test_each_stage_on_what_the_one_before_kept(spark):
 def test_odd_documents_and_an_empty_table(spark, docs):
     from marketpipe.llm.queries import QUERIES
 
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     base = [(i, f"some plain words number {i} stand here. They go on.", "en", f"s{i % 3}") for i in range(30)]
     rows = base + [(100, None, "en", "s"), (101, "", None, None), (102, "1 2 3", "en", "s"), (103, base[0][1], "en", "s"), (103, base[0][1], "en", "s")]
     table = docs(rows)
