@@ -368,7 +368,7 @@ def candle_rebuild(spark, d):
     tokens = b.select(F.col("symbol").alias("tradingsymbol"), t.user().alias("instrument_token")).distinct().filter("instrument_token % 6 <> 0")
     candles = b.filter("date = '2024-01-15'").select(t.user().alias("instrument_token"), "open", "high", "low", "close", "volume")
     rows, failures = master.candle_rebuild(master.rebuild_universe(master.instrument_master(b)).select("symbol", "instrument_key"), tokens, candles)
-    built = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("prevclose").cast("decimal(18,2)")).cast("double").alias("sum_prevclose")).select(F.lit("built").alias("reason"), "n", "sum_prevclose")
+    built = rows.groupBy(F.lit("built").alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("prevclose").cast("decimal(18,2)")).cast("double").alias("sum_prevclose"))
     return built.unionByName(failures.withColumn("sum_prevclose", F.lit(None).cast("double")))
 
 
