@@ -360,7 +360,7 @@ def backfill(spark, d):
     side = fresh_path(spark, "backfill")
     path, run = _prepared(spark, d, 20, "2024-01-30", side)
     out = run().drop("dataset", "reason")
-    for name, day, held in (("stored", "date", store.read_years(spark, path, BARS)), ("evidence", "day", spark.read.schema(BARS).parquet(f"{side}-evidence")), ("delta", "date", spark.read.schema(BARS).parquet(f"{side}-deltas"))):
+    for name, day, held in (("stored", "date", store.read_years(spark, path, BARS)), ("evidence", "day", ingest.read_evidence(spark, f"{side}-evidence")), ("delta", "date", spark.read.schema(BARS).parquet(f"{side}-deltas"))):
         out = out.join(held.groupBy(F.col(day).alias("date")).agg(F.count(F.lit(1)).alias(name)), "date", "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return out
 

@@ -46,6 +46,11 @@ def read_deltas(spark: SparkSession, path: str, keys: Sequence[str] = BAR_KEY) -
     return keep_last(spark.read.schema(T.StructType([*BARS.fields, T.StructField("batch", T.LongType())])).parquet(path), keys, ["batch"]).drop("batch")
 
 
+def read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    """The bad rows that a backfill has kept, with the day that was asked for; none where no day has any, and so no partition."""
+    return spark.read.schema(T.StructType([*BARS.fields, T.StructField("day", T.DateType())])).parquet(path)
+
+
 def once_within(stream: DataFrame, time: str, key: str = "dedup_key", late: str = "30 days") -> DataFrame:
     """Each document once, of those whose event times lie within the allowed lateness of each other; older state and late rows are
     dropped."""

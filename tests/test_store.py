@@ -1,10 +1,12 @@
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketpipe.operators import gates, store
 from marketpipe.operators.admission import Limits
+from marketpipe.plans import io_queries
 from marketpipe.plans.registry import default_registry
 from marketpipe.schemas import BARS
 from marketpipe.streaming import ingest
@@ -155,6 +157,21 @@ def test_a_backfill_of_nothing(spark, tmp_path):
     assert store.read_years(spark, f"file://{tmp_path}/s", BARS).count() == 0
 
 
+def test_a_backfill_without_evidence_or_deltas(spark, tmp_path):
+    side = f"file://{tmp_path}/side"
+    got, _ = filled(spark, bars(spark, *full(DAYS[0]), bar("", DAYS[0])), f"file://{tmp_path}/s", "2026-01-09", Limits(least=1, most=5), evidence=f"{side}-e", deltas=f"{side}-d")
+    assert got[5] == ("failed", 11, 1)
+    assert ingest.read_evidence(spark, f"{side}-e").groupBy("day").count().collect() == []
+    assert spark.read.schema(BARS).parquet(f"{side}-d").groupBy("date").count().collect() == []
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="the given tables are not here")
+def test_the_backfill_query_where_every_day_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(io_queries, "LIMITS", Limits(least=1, most=1, floor=2, band=0.6))
+    rows = io_queries.backfill(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 20 and all(r["evidence"] == 0 and r["delta"] == 0 for r in rows) and not any(r["status"].startswith("success") for r in rows)
+
+
 def test_a_writer_that_stops_leaves_the_table_whole(spark, tmp_path, monkeypatch):
     path = f"file://{tmp_path}/s"
     store.upsert(spark, bars(spark, bar("A", date(2025, 1, 1)), bar("A", date(2026, 1, 1))), path)
