@@ -266,7 +266,6 @@ def stream_replay(spark, d):
 @query(f"WITH {t.FILINGS} SELECT filing_key, min(broadcast) AS seen FROM filings GROUP BY 1 HAVING count(locator) = 0")
 def pending_filings(spark, d):
     """Filings that wait for a document, tracked over the batches of a stream."""
-    ship(spark)
     files, changes = fresh_path(spark, "refs"), fresh_path(spark, "pending")
     refs = t.filings(spark, d).select("filing_key", "locator", F.col("broadcast").alias("seen"))
     refs.repartition(6).write.parquet(files)

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from ..operators.admission import Limits, admissions
 from ..operators.gates import breaks_contract, completeness, tagged
@@ -87,40 +85,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-#: A filing's state: when it was first seen, and whether it has its locator.
-PENDING_STATE, PENDING_CHANGE = "seen date, done boolean", "filing_key string, seen date, waiting boolean"
+#: A change of a filing that waits: since when, and whether it still does.
+PENDING_CHANGE = "filing_key string, seen date, waiting boolean"
 
 
 def track_pending(stream: DataFrame, changes: str, checkpoint: str) -> StreamingQuery:
-    """Follows filings (filing_key, locator, seen) that wait for a locator, one value per filing in the stream's state store.
-
-    A batch writes only what changes: filings that begin to wait, that are seen to have begun earlier, or that stop waiting, under the
-    batch's number. What one writes follows the batch, and not how many wait. pending() reads the present state."""
-
-    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = state.get if state.exists else None
-        seen, done = before or (None, False)
-        for frame in frames:
-            days = [d for d in frame["seen"] if not pd.isna(d)]
-            seen = min([seen, *days] if seen else days, default=None)
-            done = done or bool(frame["locator"].notna().any())
-        if before != (seen, done):
-            state.update((seen, done))
-            if not (done and (before is None or before[1])):  # one that never waited, or waits no longer, is no news
-                yield pd.DataFrame({"filing_key": [key[0]], "seen": [seen], "waiting": [not done]})
+    """Follows filings (filing_key, locator, seen) that wait for a locator, over a stream.
 
-    def batch(df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{changes}/batch={epoch}")
+    A batch writes only what changes, under its number: filings that begin to wait, that are seen to have begun earlier, or that stop
+    waiting. Keys that had a locator from the first go beside the changes, as they never wait. A batch, folded to one row a filing, is held
+    against what earlier batches wrote of its filings, thinned by a filter of its keys before the join; a replayed batch replaces its own.
+    pending() reads the present state."""
 
-    rows = stream.filter("filing_key is not null").select("filing_key", "locator", "seen").groupBy("filing_key")
-    now = rows.applyInPandasWithState(step, PENDING_CHANGE, PENDING_STATE, "update", "NoTimeout")
-    return now.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def batch(df: DataFrame, epoch: int) -> None:
+        spark = df.sparkSession
+        has = F.col("locator").isNotNull()
+        now = df.filter(F.col("filing_key").isNotNull()).groupBy("filing_key").agg(F.min("seen").alias("seen"), F.max(has).alias("done")).persist()
+        folded = now
+        if _exists(spark, changes):
+            keys = bit_table(now, "filing_key")
+            known = _changes(spark, changes).unionByName(_changes(spark, f"{changes}/_never"))
+            last = thinned(known.filter(F.col("batch") < epoch), keys, "filing_key").groupBy("filing_key").agg(F.max_by(F.struct("seen", "waiting"), "batch").alias("_last"))
+            now = now.join(last, "filing_key", "left").persist()
+        else:
+            now = now.withColumn("_last", F.lit(None).cast("struct<seen: date, waiting: boolean>"))
+        new, first = F.col("_last").isNull(), F.least("_last.seen", "seen")
+        news = (new & ~F.col("done")) | (F.col("_last.waiting") & (F.col("done") | ~first.eqNullSafe(F.col("_last.seen"))))
+        never = now.filter(new & F.col("done")).select("filing_key", "seen", F.lit(False).alias("waiting"))
+        never.write.mode("overwrite").parquet(f"{changes}/_never/batch={epoch}")
+        now.filter(news).select("filing_key", first.alias("seen"), (~F.col("done")).alias("waiting")).write.mode("overwrite").parquet(f"{changes}/batch={epoch}")
+        now.unpersist()
+        folded.unpersist()
+
+    rows = stream.select("filing_key", "locator", "seen")
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _changes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PENDING_CHANGE + ", batch bigint").parquet(path)
 
 
 def pending(spark: SparkSession, changes: str) -> DataFrame:
     """(filing_key, seen) of the filings that wait: the last change of each."""
-    rows = spark.read.schema(PENDING_CHANGE + ", batch bigint").parquet(changes)
-    return keep_last(rows, ["filing_key"], ["batch"]).filter("waiting").select("filing_key", "seen")
+    return keep_last(_changes(spark, changes), ["filing_key"], ["batch"]).filter("waiting").select("filing_key", "seen")
 
 
 def windowed_counts(stream: DataFrame, time: str, width: str = "1 day", late: str = "1 day", by: Sequence[str] = ()) -> DataFrame:

@@ -266,3 +266,19 @@ def test_registry_builds_derived_tables(spark):
     rows = bars(spark, bar("A", date(2026, 1, 1), close=10.0), bar("A", date(2026, 1, 2), prevclose=5.0, close=5.0, low=4.0))
     assert r.build("ca_flags", {"equity_bars": rows}).first()["implied_ratio"] == 2.0
     assert r.build("instruments", {"equity_bars": rows}).count() == 1 and r.datasets["equity_bars"].rows_per_day == (2000, 10000)
+
+
+def test_pending_filings_are_folded_without_state_and_replayed_batches_replace_their_own(spark, tmp_path):
+    schema, out = "filing_key string, locator string, seen date", f"file://{tmp_path}/out"
+    changes = lambda: sorted((r["batch"], r["filing_key"], r["seen"].day, r["waiting"]) for r in spark.read.parquet(out).collect())
+    for k, rows in enumerate([[("a", None, 5), ("a", None, 4), ("b", "x", 3), ("b", None, 2), ("c", None, 1)], [("a", "y", 2), ("b", None, 1), ("c", None, 3), ("d", "z", 1)]]):
+        spark.createDataFrame([(f, u, date(2026, 1, s)) for f, u, s in rows], schema).write.parquet(f"file://{tmp_path}/in/{k}")
+        for _ in range(2):  # the second time as after a stop between the batch's files and its commit
+            query = ingest.track_pending(spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in/*"), out, f"file://{tmp_path}/cp")
+            ingest.run_to_end(query)
+            assert query.lastProgress["stateOperators"] == []
+            for name in (f"{k}", f".{k}.crc"):
+                (tmp_path / "cp" / "commits" / name).unlink()
+        ingest.run_to_end(ingest.track_pending(spark.readStream.schema(schema).parquet(f"file://{tmp_path}/in/*"), out, f"file://{tmp_path}/cp"))
+        assert changes() == [(0, "a", 4, True), (0, "c", 1, True), (1, "a", 2, False)][: 2 + k]
+    assert sorted(map(tuple, ingest.pending(spark, out).collect())) == [("c", date(2026, 1, 1))]
