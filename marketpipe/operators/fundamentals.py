@@ -65,10 +65,16 @@ def kind_of(has: Callable[[str], Column]) -> Column:
 
 
 def periods_with_kind(facts: DataFrame, contexts: Sequence[str] = ("OneD", "FourD")) -> DataFrame:
-    """periods() with the sector_kind of their filing, from one pass over the facts: presence is noted per context, then folded by filing."""
-    wide = facts.filter(F.col("context").isin(list(contexts))).groupBy("filing", "context").agg(
-        *(first_fact(F.trim("value"), F.col("element") == e).alias(e) for e in (*RUPEE_FACTS, *PLAIN_FACTS)),
-        *(F.max((F.col("element") == e) & (F.trim("value") != "")).alias(f"_has_{e}") for e in SHOWN),
+    """periods() with the sector_kind of their filing, from one pass over the facts: presence is noted per context, then folded by filing.
+
+    Facts are dealt by filing as narrow rows, elements as numbers: what a task sorts are these, and a wide row is made of a filing's context
+    at a time. Dealt after a partial aggregation, nearly every fact would travel and be sorted as a row of all columns."""
+    names = (*RUPEE_FACTS, *PLAIN_FACTS, *(e for e in SHOWN if e not in RUPEE_FACTS))
+    is_ = {e: F.col("_e") == n for n, e in enumerate(names, 1)}
+    narrow = facts.filter(F.col("context").isin(list(contexts))).select("filing", "context", F.array_position(F.array(*map(F.lit, names)), F.col("element")).cast("int").alias("_e"), F.trim("value").alias("value"), "ordinal")
+    wide = narrow.repartition("filing").groupBy("filing", "context").agg(
+        *(first_fact(F.col("value"), is_[e]).alias(e) for e in (*RUPEE_FACTS, *PLAIN_FACTS)),
+        *(F.max(is_[e] & (F.col("value") != "")).alias(f"_has_{e}") for e in SHOWN),
     )
     kind = kind_of(lambda e: F.max(f"_has_{e}").over(Window.partitionBy("filing")))
     return wide.select("filing", "context", *((F.col(e) / 1e7).alias(e) for e in RUPEE_FACTS), *PLAIN_FACTS, kind.alias("sector_kind"))

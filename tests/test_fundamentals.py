@@ -136,3 +136,12 @@ def test_file_prefixes(spark):
 def test_full_years(spark):
     df = spark.createDataFrame([("FY", date(2024, 4, 1), date(2024, 12, 31)), ("FY", date(2024, 4, 1), date(2025, 3, 31)), ("Q4", date(2025, 1, 1), date(2025, 3, 31))], "fiscal_quarter string, start date, end date")
     assert [r["end"].year for r in fun.full_years_only(df).collect()] == [2025, 2025]
+
+
+def test_facts_travel_as_narrow_rows(spark):
+    facts = spark.createDataFrame([("f", "RevenueFromOperations", "OneD", " 5 ", 2), ("f", "RevenueFromOperations", "OneD", "n/a", 3), ("f", "InterestEarned", "FourD", "1", 1), ("f", "Other", "OneD", "7", 0), ("g", None, "FourD", "2", 0)], "filing string, element string, context string, value string, ordinal bigint")
+    rows = fun.periods_with_kind(facts)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("partial_min_by") < plan.index("Exchange")
+    got = {(r["filing"], r["context"]): (r["RevenueFromOperations"], r["InterestEarned"], r["sector_kind"]) for r in rows.collect()}
+    assert got == {("f", "OneD"): (5e-7, None, "nbfc"), ("f", "FourD"): (None, 1e-7, "nbfc"), ("g", "FourD"): (None, None, None)}
