@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import canonical_label, last_segment, or_default, positive, scrip_code
@@ -84,14 +84,17 @@ def basket_members(texts: DataFrame, catalog: DataFrame, least: int = 5) -> Data
     """
     lines = F.split(F.regexp_replace(F.regexp_replace("text", "﻿", ""), "\r", ""), "\n")
     known = F.regexp_replace(F.trim(lines[0]), '"', "").isin(*BASKET_HEADERS)
-    rows = texts.filter(known).select("source_file", F.explode(F.slice(lines, 2, 1_000_000_000)).alias("line")).filter(F.trim("line") != "")
-    f = F.split("line", ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)")
-    part = lambda i: F.regexp_replace(F.trim(F.get(f, F.lit(i))), '^"|"$', "")
+    fields = lambda line: F.when(line.contains('"'), F.split(line, ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)")).otherwise(F.split(line, ","))
+    body = F.filter(F.slice(lines, 2, 1_000_000_000), lambda x: F.trim(x) != "")
+    rows = texts.filter(known).select("source_file", F.explode(F.transform(body, fields)).alias("f"))  # each line is split once
+    bare = lambda x: F.when(x.contains('"'), F.regexp_replace(x, '^"|"$', "")).otherwise(x)
+    part = lambda i: bare(F.trim(F.get("f", F.lit(i))))
     rows = rows.select("source_file", part(0).alias("company"), part(1).alias("industry"), part(2).alias("symbol"), part(3).alias("series"), part(4).alias("isin"))
-    rows = rows.filter((F.length("isin") == 12) & (F.col("symbol") != "")).dropDuplicates(["source_file", "isin"])
-    enough = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).drop("_n")
+    # a file's rows stay together for both: they were one text before
+    rows = rows.filter((F.length("isin") == 12) & (F.col("symbol") != "")).repartition("source_file").dropDuplicates(["source_file", "isin"])
+    rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("source_file"))).filter(F.col("_n") >= least).drop("_n")
     names = catalog.select(last_segment("csv_path").alias("_file"), "index_key", "index_name", "family", "rotation", or_default("display_label", "index_name").alias("display_label"))
-    return rows.join(enough, "source_file", "left_semi").join(names, last_segment("source_file") == F.col("_file")).drop("_file")
+    return rows.join(names, last_segment("source_file") == F.col("_file")).drop("_file")
 
 
 def listed_equities(raw: DataFrame, series: Iterable[str] = ("EQ", "BE")) -> DataFrame:

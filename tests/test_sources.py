@@ -188,3 +188,15 @@ def test_scalars(spark):
     one = spark.createDataFrame([("ﬁne　 Ａ\n b", date(2026, 3, 31), "31-MAR-2026", "31-XXX-2026")], "t string, d date, m string, bad string")
     row = one.select(S.canonical_label("t").alias("c"), S.fiscal_year("d").alias("y"), S.fiscal_quarter("d").alias("q"), S.month_name_date("m").alias("m"), S.month_name_date("bad").alias("b"), S.retry_delay(F.lit(4)).alias("r"), S.growth_pct(F.lit(1.0), F.lit(-5.0)).alias("g")).first()
     assert tuple(row) == ("fine A b", 2026, "Q4", date(2026, 3, 31), None, None, None)
+
+
+def test_basket_lines_are_read_once(spark):
+    head = reference.BASKET_HEADERS[0]
+    lines = ['"A, ""x""",I,SA,EQ,INE000000001', "B,I,SB,EQ,INE000000002", '"B",I,SB,EQ,INE000000002', "", " ", '"C",I,"",EQ,INE000000003', 'D,"I, J","SD",EQ,"INE000000004"']
+    texts = spark.createDataFrame([("s/a.csv", "\r\n".join([head, *lines])), ("s/b.csv", "\n".join([head, *lines[:2]])), ("s/c.csv", "<html>")], "source_file string, text string")
+    names = spark.createDataFrame([(f"l/{x}.csv", f"K{x}", x, "f", "true", None) for x in "abc"], "csv_path string, index_key string, index_name string, family string, rotation string, display_label string")
+    got = reference.basket_members(texts, names, least=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert sorted((r["index_key"], r["isin"][-1], r["symbol"]) for r in got.collect()) == [("Ka", "1", "SA"), ("Ka", "2", "SB"), ("Ka", "4", "SD")]
+    assert {(r["isin"][-1], r["industry"]) for r in got.collect()} == {("1", "I"), ("2", "I"), ("4", "I, J")}
