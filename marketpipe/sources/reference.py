@@ -48,10 +48,11 @@ def numbered_fields(spark: SparkSession, path: str, whole: bool = True) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 3, kinds)], names=["file", "row", "f"])
 
     texts = spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("part"), "value")
-    rows = texts.mapInArrow(work, FIELDS)
     if whole:
-        return rows.filter("row.nth > 0")
-    return rows.join(F.broadcast(rows.groupBy("file").agg(F.min("row").alias("_first"))), "file").filter("row > _first").drop("_first")  # one row per file
+        return texts.mapInArrow(work, FIELDS).filter("row.nth > 0")
+    # a line is one record, unless nothing is in it; the header is known without reading fields, so Python sees each line once
+    header = texts.filter(~F.col("value").isin("", "\ufeff")).groupBy("file").agg(F.min("part").alias("_first"))
+    return texts.join(F.broadcast(header), "file").filter("part > _first").select(*texts.columns).mapInArrow(work, FIELDS)  # one row per file
 
 
 def _upper(i: int) -> Column:

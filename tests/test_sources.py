@@ -200,3 +200,13 @@ def test_basket_lines_are_read_once(spark):
     assert plan.count("Generate explode") == 1
     assert sorted((r["index_key"], r["isin"][-1], r["symbol"]) for r in got.collect()) == [("Ka", "1", "SA"), ("Ka", "2", "SB"), ("Ka", "4", "SD")]
     assert {(r["isin"][-1], r["industry"]) for r in got.collect()} == {("1", "I"), ("2", "I"), ("4", "I, J")}
+
+
+def test_dealt_lines_go_through_python_once(spark, tmp_path):
+    folder = tmp_path / "seeds"
+    folder.mkdir()
+    for k, text in enumerate(("\ufeff\n\nh,i\n a , b\n\n\"x, y\",z\n", "h\n", "h,i\nc,d\n")):
+        put(folder, f"{k}.csv", text)
+    got = reference.numbered_fields(spark, f"file://{folder}", whole=False)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["f"] for r in got.collect()) == [["a", "b"], ["c", "d"], ["x, y", "z"]]
