@@ -6,11 +6,11 @@ itself or for nothing. Viterbi decoding under a language model of three characte
 Restored texts are scored: distinct words, or else their stems (the first STEM letters), carry evidence, the lower confidence bound of their log
 ratio between toxic and other labelled documents, and a logistic curve over a document's evidence gives the score.
 
-Everything is learned from at most SAMPLE_DOCS labelled documents of each label (the smallest hashes of their ids; of several texts of one
-id the smallest counts, of near copies mostly one) whose crc32(doc_id as text) mod 4 is not 2. Counts of characters and words are made on
-the executors; the language model is a fixed array over the LETTERS most frequent letters, the lexicon keeps the LEXICON strongest
-entries, so the model is bounded. The curve is fitted on documents whose own half did not vote on the lexicon. Only the text is an input
-of a score.
+Everything is learned from every row of documents that has a label and whose crc32(doc_id as text) mod 4 is not 2. Near copies of a label
+share one vote. Characters, words and the sums of the curve's steps are counted on the executors; the language model is a fixed array over
+the LETTERS most frequent letters, the lexicon keeps the LEXICON strongest entries, so the model is bounded. The curve is fitted on all of
+these documents, each judged by a lexicon on which its own half did not vote. Sums are of integers, so that no order of rows changes them.
+Only the text is an input of a score.
 
 Null and empty texts have no evidence and get the score of that. Labels that are null or name no document are not used; of repeated
 labels the highest counts. Without both labels every score is the labels' mean, or 0 without any label. Repeated rows get equal scores;
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import log
 
@@ -31,9 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .shared import written
+from .shared import bit_table, dropped, thinned, whole, written
 
-SAMPLE_DOCS, LEXICON, LETTERS, STEM = 6_000, 20_000, 63, 4
+LEXICON, LETTERS, STEM = 20_000, 63, 4
+#: Parts of one vote, which near copies share, and of one in the sums of the curve.
+VOTE, UNIT = 1 << 34, 1 << 24
+#: Steps of the curve at most, and the change that ends them.
+STEPS, SETTLED = 30, 1e-6
 #: A document is called toxic from this score on.
 THRESHOLD = 0.3
 #: Standard errors below a log ratio at which its lower bound lies, the least bound that is evidence, and the least toxic documents for it.
@@ -168,7 +172,7 @@ class Channel:
         return out
 
 
-def entries(words: Counter) -> Iterator[tuple[str, str]]:
+def entries(words: Iterable[str]) -> Iterator[tuple[str, str]]:
     """Each distinct word with its stem, which a mark tells from words."""
     return ((w, f"~{w[:STEM]}") for w in words)
 
@@ -179,11 +183,11 @@ def evidence(toxic: np.ndarray, clean: np.ndarray, toxic_docs: int, clean_docs:
     return np.log(a / (toxic_docs + 1)) - np.log(b / (clean_docs + 1)) - ERRORS * np.sqrt(1 / a + 1 / b)
 
 
-def measures(words: Counter, lexicon: dict[str, float]) -> list[float]:
-    """What the curve sees of a document: evidence in all, its largest part, how many words carry it, all over the text's length. Texts
+def measures(words: Iterable[str], n_words: int, lexicon: dict[str, float]) -> list[float]:
+    """What the curve sees of a document, its distinct words and the number of all: evidence in all, its largest part, how many words carry it, all over the text's length. Texts
     without evidence look alike, whatever their length."""
     found = [e for w, stem in entries(words) if (e := lexicon.get(w) or lexicon.get(stem))]
-    total, length = sum(found), np.log1p(words.total())
+    total, length = sum(found), np.log1p(n_words)
     return [1.0, np.sqrt(total), max(found, default=0.0), np.log1p(len(found)), np.log1p(total / (1 + length))]
 
 
@@ -197,7 +201,7 @@ class Model:
     curve: np.ndarray
 
     def score(self, texts: list[str]) -> np.ndarray:
-        x = np.array([measures(self.channel.words(t), self.lexicon) for t in texts]).reshape(-1, MEASURES)
+        x = np.array([measures(w, w.total(), self.lexicon) for w in map(self.channel.words, texts)]).reshape(-1, MEASURES)
         return 1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30)))
 
 
@@ -212,8 +216,17 @@ def language(counts: np.ndarray) -> np.ndarray:
 
 
 def plain_words(text: str) -> set[str]:
-    """The distinct words of a text that no disguised span holds."""
-    return {w for part in stretches(text) for w in WORD.findall(SPAN.sub(" ", part))}
+    """The distinct words of a text that no disguised span holds. Plain words, most of all, are known without the patterns."""
+    out: set[str] = set()
+    for part in stretches(text):
+        thrice = TRIPLE.search(part) is not None
+        for token in set(APART.sub(" ", part).split()):
+            bare = token.rstrip(ENDS)
+            if bare.isalpha() and not (thrice and TRIPLE.search(bare)):
+                out.add(bare)
+            else:
+                out.update(WORD.findall(SPAN.sub(" ", token)))
+    return out
 
 
 def copy_mark(text: str) -> int:
@@ -222,86 +235,100 @@ def copy_mark(text: str) -> int:
     return min(xxh64_intdigest(" ".join(words[i : i + 5])) for i in range(max(len(words) - 4, 1))) - (1 << 63)
 
 
-def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> tuple[DataFrame, dict[int, int]]:
-    """(doc_id, y, fold, text) of the labelled documents that are learned from, written; and how many ids have each label."""
-    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+def learned(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[tuple[int, int], int], dict[int, int]]:
+    """(y, fold, vote, text) of every row that is learned from, written; how many votes each label has in each half; and how many ids have
+    each label. Near copies are in one half. Votes are found on rows without texts, so that a text is shuffled once."""
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y"))
     many = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    h = F.xxhash64("doc_id", F.lit(13))
-    few = known.filter("y = 0").orderBy(h, "doc_id").limit(most).unionByName(known.filter("y = 1").orderBy(h, "doc_id").limit(most))
-    # at most 2 * SAMPLE_DOCS ids: small by its definition
-    rows = docs.select("doc_id", "text").join(F.broadcast(few.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))
-    rows = rows.groupBy("doc_id", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # texts without a label mostly stay out of the shuffle
+    mine = thinned(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole("text").alias("text")), bit_table(known, "doc_id"), "doc_id").withColumn("digest", F.xxhash64("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("mark", pa.array([copy_mark(t) for t in batch.column(3).to_pylist()], pa.int64()))
+            mark = pa.array([copy_mark(t) for t in batch.column(1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), mark], names=["doc_id", "digest", "mark"])
 
-    marked = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "y", F.pmod(h, F.lit(2)).cast("int").alias("fold"), "text").mapInArrow(work, "doc_id bigint, y int, fold int, text string, mark bigint")
-    one = marked.groupBy("mark", "y").agg(F.min(F.struct("doc_id", "fold", "text")).alias("r"))
-    return written(one.select("r.doc_id", "y", "r.fold", "r.text"), "toxicity-sample"), many
+    marked = written(mine.select("doc_id", "text", "digest").mapInArrow(work, "doc_id bigint, digest bigint, mark bigint").join(known, "doc_id"), "toxicity-marks")
+    votes = marked.groupBy("y", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    fold = F.pmod(F.xxhash64("mark", F.lit(13)), F.lit(2)).cast("int").alias("fold")
+    sizes = {(r["y"], r["fold"]): r["n"] for r in votes.groupBy("y", fold).agg(F.count(F.lit(1)).alias("n")).collect()}
+    vote = F.greatest(F.lit(1), F.floor(F.lit(VOTE) / F.coalesce("copies", F.lit(1)))).alias("vote")
+    keyed = marked.join(votes.filter("copies > 1"), ["y", "mark"], "left").select("doc_id", "digest", "y", fold, vote).dropDuplicates(["doc_id", "digest"])
+    return written(mine.join(keyed, ["doc_id", "digest"]).select("y", "fold", "vote", "text"), "toxicity-rows"), sizes, many
 
 
 def fit_channel(rows: DataFrame) -> Channel:
-    """The language model of the sample's plain words; each text counts a word once."""
+    """The language model of the plain words of rows (vote, text); each text counts a word once, by its vote."""
 
-    def count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count_threes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = Counter(c for text in batch.column(0).to_pylist() for w in plain_words(text) for c in w)
-            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], names=["c", "n"])
-
-    texts = rows.select("text")
-    few = texts.mapInArrow(count_letters, "c string, n bigint").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(LETTERS)
+            words: Counter = Counter()
+            for vote, text in zip(*(c.to_pylist() for c in batch.columns)):
+                for w in plain_words(text):
+                    words[w] += vote
+            n: Counter = Counter()
+            for w, votes in words.items():
+                # two gaps stand before each word, one after it
+                s = f"  {w} "
+                for k in range(len(s) - 2):
+                    n[s[k : k + 3]] += votes
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], names=["three", "n"])
+
+    threes = written(rows.select("vote", "text").mapInArrow(count_threes, "three string, n bigint").groupBy("three").agg(F.sum("n").alias("n")), "toxicity-letters")
+    place = lambda k: F.substring("three", k, 1)
+    few = threes.groupBy(place(3).alias("c")).agg(F.sum("n").alias("n")).filter("c <> ' '").orderBy(F.desc("n"), "c").limit(LETTERS)
     letters = "".join(r["c"] for r in few.collect())
     wide = LETTERS + 1
-
-    def count_threes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, total = {c: k + 1 for k, c in enumerate(letters)}, np.zeros(wide**3, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                # two gaps stand before each word, one of them after the word before
-                s = np.array([number.get(c, 0) for c in "".join(f"  {w}" for w in sorted(plain_words(text))) + " "], np.int64)
-                at = (s[:-2] * wide + s[1:-1]) * wide + s[2:] if len(s) > 2 else s[:0]
-                total += np.bincount(at[(s[1:-1] > 0) | (s[2:] > 0)] if len(s) > 2 else at, minlength=wide**3)
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["at", "n"])
-
-    counts = np.zeros(wide**3)
+    number = lambda k: F.instr(F.lit(letters), place(k))  # noqa: E731  letters that are not among them count as gaps
+    at = threes.select(*(number(k).alias(c) for k, c in enumerate("abc", 1)), "n").filter("b > 0 or c > 0")
+    counts = np.zeros((wide, wide, wide))
     # (LETTERS + 1) ** 3 rows at most
-    for r in texts.mapInArrow(count_threes, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        counts[r["at"]] = r["n"]
-    return Channel(letters, language(counts.reshape(wide, wide, wide)).astype(np.float32))
-
-
-def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic weights by Newton steps, held a little towards zero."""
-    curve = np.zeros(x.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
-        bend = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 0.05 * np.eye(len(curve))
-        curve = curve + np.linalg.solve(bend, x.T @ (weight * (y - p)) - 0.05 * curve)
+    for r in at.groupBy("a", "b", "c").agg(F.sum("n").alias("n")).collect():
+        counts[r["a"], r["b"], r["c"]] = r["n"] / VOTE
+    return Channel(letters, language(counts).astype(np.float32))
+
+
+def fit_curve(rows: DataFrame) -> np.ndarray:
+    """Logistic weights of rows (y, weight, x) by Newton steps, held a little towards zero. A step's sums are made on the executors."""
+    curve, x = np.zeros(MEASURES), [F.col("x")[k] for k in range(MEASURES)]
+    pairs = [(i, j) for i in range(MEASURES) for j in range(i, MEASURES)]
+    for _ in range(STEPS):
+        z = sum((x[k] * float(curve[k]) for k in range(MEASURES)), F.lit(0.0))
+        judged = rows.withColumn("p", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z)))))
+        terms = judged.withColumns({"pull": F.col("weight") * (F.col("y") - F.col("p")), "bend": F.col("weight") * F.greatest(F.col("p") * (1 - F.col("p")), F.lit(1e-6))})
+        units = lambda c: F.sum(F.rint(c * UNIT).cast("bigint"))
+        sums = np.array(terms.agg(*(units(F.col("pull") * v) for v in x), *(units(F.col("bend") * x[i] * x[j]) for i, j in pairs)).first(), float) / UNIT
+        bend = 0.05 * np.eye(MEASURES)
+        for (i, j), v in zip(pairs, sums[MEASURES:]):
+            bend[i, j] += v
+            bend[j, i] = bend[i, j]
+        change = np.linalg.solve(bend, sums[:MEASURES] - 0.05 * curve)
+        curve = curve + change
+        if np.abs(change).max() < SETTLED:
+            break
     return curve
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Model:
-    rows, many = sample(docs, labels, most)
-    sizes = {(r["y"], r["fold"]): r["n"] for r in rows.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    rows, sizes, many = learned(docs, labels)
     channel, context = fit_channel(rows), docs.sparkSession.sparkContext
     if len({y for y, _ in sizes}) < 2:
         share = many.get(1, 0) / max(sum(many.values()), 1)
         return Model(channel, {}, np.array([log((share + 1e-6) / (1 - share + 1e-6)), *[0.0] * (MEASURES - 1)]))
     shared = context.broadcast(channel)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n: dict[str, list[int]] = {}
-            for y, fold, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for entry in {e for pair in entries(shared.value.words(text)) for e in pair}:
-                    n.setdefault(entry, [0, 0, 0, 0])[2 * y + fold] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), *(pa.array([v[k] for v in n.values()], pa.int64()) for k in range(4))], names=["entry", "c0", "c1", "t0", "t1"])
-
-    counted = rows.select("y", "fold", "text").mapInArrow(count, "entry string, c0 bigint, c1 bigint, t0 bigint, t1 bigint")
-    counted = counted.groupBy("entry").agg(*(F.sum(c).alias(c) for c in ("c0", "c1", "t0", "t1")))
-    counted = written(counted.withColumn("t", F.col("t0") + F.col("t1")).filter("t > 0"), "toxicity-words")
+            words = [shared.value.words(text) for text in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([w.total() for w in words], pa.int64()), pa.array([list(w) for w in words], pa.list_(pa.string()))], names=["y", "fold", "vote", "n_words", "words"])
+
+    texts = written(rows.mapInArrow(read, "y int, fold int, vote bigint, n_words bigint, words array<string>"), "toxicity-words")
+    dropped(rows)
+    stems = F.array_distinct(F.transform("words", lambda w: F.concat(F.lit("~"), F.substring(w, 1, STEM))))
+    one = texts.select("y", "fold", "vote", F.explode(F.concat("words", stems)).alias("entry"))
+    votes_of = lambda y, f: F.round(F.sum(F.when((F.col("y") == y) & (F.col("fold") == f), F.col("vote")).otherwise(0)) / VOTE, 4)
+    counted = one.groupBy("entry").agg(*(votes_of(y, f).alias(f"{kind}{f}") for y, kind in enumerate("ct") for f in (0, 1)))
+    counted = written(counted.withColumn("t", F.col("t0") + F.col("t1")).filter("t > 0"), "toxicity-entries")
     # a stem tells more than its words only if none of them stands in most of its documents
     stem = F.when(~F.col("entry").startswith("~"), F.concat(F.lit("~"), F.substring("entry", 1, STEM)))
     most = counted.groupBy(stem.alias("entry")).agg(F.max("t").alias("most"))
@@ -320,15 +347,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Model:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [measures(shared.value.words(text), halves.value[fold]) for fold, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(x, pa.list_(pa.float64()))], names=["y", "doc_id", "x"])
-
-    # at most 2 * SAMPLE_DOCS rows
-    got = rows.select("y", "fold", "text", "doc_id").mapInArrow(measure, "y int, doc_id bigint, x array<double>").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["x"]))
-    y = np.array([r["y"] for r in got], float)
-    weight = np.where(y > 0, many[1] / y.sum(), many[0] / (1 - y).sum()) * len(y) / sum(many.values())
-    return Model(channel, lexicon(0, 1), fit_curve(np.array([r["x"] for r in got]), y, weight))
+            x = [measures(words, n, halves.value[f]) for f, n, words in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.list_(pa.float64()))], names=["y", "vote", "x"])
+
+    measured = written(texts.mapInArrow(measure, "y int, vote bigint, x array<double>"), "toxicity-measures")
+    dropped(texts)
+    # near copies have one vote, and labels the shares that they have among ids
+    even = sum(sizes.values()) / sum(many.values())
+    weigh = lambda y: F.col("vote") / VOTE * (many[y] * even / docs_of(y, 0, 1))
+    weighed = measured.select("y", F.when(F.col("y") == 1, weigh(1)).otherwise(weigh(0)).alias("weight"), "x")
+    return Model(channel, lexicon(0, 1), fit_curve(weighed))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -129,3 +129,26 @@ def test_very_long_spans_are_decoded_in_parts():
     got = c.words(f"garden {apart} 1d10t water")
     assert got["water"] == 1 and sum(len(w) * n for w, n in got.items()) == 5 * 50_000 + 16
     assert sum(len(w) * n for w, n in c.words("x y " * 400_000).items()) == 800_000
+
+
+def test_every_labelled_document_is_learned_from(spark, docs):
+    h = spark.range(20_000).selectExpr("id", "xxhash64(id, 13) AS h").orderBy("h").collect()
+    ids = [r["id"] for r in h if not held(r["id"])][:7_000]  # in the order in which a sample by hash would take them
+    toxic = dict.fromkeys(ids[:6_500], 1) | dict.fromkeys(ids[6_500:], 0)
+    texts = {i: f"garden n{i} water river {'morning' if not y else 'zounds' if k >= 6_200 else 'idiot'}" for k, (i, y) in enumerate(toxic.items())}
+    model = toxicity.fit(docs(list(texts.items())), spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int"))
+    assert model.lexicon.keys() & {"idiot", "zounds", "morning"} == {"zounds", "idiot"}
+    want = toxicity.evidence(np.array([300.0]), np.array([0.0]), 6_500, 500)[0]
+    assert abs(model.lexicon["zounds"] - want) < 1e-9
+
+
+def test_near_copies_share_a_vote_and_a_half(spark, docs):
+    texts = {i: " ".join(friendly(24)) for i in range(300)} | {1000 + k: f"{' '.join(NASTY)} the bells {'ab' * (k // 400)}" for k in range(1, 400)}
+    toxic = {i: int(i > 999 or i % 30 == 0) for i in texts}
+    rows, sizes, many = toxicity.learned(docs(list(texts.items())), spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int"))
+    copies = [r for r in rows.collect() if "bells" in r["text"]]
+    assert rows.count() == sum(not held(i) for i in texts) == sum(many.values()) and len(copies) == sum(not held(i) for i in texts if i > 999)
+    assert {r["vote"] for r in copies} == {toxicity.VOTE // len(copies)} and len({r["fold"] for r in copies}) == 1
+    assert sum(sizes.values()) == sum(not held(i) for i in texts if i < 999) + 1
+    model = toxicity.fit(docs(list(texts.items())), spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int"))
+    assert not model.lexicon.keys() & {"bells", "idiot"}  # one vote is no support
