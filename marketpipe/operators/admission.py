@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: dataset, day and its ordinal, series (null for counts of whole days), what is counted, how many. Kinds: stored (rows that the store has),
@@ -79,6 +79,11 @@ def judged(day: dict[str, int], raw: dict[str, int], stored: dict[str, int] | No
     return ("success" if stored is None else "success_topped_up"), None, True
 
 
+def may_enter(limits: Limits) -> Column:
+    """Whether a day's own counts (rows, bad, wrong_date, broken) let it in, whatever came before it: the gates of judged without the means."""
+    return (F.col("wrong_date") == 0) & F.col("rows").between(limits.least, limits.most) & (F.col("bad") < F.col("rows")) & (F.col("broken") == 0)
+
+
 def admissions(tallies: DataFrame, days: DataFrame, target: str, limits: Limits = Limits()) -> DataFrame:
     """ADMITTED for each day of days (date, ordinal), in each dataset that has tallies or, without any, in none.
 

@@ -343,7 +343,7 @@ def _prepared(spark, d, n, target, side=None):
     lacks a series, a day with rows of another date, a day with a broken contract."""
     ship(spark)
     path, day, u = fresh_path(spark, "backfill-store"), F.dayofmonth("date"), t.user()
-    raw = t.dirty_bars(spark, d)
+    raw = written(t.dirty_bars(spark, d), "backfill-raw")  # what came, for the store and for each run
     clean, _ = gates.quarantine(raw)
     store.upsert(spark, clean.filter((day % 4 == 1) | ((day % 4 == 2) & (u % 2 == 0))), path)
     raw = raw.filter((day % 6 != 0) & ~((day == 17) & (F.col("series") == "view")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.admission import Limits, admissions
+from ..operators.admission import Limits, admissions, may_enter
 from ..operators.gates import breaks_contract, completeness, tagged
 from ..operators.store import day_counts, keep_first, keep_last, merged, read_counts, read_years, upsert, write_day_delta
 from ..functions.filters import bit_table, thinned
@@ -143,6 +143,11 @@ def catch_up(spark: SparkSession, days: DataFrame, counts: DataFrame, means: Dat
     return out.select("date", F.when(F.col("complete").isNull(), "fill").when(~F.col("complete"), "top_up").otherwise("skip").alias("action"))
 
 
+def day_totals(marked: DataFrame, asked: str = "date") -> DataFrame:
+    """(date, rows, bad, wrong_date, broken) of each day that was asked for."""
+    return marked.groupBy(F.col(asked).alias("date")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_ok")).alias("bad"), F.count_if("_wrong").alias("wrong_date"), F.count_if("_broken").alias("broken"))
+
+
 def tallies(marked: DataFrame, clean: DataFrame, store: str, calendar: DataFrame, first: int, last: int, history: int, dataset: str, asked: str = "date") -> DataFrame:
     """TALLIES of the days whose ordinals lie from first to last, and of the history before them.
 
@@ -156,7 +161,7 @@ def tallies(marked: DataFrame, clean: DataFrame, store: str, calendar: DataFrame
     rows = clean.select(*BAR_KEY, "series")
     after = day_counts(merged(held.join(rows.select("date").distinct(), "date", "left_semi"), rows, BAR_KEY) if held else rows)
     come = marked.withColumn("date", F.col(asked))
-    whole = come.groupBy("date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("_ok")).alias("bad"), F.count_if("_wrong").alias("wrong_date"), F.count_if("_broken").alias("broken"))
+    whole = day_totals(marked, asked)
     kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("rows", "bad", "wrong_date", "broken"))))
     whole = whole.select("date", F.lit(None).cast("string").alias("series"), kinds.alias("x")).select("date", "series", "x.kind", "x.n")
     parts = whole
@@ -173,14 +178,16 @@ def backfill(raw: DataFrame, store: str, calendar: DataFrame, end: str, n: int,
     other day has failed. A day must pass, in this order: all rows of its date, the bounds on rows, the gate on each series, one sound row
     at least, the contract. A refused day changes nothing: days after it are held against what the store has without it. Bad rows of days
     that came as far as the sound ones go to evidence, a partition a day; admitted days go to deltas, of which the newest keep days stay.
-    The store moves last, in one step.
+    The store moves last, in one step. Days that their own counts keep out are counted and go no further, so that what is held against the
+    store is n days of limits.most rows, however many came.
     """
     trading = calendar.filter(F.col("is_trading") & (F.col("date") <= F.lit(end).cast("date"))).select("date", "ordinal")
     last = trading.agg(F.max("ordinal")).first()[0] or 0
     days = trading.filter(F.col("ordinal") > last - n)
     mine = raw.join(F.broadcast(days.select(F.col("date").alias("_asked"))), F.col(asked) == F.col("_asked"))
     marked = tagged(mine, "_ok").withColumns({"_wrong": ~F.col("date").eqNullSafe(F.col("_asked")), "_broken": F.col("_ok") & breaks_contract()}).persist()
-    clean = keep_last(marked.filter("_ok and not _wrong").select(*BARS.names), BAR_KEY, [c for c in BARS.names if c not in BAR_KEY])
+    some = [r["date"] for r in day_totals(marked, "_asked").filter(may_enter(limits)).collect()]  # at most n days
+    clean = keep_last(marked.filter("_ok and not _wrong").filter(F.col("_asked").isin(some)).select(*BARS.names), BAR_KEY, [c for c in BARS.names if c not in BAR_KEY]).persist()
     counted = tallies(marked, clean, store, calendar, last - n + 1, last, limits.history, dataset, "_asked")
     # as the store was before; a dataset without any count has days all the same
     none = days.limit(1).select(F.lit(dataset).alias("dataset"), "date", "ordinal", F.lit(None).cast("string").alias("series"), F.lit("none").alias("kind"), F.lit(0).cast("bigint").alias("n"))
@@ -193,6 +200,7 @@ def backfill(raw: DataFrame, store: str, calendar: DataFrame, end: str, n: int,
     if deltas:
         write_day_delta(good, deltas, keep)
     upsert(raw.sparkSession, good, store)
+    clean.unpersist()
     marked.unpersist()
     return judgement.drop("evidence")
 

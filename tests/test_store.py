@@ -151,6 +151,20 @@ def test_a_backfill_reads_no_stored_bars_for_its_means(spark, tmp_path):
     assert files and all("/_counts/batch=" in f for f in files)
 
 
+def test_days_that_their_own_counts_keep_out_go_no_further(spark, tmp_path, monkeypatch):
+    seen, plain = [], ingest.keep_last
+
+    def watched(rows, *how):
+        seen.append({r["date"].day for r in rows.select("date").distinct().collect()})
+        return plain(rows, *how)
+
+    monkeypatch.setattr(ingest, "keep_last", watched)
+    source = bars(spark, *full(DAYS[0]), *full(DAYS[1], [f"M{i}" for i in range(101)]), *full(DAYS[2], volume=-1), *full(DAYS[3], trades=-1), *full(DAYS[4], KEYS[:9]))
+    got, _ = filled(spark, source, f"file://{tmp_path}/s", "2026-01-09")
+    assert {d: s for d, (s, _, _) in got.items()} == {5: "success", 6: "failed", 7: "failed", 8: "failed", 9: "success"} and got[6][1] == 101
+    assert seen == [{5, 9}]
+
+
 def test_a_backfill_of_nothing(spark, tmp_path):
     got, _ = filled(spark, bars(spark), f"file://{tmp_path}/s", "2026-01-09")
     assert got == {5: ("failed", 0, 0), 6: ("failed", 0, 0), 7: ("failed", 0, 0), 8: ("failed", 0, 0), 9: ("not_yet", 0, 0)}
