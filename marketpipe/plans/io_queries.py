@@ -126,13 +126,15 @@ _FACT = lambda e, c: f"try_cast(arg_min(value, ordinal) FILTER (WHERE element =
 @query(f"""WITH {t.FACTS}, {KIND} SELECT f.filing, CASE WHEN k.bad THEN NULL ELSE 'INE' || f.filing END AS isin, CASE WHEN NOT k.bad THEN 90 END AS quarter_days, CASE WHEN NOT k.bad THEN v END AS revenue, k.bad AS parse_error
 FROM (SELECT filing, {_FACT('RevenueFromOperations', 'OneD')} AS v FROM facts GROUP BY filing) f JOIN (SELECT filing, CAST(filing AS BIGINT) % 97 = 0 AS bad FROM kinds) k ON k.filing = f.filing""")
 def document_facts(spark, d):
-    """Documents to facts in one pass; identity, context dates and a pivoted fact of each; a broken document is one error row."""
+    """Documents to facts in one pass, facts to identity, context dates and a number of each filing in one aggregation; a broken document is one error
+    row."""
     ship(spark)
-    x = written(src.extract(_documents(spark, d)), "extracted")
-    facts = x.filter("kind = 'fact'")
-    out = src.identity_facts(facts).select("filing", "isin").join(src.contexts(x).select("filing", "quarter_days"), "filing", "left").join(fun.pivot_facts(facts, ["RevenueFromOperations"], ["OneD"]), "filing", "left")
-    bad = x.filter("kind = 'error'").select("filing", F.lit(None).cast("string").alias("isin"), F.lit(None).cast("int").alias("quarter_days"), F.lit(None).cast("double").alias("revenue"), F.lit(True).alias("parse_error"))
-    return out.select("filing", "isin", "quarter_days", F.col("RevenueFromOperations_OneD").alias("revenue"), F.lit(False).alias("parse_error")).unionByName(bad)
+    x = src.extract(_documents(spark, d))
+    kind, element = F.col("kind"), F.col("element")
+    mine = x.filter((kind != "fact") | element.isin("RevenueFromOperations", *src.IDENTITY))
+    revenue = fun.first_fact(F.trim("value"), (element == "RevenueFromOperations") & (F.col("context") == "OneD")).alias("revenue")
+    out = mine.groupBy("filing").agg(*src.identity_texts(), *src.context_dates(), revenue, F.max(kind == "error").alias("parse_error"), F.max(F.coalesce(element.isin(list(src.IDENTITY)), F.lit(False))).alias("_named"))
+    return out.filter("parse_error or _named").select("filing", "isin", S.inclusive_days("quarter_start", "quarter_end").alias("quarter_days"), "revenue", "parse_error")
 
 
 # ---- balance sheet

@@ -6,7 +6,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import inclusive_days, machine_locator, month_name_date, scrip_code
@@ -71,17 +71,29 @@ def extract(documents: DataFrame) -> DataFrame:
     return documents.select("filing", "body").mapInPandas(work, EXTRACTED)
 
 
+def context_dates() -> list[Column]:
+    """Aggregates of a filing's EXTRACTED rows: quarter_start, quarter_end, fy_start, fy_end, instant."""
+    pick = lambda context, kind: F.min_by("value", F.when((F.col("context") == context) & (F.col("kind") == kind), F.col("ordinal"))).try_cast("date")
+    return [pick("OneD", "start").alias("quarter_start"), pick("OneD", "end").alias("quarter_end"), pick("FourD", "start").alias("fy_start"), pick("FourD", "end").alias("fy_end"), pick("OneI", "instant").alias("instant")]
+
+
 def contexts(extracted: DataFrame) -> DataFrame:
     """(filing, quarter_start, quarter_end, fy_start, fy_end, instant, quarter_days, fy_days); days are inclusive."""
-    pick = lambda context, kind: F.min_by("value", F.when((F.col("context") == context) & (F.col("kind") == kind), F.col("ordinal"))).try_cast("date")
-    out = extracted.filter(F.col("kind").isin("start", "end", "instant")).groupBy("filing").agg(pick("OneD", "start").alias("quarter_start"), pick("OneD", "end").alias("quarter_end"), pick("FourD", "start").alias("fy_start"), pick("FourD", "end").alias("fy_end"), pick("OneI", "instant").alias("instant"))
+    out = extracted.filter(F.col("kind").isin("start", "end", "instant")).groupBy("filing").agg(*context_dates())
     return out.withColumns({"quarter_days": inclusive_days("quarter_start", "quarter_end"), "fy_days": inclusive_days("fy_start", "fy_end")})
 
 
+IDENTITY = {"ISIN": "isin", "Symbol": "symbol", "ScripCode": "scrip_code", "NameOfTheCompany": "company_name", "NatureOfReportStandaloneConsolidated": "nature", "WhetherResultsAreAuditedOrUnaudited": "audited"}
+
+
+def identity_texts() -> list[Column]:
+    """Aggregates of a filing's facts: of each element of IDENTITY the first non-blank fact in OneD, else in FourD."""
+    pick = lambda e, c: F.min_by(F.nullif(F.trim("value"), F.lit("")), F.when((F.col("element") == e) & (F.col("context") == c), F.col("ordinal")))
+    return [F.coalesce(pick(e, "OneD"), pick(e, "FourD")).alias(n) for e, n in IDENTITY.items()]
+
+
 def identity_facts(facts: DataFrame) -> DataFrame:
     """(filing, isin, symbol, scrip_code, company_name, basis, is_audited): first non-blank fact in OneD, else in FourD."""
-    names = {"ISIN": "isin", "Symbol": "symbol", "ScripCode": "scrip_code", "NameOfTheCompany": "company_name", "NatureOfReportStandaloneConsolidated": "nature", "WhetherResultsAreAuditedOrUnaudited": "audited"}
-    pick = lambda e, c: F.min_by(F.nullif(F.trim("value"), F.lit("")), F.when((F.col("element") == e) & (F.col("context") == c), F.col("ordinal")))
-    wide = facts.filter(F.col("element").isin(list(names))).groupBy("filing").agg(*(F.coalesce(pick(e, "OneD"), pick(e, "FourD")).alias(n) for e, n in names.items()))
+    wide = facts.filter(F.col("element").isin(list(IDENTITY))).groupBy("filing").agg(*identity_texts())
     basis = F.when(F.col("nature").isin("Consolidated", "Standalone"), F.lower("nature"))
     return wide.withColumns({"basis": basis, "is_audited": F.coalesce(F.col("audited") == "Audited", F.lit(False))}).drop("nature", "audited")

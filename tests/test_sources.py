@@ -5,12 +5,14 @@ import unicodedata
 import zipfile
 from datetime import date
 from html.parser import HTMLParser
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketpipe.functions import scalar as S
 from marketpipe.functions.workspace import ship
+from marketpipe.plans import io_queries
 from marketpipe.sources import filings, prices, reference
 
 #: The column names of the files in this module. The rows are invented.
@@ -210,3 +212,12 @@ def test_dealt_lines_go_through_python_once(spark, tmp_path):
     got = reference.numbered_fields(spark, f"file://{folder}", whole=False)
     assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert sorted(r["f"] for r in got.collect()) == [["a", "b"], ["c", "d"], ["x, y", "z"]]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="the given tables are not here")
+def test_extracted_facts_are_aggregated_once(spark):
+    out = io_queries.document_facts(spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Join" not in plan
+    rows = {int(r["filing"]): r for r in out.collect()}
+    assert len(rows) == out.count() and all((i % 97 == 0) == r["parse_error"] == (r["isin"] is None) == (r["quarter_days"] is None) for i, r in rows.items())
