@@ -45,8 +45,8 @@ BITS, POINTS = np.uint64(21), 0x110000
 MARGIN, SLACK = 1.0, 6.0
 #: Weight of the evidence in the score: neighbouring symbols say much the same, so it grows with the root of their number.
 WEIGHT = 6.0
-#: Symbols scored together.
-BLOCK = 1 << 20
+#: Symbols counted or scored together: bounds what a worker holds besides its batch, a dozen arrays of 8 bytes for each of them.
+BLOCK = 1 << 18
 U = np.uint64
 ONE, TWO, THREE = BITS, U(2) * BITS, U(3) * BITS
 LOW, LOW2 = (U(1) << ONE) - U(1), (U(1) << TWO) - U(1)
@@ -79,7 +79,11 @@ def symbols(text: str) -> np.ndarray:
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each symbol the third one before it and the key of the other three, within its text; and the symbols of each text."""
-    parts = [symbols(t) for t in texts]
+    return keyed([symbols(t) for t in texts])
+
+
+def keyed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """windows() of texts that are symbols already."""
     sizes = np.array([len(p) for p in parts], np.int64)
     s = np.concatenate(parts).astype(U) if parts else np.zeros(0, U)
     nth = np.arange(len(s)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -91,6 +95,28 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return back[2], s | back[0] << ONE | back[1] << TWO, sizes
 
 
+def blocks(texts: list[str], most: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What windows() gives for each symbol, and the number of its text, in order and at most so many symbols at a time. A longer text
+    comes in parts, each with the three symbols before it."""
+    lo = 0
+    while lo < len(texts):
+        hi, held = lo, 0
+        while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= most):
+            held += len(texts[hi])
+            hi += 1
+        parts = [symbols(t) for t in texts[lo:hi]]
+        if hi > lo + 1:
+            first, rest, n = keyed(parts)
+            if len(rest):
+                yield first, rest, np.repeat(np.arange(lo, hi), n)
+        else:
+            for a in range(0, len(parts[0]), most):
+                back = min(a, 3)
+                first, rest, _ = keyed([parts[0][a - back : a + most]])
+                yield first[back:], rest[back:], np.full(len(rest) - back, lo)
+        lo = hi
+
+
 def found(keys: np.ndarray, values: np.ndarray, want: np.ndarray, other: np.ndarray | float) -> np.ndarray:
     """The values of the wanted keys in a sorted array, other where they are not there."""
     at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
@@ -151,24 +177,14 @@ class Model:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per symbol (texts, languages), and symbols per text."""
-        out, sizes, lo = np.zeros((len(texts), len(self.names))), np.zeros(len(texts), np.int64), 0
-        while lo < len(texts):
-            hi, held = lo, 0
-            while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= BLOCK):
-                held += len(texts[hi])
-                hi += 1
-            first, rest, n = windows(texts[lo:hi])
-            owner = np.repeat(np.arange(lo, hi), n)
-            for a in range(0, len(rest), BLOCK):
-                part = slice(a, a + BLOCK)
-                key, once, which = np.unique(four(first[part], rest[part]), return_index=True, return_inverse=True)
-                who = owner[part]
-                at = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-                for k, each in enumerate(self.languages):
-                    got = each.log_p(first[part][once], rest[part][once], key)
-                    out[who[at], k] -= np.add.reduceat(got[which], at, dtype=np.float64)
-            sizes[lo:hi] = n
-            lo = hi
+        out, sizes = np.zeros((len(texts), len(self.names))), np.zeros(len(texts), np.int64)
+        for first, rest, owner in blocks(texts):
+            key, once, which = np.unique(four(first, rest), return_index=True, return_inverse=True)
+            at = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            for k, each in enumerate(self.languages):
+                got = each.log_p(first[once], rest[once], key)
+                out[owner[at], k] -= np.add.reduceat(got[which], at, dtype=np.float64)
+            sizes[owner[at]] += np.diff(np.append(at, len(owner)))
         return out / np.maximum(sizes, 1)[:, None], sizes
 
 
@@ -205,9 +221,9 @@ def grams(rows: DataFrame) -> DataFrame:
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in sorted(set(langs)):
-                first, rest, _ = windows([t for t, x in zip(texts, langs) if x == lang])
-                _, once, n = np.unique(four(first, rest), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(once), pa.string()), pa.array(first[once].astype(np.int64)), pa.array(rest[once].astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "first", "rest", "n"])
+                for first, rest, _ in blocks([t for t, x in zip(texts, langs) if x == lang]):
+                    _, once, n = np.unique(four(first, rest), return_index=True, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(once), pa.string()), pa.array(first[once].astype(np.int64)), pa.array(rest[once].astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "first", "rest", "n"])
 
     return rows.select("text", "lang").mapInArrow(work, GRAMS).groupBy("lang", "first", "rest").agg(F.sum("n").alias("n"))
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import unicodedata
 import zlib
 from collections import Counter
@@ -35,6 +36,30 @@ def test_language(docs):
     assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["accepted"]}
 
 
+def test_language_in_blocks():
+    texts = ["", text("cc", 9), "12 3", text("aa", 30), "", text("bb", 2), text("cc", 40)]
+    first, rest, sizes = langid.windows(texts)
+    for most in (1, 5, 64, 10_000):
+        got = list(langid.blocks(texts, most))
+        assert all(0 < len(r) <= most for _, r, _ in got)
+        want = first, rest, np.repeat(np.arange(len(texts)), sizes)
+        assert all((np.concatenate(x) == y).all() for x, y in zip(zip(*got), want))
+
+
+def test_language_memory_is_bounded_by_a_block():
+    texts = [text("aa", 400) for _ in range(30)] * 60
+    first, rest, _ = langid.windows(texts[:30])
+    _, once, n = np.unique(langid.four(first, rest), return_index=True, return_counts=True)
+    m = langid.Model(["aa"], [langid.language(first[once], rest[once], n)], np.array([9.0]))
+    m.entropies(texts[:1])
+    for some in (texts, ["".join(texts)]):  # many texts, and one as long as all
+        tracemalloc.start()
+        m.entropies(some)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 64 << 20, peak
+
+
 def test_language_without_labels_and_without_rows(docs):
     table = docs([(1, "abc", None, "s")])
     assert langid.predict(table, langid.fit(table)).first()["lang_pred"] == "und"
